@@ -1,0 +1,103 @@
+"""Run queries in Spark and their SQL in DuckDB over the same files and compare
+rows as multisets. Usage: python tests/oracle_compare.py SF_DIR [query ...]"""
+
+from __future__ import annotations
+
+import datetime
+import decimal
+import os
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages"
+    " benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def plain(v):
+    if isinstance(v, bool) or v is None:
+        return v
+    if isinstance(v, (float, decimal.Decimal)):
+        return ("f", round(float(v), 9))
+    if isinstance(v, datetime.datetime):
+        return v.isoformat()
+    return v
+
+
+def multiset(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), Counter(tuple(plain(r[i]) for i in order) for r in rows)
+
+
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+def compare(spark, con, name, sf_dir, queries, oracle) -> str | None:
+    """None when equal, else what differs."""
+    df = queries[name](spark, sf_dir)
+    mine = multiset(df.columns, df.collect())
+    if name not in oracle:
+        return None
+    cur = con.execute(oracle[name])
+    columns = [c[0] for c in cur.description]
+    theirs = multiset(columns, cur.fetchall())
+    types = dict(zip(columns, (str(c[1]) for c in cur.description)))
+    wrong = {c: (t, types.get(c)) for c, t in df.dtypes if KINDS.get(t) != types.get(c)}
+    if mine[0] != theirs[0]:
+        return f"columns {mine[0]} vs {theirs[0]}"
+    if mine[1] != theirs[1]:
+        left, right = mine[1] - theirs[1], theirs[1] - mine[1]
+        return (
+            f"{sum(mine[1].values())} vs {sum(theirs[1].values())} rows; "
+            f"{sum(left.values())} only in Spark, such as {str(next(iter(left), None))[:400]}; "
+            f"{sum(right.values())} only in SQL, such as {str(next(iter(right), None))[:400]}"
+        )
+    if wrong:
+        return f"types {wrong}"
+    return None
+
+
+def main():
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as e
+
+    sf_dir, names = sys.argv[1], sys.argv[2:]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    queries, oracle = e.queries(), e.oracle_sql()
+    bad = 0
+    for name in names or queries:
+        start = time.time()
+        try:
+            diff = compare(spark, con, name, sf_dir, queries, oracle)
+        except Exception as ex:
+            diff = f"{type(ex).__name__}: {str(ex)[:700]}"
+        bad += diff is not None
+        kind = "sql" if name in oracle else "rows"
+        print(f"{'ok ' if diff is None else 'BAD'} {name} [{kind}] {time.time() - start:.2f}s {diff or ''}", flush=True)
+    print(f"{bad} differ")
+
+
+if __name__ == "__main__":
+    main()
