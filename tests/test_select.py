@@ -1,0 +1,136 @@
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tuneloom.operators import select as sel
+
+
+def numbered(spark, n=20):
+    return spark.range(n).select(
+        "id",
+        F.concat(F.lit("Q"), "id").alias("question"),
+        F.concat(F.lit("A"), "id").alias("answer"),
+        F.lit("x").alias("extra"),
+    )
+
+
+def rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def test_whitelist_keeps_source_order_and_skips_missing(spark):
+    df = numbered(spark)
+    assert sel.keep_columns(df, ["answer", "question", "nope"]).columns == ["question", "answer"]
+    assert sel.missing_columns(df, ["z", "answer", "b"]) == ["b", "z"]
+
+
+def test_blank_rows(spark):
+    df = spark.createDataFrame(
+        [("Q1", "A1", []), ("", "A", ["x"]), (None, None, []), ("Q", " \u3000", []), ("Q4", "A4", None), ("Q5", "A5", [])],
+        "question string, answer string, tags array<string>",
+    )
+    assert [r.question for r in sel.drop_blank_rows(df, ["question", "answer"]).collect()] == ["Q1", "Q4", "Q5"]
+    assert [r.question for r in sel.drop_blank_rows(df).collect()] == ["Q1", "Q5"]
+
+
+def test_zero_false_and_empty_list_are_kept(spark):
+    df = spark.createDataFrame([(0, False, [], 0.0)], "n int, b boolean, a array<string>, d double")
+    assert sel.drop_blank_rows(df).count() == 1
+
+
+@pytest.mark.parametrize("method", ["topn", "cut", "auto"])
+@pytest.mark.parametrize("n", [0, 1, 10, 99, 100, 500])
+def test_sample_size(spark, method, n):
+    df = numbered(spark, 100)
+    got = sel.sample_exact(df, n, 42, ["id"], method)
+    assert got.count() == min(n, 100)
+    assert got.columns == df.columns
+
+
+def test_sample_is_the_same_however_partitioned(spark):
+    df = numbered(spark, 300)
+    want = rows(sel.sample_exact(df, 40, 42, ["id"], "topn"))
+    for parts in (1, 3, 17):
+        for method in ("topn", "cut"):
+            assert rows(sel.sample_exact(df.repartition(parts), 40, 42, ["id"], method)) == want
+    assert rows(sel.sample_exact(df, 40, 43, ["id"])) != want
+
+
+def test_sample_follows_md5_order(spark):
+    import hashlib
+
+    df = numbered(spark, 200)
+    order = sorted(range(200), key=lambda i: hashlib.md5(f"7:{i}".encode()).hexdigest())
+    got = {r.id for r in sel.sample_exact(df, 25, 7, ["id"], "cut").collect()}
+    assert got == set(order[:25])
+
+
+def test_sample_without_key_and_hot_copies(spark, monkeypatch):
+    monkeypatch.setattr(sel, "COPIES_PER_TASK", 7)
+    df = spark.range(300).select(F.when(F.col("id") < 200, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    everything = rows(df)
+    for n in (1, 5, 50, 150, 250, 299):
+        want = rows(sel.sample_exact(df, n, 1, None, "topn"))
+        for parts in (1, 5):
+            got = rows(sel.sample_exact(df.repartition(parts), n, 1, None, "cut"))
+            assert got == want and sum(got.values()) == n and not got - everything
+
+
+def test_sample_with_a_key_that_is_not_unique(spark):
+    df = spark.range(200).select((F.col("id") % 2).alias("k"), "id")
+    for n in (30, 130):
+        want = rows(sel.sample_exact(df, n, 1, ["k"], "topn"))
+        assert sum(want.values()) == n
+        assert rows(sel.sample_exact(df.repartition(7), n, 1, ["k"], "cut")) == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(data=st.lists(st.sampled_from("abcdef"), min_size=1, max_size=40), n=st.integers(1, 45))
+def test_cut_and_topn_agree(spark, data, n):
+    df = spark.createDataFrame([(x,) for x in data], "v string")
+    assert rows(sel.sample_exact(df, n, 3, None, "cut")) == rows(sel.sample_exact(df, n, 3, None, "topn"))
+
+
+def test_cut_with_a_growing_prefix(spark, monkeypatch):
+    monkeypatch.setattr(sel, "TOPN_MAX_ROWS", 0)  # forces every level
+    df = numbered(spark, 500)
+    assert rows(sel.sample_exact(df, 123, 42, ["id"])) == rows(sel.sample_exact(df, 123, 42, ["id"], "topn"))
+
+
+def test_auto_uses_the_size_of_the_scan(spark):
+    df = numbered(spark, 100)
+    assert "TakeOrderedAndProject" in sel.sample_exact(df, 10, 42, ["id"])._jdf.queryExecution().toString()
+    assert sel._scan_tasks(df) >= 1
+
+
+def test_select_rows_key_outside_whitelist(spark):
+    df = numbered(spark, 100).withColumn("answer", F.when(F.col("id") < 50, F.col("answer")))
+    got = sel.select_rows(df, ["question", "answer"], 20, 42, ["id"])
+    assert got.columns == ["question", "answer"] and got.count() == 20
+    assert all(r.answer for r in got.collect())
+    assert rows(got) == rows(sel.select_rows(df.repartition(9), ["question", "answer"], 20, 42, ["id"], "cut"))
+    assert sel.select_rows(df, ["question", "answer"], 1000, 42).count() == 50
+
+
+def test_metrics(spark):
+    df = spark.createDataFrame([("Q", "A"), ("", "A"), (None, None), ("R", "B")], "q string, a string")
+    m = sel.filter_metrics(df, ["q", "a", "absent"], 3).first()
+    assert m.asDict() == {"rows_in": 4, "dropped_blank": 2, "rows_out": 2, "columns_kept": 2, "shortfall": True}
+    m = sel.filter_metrics(df, ["a"], 3).first()
+    assert (m.rows_out, m.shortfall) == (3, False)
+
+
+def test_preview_and_head(spark):
+    df = spark.createDataFrame([(2, "x" * 300, None), (1, "y", ["a"])], "i int, s string, l array<string>")
+    got = [tuple(r) for r in sel.preview(df, ["i"]).collect()]
+    assert got == [("1", "y", "['a']"), ("2", "x" * 200, "None")]
+    assert sel.head(df, 1).count() == 1
+    assert sel.shape(df).first().asDict() == {"rows": 2, "columns": 3}
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([("a", " "), ("b", "c")], "`x.y` string, z string")
+    assert [tuple(r) for r in sel.select_rows(df, ["x.y", "z"], 5).collect()] == [("b", "c")]

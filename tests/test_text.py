@@ -1,0 +1,163 @@
+import json
+import os
+import re
+
+from pyspark.sql import functions as F
+
+from tuneloom.functions import jsontext, messages, pii, text
+
+SPACES = text.PY_WHITESPACE
+ODD = [
+    "", " ", "a", " a b ", SPACES, SPACES + "x" + SPACES, chr(0x200B) + " x", "\x1c\x1f y\x85",
+    chr(0x3000) + "文字" + chr(0xA0), "\U0001f600 " + chr(0x2028),
+]
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+
+
+def column(df, expr):
+    return [r.x for r in df.select("i", expr.alias("x")).orderBy("i").collect()]
+
+
+def test_whitespace_set_is_pythons():
+    every = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+    assert SPACES == every
+    body = re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", text.PY_WHITESPACE_CLASS)
+    inside = re.compile(f"[{body}]")
+    assert every == "".join(chr(i) for i in range(0x110000) if inside.match(chr(i)))
+
+
+def test_strip_and_blank(spark):
+    df = frame(spark, ODD + [None])
+    assert column(df, text.strip(F.col("v"))) == [v.strip() for v in ODD] + [None]
+    assert column(df, text.is_blank(F.col("v"))) == [v.strip() == "" for v in ODD] + [None]
+
+
+def test_prefix_and_char_sets(spark):
+    values = ["Instruction: x", "instruction: x", "Instruction:Instruction: y", "Instr", ""]
+    df = frame(spark, values)
+    got = column(df, text.remove_prefix(F.col("v"), "Instruction:"))
+    assert got == [v.removeprefix("Instruction:") for v in values]
+    values = ["`json x`", "nosj`y", "```", "{`}```", "jsonjson{"]
+    df = frame(spark, values)
+    assert column(df, text.strip_chars_left(F.col("v"), "`json")) == [v.lstrip("`json") for v in values]
+    assert column(df, text.strip_chars_right(F.col("v"), "`")) == [v.rstrip("`") for v in values]
+
+
+def test_extension_is_splitext(spark):
+    paths = ["a.CSV", "a/b.c/d", ".csv", "a/.csv", "x.tar.gz", "..csv", ".a.json", "a.b/c.tsv", "x.", ""]
+    df = frame(spark, paths)
+    assert column(df, text.extension(F.col("v"))) == [os.path.splitext(p.lower())[1] for p in paths]
+    assert column(df, text.last_segment(F.col("v"))) == [p.split("/")[-1] for p in paths]
+
+
+def test_list_text_is_pythons_repr(spark):
+    lists = [["A", "B"], [], ["it's"], ['say "x"'], ["it's \"x\""], ["a\\b", "n\nl"], ["é", ""]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, v array<string>")
+    assert column(df, text.list_text(F.col("v"))) == [str(v) for v in lists]
+
+
+def test_text_of_every_type(spark):
+    df = spark.createDataFrame(
+        [(1, True, "x", ["a"], None, 2.5)], "i int, b boolean, s string, a array<string>, n string, d double"
+    )
+    row = df.select([text.text_of(f.name, f.dataType).alias(f.name) for f in df.schema]).first()
+    assert tuple(row) == ("1", "True", "x", "['a']", "None", "2.5")
+
+
+def test_fill_template(spark):
+    df = frame(spark, ["50% {x}"])
+    assert column(df, text.fill_template("{{a}} {v}! %s", {"v": F.col("v")})) == ["{a} 50% {x}! %s"]
+
+
+def test_join_or_default(spark):
+    df = spark.createDataFrame([(0, ["a", "b"]), (1, []), (2, None)], "i int, v array<string>")
+    assert column(df, text.join_or_default(F.col("v"), ", ", "none")) == ["a, b", "none", "none"]
+
+
+JSON_TEXTS = [
+    '{"a": 1}', "[1, 2]", "3", "null", '"x"', "NaN", '{"a": NaN}', '{"a":1} x', '{"a":1,"a":2}',
+    '{"a":1,}', "{'a':1}", '{"a": "\t"}', "", " ", "{", '{"é": "ü"}', "[" * 100000,
+]
+
+
+def python_valid(t):
+    try:
+        json.loads(t)
+    except (ValueError, RecursionError):
+        return False
+    return True
+
+
+def test_json_valid_is_pythons(spark):
+    df = frame(spark, JSON_TEXTS + [None])
+    assert column(df, jsontext.json_valid(F.col("v"))) == [python_valid(t) for t in JSON_TEXTS] + [None]
+
+
+def test_json_valid_native_on_plain_texts(spark):
+    plain = ['{"a": 1}', "[1, 2]", "{", "", "{'a':1}", '{"é": "ü"}']
+    df = frame(spark, plain + [None])
+    want = [python_valid(t) for t in plain] + [None]
+    assert column(df, jsontext.json_valid(F.col("v"), exact=False)) == want
+
+
+def test_parse_pair(spark):
+    texts = [
+        '{"instruction": "Q", "response": "A"}', '{"response": "A"}', "[1]", "7", "not json", "", None,
+        '{"instruction": null, "response": [1, "x"]}', '{"instruction": true, "response": 1.0}',
+        '{"instruction": "\\ud800", "response": ""}',
+    ]
+
+    def expected(t):
+        try:
+            obj = json.loads(t)
+            return tuple(str(obj.get(k, "")) for k in ("instruction", "response"))
+        except (ValueError, TypeError, AttributeError):
+            return "", ""
+
+    df = frame(spark, texts)
+    got = [tuple(x) for x in column(df, jsontext.parse_pair(F.col("v"), "instruction", "response"))]
+    assert got[:-1] == [expected(t) for t in texts[:-1]]
+    assert got[-1] == ("?", "")
+    native = column(df, jsontext.parse_pair(F.col("v"), "instruction", "response", exact=False))
+    assert [tuple(x) for x in native[:7]] == got[:7]
+    assert tuple(native[7]) == ("", '[1,"x"]')
+
+
+def test_row_json_is_json_dumps(spark):
+    rows = [("a\"b\\c\n", None, 3), ("文字 / \u2028é", "", -1)]
+    df = spark.createDataFrame(rows, "norm string, situation string, n int")
+    got = [r.x for r in df.select(jsontext.row_json(df, ["situation", "absent", "norm", "n"]).alias("x")).collect()]
+    want = [
+        json.dumps({"situation": s, "norm": a, "n": n}, ensure_ascii=False) for a, s, n in rows
+    ]
+    assert got == want
+
+
+PII_TEXTS = [
+    "ssn 123-45-6789.", "x123-45-6789", "123-45-67890", "call 555-123-4567", "(555) 123 4567", "+1 555.123.4567",
+    "x+1 555 123 4567", "5551234567", "15551234567", "id_5551234567", "a.b+c@d-e.org", "@x.com", "a@b.c",
+    "é123-45-6789", "½123-45-6789", "‿123-45-6789", "٣٣٣-٣٣-٣٣٣٣", "555\u00a0123\u20034567", "555\x1c123\x1c4567",
+    "mail: x@y.comé", "x@y.com_", "", "no numbers", "e\u0301123-45-6789", "5551234567e\u0301",
+]
+
+
+def test_pii_is_pythons_search(spark):
+    df = frame(spark, PII_TEXTS + [None])
+    for kind, pattern in pii.PII_PATTERNS.items():
+        want = [bool(re.search(pattern, t)) for t in PII_TEXTS]
+        assert column(df, F.coalesce(pii.has_pii(F.col("v"), kind), F.lit(False))) == want + [False], kind
+
+
+def test_error_categories(spark):
+    cases = {
+        "404 Client Error": "not_found", "Dataset DOESN'T exist": "not_found", "401": "auth", "HTTP 403": "auth",
+        "Authentication required": "auth", "Config name is missing": "subset", "pick a SUBSET": "subset",
+        "Unknown split": "split", "403 for the split": "auth", "boom": "generic",
+    }
+    df = frame(spark, list(cases))
+    assert column(df, messages.error_category(F.col("v"))) == list(cases.values())
+    assert [messages.category_of(m) for m in cases] == list(cases.values())
+    assert all("→" in h for h in column(df, messages.error_hint(messages.error_category(F.col("v")))))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.jsontext import json_valid
-from ..functions.pii import PII_PATTERNS, has_pii, maybe_pii
+from ..functions.pii import PII_PATTERNS, has_pii
 from ..functions.text import all_of, is_string, null_or_blank, quoted, strip
 
 # Check names in report order; the hard ones decide the verdict.
@@ -60,9 +60,8 @@ def row_flags(df: DataFrame, required: list[str], exclude: list[str] = ()) -> di
     for kind, name in zip(PII_PATTERNS, PII_COUNTS):
         total = F.lit(0)
         for text in texts:
-            c = F.col(quoted(text))
-            hit = F.coalesce(maybe_pii(c), F.lit(False)) & has_pii(c, kind)
-            total = total + hit.cast("int")
+            hit = has_pii(F.col(quoted(text)), kind)
+            total = total + F.coalesce(hit, F.lit(False)).cast("int")
         flags[name] = total
 
     return flags
@@ -83,11 +82,9 @@ def bad_json_flag(c: Column, exact: bool = True) -> Column:
     return F.coalesce((~json_valid(c, exact)).cast("int"), F.lit(0))
 
 
-def count_columns(prefix: str = "") -> list[Column]:
+def count_columns(flags: dict[str, Column]) -> list[Column]:
     """Aggregates over row flags; also usable in DataFrame.observe."""
-    totals = [
-        F.coalesce(F.sum(prefix + c), F.lit(0)).cast("long").alias(c) for c in COUNTS[1:]
-    ]
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for n, c in flags.items()]
     return [F.count(F.lit(1)).alias("n_rows"), *totals]
 
 
@@ -102,15 +99,14 @@ def quality_counts(
     """Counts behind the report: one row, or one per value of ``by``."""
     exclude = [by] if by else []
     keys = [F.col(quoted(by))] if by else []
-    flags = [c.alias(n) for n, c in row_flags(df, required, exclude).items()]
+    flags = row_flags(df, required, exclude)
     checked = checked_column(df, output_type, json_columns, exclude)
-    if checked:
-        # Beyond this point rows hold only numbers and the text to parse.
-        narrow = df.select(*keys, *flags, F.col(quoted(checked)).alias("__json"))
-        flagged = narrow.withColumn("n_bad_json", bad_json_flag(F.col("__json"), exact_json))
-    else:
-        flagged = df.select(*keys, *flags, F.lit(0).alias("n_bad_json"))
-    return flagged.groupBy(*keys).agg(*count_columns())
+    # From here on rows hold small numbers and, if it is checked, one text.
+    to_parse = [F.col(quoted(checked)).alias("__json")] if checked else []
+    narrow = df.select(*keys, *[c.alias(n) for n, c in flags.items()], *to_parse)
+    bad = bad_json_flag(F.col("__json"), exact_json) if checked else F.lit(0)
+    totals = count_columns({**{n: F.col(n) for n in flags}, "n_bad_json": bad})
+    return narrow.groupBy(*keys).agg(*totals)
 
 
 def report_columns(

@@ -82,12 +82,13 @@ def _sample_hash(df: DataFrame, seed: int, key: list[str] | None) -> Column:
 
 
 def _scan_tasks(df: DataFrame) -> int | None:
-    """Rough number of scan tasks from the optimizer's size estimate; None if unknown."""
+    """Rough number of scan tasks from the size of what is read; None if unknown."""
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     except AttributeError:  # a Connect session has no JVM handle
         return None
-    return size // (128 << 20) + 1
+    return sum(size // (128 << 20) + 1 for size in sizes)
 
 
 def _crossing(counts: DataFrame, name: str, rows: int):

@@ -128,7 +128,7 @@ def open_source(
         return read_dataset(spark, root, recipe.repo, recipe.split, recipe.subset, schema=schema)
 
     def raw_file() -> DataFrame:
-        listing = list_files(spark, root).where(F.col("repo") == recipe.repo)
+        listing = list_files(spark, root, recipe.repo)
         best = pick_files(listing).where(F.col("path").isNotNull()).head(1)
         if not best:
             raise DatasetReadError(recipe.repo, "no loadable data files")
@@ -188,7 +188,9 @@ def write_checked(df: DataFrame, recipe: Recipe, path: str) -> DataFrame:
     flags["n_bad_json"] = bad_json_flag(F.col(checked)) if checked else F.lit(0)
     helpers = {f"__{name}": c for name, c in flags.items()}
     seen = Observation()
-    rows = df.withColumns(helpers).observe(seen, *count_columns("__")).drop(*helpers)
+    rows = df.withColumns(helpers).observe(
+        seen, *count_columns({name: F.col(f"__{name}") for name in flags})
+    ).drop(*helpers)
     rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
     counted = seen.get
     spark = df.sparkSession

@@ -20,7 +20,7 @@ def scan_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_records(
-    archives: DataFrame, schema: T.StructType, member: str | None = None
+    archives: DataFrame, schema: T.StructType, member: str | None = None, spread: int | None = None
 ) -> DataFrame:
     """Rows of one member of each archive: the first whose name ends with
     ``member``, else the first loadable one. CSV, TSV, JSON lines and arrays; an archive
@@ -28,7 +28,9 @@ def archive_records(
 
     Adds ``archive`` and ``member`` to the columns of ``schema``. Archives are
     read in parallel and members row by row, so a task holds the packed bytes of
-    one archive and a few thousand rows.
+    one archive and a few thousand rows. A packed archive cannot be split, so
+    when a few hold most of the rows, ``spread`` deals their rows out to that
+    many partitions before anything else is done with them.
     """
     formats = dict(FORMATS)
     chunk = ROWS_PER_CHUNK
@@ -102,6 +104,8 @@ def archive_records(
     raw = archives.select("path", "content").mapInPandas(
         unpack, "archive string, member string, record string"
     )
+    if spread:
+        raw = raw.repartition(spread)
     # CSV cells arrive as JSON strings, so read text first and cast afterwards.
     as_text = T.StructType([T.StructField(f.name, _text_type(f.dataType)) for f in schema])
     parsed = raw.withColumn("row", F.from_json("record", as_text))

@@ -11,12 +11,12 @@ from .readers import FORMATS
 FILE_PREFERENCE = ["full", "train", "all"]
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """repo, path, position for the files below ``<root>/<repo>/``. Contents are not read."""
+def list_files(spark: SparkSession, root: str, repo: str | None = None) -> DataFrame:
+    """repo, path, position for the files below ``<root>/<repo>/``, of all repos
+    or of one. Contents are not read."""
     uri = root.rstrip("/")
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(uri).select("path")
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = reader.load(f"{uri}/{repo}" if repo else uri).select("path")
     inside = F.regexp_extract("path", r"\Q" + uri.split("://")[-1] + r"\E/+(.*)$", 1)
     return files.select(
         F.substring_index(inside, "/", 1).alias("repo"),

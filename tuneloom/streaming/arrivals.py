@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.pii import PII_PATTERNS, has_pii, maybe_pii
+from ..functions.pii import PII_PATTERNS, has_pii
 from ..functions.text import is_string, quoted
 from ..operators import ledger as led
 from ..operators.deliver import write_snappy
@@ -42,7 +42,7 @@ def prepare_rows(df: DataFrame, columns_keep: list[str]) -> DataFrame:
     for kind in PII_PATTERNS:
         hit = F.lit(False)
         for c in texts:
-            hit = hit | (maybe_pii(c) & has_pii(c, kind))
+            hit = hit | has_pii(c, kind)
         flags[f"has_{kind}"] = hit
     return kept.withColumns(flags)
 
