@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from tuneloom.functions import jsontext, messages, text  # noqa: E402
+from tuneloom.functions.pii import PII_PATTERNS  # noqa: E402
 from tuneloom.functions.text import PY_WHITESPACE_CLASS  # noqa: E402
 from tuneloom.operators import deliver as out  # noqa: E402
 from tuneloom.operators import generate as gen  # noqa: E402
@@ -680,15 +681,8 @@ def json_or_default(spark, d):
 
 # -- quality ---------------------------------------------------------------
 
-SQL_PII = {
-    "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
-    "phone": r"\b(?:\+1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b",
-    "email": r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b",
-}
-
-
 def sql_pii(kind: str, *columns: str) -> str:
-    cells = " + ".join(f"coalesce(regexp_matches({c}, '{SQL_PII[kind]}')::INT, 0)" for c in columns)
+    cells = " + ".join(f"coalesce(regexp_matches({c}, '{PII_PATTERNS[kind]}')::INT, 0)" for c in columns)
     return f"coalesce(sum({cells}), 0)::BIGINT AS n_{kind}"
 
 
@@ -705,7 +699,7 @@ def sql_counts(source: str, required: list[str], texts: list[str], bad_json: str
   SELECT {by + "," if by else ""} count(*) AS n_rows,
     coalesce(sum(({empty})::INT), 0)::BIGINT AS n_empty,
     coalesce(sum({pair}), 0)::BIGINT AS n_degenerate,
-    {", ".join(sql_pii(k, *texts) for k in SQL_PII)},
+    {", ".join(sql_pii(k, *texts) for k in PII_PATTERNS)},
     coalesce(sum({bad_json}), 0)::BIGINT AS n_bad_json
   FROM ({source}) {"GROUP BY " + by if by else ""}"""
 
@@ -780,13 +774,13 @@ def empty_rows(spark, d):
     return report.select("n_rows", "n_empty", F.col("checks.min_row_count").alias("enough"), "passed")
 
 
-@query("SELECT " + ", ".join(sql_pii(k, "text", "lang", "source") for k in SQL_PII) + " FROM documents")
+@query("SELECT " + ", ".join(sql_pii(k, "text", "lang", "source") for k in PII_PATTERNS) + " FROM documents")
 def pii_documents(spark, d):
     """V5."""
     return qual.quality_counts(table(spark, d, "documents"), ["text"]).select(qual.PII_COUNTS)
 
 
-@query("SELECT " + ", ".join(sql_pii(k, "url", "html") for k in SQL_PII) + " FROM pages")
+@query("SELECT " + ", ".join(sql_pii(k, "url", "html") for k in PII_PATTERNS) + " FROM pages")
 def pii_pages(spark, d):
     """V5."""
     return qual.quality_counts(table(spark, d, "pages"), ["html"]).select(qual.PII_COUNTS)
@@ -798,7 +792,7 @@ _NUMBERS = """
       || substr(c_name, 15, 4) AS contact FROM customer"""
 
 
-@query("SELECT " + ", ".join(sql_pii(k, "number", "contact") for k in SQL_PII) + f" FROM ({_NUMBERS})")
+@query("SELECT " + ", ".join(sql_pii(k, "number", "contact") for k in PII_PATTERNS) + f" FROM ({_NUMBERS})")
 def pii_customers(spark, d):
     """V5: all three kinds in every row."""
 
@@ -985,10 +979,12 @@ def dataset_cards(spark, d):
 # -- registry and ledger ---------------------------------------------------
 
 
-@query(f"SELECT * FROM ({LEDGER}) WHERE dataset_id = 'Customer#000000007'")
+@query(f"""
+  SELECT * FROM ({LEDGER}) WHERE dataset_id IN (SELECT c_name FROM customer WHERE c_acctbal > 5000)""")
 def ledger_lookup(spark, d):
-    """L1."""
-    return led.ledger_get(ledger(spark, d), "Customer#000000007")
+    """L1: the entries of the ids another table names."""
+    rich = table(spark, d, "customer").where("c_acctbal > 5000")
+    return led.ledger_get(ledger(spark, d), rich.select(F.col("c_name").alias("dataset_id")))
 
 
 @query(f"SELECT * FROM ({LEDGER}) WHERE validation_passed AND processed_at IS NOT NULL")
@@ -1260,7 +1256,7 @@ def registry_run(spark, d):
 # -- streaming -------------------------------------------------------------
 
 
-_ARRIVED = ", ".join(f"regexp_matches(text, '{p}') AS has_{k}" for k, p in SQL_PII.items())
+_ARRIVED = ", ".join(f"regexp_matches(text, '{p}') AS has_{k}" for k, p in PII_PATTERNS.items())
 
 
 @query(f"SELECT doc_id, text, {_ARRIVED} FROM documents")

@@ -39,6 +39,8 @@ def ids(df, name="id"):
 def test_lookup_and_completed(ledger):
     assert led.ledger_get(ledger, "b").first().rows_out == 5
     assert led.ledger_get(ledger, "zz").isEmpty()
+    wanted = ledger.select("dataset_id").where("dataset_id > 'a'")
+    assert ids(led.ledger_get(ledger, wanted), "dataset_id") == ["b", "d"]
     assert ids(led.completed(ledger), "dataset_id") == ["a"]
 
 
@@ -88,6 +90,10 @@ def test_versions(spark, ledger, tmp_path):
     update = spark.createDataFrame([("z", 1)], "dataset_id string, rows_out long")
     led.ledger_write(led.ledger_upsert(led.ledger_read(spark, root), update), root)
     assert ids(led.ledger_read(spark, root), "dataset_id") == ["a", "b", "d", "z"]
+    for _ in range(15):
+        led.ledger_write(led.ledger_read(spark, root), root)
+    assert len(list((tmp_path / "ledger").iterdir())) == led.KEEP_VERSIONS
+    assert ids(led.ledger_read(spark, root), "dataset_id") == ["a", "b", "d", "z"]
     assert not [p for p in (tmp_path / "ledger").iterdir() if p.name.startswith("_staged")]
 
 

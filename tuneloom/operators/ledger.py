@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.schema import BOOL, LONG, STRING, STRINGS, struct_of
 from ..functions.text import join_or_default, quoted, truncate
-from ..sources.storage import child_names, folder_bytes, path_exists, promote
+from ..sources.storage import child_names, delete, folder_bytes, path_exists, promote
 
 log = logging.getLogger(__name__)
 
@@ -32,6 +32,8 @@ LEDGER_SCHEMA = struct_of(
 )
 # A JSON ledger file is one document and is read in one piece.
 MAX_JSON_LEDGER_BYTES = 64 << 20
+# Versions kept for readers that still hold one.
+KEEP_VERSIONS = 10
 
 
 # -- storage ---------------------------------------------------------------
@@ -46,7 +48,8 @@ def ledger_read(spark: SparkSession, root: str) -> DataFrame:
 
 
 def ledger_write(ledger: DataFrame, root: str) -> str:
-    """Write a new version next to the old ones; readers see it once it is whole."""
+    """Write a new version next to the old ones; readers see it once it is
+    whole. One writer at a time; old versions go after a while."""
     spark = ledger.sparkSession
     versions = [n for n in child_names(spark, root) if n.startswith("version-")]
     number = int(max(versions).split("-")[1]) + 1 if versions else 1
@@ -54,6 +57,8 @@ def ledger_write(ledger: DataFrame, root: str) -> str:
     ledger.write.parquet(staged)
     path = f"{root}/version-{number:010d}"
     promote(spark, staged, path)
+    for old in sorted(versions)[: -KEEP_VERSIONS + 1]:
+        delete(spark, f"{root}/{old}")
     return path
 
 
@@ -94,8 +99,11 @@ def ledger_read_json(spark: SparkSession, path: str, rename: dict[str, str] | No
 # -- lookups and merge -----------------------------------------------------
 
 
-def ledger_get(ledger: DataFrame, dataset_id: str, key: str = "dataset_id") -> DataFrame:
-    return ledger.where(F.col(key) == dataset_id)
+def ledger_get(ledger: DataFrame, wanted: str | DataFrame, key: str = "dataset_id") -> DataFrame:
+    """The entry of one id, or those of all ids in a frame with that column."""
+    if isinstance(wanted, DataFrame):
+        return ledger.join(wanted.select(key), key, "left_semi")
+    return ledger.where(F.col(key) == wanted)
 
 
 def is_completed() -> Column:

@@ -6,6 +6,7 @@ import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -27,7 +28,13 @@ from ..operators.quality import (
     report_from_counts,
     row_flags,
 )
-from ..operators.select import preview, sample_exact, select_rows
+from ..operators.select import (
+    drop_blank_rows,
+    keep_columns,
+    missing_columns,
+    preview,
+    sample_exact,
+)
 from ..sources.archives import archive_records, scan_archives
 from ..sources.listing import list_files, pick_files
 from ..sources.readers import (
@@ -111,6 +118,10 @@ RECIPES = {
 }
 
 
+def utc_now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
 def recipe_of(entry) -> Recipe:
     """A registry row as a recipe."""
     values = entry.asDict()
@@ -150,10 +161,14 @@ def open_source(
 
 
 def prepare(df: DataFrame, recipe: Recipe, key: list[str] | None = None) -> DataFrame:
-    """Sample, keep columns, drop blank rows, sample again, in this order: a
-    source with many blank rows is over-fetched on purpose."""
+    """Sample, keep columns, drop blank rows, in this order: a source with many
+    blank rows is over-fetched on purpose. After the sample there are never more
+    than ``rows`` rows, so there is nothing left to sample a second time."""
+    absent = missing_columns(df, recipe.columns_keep)
+    if absent:
+        log.warning("%s: columns not found, going on without: %s", recipe.id, absent)
     fetched = sample_exact(df, recipe.rows, recipe.random_seed, key)
-    return select_rows(fetched, recipe.columns_keep, recipe.rows, recipe.random_seed, key)
+    return drop_blank_rows(keep_columns(fetched, recipe.columns_keep))
 
 
 def augment_parallel(
@@ -219,7 +234,7 @@ def run_recipe(
     df: DataFrame,
     recipe: Recipe,
     base: str,
-    processed_at: str,
+    processed_at: str | None = None,
     generator: Generator | None = None,
     key: list[str] | None = None,
     publish_to: str | None = None,
@@ -228,7 +243,7 @@ def run_recipe(
 ) -> dict:
     """Run one recipe on a source frame. The dataset is written to a staging
     folder with its checks and moved into place if it passes; nothing is
-    delivered if it fails."""
+    delivered if it fails. Give ``processed_at`` to make a run repeatable."""
     spark = df.sparkSession
     made = recipe_frame(df, recipe, generator, key, parallelism, **options)
     final = out.delivery_path(base, recipe.local_subdir, recipe.id)
@@ -252,7 +267,7 @@ def run_recipe(
         "status": "success",
         "local_path": final,
         "published_to": published,
-        "processed_at": processed_at,
+        "processed_at": processed_at or utc_now(),
     }
 
 
@@ -262,7 +277,7 @@ def run_registry(
     ledger_root: str,
     root: str | None,
     base: str,
-    processed_at: str,
+    processed_at: str | None = None,
     generators: dict[str, Generator] | None = None,
     dataset_id: str | None = None,
     recipe_target: str | None = None,
