@@ -212,7 +212,7 @@ def ledger(spark: SparkSession, d: str) -> DataFrame:
             n.alias("rows_out"),
             F.when(top > 450000, F.lit(True)).when(top > 300000, F.lit(False)).alias("validation_passed"),
             F.when(n > 5, F.concat(last, F.lit("T00:00:00+00:00"))).alias("processed_at"),
-            F.concat(F.lit("/data/"), F.min("o_orderpriority")).alias("local_path"),
+            F.concat(F.lit("/data/"), F.max("o_orderkey")).alias("local_path"),
         )
     )
 
@@ -223,7 +223,7 @@ LEDGER = """
       AS validation_passed,
     CASE WHEN count(*) > 5 THEN strftime(max(o_orderdate), '%Y-%m-%d') || 'T00:00:00+00:00' END
       AS processed_at,
-    '/data/' || min(o_orderpriority) AS local_path
+    '/data/' || max(o_orderkey) AS local_path
   FROM orders GROUP BY o_custkey"""
 
 

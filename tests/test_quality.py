@@ -48,6 +48,15 @@ def test_degenerate_pair_is_a_warning(spark):
     assert r.passed and any("instruction == response" in w for w in r.warnings)
 
 
+def test_pairs_of_other_types(spark):
+    df = spark.createDataFrame([(0, 0), (1, 1), (2, 1), (None, 1)], "instruction int, response long")
+    assert q.quality_counts(df, []).first().n_degenerate == 1
+    df = spark.createDataFrame([([], []), (["a"], ["a"]), (["a"], ["b"])], "instruction array<string>, response array<string>")
+    assert q.quality_counts(df, []).first().n_degenerate == 1
+    df = spark.createDataFrame([("1", 1), (" 1\n", 1), ("1.0", 1)], "instruction string, response int")
+    assert q.quality_counts(df, []).first().n_degenerate == 2
+
+
 def test_pii_is_a_warning(spark):
     r = q.quality_report(pairs(spark, pii=True), BOTH, 8).first()
     assert r.passed and not r.checks["pii_scan"]

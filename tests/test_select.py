@@ -95,7 +95,8 @@ def test_cut_and_topn_agree(spark, data, n):
 
 
 def test_cut_with_a_growing_prefix(spark, monkeypatch):
-    monkeypatch.setattr(sel, "TOPN_MAX_ROWS", 0)  # forces every level
+    monkeypatch.setattr(sel, "TOPN_MAX_ROWS", 0)
+    monkeypatch.setattr(sel, "FINE_MAX_GROUPS", 0)  # forces every level
     df = numbered(spark, 500)
     assert rows(sel.sample_exact(df, 123, 42, ["id"])) == rows(sel.sample_exact(df, 123, 42, ["id"], "topn"))
 

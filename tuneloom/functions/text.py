@@ -30,6 +30,30 @@ def is_blank(c: Column) -> Column:
     return F.ltrim(c, F.lit(PY_WHITESPACE)) == F.lit("")
 
 
+def same_stripped(a: Column, b: Column) -> Column:
+    """strip(a) == strip(b), without stripping texts that have no space at either end."""
+
+    def edges_filled(c: Column) -> Column:
+        spaces = F.lit(PY_WHITESPACE)
+        return ~F.contains(spaces, F.substring(c, 1, 1)) & ~F.contains(spaces, F.substring(c, -1, 1))
+
+    return F.when(edges_filled(a) & edges_filled(b), a == b).otherwise(strip(a) == strip(b))
+
+
+def truthy(name: str, dtype: T.DataType) -> Column:
+    """Python's truth value of a cell; null for null."""
+    c = F.col(quoted(name))
+    if is_string(dtype):
+        return c != F.lit("")
+    if isinstance(dtype, T.NumericType):
+        return c != F.lit(0)
+    if isinstance(dtype, T.BooleanType):
+        return c
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return F.size(c) > 0
+    return F.when(c.isNotNull(), F.lit(True))
+
+
 def is_string(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
 

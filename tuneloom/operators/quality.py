@@ -7,7 +7,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.jsontext import json_valid
 from ..functions.pii import PII_PATTERNS, has_pii
-from ..functions.text import all_of, is_string, null_or_blank, quoted, strip
+from ..functions.text import (
+    all_of,
+    is_string,
+    null_or_blank,
+    quoted,
+    same_stripped,
+    text_of,
+    truthy,
+)
 
 # Check names in report order; the hard ones decide the verdict.
 CHECKS = [
@@ -43,15 +51,15 @@ def json_column(columns: list[str], candidates: list[str] = JSON_COLUMNS) -> str
 def row_flags(df: DataFrame, required: list[str], exclude: list[str] = ()) -> dict[str, Column]:
     """Per-row integers that add up to the counts of the report. ``exclude``
     names columns that are no part of the dataset (such as its id)."""
-    types = {f.name: f.dataType for f in df.schema if f.name not in exclude}
-    texts = [n for n, t in types.items() if is_string(t)]
+    types = {f.name: f.dataType for f in df.schema}
+    texts = [n for n, t in types.items() if is_string(t) and n not in exclude]
     present = [c for c in required if c in types]
     empty = all_of([null_or_blank(c, types[c]) for c in present])
 
     same = F.lit(False)
     if "instruction" in types and "response" in types:
-        a, b = (F.col(c).cast("string") for c in ("instruction", "response"))
-        same = (a != F.lit("")) & (b != F.lit("")) & (strip(a) == strip(b))
+        a, b = [(c, types[c]) for c in ("instruction", "response")]
+        same = truthy(*a) & truthy(*b) & same_stripped(text_of(*a), text_of(*b))
 
     flags = {
         "n_empty": empty.cast("int"),
@@ -192,7 +200,7 @@ def quality_report(
     if limits is not None:
         counts = counts.join(limits, by, "left")
     columns = [c for c in df.columns if c != by]
-    missing = [c for c in required if c not in columns]
+    missing = [c for c in required if c not in df.columns]
     return report_from_counts(counts, missing, min_rows, json_column(columns, json_columns))
 
 

@@ -9,8 +9,10 @@ from ..functions.text import all_of, is_blank, is_string, null_or_blank, quoted,
 _HASH = "__sample_hash"
 
 # Rows that may meet in the last task of a top-n before sample_exact switches
-# to cutting by hash value.
-TOPN_MAX_ROWS = 1_000_000
+# to cutting by hash value. They are held in memory, texts and all.
+TOPN_MAX_ROWS = 100_000
+# Distinct hashes that may be counted one by one.
+FINE_MAX_GROUPS = 1_000_000
 # Copies of one row written by one task.
 COPIES_PER_TASK = 100_000
 
@@ -121,7 +123,7 @@ def _cut(hashes: DataFrame, rows: int):
         prefix, need = hit["prefix"], need - hit["below"]
         if width == 32:
             return prefix, rows - need, hit["n"]
-        width = 32 if width == 8 or hit["n"] <= TOPN_MAX_ROWS else 8
+        width = 32 if width == 8 or hit["n"] <= FINE_MAX_GROUPS else 8
 
 
 def _copies(row: DataFrame, n: int) -> DataFrame:

@@ -248,7 +248,11 @@ def run_recipe(
     made = recipe_frame(df, recipe, generator, key, parallelism, **options)
     final = out.delivery_path(base, recipe.local_subdir, recipe.id)
     staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
-    report = write_checked(made, recipe, staged).first()
+    try:
+        report = write_checked(made, recipe, staged).first()
+    except Exception:
+        delete(spark, staged)
+        raise
     result = {
         "dataset_id": recipe.id,
         "rows_in": report["rows_in"],
@@ -299,11 +303,12 @@ def run_registry(
     ledger is merged after each finished dataset.
     """
     targets = led.select_targets(registry, dataset_id, recipe_target, project, all_datasets, force)
-    if targets.isEmpty() and not all_datasets:
-        raise LookupError(f"no registry entry for {dataset_id or recipe_target or project!r}")
     to_run = led.skip_completed(targets, led.ledger_read(spark, ledger_root), force)
-    wanted = [r["id"] for r in targets.select("id").toLocalIterator()]
-    recipes = [recipe_of(r) for r in to_run.toLocalIterator()]
+    ids = {r["id"] for r in to_run.select("id").collect()}
+    wanted = targets.collect()
+    if not wanted and not all_datasets:
+        raise LookupError(f"no registry entry for {dataset_id or recipe_target or project!r}")
+    recipes = [recipe_of(r) for r in wanted if r["id"] in ids]
     if not augment_rows:
         recipes = [replace(r, augmentation="none", augmentation_llm=None) for r in recipes]
 
@@ -334,11 +339,10 @@ def run_registry(
                 record = led.provenance(registry, _results_frame(spark, [result]))
                 merged = led.ledger_upsert(led.ledger_read(spark, ledger_root), record)
                 led.ledger_write(merged, ledger_root)
-    ran = {r["dataset_id"] for r in results}
     results += [
-        {"dataset_id": i, "status": "skipped", "message": "complete already"}
-        for i in wanted
-        if i not in ran
+        {"dataset_id": r["id"], "status": "skipped", "message": "complete already"}
+        for r in wanted
+        if r["id"] not in ids
     ]
     return _results_frame(spark, results)
 
