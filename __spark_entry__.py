@@ -318,6 +318,16 @@ def head_ordered(spark, d):
     return sel.head(table(spark, d, "documents").select("doc_id", "lang", "text"), 100, ["doc_id"])
 
 
+@query("SELECT least(count(*), 120)::BIGINT AS n, least(count(*), 120)::BIGINT AS n_known FROM documents")
+def head_any(spark, d):
+    """S10, ST1: any 120 rows, all of them real and none twice."""
+    some = readers.read_head(spark, f"{d}/documents.parquet", 120).select("doc_id", "text")
+    known = table(spark, d, "documents").select("doc_id", "text")
+    return some.join(known.withColumn("known", F.lit(1)), ["doc_id", "text"], "left").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("known") == 1, F.col("doc_id"))).alias("n_known")
+    )
+
+
 @query("""
   WITH l AS (
     SELECT p_brand AS repo, p_partkey AS position,

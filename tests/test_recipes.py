@@ -98,6 +98,7 @@ def test_model_is_called_once_per_row(spark, tmp_path):
     result = rec.run_recipe(df, recipe, str(tmp_path / "out"), NOW, reply, ["id"], parallelism=3)
     assert result["status"] == "success" and result["rows_out"] == 30
     assert len(open(calls).read()) == 30
+    assert len(files(result["local_path"])) == 1  # not one per caller
     rows = out.rescan(spark, result["local_path"]).collect()
     assert {r.instruction for r in rows} == {"made"}
 

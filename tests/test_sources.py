@@ -86,6 +86,19 @@ def test_named_datasets(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in three._jdf.queryExecution().toString()
 
 
+def test_head_reads_few_files(spark, tmp_path):
+    path = str(tmp_path / "many.parquet")
+    spark.range(0, 200, 1, 20).write.parquet(path)  # 20 files of 10 rows
+    for n, files in ((5, 1), (10, 1), (11, 4), (41, 16), (190, 20), (500, 20)):
+        df = readers.read_head(spark, path, n)
+        assert df.count() == min(n, 200) and len(df.inputFiles()) == files
+        assert df.distinct().count() == min(n, 200)
+    spark.range(0, 30, 1, 3).write.json(str(tmp_path / "l.jsonl"))
+    assert readers.read_head(spark, str(tmp_path / "l.jsonl"), 12, "id long").count() == 12
+    spark.range(0).write.parquet(str(tmp_path / "none.parquet"))
+    assert readers.read_head(spark, str(tmp_path / "none.parquet"), 5).count() == 0
+
+
 def test_catalog_table(spark):
     spark.range(5).selectExpr("id", "'train' AS split").write.mode("overwrite").saveAsTable("five_rows")
     try:

@@ -48,7 +48,7 @@ from .plans.recipes import (
 )
 from .sources.archives import archive_records, scan_archives
 from .sources.listing import list_files, pick_files
-from .sources.readers import DatasetReadError, read_dataset, read_file, read_first_available
+from .sources.readers import DatasetReadError, read_dataset, read_file, read_first_available, read_head
 from .sources.registry import read_registry, registry_frame
 from .streaming.arrivals import deliver_arrivals, prepare_rows, read_arrivals
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.schema import BOOL, LONG, STRING, struct_of
 from ..operators import deliver as out
 from ..operators import ledger as led
-from ..operators.generate import RECORD_KEYS, Generator, augment
+from ..operators.generate import BATCH_SIZE, RECORD_KEYS, Generator, augment
 from ..operators.quality import (
     COUNTS,
     JSON_COLUMNS,
@@ -174,11 +174,14 @@ def prepare(df: DataFrame, recipe: Recipe, key: list[str] | None = None) -> Data
 def augment_parallel(
     df: DataFrame, recipe: Recipe, generator: Generator | None, parallelism: int | None, **options
 ) -> DataFrame:
-    """Augment with ``parallelism`` concurrent callers; a small sample sits in
-    one partition, which would make one caller."""
+    """Augment with ``parallelism`` concurrent callers, by default as many as
+    there are cores and batches; a small sample sits in one partition, which
+    would make one caller."""
     if recipe.augmentation in (None, "", "none"):
         return df
-    callers = parallelism or df.sparkSession.sparkContext.defaultParallelism
+    batches = -(-recipe.rows // options.get("batch_size", BATCH_SIZE))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    callers = parallelism or max(1, min(cores, batches))
     return augment(df.repartition(callers), recipe.augmentation, generator, **options)
 
 
@@ -246,6 +249,10 @@ def run_recipe(
     delivered if it fails. Give ``processed_at`` to make a run repeatable."""
     spark = df.sparkSession
     made = recipe_frame(df, recipe, generator, key, parallelism, **options)
+    if recipe.augmentation not in (None, "", "none"):
+        # Few files instead of one per caller; and replies that are in a shuffle
+        # are not asked for again when a write is retried.
+        made = made.hint("rebalance")
     final = out.delivery_path(base, recipe.local_subdir, recipe.id)
     staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     try:

@@ -67,31 +67,32 @@ def _is_json_lines(spark: SparkSession, path: str) -> bool:
 
 def read_file(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | str | None = None,
     fmt: str | None = None,
     infer: bool = False,
     multiline: bool = True,
 ) -> DataFrame:
-    """Read one file or folder by its extension (or ``fmt``).
+    """Read a file, a folder or a list of files by their extension (or ``fmt``).
 
     CSV and TSV columns stay strings unless a schema is given or ``infer`` is
     set. Quoted line breaks are read with ``multiline``; turn it off for large
     files without them, since only then can Spark split a file. A '.json' file
     may hold an array, one object or one object per line; broken JSON is an error.
     """
-    ext = _extension(spark, path)
-    fmt = fmt or FORMATS.get(ext) or format_of(path)
+    first = path if isinstance(path, str) else path[0]
+    ext = _extension(spark, first)
+    fmt = fmt or FORMATS.get(ext) or format_of(first)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "parquet":
-        return reader.parquet(path)
+        return reader.parquet(*([path] if isinstance(path, str) else path))
     if fmt == "csv":
         sep = "\t" if ext == ".tsv" else ","
         return reader.csv(
             path, header=True, sep=sep, quote='"', escape='"', multiLine=multiline, inferSchema=infer
         )
     if fmt == "json":
-        lines = ext == ".jsonl" or _is_json_lines(spark, path)
+        lines = ext == ".jsonl" or _is_json_lines(spark, first)
         return reader.json(path, multiLine=not lines, mode="FAILFAST")
     raise ValueError(f"Cannot load file type '{fmt}' from {path}")
 
@@ -151,6 +152,21 @@ def _one_split(df: DataFrame, split: str, subset: str | None) -> DataFrame:
     return df.drop(*wanted)
 
 
+def read_head(
+    spark: SparkSession, path: str, rows: int, schema: T.StructType | str | None = None, **options
+) -> DataFrame:
+    """``rows`` rows of a file or folder of any size, without a look at all of
+    it: the first file, then four times as many, until they hold enough. (A
+    plain ``limit`` inside a plan starts a task for every partition.)"""
+    files = sorted(read_file(spark, path, schema, **options).inputFiles())
+    taken = 1
+    while True:
+        first = read_file(spark, files[:taken] or path, schema, **options).limit(rows)
+        if taken >= len(files) or first.count() >= rows:
+            return first
+        taken *= 4
+
+
 def is_legacy_script(error: Exception) -> bool:
     return mentions(str(error), *LEGACY_SCRIPT_MESSAGES)
 
