@@ -134,6 +134,35 @@ def test_counts_against_brute_force(spark):
         assert {c: counts[c] for c in q.COUNTS} == brute_force(part, names[1:], required, "output")
 
 
+def test_wide_tables_give_the_same(spark, monkeypatch):
+    from tuneloom.functions import text
+    from tuneloom.operators import select as sel
+
+    rng = random.Random(6)
+    bits = ["", "\u3000", "x", "a@b.org", "555 123 4567", None, "y", "z"]
+    rows = [(None if rng.random() < 0.3 else 1, *(rng.choice(bits) for _ in range(6))) for _ in range(300)]
+    rows += [(None, *[None] * 6), (None, *[" "] * 6)]
+    names = ["n", "instruction", "response", "output", "d", "e", "f"]
+    df = spark.createDataFrame(rows, "n int, instruction string, response string, output string, d string, e string, f string")
+    want = brute_force(rows, names, names, "output") | {"n_bad_json": 0}
+    valid = [r for r in rows if r[0] is not None and all((v or "").strip() for v in r[1:4])]
+    for wide in (0, 20):
+        monkeypatch.setattr(text, "WIDE", wide)
+        assert q.quality_counts(df, names).first().asDict() == want
+        kept = ["n", "instruction", "response", "output"]
+        assert sorted(map(tuple, sel.drop_blank_rows(df, kept).collect()), key=str) == sorted(valid, key=str)
+        assert sel.filter_metrics(df, kept, 1000).first().rows_out == len(valid)
+        assert q.quality_counts(df, []).first().n_empty == len(rows)
+        assert q.quality_counts(df.select("n"), ["n"]).first().n_empty == sum(r[0] is None for r in rows)
+
+
+def test_hundreds_of_columns(spark):
+    n = 400
+    df = spark.range(50).select(*[F.concat(F.lit("a@b.org "), "id").alias(f"c{i}") for i in range(n)])
+    r = q.quality_report(df, df.columns, 1).first()
+    assert r.passed and r.n_email == 50 * n
+
+
 def test_long_and_text_form(spark):
     report = q.quality_report(pairs(spark, 3, pii=True), BOTH, 9)
     long = {r.check: (r.severity, r.passed, r.n) for r in q.report_long(report).collect()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from functools import reduce
+from typing import Callable
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,11 @@ PY_WHITESPACE_CLASS = (
 )
 
 
+# Tests over more columns than this loop over an array, since code generated
+# for each column would become too large.
+WIDE = 20
+
+
 def strip(c: Column) -> Column:
     """Unicode-aware ``str.strip()``."""
     return F.btrim(c, F.lit(PY_WHITESPACE))
@@ -66,6 +72,44 @@ def null_or_blank(name: str, dtype: T.DataType) -> Column:
     return c.isNull()
 
 
+def all_blank(cells: dict[str, T.DataType]) -> Column:
+    """Every cell null or blank; true without cells."""
+    if len(cells) <= WIDE:
+        return all_of([null_or_blank(name, kind) for name, kind in cells.items()])
+    texts, flags = _cells(cells)
+    return F.forall(texts, lambda c: F.coalesce(is_blank(c), F.lit(True))) & F.forall(
+        flags, lambda missing: missing
+    )
+
+
+def any_blank(cells: dict[str, T.DataType]) -> Column:
+    """Some cell null or blank; false without cells."""
+    if len(cells) <= WIDE:
+        return ~all_of([~null_or_blank(name, kind) for name, kind in cells.items()])
+    texts, flags = _cells(cells)
+    return F.exists(texts, lambda c: F.coalesce(is_blank(c), F.lit(True))) | F.exists(
+        flags, lambda missing: missing
+    )
+
+
+def count_cells(names: list[str], test: Callable[[Column], Column]) -> Column:
+    """How many of the string cells pass the test; null cells do not."""
+
+    def passes(c: Column) -> Column:
+        return F.coalesce(test(c), F.lit(False))
+
+    if len(names) <= WIDE:
+        return sum((passes(F.col(quoted(n))).cast("int") for n in names), F.lit(0))
+    return F.size(F.filter(F.array(*map(F.col, map(quoted, names))), passes))
+
+
+def _cells(cells: dict[str, T.DataType]) -> tuple[Column, Column]:
+    """Strings as one array, and as another whether each other cell is null."""
+    texts = [F.col(quoted(n)) for n, t in cells.items() if is_string(t)]
+    others = [F.col(quoted(n)).isNull() for n, t in cells.items() if not is_string(t)]
+    return F.array(*texts).cast("array<string>"), F.array(*others).cast("array<boolean>")
+
+
 def quoted(name: str) -> str:
     """Column name safe for F.col even when it contains dots."""
     return "`" + name.replace("`", "``") + "`"

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.jsontext import json_valid
 from ..functions.pii import PII_PATTERNS, has_pii
 from ..functions.text import (
+    all_blank,
     all_of,
+    count_cells,
     is_string,
-    null_or_blank,
     quoted,
     same_stripped,
     text_of,
@@ -54,7 +55,7 @@ def row_flags(df: DataFrame, required: list[str], exclude: list[str] = ()) -> di
     types = {f.name: f.dataType for f in df.schema}
     texts = [n for n, t in types.items() if is_string(t) and n not in exclude]
     present = [c for c in required if c in types]
-    empty = all_of([null_or_blank(c, types[c]) for c in present])
+    empty = all_blank({c: types[c] for c in present})
 
     same = F.lit(False)
     if "instruction" in types and "response" in types:
@@ -66,11 +67,7 @@ def row_flags(df: DataFrame, required: list[str], exclude: list[str] = ()) -> di
         "n_degenerate": F.coalesce(same, F.lit(False)).cast("int"),
     }
     for kind, name in zip(PII_PATTERNS, PII_COUNTS):
-        total = F.lit(0)
-        for text in texts:
-            hit = has_pii(F.col(quoted(text)), kind)
-            total = total + F.coalesce(hit, F.lit(False)).cast("int")
-        flags[name] = total
+        flags[name] = count_cells(texts, lambda c, kind=kind: has_pii(c, kind))
 
     return flags
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import all_of, is_blank, is_string, null_or_blank, quoted, text_of, truncate
+from ..functions.text import all_of, any_blank, is_string, quoted, text_of, truncate
 
 _HASH = "__sample_hash"
 
@@ -30,13 +30,12 @@ def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
 def drop_blank_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Keep rows where no listed column is null and no listed string is blank."""
     names = df.columns if columns is None else [c for c in columns if c in df.columns]
-    tests: list[Column] = []
-    for name in names:
-        c = F.col(quoted(name))
-        tests.append(c.isNotNull())  # separate, so that it reaches the scan
-        if is_string(df.schema[name].dataType):
-            tests.append(~is_blank(c))
-    return df.where(all_of(tests)) if tests else df
+    if not names:
+        return df
+    # The null tests are stated on their own, so that they reach the scan.
+    filled = all_of([F.col(quoted(n)).isNotNull() for n in names])
+    texts = {n: df.schema[n].dataType for n in names if is_string(df.schema[n].dataType)}
+    return df.where(filled & ~any_blank(texts))
 
 
 def head(df: DataFrame, rows: int, order_by: list[str] | None = None) -> DataFrame:
@@ -59,9 +58,7 @@ def shape(df: DataFrame) -> DataFrame:
 def filter_metrics(df: DataFrame, columns_keep: list[str], rows: int) -> DataFrame:
     """What select_rows does to ``df``, counted in one pass over the kept columns."""
     kept = [c for c in columns_keep if c in df.columns]
-    blank = F.lit(False)
-    for name in kept:
-        blank = blank | null_or_blank(name, df.schema[name].dataType)
+    blank = any_blank({c: df.schema[c].dataType for c in kept})
     valid = F.count_if(~blank)
     return df.agg(
         F.count(F.lit(1)).alias("rows_in"),
