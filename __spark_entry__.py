@@ -1194,7 +1194,11 @@ def recipe_structured_report(spark, d):
     """The report made while the dataset is written."""
     recipe = rec.RECIPES["structured_output"]
     made = rec.recipe_frame(scenarios(spark, d), recipe, echo_record_generator(), ["o_orderkey"])
-    return qual.report_long(rec.write_checked(made, recipe, storage.scratch_path(spark, "made.parquet")))
+    report = out.write_checked(
+        made, storage.scratch_path(spark, "made.parquet"), recipe.columns_keep, recipe.min_rows,
+        recipe.output_type, recipe.json_columns,
+    )
+    return qual.report_long(report)
 
 
 @query("""

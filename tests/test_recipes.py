@@ -108,7 +108,9 @@ def test_report_made_while_writing_is_the_report(spark, tmp_path):
         [("a@b.org", "x", "{}"), ("same", "same", "{"), (None, " ", "[1]")], "instruction string, response string, structured_json string"
     )
     recipe = rec.replace(rec.RECIPES["structured_output"], columns_keep=["instruction", "response"], rows=3)
-    made = rec.write_checked(df.repartition(3), recipe, str(tmp_path / "p"))
+    made = out.write_checked(
+        df.repartition(3), str(tmp_path / "p"), recipe.columns_keep, recipe.min_rows, recipe.output_type, recipe.json_columns
+    )
     plain = q.quality_report(df, recipe.columns_keep, recipe.min_rows, "structured", json_columns=recipe.json_columns)
     assert made.first().asDict() == plain.first().asDict()
     assert made.first().n_bad_json == 1
@@ -215,6 +217,21 @@ def test_archive_is_the_last_resort(spark, tmp_path):
         rec.open_source(spark, rec.replace(recipe, data_url=None), str(tmp_path / "root"))
 
 
+def test_stream_with_augmentation(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(30).selectExpr("concat('A', id) AS response").write.parquet(source)
+    stream = arrivals.read_arrivals(spark, source, spark.read.parquet(source).schema, max_files=1)
+    arrivals.deliver_arrivals(
+        stream, ["response", "absent"], f"{base}/data", f"{base}/checkpoint", f"{base}/ledger", "x", NOW,
+        kind="instruction_from_answer", generator=lambda prompts: ["Instruction: i"] * len(prompts),
+    ).awaitTermination()
+    rows = spark.read.parquet(f"{base}/data").collect()
+    assert len(rows) == 30 and {r.instruction for r in rows} == {"i"}
+    entries = led.ledger_read(spark, f"{base}/ledger").collect()
+    assert sum(r.rows_out for r in entries) == 30
+    assert {(r.augmentation, r.validation_passed) for r in entries} == {("instruction_from_answer", False)}
+
+
 def test_stream(spark, tmp_path):
     source, base = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "id long, text string, extra string"

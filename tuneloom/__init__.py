@@ -6,6 +6,7 @@ from .operators.deliver import (
     publish,
     rescan,
     write_cards,
+    write_checked,
     write_snappy,
 )
 from .operators.generate import augment, generate

@@ -6,8 +6,19 @@ import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from ..functions.schema import LONG, struct_of
 from ..functions.text import fill_template, last_segment, truncate
 from ..sources.storage import path_exists
+from .quality import (
+    COUNTS,
+    JSON_COLUMNS,
+    bad_json_flag,
+    checked_column,
+    count_columns,
+    json_column,
+    report_from_counts,
+    row_flags,
+)
 
 log = logging.getLogger(__name__)
 
@@ -54,6 +65,32 @@ def write_snappy(df: DataFrame, path: str, max_records_per_file: int = 0, *metri
     return seen.get
 
 
+def write_checked(
+    df: DataFrame,
+    path: str,
+    required: list[str],
+    min_rows: int,
+    output_type: str = "default",
+    json_columns: list[str] = JSON_COLUMNS,
+) -> DataFrame:
+    """Write ``df`` and return its quality report. Rows are computed and checked
+    once, while they are written: no second scan, and no second call of a model."""
+    flags = row_flags(df, required)
+    checked = checked_column(df, output_type, json_columns)
+    flags["n_bad_json"] = bad_json_flag(F.col(checked)) if checked else F.lit(0)
+    helpers = {f"__{name}": c for name, c in flags.items()}
+    seen = Observation()
+    rows = df.withColumns(helpers).observe(
+        seen, *count_columns({name: F.col(f"__{name}") for name in flags})
+    )
+    rows.drop(*helpers).write.mode("overwrite").option("compression", "snappy").parquet(path)
+    counted = seen.get
+    schema = struct_of(**{name: LONG for name in COUNTS})
+    counts = df.sparkSession.createDataFrame([tuple(counted[c] for c in COUNTS)], schema)
+    missing = [c for c in required if c not in df.columns]
+    return report_from_counts(counts, missing, min_rows, json_column(df.columns, json_columns))
+
+
 def deliver(
     df: DataFrame,
     base: str,

@@ -9,25 +9,14 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.schema import BOOL, LONG, STRING, struct_of
 from ..operators import deliver as out
 from ..operators import ledger as led
 from ..operators.generate import BATCH_SIZE, RECORD_KEYS, Generator, augment
-from ..operators.quality import (
-    COUNTS,
-    JSON_COLUMNS,
-    bad_json_flag,
-    checked_column,
-    count_columns,
-    default_min_rows,
-    json_column,
-    quality_report,
-    report_from_counts,
-    row_flags,
-)
+from ..operators.quality import JSON_COLUMNS, default_min_rows, quality_report
 from ..operators.select import (
     drop_blank_rows,
     keep_columns,
@@ -197,28 +186,6 @@ def recipe_frame(
     return augment_parallel(prepare(df, recipe, key), recipe, generator, parallelism, **options)
 
 
-def write_checked(df: DataFrame, recipe: Recipe, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` and return its quality report. Rows are computed
-    and checked once, while they are written: no second scan, and no second
-    call of the model."""
-    flags = row_flags(df, recipe.columns_keep)
-    checked = checked_column(df, recipe.output_type, recipe.json_columns)
-    flags["n_bad_json"] = bad_json_flag(F.col(checked)) if checked else F.lit(0)
-    helpers = {f"__{name}": c for name, c in flags.items()}
-    seen = Observation()
-    rows = df.withColumns(helpers).observe(
-        seen, *count_columns({name: F.col(f"__{name}") for name in flags})
-    ).drop(*helpers)
-    rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    counted = seen.get
-    spark = df.sparkSession
-    schema = ", ".join(f"{c} long" for c in COUNTS)
-    counts = spark.createDataFrame([tuple(counted[c] for c in COUNTS)], schema)
-    missing = [c for c in recipe.columns_keep if c not in df.columns]
-    name = json_column(df.columns, recipe.json_columns)
-    return report_from_counts(counts, missing, recipe.min_rows, name)
-
-
 RESULT_SCHEMA = struct_of(
     dataset_id=STRING,
     status=STRING,
@@ -256,7 +223,9 @@ def run_recipe(
     final = out.delivery_path(base, recipe.local_subdir, recipe.id)
     staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     try:
-        report = write_checked(made, recipe, staged).first()
+        report = out.write_checked(
+            made, staged, recipe.columns_keep, recipe.min_rows, recipe.output_type, recipe.json_columns
+        ).first()
     except Exception:
         delete(spark, staged)
         raise
@@ -271,6 +240,8 @@ def run_recipe(
     if not report["passed"]:
         delete(spark, staged)
         return {**result, "status": "failed"}
+    if report["rows_out"] < recipe.rows:
+        log.warning("%s: %d rows, fewer than the %d asked for", recipe.id, report["rows_out"], recipe.rows)
     promote(spark, staged, final)
     published = publish_to if publish_to and out.publish(spark, final, publish_to) else None
     return {

@@ -11,7 +11,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions.pii import PII_PATTERNS, has_pii
 from ..functions.text import is_string, quoted
 from ..operators import ledger as led
-from ..operators.deliver import write_snappy
+from ..operators.deliver import write_checked
+from ..operators.generate import Generator, augment
 from ..operators.select import drop_blank_rows, keep_columns
 
 
@@ -56,9 +57,13 @@ def deliver_arrivals(
     dataset_id: str,
     processed_at: str | Callable[[int], str],
     trigger: dict | None = None,
+    kind: str | None = None,
+    generator: Generator | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Write each micro-batch to ``<out_dir>/batch=<n>`` and record it in the
-    ledger as ``<dataset_id>/<n>``. A batch that runs twice after a failure
+    """Write each micro-batch to ``<out_dir>/batch=<n>``, check it on the way and
+    record it in the ledger as ``<dataset_id>/<n>``. ``kind`` and ``generator``
+    augment it first. A batch that runs twice after a failure
     overwrites its own folder and ledger entry, so nothing is counted twice.
     ``trigger`` defaults to one run over what is there; pass
     {"processingTime": "1 minute"} to keep looking."""
@@ -66,12 +71,12 @@ def deliver_arrivals(
     def one_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         path = f"{out_dir}/batch={number}"
-        counted = write_snappy(batch, path)
+        report = write_checked(augment(batch, kind, generator, **options), path, columns_keep, 0).first()
         at = processed_at(number) if callable(processed_at) else processed_at
         update = spark.createDataFrame(
-            [(f"{dataset_id}/{number}", path, counted["n_rows"], True, at)],
-            "dataset_id string, local_path string, rows_out long, validation_passed boolean,"
-            " processed_at string",
+            [(f"{dataset_id}/{number}", path, report["rows_out"], kind or "none", report["passed"], at)],
+            "dataset_id string, local_path string, rows_out long, augmentation string,"
+            " validation_passed boolean, processed_at string",
         )
         merged = led.ledger_upsert(led.ledger_read(spark, ledger_root), update)
         led.ledger_write(merged, ledger_root)
