@@ -117,6 +117,12 @@ def test_report_made_while_writing_is_the_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).columns == df.columns
 
 
+def test_unknown_augmentation_passes_through(spark, tmp_path):
+    odd = rec.replace(RECIPE, augmentation="not_a_real_type")
+    result = rec.run_recipe(pairs(spark), odd, str(tmp_path), NOW, key=["id"])
+    assert result["status"] == "success" and result["augmentation"] == "none"
+
+
 def test_the_five_recipes():
     assert set(rec.RECIPES) == {"instruction_from_answer", "text_generation", "structured_output", "text_to_sql", "text_to_python"}
     assert rec.RECIPES["structured_output"].output_type == "structured"
@@ -164,6 +170,8 @@ def test_registry_run(spark, world, tmp_path):
     assert entries["one"].augmentation == "instruction_from_answer" and entries["one"].augmentation_llm == "m"
     assert entries["one"].known_issues_resolved == ["k"] and entries["one"].rows_out == 10
     assert spark.read.parquet(entries["one"].published_to).count() == 10
+    card = spark.read.text(f"{entries['one'].published_to}/_card", wholetext=True).first().value
+    assert "# one\n" in card and "| Rows | 10 |" in card
 
     again = run(spark, world, all_datasets=True)
     assert {k: r.status for k, r in again.items()} == {"one": "skipped", "two": "failed", "legacy": "skipped", "gone": "failed"}

@@ -101,6 +101,20 @@ def test_cut_with_a_growing_prefix(spark, monkeypatch):
     assert rows(sel.sample_exact(df, 123, 42, ["id"])) == rows(sel.sample_exact(df, 123, 42, ["id"], "topn"))
 
 
+def test_auto_on_a_large_scan(spark, monkeypatch):
+    monkeypatch.setattr(sel, "_scan_tasks", lambda df: 10**6)
+    df = numbered(spark, 3000)
+    copies = spark.range(3000).select(F.when(F.col("id") < 2000, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    for limit in (100_000, 60, 0):  # after one count, after two, cut
+        monkeypatch.setattr(sel, "TOPN_MAX_ROWS", limit)
+        for n in (1, 50, 2999):
+            got = sel.sample_exact(df, n, 42, ["id"])
+            want = rows(sel.sample_exact(df, n, 42, ["id"], "topn"))
+            assert rows(got) == want
+            assert ("TakeOrderedAndProject" in got._jdf.queryExecution().toString()) == (n <= 50 and limit > 0 or n > 50 and limit > 60)
+            assert rows(sel.sample_exact(copies, n, 42)) == rows(sel.sample_exact(copies, n, 42, None, "topn"))
+
+
 def test_auto_uses_the_size_of_the_scan(spark):
     df = numbered(spark, 100)
     assert "TakeOrderedAndProject" in sel.sample_exact(df, 10, 42, ["id"])._jdf.queryExecution().toString()

@@ -213,8 +213,10 @@ def test_storage(spark, tmp_path):
         spark.range(n).write.parquet(staged)
         storage.promote(spark, staged, final)
         assert spark.read.parquet(final).count() == n and not storage.path_exists(spark, staged)
-    assert storage.child_names(spark, str(tmp_path / "x")) == ["final"]
-    assert storage.child_names(spark, str(tmp_path / "none")) == []
+    assert list(storage.children(spark, str(tmp_path / "x"))) == ["final"]
+    assert list(storage.children(spark, str(tmp_path / "none"))) == []
+    assert storage.matching_names(spark, f"{tmp_path}/x/fin*") == ["final"]
+    assert storage.matching_names(spark, f"{tmp_path}/none/*") == []
 
 
 def test_scratch_is_in_the_shared_folder(spark):

@@ -158,6 +158,18 @@ def dataset_cards(ledger: DataFrame, license: str = "CC-BY-4.0") -> DataFrame:
     return ledger.select("dataset_id", fill_template(CARD_TEMPLATE, known).alias("card"))
 
 
+def publish_card(entry: DataFrame, target: str) -> bool:
+    """Put the card of one ledger entry into the published folder, where readers
+    of the data skip it. A failure is logged, never raised."""
+    try:
+        text = dataset_cards(entry).select(F.col("card").alias("value"))
+        text.coalesce(1).write.mode("overwrite").text(f"{target}/_card")
+        return True
+    except Exception as e:
+        log.warning("no card for %s: %s", target, e)
+        return False
+
+
 def write_cards(cards: DataFrame, path: str) -> None:
     """One folder per dataset, holding its card."""
     cards.select("dataset_id", F.col("card").alias("value")).write.mode("overwrite").partitionBy(

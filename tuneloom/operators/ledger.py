@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.schema import BOOL, LONG, STRING, STRINGS, struct_of
 from ..functions.text import join_or_default, quoted, truncate
-from ..sources.storage import child_names, delete, folder_bytes, path_exists, promote
+from ..sources.storage import delete, folder_bytes, matching_names, path_exists, promote
 
 log = logging.getLogger(__name__)
 
@@ -41,7 +41,7 @@ KEEP_VERSIONS = 10
 
 def ledger_read(spark: SparkSession, root: str) -> DataFrame:
     """Latest version of the ledger; an empty frame when there is none."""
-    versions = [n for n in child_names(spark, root) if n.startswith("version-")]
+    versions = matching_names(spark, f"{root}/version-*")
     if not versions:
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.parquet(f"{root}/{max(versions)}")
@@ -51,7 +51,7 @@ def ledger_write(ledger: DataFrame, root: str) -> str:
     """Write a new version next to the old ones; readers see it once it is
     whole. One writer at a time; old versions go after a while."""
     spark = ledger.sparkSession
-    versions = [n for n in child_names(spark, root) if n.startswith("version-")]
+    versions = matching_names(spark, f"{root}/version-*")
     number = int(max(versions).split("-")[1]) + 1 if versions else 1
     staged = f"{root}/_staged-{uuid.uuid4().hex}"
     ledger.write.parquet(staged)

@@ -100,29 +100,6 @@ def _crossing(counts: DataFrame, name: str, rows: int):
     )
 
 
-def _cut(hashes: DataFrame, rows: int):
-    """The hash of the ``rows``-th row in hash order, how many rows lie below
-    it and how many share it. None when there are not that many rows.
-
-    Counts by a growing prefix. The first count has 4,096 groups, so each scan
-    task sends at most that many rows however much it reads; the later ones
-    only look inside the group that holds the cut.
-    """
-    prefix, need, width = "", rows, 3
-    while True:
-        part = hashes.where(F.col(_HASH).startswith(prefix)) if prefix else hashes
-        counts = part.groupBy(F.substring(_HASH, 1, width).alias("prefix")).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        hit = _crossing(counts, "prefix", need)
-        if hit is None:
-            return None
-        prefix, need = hit["prefix"], need - hit["below"]
-        if width == 32:
-            return prefix, rows - need, hit["n"]
-        width = 32 if width == 8 or hit["n"] <= FINE_MAX_GROUPS else 8
-
-
 def _copies(row: DataFrame, n: int) -> DataFrame:
     """``n`` copies of a one-row frame, written by as many tasks as it takes."""
     tasks = -(-n // COPIES_PER_TASK)
@@ -135,30 +112,49 @@ def _copies(row: DataFrame, n: int) -> DataFrame:
     )
 
 
+def _top(hashed: DataFrame, plain: DataFrame, rows: int, seed: int) -> DataFrame:
+    # The second key is only evaluated for equal hashes.
+    return hashed.orderBy(_HASH, _row_hash(plain, seed)).limit(rows).drop(_HASH)
+
+
 def _take_by_hash(hashed: DataFrame, rows: int, seed: int, keyed: bool, method: str) -> DataFrame:
-    """The ``rows`` first rows in hash order, without the hash column."""
-    if rows <= 0:
-        return hashed.drop(_HASH).limit(0)
+    """The ``rows`` first rows in hash order, without the hash column.
+
+    Counts hashes by a growing prefix until the place of the cut is known. The
+    first count has 4,096 groups, so each scan task sends at most that many rows
+    however much it reads; the later ones only look inside the group that holds
+    the cut.
+    """
     plain = hashed.drop(_HASH)
-    if method == "auto":
-        tasks = _scan_tasks(hashed)
-        method = "topn" if tasks is not None and rows * tasks <= TOPN_MAX_ROWS else "cut"
-    if method == "topn":
-        # The second key is only evaluated for equal hashes.
-        return hashed.orderBy(_HASH, _row_hash(plain, seed)).limit(rows).drop(_HASH)
-    cut = _cut(hashed.select(_HASH), rows)
-    if cut is None:
-        return plain
-    value, below, same = cut
-    if below + same == rows:
-        return hashed.where(F.col(_HASH) <= value).drop(_HASH)
-    at_cut = hashed.where(F.col(_HASH) == value).drop(_HASH)
+    if rows <= 0:
+        return plain.limit(0)
+    tasks = _scan_tasks(hashed)
+    small = tasks is not None and rows * tasks <= TOPN_MAX_ROWS
+    if method == "topn" or (method == "auto" and small):
+        return _top(hashed, plain, rows, seed)
+    prefix, need, width = "", rows, 3
+    while True:
+        start = F.substring(_HASH, 1, width)
+        part = hashed.where(F.col(_HASH).startswith(prefix)) if prefix else hashed
+        counts = part.groupBy(start.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        hit = _crossing(counts, "prefix", need)
+        if hit is None:
+            return plain
+        prefix, need = hit["prefix"], need - hit["below"]
+        if method == "auto" and rows - need + hit["n"] <= TOPN_MAX_ROWS:
+            return _top(hashed.where(start <= prefix), plain, rows, seed)
+        if width == 32:
+            break
+        width = 32 if width == 8 or hit["n"] <= FINE_MAX_GROUPS else 8
+    if hit["n"] == need:  # all rows with the last hash belong to the sample
+        return hashed.where(F.col(_HASH) <= prefix).drop(_HASH)
+    at_cut = hashed.where(F.col(_HASH) == prefix).drop(_HASH)
     if keyed:  # the key is not unique here: go on by whole row
         at_cut = at_cut.withColumn(_HASH, _row_hash(at_cut, seed))
-        rest = _take_by_hash(at_cut, rows - below, seed, False, method)
+        rest = _take_by_hash(at_cut, need, seed, False, method)
     else:  # equal hashes of whole rows are copies
-        rest = _copies(at_cut.limit(1), rows - below)
-    return hashed.where(F.col(_HASH) < value).drop(_HASH).unionByName(rest)
+        rest = _copies(at_cut.limit(1), need)
+    return hashed.where(F.col(_HASH) < prefix).drop(_HASH).unionByName(rest)
 
 
 def sample_exact(
@@ -171,7 +167,7 @@ def sample_exact(
     key. ``topn`` keeps a heap per task and merges the heaps in one task; ``cut``
     first finds the hash value that has exactly ``rows`` rows up to it (counts
     only) and then filters by it, so no rows meet in one task. ``auto`` takes
-    ``topn`` while the merge stays small.
+    ``topn`` where the merge stays small, after a filter by hash prefix if need be.
     """
     hashed = df.withColumn(_HASH, _sample_hash(df, seed, key))
     return _take_by_hash(hashed, rows, seed, bool(key), method)

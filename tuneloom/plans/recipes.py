@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.schema import BOOL, LONG, STRING, struct_of
 from ..operators import deliver as out
 from ..operators import ledger as led
-from ..operators.generate import BATCH_SIZE, RECORD_KEYS, Generator, augment
+from ..operators.generate import AUGMENTATIONS, BATCH_SIZE, RECORD_KEYS, Generator, augment
 from ..operators.quality import JSON_COLUMNS, default_min_rows, quality_report
 from ..operators.select import (
     drop_blank_rows,
@@ -73,6 +73,11 @@ class Recipe:
     def output_type(self) -> str:
         return "structured" if self.recipe_target == STRUCTURED_TARGET else "default"
 
+    @property
+    def kind(self) -> str:
+        """The augmentation that will run; an unknown one does not."""
+        return self.augmentation if self.augmentation in AUGMENTATIONS else "none"
+
     @property
     def json_columns(self) -> list[str]:
         """The generated JSON column is checked first, then the usual ones."""
@@ -166,12 +171,12 @@ def augment_parallel(
     """Augment with ``parallelism`` concurrent callers, by default as many as
     there are cores and batches; a small sample sits in one partition, which
     would make one caller."""
-    if recipe.augmentation in (None, "", "none"):
+    if recipe.kind == "none":
         return df
     batches = -(-recipe.rows // options.get("batch_size", BATCH_SIZE))
     cores = df.sparkSession.sparkContext.defaultParallelism
     callers = parallelism or max(1, min(cores, batches))
-    return augment(df.repartition(callers), recipe.augmentation, generator, **options)
+    return augment(df.repartition(callers), recipe.kind, generator, **options)
 
 
 def recipe_frame(
@@ -216,7 +221,7 @@ def run_recipe(
     delivered if it fails. Give ``processed_at`` to make a run repeatable."""
     spark = df.sparkSession
     made = recipe_frame(df, recipe, generator, key, parallelism, **options)
-    if recipe.augmentation not in (None, "", "none"):
+    if recipe.kind != "none":
         # Few files instead of one per caller; and replies that are in a shuffle
         # are not asked for again when a write is retried.
         made = made.hint("rebalance")
@@ -233,7 +238,7 @@ def run_recipe(
         "dataset_id": recipe.id,
         "rows_in": report["rows_in"],
         "rows_out": report["rows_out"],
-        "augmentation": recipe.augmentation or "none",
+        "augmentation": recipe.kind,
         "validation_passed": report["passed"],
         "message": "; ".join([*report["errors"], *report["warnings"]]),
     }
@@ -296,7 +301,7 @@ def run_registry(
             target = f"{publish_base.rstrip('/')}/{recipe.output_name}" if publish_base else None
             return run_recipe(
                 df, recipe, base, processed_at,
-                (generators or {}).get(recipe.augmentation or "none"),
+                (generators or {}).get(recipe.kind),
                 (keys or {}).get(recipe.id), target, **options,
             )
         except Exception as e:  # one failed dataset does not stop the others
@@ -305,7 +310,7 @@ def run_registry(
                 "dataset_id": recipe.id,
                 "status": "failed",
                 "message": str(e),
-                "augmentation": recipe.augmentation or "none",
+                "augmentation": recipe.kind,
             }
 
     results = []
@@ -317,6 +322,8 @@ def run_registry(
                 record = led.provenance(registry, _results_frame(spark, [result]))
                 merged = led.ledger_upsert(led.ledger_read(spark, ledger_root), record)
                 led.ledger_write(merged, ledger_root)
+                if result["published_to"]:
+                    out.publish_card(record, result["published_to"])
     results += [
         {"dataset_id": r["id"], "status": "skipped", "message": "complete already"}
         for r in wanted

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.messages import ERROR_HINTS, LEGACY_SCRIPT_MESSAGES, category_of, mentions
-from .storage import child_names, path_exists
+from .storage import children, matching_names, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -46,7 +46,7 @@ def _extension(spark: SparkSession, path: str) -> str:
     ext = os.path.splitext(path.rstrip("/").lower())[1]
     if ext in FORMATS:
         return ext
-    inside = (os.path.splitext(n.lower())[1] for n in child_names(spark, path))
+    inside = (os.path.splitext(n.lower())[1] for n in children(spark, path))
     return next((e for e in inside if e in FORMATS), ext)
 
 
@@ -102,16 +102,15 @@ def _resolve(spark: SparkSession, root: str, repo: str, split: str, subset: str
     <root>/<repo>.ext that is the whole dataset."""
     base = f"{root.rstrip('/')}/{repo}"
     folder = f"{base}/{subset}" if subset else base
-    names = child_names(spark, folder)
     for name in (split, *(split + ext for ext in FORMATS)):
-        if name in names:
+        if path_exists(spark, f"{folder}/{name}"):
             return f"{folder}/{name}"
-    if any(n.endswith(".py") for n in names):
+    if matching_names(spark, f"{folder}/*.py"):
         raise FileNotFoundError(f"{repo} has a loading script but no split '{split}'")
-    if subset and not names:
-        raise FileNotFoundError(f"subset '{subset}' of {repo}")
-    if names:
+    if path_exists(spark, folder):
         raise FileNotFoundError(f"split '{split}' of {repo}")
+    if subset:
+        raise FileNotFoundError(f"subset '{subset}' of {repo}")
     for ext in FORMATS:
         if path_exists(spark, base + ext):
             return base + ext
@@ -135,8 +134,7 @@ def read_dataset(
             df = spark.table(repo)
             return _one_split(df, split, subset)
         base = f"{root.rstrip('/')}/{repo}"
-        partitioned = any(n.startswith(("split=", "subset=")) for n in child_names(spark, base))
-        if partitioned:
+        if matching_names(spark, f"{base}/{{split,subset}}=*"):
             reader = spark.read.schema(schema) if schema is not None else spark.read
             return _one_split(reader.format(fmt or "parquet").load(base), split, subset)
         return read_file(spark, _resolve(spark, root, repo, split, subset), schema, fmt)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -20,11 +21,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a folder; none if it does not exist."""
-    if not path_exists(spark, path):
-        return []
-    return sorted(s.getPath().getName() for s in _fs(spark, path).listStatus(_path(spark, path)))
+def children(spark: SparkSession, path: str) -> Iterator[str]:
+    """Names directly below a folder, one by one, so that a caller may stop
+    early in a folder of many files; none if it does not exist."""
+    if path_exists(spark, path):
+        listing = _fs(spark, path).listStatusIterator(_path(spark, path))
+        while listing.hasNext():
+            yield listing.next().getPath().getName()
+
+
+def matching_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the paths that fit a glob pattern; matched on the JVM's side."""
+    found = _fs(spark, pattern).globStatus(_path(spark, pattern))
+    return sorted(status.getPath().getName() for status in found or [])
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
