@@ -29,7 +29,7 @@ def flaky(batches):
     for pdf in batches:
         yield pdf
     context = TaskContext.get()
-    if context.attemptNumber() < 2 and context.partitionId() % 2 == 0:
+    if context.attemptNumber() < 1 and context.partitionId() % 3 == 0:
         raise RuntimeError("executor lost")
 
 

@@ -72,11 +72,10 @@ def test_sample_without_key_and_hot_copies(spark, monkeypatch):
     monkeypatch.setattr(sel, "COPIES_PER_TASK", 7)
     df = spark.range(300).select(F.when(F.col("id") < 200, F.lit(-1)).otherwise(F.col("id")).alias("v"))
     everything = rows(df)
-    for n in (1, 5, 50, 150, 250, 299):
+    for n in (1, 50, 150, 299):
         want = rows(sel.sample_exact(df, n, 1, None, "topn"))
-        for parts in (1, 5):
-            got = rows(sel.sample_exact(df.repartition(parts), n, 1, None, "cut"))
-            assert got == want and sum(got.values()) == n and not got - everything
+        got = rows(sel.sample_exact(df.repartition(5), n, 1, None, "cut"))
+        assert got == want and sum(got.values()) == n and not got - everything
 
 
 def test_sample_with_a_key_that_is_not_unique(spark):

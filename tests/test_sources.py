@@ -79,6 +79,8 @@ def test_named_datasets(spark, tmp_path):
     spark.range(7).write.parquet(f"{root}/four.parquet")
     read = readers.read_dataset
     assert read(spark, root, "org/one").count() == 3
+    assert read(spark, root, "org/one", head=2).count() == 2
+    assert read(spark, root, "three", "test", head=3).count() == 3
     assert read(spark, root, "org/two", "test", "sub", schema="id long").count() == 4
     assert read(spark, root, "four").count() == 7
     three = read(spark, root, "three", "test")
@@ -121,6 +123,12 @@ def test_read_errors(spark, tmp_path):
         assert e.value.category == category and "→" in str(e.value)
 
 
+def test_absent_table(spark):
+    with pytest.raises(readers.DatasetReadError) as e:
+        readers.read_dataset(spark, None, "no_such_table")
+    assert e.value.category == "not_found"
+
+
 def test_fallback_order(spark):
     log = []
 

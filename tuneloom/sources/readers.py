@@ -26,6 +26,10 @@ FORMATS = {
 }
 
 
+# Spark's conditions for a table or path that is not there.
+NOT_FOUND = {"TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND"}
+
+
 class DatasetReadError(Exception):
     """A dataset could not be read. The message says what to do about it."""
 
@@ -125,24 +129,31 @@ def read_dataset(
     subset: str | None = None,
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
+    head: int | None = None,
 ) -> DataFrame:
     """A named dataset. Without ``root`` the name is a catalog table. A table or
     folder with ``split`` (and ``subset``) partition columns is filtered on
-    them, so that Spark only lists and reads those partitions."""
+    them, so that Spark only lists and reads those partitions. ``head`` stops
+    after that many rows, without a sample."""
     try:
-        if root is None:
-            df = spark.table(repo)
-            return _one_split(df, split, subset)
-        base = f"{root.rstrip('/')}/{repo}"
-        if matching_names(spark, f"{base}/{{split,subset}}=*"):
-            reader = spark.read.schema(schema) if schema is not None else spark.read
-            return _one_split(reader.format(fmt or "parquet").load(base), split, subset)
-        return read_file(spark, _resolve(spark, root, repo, split, subset), schema, fmt)
+        if root is None or matching_names(spark, f"{root.rstrip('/')}/{repo}/{{split,subset}}=*"):
+            df = _partitioned(spark, root, repo, split, subset, fmt, schema)
+            return df if head is None else df.limit(head)
+        path = _resolve(spark, root, repo, split, subset)
+        if head is not None:
+            return read_head(spark, path, head, schema, fmt=fmt)
+        return read_file(spark, path, schema, fmt)
     except (PySparkException, FileNotFoundError, ValueError) as e:
-        raise DatasetReadError(repo, e) from e
+        absent = isinstance(e, PySparkException) and e.getCondition() in NOT_FOUND
+        raise DatasetReadError(repo, f"{repo} doesn't exist" if absent else e) from e
 
 
-def _one_split(df: DataFrame, split: str, subset: str | None) -> DataFrame:
+def _partitioned(spark, root, repo, split, subset, fmt, schema) -> DataFrame:
+    if root is None:
+        df = spark.table(repo)
+    else:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.format(fmt or "parquet").load(f"{root.rstrip('/')}/{repo}")
     wanted = {"split": split, "subset": subset}
     for name, value in wanted.items():
         if name in df.columns and value:
