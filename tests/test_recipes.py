@@ -117,6 +117,25 @@ def test_report_made_while_writing_is_the_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).columns == df.columns
 
 
+def test_failed_batches_are_counted(spark, tmp_path):
+    def reply(prompts):
+        if "A7." in "".join(prompts):
+            raise RuntimeError("down")
+        return ["Instruction: i"] * len(prompts)
+
+    df = spark.range(30).selectExpr("id", "concat('A', id, '.') AS response")
+    recipe = rec.replace(rec.RECIPES["instruction_from_answer"], columns_keep=["response"], rows=30)
+    options = {"batch_size": 5, "backoff": 0.0, "parallelism": 2}
+    result = rec.run_recipe(df, recipe, str(tmp_path), NOW, reply, ["id"], **options)
+    assert result["status"] == "success" and result["rows_failed"] == 5
+    rows = out.rescan(spark, result["local_path"]).collect()
+    assert rows[0].asDict().keys() == {"response", "instruction"} and sum(r.instruction == "" for r in rows) == 5
+    strict = rec.replace(recipe, columns_keep=["response"], id="strict")
+    kept = rec.run_recipe(df, strict, str(tmp_path), NOW, reply, ["id"], status=True, **options)
+    delivered = out.rescan(spark, kept["local_path"])
+    assert delivered.where("generation_status = 'failed'").count() == 5
+
+
 def test_unknown_augmentation_passes_through(spark, tmp_path):
     odd = rec.replace(RECIPE, augmentation="not_a_real_type")
     result = rec.run_recipe(pairs(spark), odd, str(tmp_path), NOW, key=["id"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.schema import LONG, struct_of
 from ..functions.text import fill_template, last_segment, truncate
@@ -72,21 +72,28 @@ def write_checked(
     min_rows: int,
     output_type: str = "default",
     json_columns: list[str] = JSON_COLUMNS,
+    metrics: dict[str, Column] | None = None,
+    drop: list[str] = (),
 ) -> DataFrame:
     """Write ``df`` and return its quality report. Rows are computed and checked
-    once, while they are written: no second scan, and no second call of a model."""
-    flags = row_flags(df, required)
+    once, while they are written: no second scan, and no second call of a model.
+    ``metrics`` are further counts for the report; the columns in ``drop`` may be
+    counted but are not written."""
+    metrics = metrics or {}
+    flags = row_flags(df, required, drop)
     checked = checked_column(df, output_type, json_columns)
     flags["n_bad_json"] = bad_json_flag(F.col(checked)) if checked else F.lit(0)
     helpers = {f"__{name}": c for name, c in flags.items()}
     seen = Observation()
     rows = df.withColumns(helpers).observe(
-        seen, *count_columns({name: F.col(f"__{name}") for name in flags})
+        seen,
+        *count_columns({name: F.col(f"__{name}") for name in flags}),
+        *[c.alias(name) for name, c in metrics.items()],
     )
-    rows.drop(*helpers).write.mode("overwrite").option("compression", "snappy").parquet(path)
+    rows.drop(*helpers, *drop).write.mode("overwrite").option("compression", "snappy").parquet(path)
     counted = seen.get
-    schema = struct_of(**{name: LONG for name in COUNTS})
-    counts = df.sparkSession.createDataFrame([tuple(counted[c] for c in COUNTS)], schema)
+    schema = struct_of(**{name: LONG for name in [*COUNTS, *metrics]})
+    counts = df.sparkSession.createDataFrame([tuple(counted[c] for c in schema.names)], schema)
     missing = [c for c in required if c not in df.columns]
     return report_from_counts(counts, missing, min_rows, json_column(df.columns, json_columns))
 

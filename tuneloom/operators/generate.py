@@ -57,6 +57,7 @@ RECORD_KEYS = [
 ]
 # Where an answer text is looked for, first hit wins.
 ANSWER_COLUMNS = ["response", "post"]
+STATUS_COLUMNS = ["generation_status", "generation_attempts"]
 INSTRUCTION_PREFIX = "Instruction:"
 FENCE_CHARS = "`json"
 
@@ -183,13 +184,8 @@ def _run(df: DataFrame, prompt: Column, names: list[str], generator: Generator,
 def _finish(df: DataFrame, columns: dict[str, Column], status: bool) -> DataFrame:
     out = append_columns(df, columns)
     if status:
-        out = append_columns(
-            out,
-            {
-                "generation_status": F.col("__generation.status"),
-                "generation_attempts": F.col("__generation.attempts"),
-            },
-        )
+        values = (F.col("__generation.status"), F.col("__generation.attempts"))
+        out = append_columns(out, dict(zip(STATUS_COLUMNS, values)))
     return out.drop("__generation")
 
 

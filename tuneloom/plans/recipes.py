@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 from ..functions.schema import BOOL, LONG, STRING, struct_of
 from ..operators import deliver as out
 from ..operators import ledger as led
-from ..operators.generate import AUGMENTATIONS, BATCH_SIZE, RECORD_KEYS, Generator, augment
+from ..operators.generate import (
+    AUGMENTATIONS,
+    BATCH_SIZE,
+    RECORD_KEYS,
+    STATUS_COLUMNS,
+    Generator,
+    augment,
+)
 from ..operators.quality import JSON_COLUMNS, default_min_rows, quality_report
 from ..operators.select import (
     drop_blank_rows,
@@ -199,6 +206,7 @@ RESULT_SCHEMA = struct_of(
     published_to=STRING,
     rows_in=LONG,
     rows_out=LONG,
+    rows_failed=LONG,
     augmentation=STRING,
     validation_passed=BOOL,
     processed_at=STRING,
@@ -218,19 +226,26 @@ def run_recipe(
 ) -> dict:
     """Run one recipe on a source frame. The dataset is written to a staging
     folder with its checks and moved into place if it passes; nothing is
-    delivered if it fails. Give ``processed_at`` to make a run repeatable."""
+    delivered if it fails. Rows whose batch got no reply are counted in
+    ``rows_failed``. Give ``processed_at`` to make a run repeatable."""
     spark = df.sparkSession
-    made = recipe_frame(df, recipe, generator, key, parallelism, **options)
-    if recipe.kind != "none":
+    metrics, drop = {}, []
+    if recipe.kind == "none":
+        made = recipe_frame(df, recipe, generator, key, parallelism, **options)
+    else:
+        drop = [] if options.pop("status", False) else STATUS_COLUMNS
+        made = recipe_frame(df, recipe, generator, key, parallelism, status=True, **options)
         # Few files instead of one per caller; and replies that are in a shuffle
         # are not asked for again when a write is retried.
         made = made.hint("rebalance")
+        metrics = {"n_failed": F.count_if(F.col("generation_status") == "failed")}
     final = out.delivery_path(base, recipe.local_subdir, recipe.id)
     staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     try:
         report = out.write_checked(
-            made, staged, recipe.columns_keep, recipe.min_rows, recipe.output_type, recipe.json_columns
-        ).first()
+            made, staged, recipe.columns_keep, recipe.min_rows, recipe.output_type,
+            recipe.json_columns, metrics, drop,
+        ).first()
     except Exception:
         delete(spark, staged)
         raise
@@ -238,6 +253,7 @@ def run_recipe(
         "dataset_id": recipe.id,
         "rows_in": report["rows_in"],
         "rows_out": report["rows_out"],
+        "rows_failed": report["n_failed"] if metrics else 0,
         "augmentation": recipe.kind,
         "validation_passed": report["passed"],
         "message": "; ".join([*report["errors"], *report["warnings"]]),
@@ -245,6 +261,8 @@ def run_recipe(
     if not report["passed"]:
         delete(spark, staged)
         return {**result, "status": "failed"}
+    if result["rows_failed"]:
+        log.warning("%s: no reply for %d rows", recipe.id, result["rows_failed"])
     if report["rows_out"] < recipe.rows:
         log.warning("%s: %d rows, fewer than the %d asked for", recipe.id, report["rows_out"], recipe.rows)
     promote(spark, staged, final)
