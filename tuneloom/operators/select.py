@@ -91,7 +91,8 @@ def _scan_tasks(df: DataFrame) -> int | None:
 
 
 def _crossing(counts: DataFrame, name: str, rows: int):
-    """First value, in order, at which the running count reaches ``rows``."""
+    """First value, in order, at which the running count reaches ``rows``. One
+    task adds up the counts: 4,096 of them, or at most FINE_MAX_GROUPS or so."""
     before = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
     return (
         counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
