@@ -1284,3 +1284,19 @@ def stream_arrivals(spark, d):
     )
     run.awaitTermination()
     return out.rescan(spark, f"{base}/out").drop("batch")
+
+
+# -- training corpora --------------------------------------------------------
+# A subpackage of its own, which may be absent together with corpus_pipeline.py.
+
+try:
+    import corpus_pipeline
+    from tuneloom.llm import queries as corpus_queries
+except ModuleNotFoundError as absent:
+    if absent.name not in {"corpus_pipeline", "tuneloom.llm"}:
+        raise
+else:
+    _QUERIES.update(corpus_queries.QUERIES, pipeline=corpus_pipeline.run)
+    _ORACLE.update(corpus_queries.ORACLE)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 
@@ -20,7 +21,9 @@ def test_same_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Those of the corpus subpackage, if it is there, are tested on their own where SQL can't express them."""
+    own = {name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name)}
+    assert own <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
