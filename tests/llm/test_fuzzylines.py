@@ -1,0 +1,120 @@
+import random
+
+import pytest
+
+from tuneloom.llm import fuzzylines
+from tuneloom.llm.rules import fold_line, line_hash
+
+
+def lines_of(text):
+    for n, line in enumerate((text or "").encode().split(b"\n")):
+        if line.split():
+            yield n, line.split()
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def brute(rows):
+    """{row: (n_lines, removed)} with links between all pairs of lines."""
+    texts, prints = {}, {}
+    for _, text in rows:
+        for _, words in lines_of(text):
+            h = line_hash(words)
+            texts[h] = fold_line(words).decode()
+            prints[h] = int(fuzzylines.line_prints([words])[0]) & (2**64 - 1)
+    group = {h: h for h in texts}
+
+    def find(h):
+        while group[h] != h:
+            h = group[h]
+        return h
+
+    hashes = list(texts)
+    for i, a in enumerate(hashes):
+        for b in hashes[:i]:
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
+                longer = max(len(texts[a]), len(texts[b]))
+                if distance(texts[a], texts[b]) <= 0.2 * longer + 1e-9:
+                    group[find(a)] = find(b)
+    first = {}
+    for doc_id, text in rows:
+        for n, words in lines_of(text):
+            place = (doc_id is None, doc_id or 0, n)
+            root = find(line_hash(words))
+            first[root] = min(first.get(root, place), place)
+    out = []
+    for doc_id, text in rows:
+        gone = [n for n, w in lines_of(text) if first[find(line_hash(w))] != (doc_id is None, doc_id or 0, n)]
+        out.append((doc_id, len(list(lines_of(text))), len(gone), gone))
+    return sorted(out, key=str)
+
+
+def some_rows():
+    rnd = random.Random(8)
+    vocabulary = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)]
+    pool = [" ".join(rnd.choices(vocabulary, k=rnd.choice([2, 8, 40, 60]))) for _ in range(40)]
+    rows = []
+    for i in range(40):
+        lines = []
+        for line in rnd.choices(pool, k=rnd.randrange(1, 6)):
+            words = line.split()
+            if rnd.random() < 0.5:
+                words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+            lines.append(rnd.choice([" ", "  "]).join(words).upper() if rnd.random() < 0.1 else " ".join(words))
+        rows.append((i, "\n".join(lines)))
+    rows += [(50, None), (51, ""), (52, "\n \n"), (53, "page 1 of 20\nPAGE 2 of 37\n\npage"), (None, rows[0][1]), (54, "x " * 20000)]
+    return rows + [(55, "same line twice\nsame line twice"), (55, "same line twice\nsame line twice")]
+
+
+def test_report_is_that_of_brute_force(make):
+    rows = some_rows()
+    got = fuzzylines.line_report(make(rows, extra=True)).collect()
+    want = brute(rows)
+    assert sorted(map(tuple, got), key=str) == want
+    assert any(r[2] for r in want)
+
+
+def test_dedup_lines(make):
+    rows = some_rows()
+    df = make(rows, extra=True)
+    out = fuzzylines.dedup_lines(df)
+    assert out.schema == df.schema
+    gone = {r[0]: set(r[3]) for r in brute(rows)}
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    want = [
+        (i, t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i])) for i, t in rows
+    ]
+    assert got == sorted(want, key=str)
+    assert fuzzylines.dedup_lines(make([])).count() == 0
+
+
+@pytest.mark.parametrize("n", [5, 40, 200])
+def test_large_buckets_are_connected(spark, n):
+    """Many lines of one bucket, all near each other or in two far halves: every
+    line meets a pivot, and pairs do not grow with the square."""
+    rnd = random.Random(n)
+    prints = {(1 << 62) ^ (rnd.getrandbits(1) << 5 | rnd.getrandbits(1) << 17 | rnd.getrandbits(1) << 33) for _ in range(8)}
+    prints = list(prints)
+    lines = [(i, prints[i % len(prints)]) for i in range(n)] + [(1000 + i, -1 - (1 << (i % 3))) for i in range(n)]
+    df = spark.createDataFrame(lines, "line bigint, print bigint")
+    pairs = [tuple(r) for r in fuzzylines.candidates(df).collect()]
+    known = dict(lines)
+    assert all(((known[a] ^ known[b]) & (2**64 - 1)).bit_count() <= 3 and a < b for a, b in pairs)
+    root = {i: i for i, _ in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    assert len({find(i) for i, _ in lines}) == 2
+    assert len(pairs) <= 2 * n * 64

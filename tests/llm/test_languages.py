@@ -1,0 +1,95 @@
+import random
+import unicodedata
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from tuneloom.llm import languages
+from tuneloom.llm.tables import raw_text
+
+WORDS = {
+    "xx": ["the", "and", "with", "thing", "over", "which", "there"],
+    "yy": ["der", "und", "nicht", "über", "schön", "straße", "ist"],
+    "zz": ["el", "los", "año", "porque", "está", "también", "ñandú"],
+}
+
+
+def rows_of(n=150):
+    rnd = random.Random(4)
+    out = []
+    for i in range(n):
+        lang = rnd.choice(list(WORDS))
+        out.append((i, " ".join(rnd.choices(WORDS[lang], k=rnd.choice([2, 20, 200]))), lang))
+    return out
+
+
+def documents(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    return df.selectExpr("*", "1 AS id", "2 AS key", "3 AS score", "'x' AS lang_pred", "4 AS share")
+
+
+def test_held_out_texts(spark):
+    df = documents(spark, rows_of())
+    fifth = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = languages.fit(df.where(fifth != 0), sample=20)
+    got = languages.predict(df, model, lang=F.col("lang")).collect()
+    assert all(r.lang_pred == r.lang and 0 <= r.score <= 1 for r in got)
+    again = languages.fit(df.where(fifth != 0).repartition(7), sample=20)
+    assert again.languages == model.languages and np.allclose(again.centres, model.centres, atol=1e-5)
+    assert sum(n == "xx" for n in model.languages) <= languages.CENTROIDS
+
+
+def test_odd_texts(spark):
+    rows = rows_of(60) + [
+        (None, "the and", "xx"), (900, None, "xx"), (901, "", "yy"), (902, "12 !? 34", "zz"), (903, "the thing", None),
+        (904, "the " * 100000, "xx"), (904, "the " * 100000, "xx"), (905, "汉字", None), (906, "THE AND Ⅷ", None), (907, "x", None),
+    ]
+    df = documents(spark, rows)
+    got = languages.predict(df, languages.fit(df)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = {k: t for k, t, _ in rows}[r.id]
+        has = any(unicodedata.category(c)[0] == "L" for c in text or "")
+        assert (r.lang_pred == "und") == (not has)
+        assert has or (r.score == 0 and r.rejected)
+    by_id = {r.id: r for r in got}
+    assert by_id[903].lang_pred == by_id[906].lang_pred == "xx"
+    assert by_id[905].rejected and not by_id[904].rejected
+
+
+def test_nothing_to_learn_from(spark):
+    none = documents(spark, [(1, "the", None), (2, None, "xx")])
+    got = languages.predict(none, languages.fit(none)).collect()
+    assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)] * 2
+    empty = documents(spark, [])
+    assert languages.predict(empty, languages.fit(empty)).count() == 0
+
+
+def test_vectors_count_grams_inside_words():
+    texts = ["ab", "a b", "AB!!12ab", "", None, "é", "12"]
+    counts, has = languages.vectors(*raw_text(pa.array(texts)), cells=1 << 16)
+    assert has.tolist() == [True, True, True, False, False, True, False]
+
+    def grams(text):
+        codes = "".join(c.lower() if unicodedata.category(c)[0] == "L" else " " for c in text or "")
+        while "  " in codes:
+            codes = codes.replace("  ", " ")
+        found = set()
+        for n in (1, 2, 3):
+            for i in range(len(codes) - n + 1):
+                g = codes[i : i + n]
+                if g.strip() and " " not in g[1:-1] and (n > 1 or g != " "):
+                    found.add((i, g))
+        return len(found)
+
+    assert counts.sum(axis=1).tolist() == [grams(t) for t in texts]
+
+
+def test_kmeans_centroids_have_length_one():
+    rnd = np.random.default_rng(1)
+    rows = rnd.random((50, 8)).astype(np.float32)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    centres = languages.spherical_kmeans(rows, 3)
+    assert centres.shape == (3, 8) and np.allclose(np.linalg.norm(centres, axis=1), 1, atol=1e-5)
+    assert languages.spherical_kmeans(rows[:2], 3).shape == (2, 8)

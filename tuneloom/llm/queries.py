@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import curriculum, decontaminate, neardup, rules, tokens
+from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, rules, separators, tokens
+from .tables import stored
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -180,7 +181,7 @@ def op3_token_files(spark, d):
     SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
       (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
       coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-      coalesce(g.n - g.words < {rules.LEFT_WORDS}, FALSE) AS depleted
+      coalesce(g.n - g.words < {rules.LEFT_WORDS} AND 3 * (g.n - g.words) < g.n, FALSE) AS depleted
     FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)
       LEFT JOIN gone g ON g.content = d.content AND g.source IS NOT DISTINCT FROM d.source),
   y AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM x)
@@ -206,3 +207,71 @@ def op9_simhash(spark, d):
     return neardup.groups(prints).select(
         F.col("id").alias("doc_id"), neardup.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
+
+
+# -- token counts -----------------------------------------------------------------------
+
+
+@query()
+def op4_token_counts(spark, d):
+    """4: ids of each document, counted in flat files without an index."""
+    counts = separators.token_counts(table(spark, d, "documents"), byte_bpe())
+    return counts.withColumnRenamed("id", "doc_id")
+
+
+# -- language ----------------------------------------------------------------------------
+
+
+@query()
+def op5_language(spark, d):
+    """5: the language of each document, learned from four fifths of them."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    fifth = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = languages.fit(docs.where(fifth != 0))
+    held_out = F.coalesce(fifth == 0, F.lit(False))
+    return languages.predict(docs, model, held_out=held_out).withColumnRenamed("id", "doc_id")
+
+
+# -- URL rules ------------------------------------------------------------------------------
+
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query()
+def op6_url_rules(spark, d):
+    """6: rules for URLs, and the trust of hosts where no rule fits."""
+    return hosts.judge_pages(table(spark, d, "pages"), RULES).withColumnRenamed("key", "page_id")
+
+
+# -- fuzzy lines ------------------------------------------------------------------------------
+
+
+@query()
+def op8_fuzzy_lines(spark, d):
+    """8: lines of each document that repeat another one, or nearly."""
+    report = fuzzylines.line_report(table(spark, d, "documents"))
+    return report.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_removed", F.array_join("removed", ",").alias("removed")
+    )
+
+
+# -- archives -----------------------------------------------------------------------------------
+
+
+@query("""
+  WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n, sha256(coalesce(html, '')) AS h FROM pages),
+  f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS least FROM p)
+  SELECT page_id, n AS payload_bytes, h AS payload_digest,
+    CASE WHEN n >= 100 AND page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND page_id <> least THEN least END AS refers_to
+  FROM f""")
+def op10_archives(spark, d):
+    """10: pages in legacy archives, converted, and read back."""
+    archives = stored(arc.to_archives(table(spark, d, "pages")), "arc")
+    return arc.converted(archives).withColumnRenamed("key", "page_id")

@@ -21,8 +21,9 @@ MAX_REPEATED = 20
 #: A line goes if more different texts of its host hold it than both of these allow.
 LINE_TEXTS = 10
 LINE_SHARE = 0.005
-#: A document that keeps fewer words than this is depleted.
+#: A document is depleted if fewer words, and a smaller share of them, are left.
 LEFT_WORDS = 10
+LEFT_SHARE = 1 / 3
 #: Parts that the copies of one line are dealt out to.
 SALTS = 8
 
@@ -151,16 +152,17 @@ def frequent_lines(measured: DataFrame, texts: int = LINE_TEXTS, share: float =
     return lost.select("host", "content", "line", "words", "n_words")
 
 
-def judge(measured: DataFrame, left_words: int = LEFT_WORDS) -> DataFrame:
+def judge(measured: DataFrame, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> DataFrame:
     """The measured rows with base_failed, removed_words and kept, without their lines.
 
     base_failed: fewer than MIN_WORDS words, or over MAX_REPEATED percent of them
-    in repeated windows. kept: not base_failed, and at least ``left_words`` words
-    are left when the host's frequent lines are gone."""
+    in repeated windows. kept: not base_failed, and at least ``left_words`` words,
+    or ``left_share`` of them, are left when the host's frequent lines are gone."""
     lost = frequent_lines(measured).groupBy("host", "content").agg(
         F.sum("words").alias("removed_words"), F.max("n_words").alias("had")
     )
-    depleted = lost.where(F.col("had") - F.col("removed_words") < left_words).select(
+    left = F.col("had") - F.col("removed_words")
+    depleted = lost.where((left < left_words) & (left < left_share * F.col("had"))).select(
         F.col("host").alias("of_host"), F.col("content").alias("of_content"), F.lit(True).alias("depleted")
     )
     same = (F.col("content") == F.col("of_content")) & F.col("host").eqNullSafe(F.col("of_host"))
