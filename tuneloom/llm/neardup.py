@@ -125,7 +125,9 @@ def links(prints: DataFrame) -> DataFrame:
     all linked to its smallest one; those of keys with over two are fetched by
     looking the key's own ball up in the table of fingerprints.
     """
-    table = prints.select(F.col("fingerprint")).distinct()
+    # a count given by hand, since small rows that each make 65 must not be coalesced
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = prints.select("fingerprint").distinct().repartition(parts, "fingerprint")
     filed = _ball(table, "fingerprint", "key").groupBy("key")
     buckets = filed.agg(F.count("*").alias("n"), F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b"))
     shared = stored(buckets.where("n > 1"), "buckets")
