@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import pieces, stored
+from .tables import map_arrow, pieces, stored
 
 #: Bytes of one archive, about; a record is not cut.
 ARCHIVE_BYTES = 8 << 20
@@ -179,7 +179,7 @@ def to_archives(
         if parts:
             yield archive()
 
-    return rows.mapInArrow(pack, "name string, content binary")
+    return map_arrow(rows, pack, "name string, content binary")
 
 
 def convert(archives: DataFrame, key_header: str = "X-Page-Id", blocks: bool = True) -> DataFrame:
@@ -198,7 +198,7 @@ def convert(archives: DataFrame, key_header: str = "X-Page-Id", blocks: bool = T
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _SCHEMA if blocks else _LIGHT)
 
-    return archives.select("content").mapInArrow(read, schema)
+    return map_arrow(archives.select("content"), read, schema)
 
 
 _LIGHT = pa.schema(
@@ -274,7 +274,7 @@ def to_warc(archives: DataFrame, key_header: str = "X-Page-Id", archive_bytes: i
         if parts:
             yield archive()
 
-    return joined.mapInArrow(write, "name string, content binary")
+    return map_arrow(joined, write, "name string, content binary")
 
 
 def _written(row: dict) -> bytes:
@@ -315,7 +315,7 @@ def read_warc(archives: DataFrame, key_header: str = "X-Page-Id") -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _READ)
 
-    return archives.select("content").mapInArrow(read, READ)
+    return map_arrow(archives.select("content"), read, READ)
 
 
 _READ = pa.schema(

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from .tables import free_name, pieces, raw_text, split_words, spread
+from .tables import free_name, map_arrow, pieces, raw_text, split_words, spread
 
 WINDOW = 10
 #: Benchmark text that one pass over the documents holds in memory.
@@ -219,7 +219,7 @@ def find_overlap(
     schema = T.StructType(list(docs.schema.fields)).add(found, T._parse_datatype_string(FOUND))
     done = docs
     for block, test in enumerate(test_blocks(items, item_text, item_key, window, block_bytes)):
-        done = done.mapInArrow(_pass(spark.sparkContext.broadcast(test), text, found, block), schema)
+        done = map_arrow(done, _pass(spark.sparkContext.broadcast(test), text, found, block), schema)
     return done
 
 

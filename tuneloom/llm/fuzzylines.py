@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from .components import components
 from .rules import fold_line, line_hash
-from .tables import content_key, free_name, pieces, raw_text, spread, stored
+from .tables import content_key, free_name, map_arrow, pieces, raw_text, spread, stored
 
 #: Bits in which the fingerprints of two linked lines may differ.
 BITS = 3
@@ -94,7 +94,7 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(read, f"id {kind}, content binary, nth bigint, line bigint, print bigint")
+    return map_arrow(rows, read, f"id {kind}, content binary, nth bigint, line bigint, print bigint")
 
 
 def line_texts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -114,7 +114,7 @@ def line_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     # a row's last line and the next row's first one must not run together
     ended = rows.select(F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("text"))
-    return ended.mapInArrow(read, "line bigint, words string")
+    return map_arrow(ended, read, "line bigint, words string")
 
 
 def candidates(lines: DataFrame) -> DataFrame:

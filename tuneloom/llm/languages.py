@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .tables import pieces, raw_text
+from .tables import map_arrow, pieces, raw_text
 
 #: Cells of a text's vector; n-grams of 1 to 3 letters are hashed into them.
 CELLS = 4096
@@ -144,7 +144,7 @@ def fit(
             n += int(has.sum())
         yield pa.RecordBatch.from_pydict({"cell": np.arange(-1, cells), "n": np.append([n], in_texts)})
 
-    got = rows.select("text").mapInArrow(frequencies, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    got = map_arrow(rows.select("text"), frequencies, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     known = {r.cell: r.n for r in got.collect()}  # cells + 1 numbers
     in_texts = np.array([known.get(c, 0) for c in range(cells)], np.float64)
     idf = (np.log((1 + known.get(-1, 0)) / (1 + in_texts)) + 1).astype(np.float32)
@@ -193,4 +193,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     extra = "".join(f", {n} {kinds[n]}" for n in names)
-    return rows.mapInArrow(of, f"id {kinds['id']}, lang_pred string, score double, rejected boolean{extra}")
+    return map_arrow(rows, of, f"id {kinds['id']}, lang_pred string, score double, rejected boolean{extra}")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
-from .tables import LOWER, content_key, free_name, pieces, raw_text, spread, stored
+from .tables import LOWER, content_key, free_name, map_arrow, pieces, raw_text, spread, stored
 
 SHINGLE = 3
 SEED = 42
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", **mor
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     extra = "".join(f", {n} {kinds[n]}" for n in names)
-    return rows.mapInArrow(of, f"id {kinds['id']}, fingerprint bigint{extra}")
+    return map_arrow(rows, of, f"id {kinds['id']}, fingerprint bigint{extra}")
 
 
 def as_hex(fingerprint: Column) -> Column:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import content_key, free_name, pieces, raw_text, stored
+from .tables import content_key, free_name, map_arrow, pieces, raw_text, stored
 
 # Characters that count as symbols; words in a window.
 SYMBOLS = b"#*$%&|<>"
@@ -117,7 +117,7 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str
                 + ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"],
             )
 
-    return rows.mapInArrow(of, schema)
+    return map_arrow(rows, of, schema)
 
 
 def frequent_lines(measured: DataFrame, texts: int = LINE_TEXTS, share: float = LINE_SHARE) -> DataFrame:
@@ -208,7 +208,7 @@ def apply_rules(docs: DataFrame, text: str = "text", key: str = "doc_id", host:
                 columns["n_chars"] = pa.array(size).cast(batch.column("n_chars").type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return left.mapInArrow(clean, out)
+    return map_arrow(left, clean, out)
 
 
 def without_lines(text: str, codes: set[int]) -> str:

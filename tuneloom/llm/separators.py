@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .tables import pieces, raw_text, shared_path
+from .tables import map_arrow, pieces, raw_text, shared_path
 from .tokens import encoder
 
 #: The id after each document of a flat file; no text has it.
@@ -55,7 +55,7 @@ def write_flat(
 
     rows_type = to_arrow_type(rows.schema["id"].dataType)
     schema = f"file int, n bigint, payload binary, doc_ids array<{kind}>, part string"
-    made = rows.mapInArrow(encode, schema)
+    made = map_arrow(rows, encode, schema)
     made.write.partitionBy("part").option("compression", "zstd").parquet(path)
 
 
@@ -97,7 +97,7 @@ def scan(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2) -> DataF
 
     kind = blocks.schema["file"].dataType.simpleString()
     schema = f"file {kind}, block bigint, head bigint, tail bigint, lengths array<bigint>"
-    return blocks.select("file", F.col("block").cast("bigint").alias("block"), "payload").mapInArrow(search, schema)
+    return map_arrow(blocks.select("file", F.col("block").cast("bigint").alias("block"), "payload"), search, schema)
 
 
 def count_documents(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2) -> DataFrame:

@@ -12,8 +12,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Text that one step inside a task works on at a time. A longer text comes alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 PIECE_ROWS = 2048
+#: Bytes of an Arrow batch between the JVM and Python, unless the application sets its own.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 #: bytes.translate table: A-Z to a-z, all other bytes as they are.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -39,6 +42,14 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow with batches that are bounded in bytes, not only in rows:
+    the rows of a batch are held by the JVM and by Python at a time."""
+    if not df.sparkSession.sparkContext.getConf().contains(_BATCH):
+        df.sparkSession.conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}
@@ -74,6 +85,7 @@ def pieces(
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         for start, end in cuts(sizes, max_bytes, max_rows):
             yield batch.slice(start, end - start)
+        pa.default_memory_pool().release_unused()  # workers stay; what they don't use shouldn't
 
 
 def raw_text(column: pa.Array) -> tuple[bytes, np.ndarray]:
@@ -109,8 +121,3 @@ def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(counts)), counts)
     first = np.cumsum(counts) - counts
     return owner, np.arange(len(owner)) - first[owner]
-
-
-def digest_rows(ids: Iterable, **columns) -> pa.RecordBatch:
-    """A record batch with an id column in front."""
-    return pa.RecordBatch.from_pydict({"id": ids, **columns})

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .tables import pieces, raw_text, shared_path, spread
+from .tables import map_arrow, pieces, raw_text, shared_path, spread
 
 #: Id after each document.
 END = 2
@@ -262,7 +262,7 @@ def write_tokens(
             yield _segment(part, segment, tokens, names, sizes, piece.column("id").type)
 
     by_key = rows.repartitionByRange("id").sortWithinPartitions("id", F.md5("text"))
-    segments = by_key.mapInArrow(encode, SEGMENT.format(id=kind))
+    segments = map_arrow(by_key, encode, SEGMENT.format(id=kind))
     segments.write.option("compression", "zstd").parquet(path)
 
 
@@ -323,7 +323,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
                 )
 
     schema = f"id {kind}, part int, segment int, offset bigint, n_tokens bigint, ids_crc32 bigint"
-    rows = segments.select("part", "segment", "doc_ids", "doc_sizes", "payload").mapInArrow(unpack, schema)
+    rows = map_arrow(segments.select("part", "segment", "doc_ids", "doc_sizes", "payload"), unpack, schema)
     return rows.join(segment_starts(segments), ["part", "segment"]).select(
         "id", (F.col("first") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
@@ -370,7 +370,7 @@ def tokens_at(segments: DataFrame, places: DataFrame, place: str = "place") -> D
                     ["part", "segment", "at", "token"],
                 )
 
-    found = opened.mapInArrow(look, "part int, segment int, at bigint, token bigint")
+    found = map_arrow(opened, look, "part int, segment int, at bigint, token bigint")
     return hits.join(found, ["part", "segment", "at"]).select("place", "token")
 
 
