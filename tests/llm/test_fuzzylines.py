@@ -40,8 +40,8 @@ def brute(rows):
     for i, a in enumerate(hashes):
         for b in hashes[:i]:
             if (prints[a] ^ prints[b]).bit_count() <= 3:
-                longer = max(len(texts[a]), len(texts[b]))
-                if distance(texts[a], texts[b]) <= 0.2 * longer + 1e-9:
+                x, y = texts[a].split(" "), texts[b].split(" ")
+                if distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9:
                     group[find(a)] = find(b)
     first = {}
     for doc_id, text in rows:
@@ -118,3 +118,16 @@ def test_large_buckets_are_connected(spark, n):
         root[find(a)] = find(b)
     assert len({find(i) for i, _ in lines}) == 2
     assert len(pairs) <= 2 * n * 64
+
+
+def test_edit_distance_is_that_of_the_whole_table():
+    rnd = random.Random(2)
+    for _ in range(1500):
+        x = rnd.choices("abc", k=rnd.randrange(14))
+        y = list(x) if rnd.random() < 0.6 else rnd.choices("abc", k=rnd.randrange(14))
+        for _ in range(rnd.randrange(4)):
+            at = rnd.randrange(len(y) + 1)
+            y[at : at + rnd.randrange(2)] = rnd.choices("abcd", k=rnd.randrange(3))
+        want = distance(x, y)
+        for limit in range(6):
+            assert fuzzylines.within(x, y, limit) == (want <= limit), (x, y, limit, want)

@@ -20,7 +20,7 @@ BITS = 3
 #: Blocks that a fingerprint is cut into. Two fingerprints that differ in up to
 #: BITS bits agree in at least BLOCKS - BITS of them.
 BLOCKS = 5
-#: Least edit similarity of linked lines: 1 - distance / length of the longer one.
+#: Least edit similarity of linked lines: 1 - distance / length of the longer one, in words.
 SIMILARITY = 0.8
 #: Lines of a bucket with which all others are compared in the first round.
 PIVOTS = 8
@@ -160,17 +160,66 @@ def candidates(lines: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def within(x: list, y: list, limit: int) -> bool:
+    """Whether so many insertions, deletions and replacements turn x into y.
+
+    What both have in front and at the end is left out. If x and y are equally
+    long and differ in few places that is enough; else the rows of the table of
+    distances are found one by one, in a band around its diagonal."""
+    n, m = len(x), len(y)
+    if abs(n - m) > limit:
+        return False
+    code: dict = {}
+    a = np.array([code.setdefault(w, len(code)) for w in x], np.int64)
+    b = np.array([code.setdefault(w, len(code)) for w in y], np.int64)
+    k = min(n, m)
+    other = np.flatnonzero(a[:k] != b[:k])
+    front = int(other[0]) if len(other) else k
+    a, b = a[front:], b[front:]
+    k = min(len(a), len(b))
+    other = np.flatnonzero(a[::-1][:k] != b[::-1][:k])
+    back = int(other[0]) if len(other) else k
+    a, b = a[: len(a) - back], b[: len(b) - back]
+    n, m = len(a), len(b)
+    if min(n, m) == 0 or limit == 0:
+        return max(n, m) <= limit
+    if n == m and int((a != b).sum()) <= limit:
+        return True
+    # row[j] is the distance in row i and column i - limit + j; far is outside the table
+    far = n + m + 1
+    offsets = np.arange(-limit, limit + 1)
+    row = np.where((offsets >= 0) & (offsets <= m), offsets, far)
+    padded = np.concatenate([np.full(limit + 1, -1), b, np.full(2 * limit + 2, -1)])
+    for i in range(1, n + 1):
+        swap = row + (padded[i : i + 2 * limit + 1] != a[i - 1])
+        row = np.minimum(swap, np.append(row[1:], far) + 1)
+        if i <= limit:
+            row[: limit - i] = far
+            row[limit - i] = i
+        row = np.minimum.accumulate(row - offsets) + offsets
+        row[i + offsets > m] = far
+        if row.min() > limit:
+            return False
+    return bool(row[m - n + limit] <= limit)
+
+
 def similar(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs whose normalised texts have an edit similarity of ``least``.
-    Only lines of a pair are shuffled with their texts; pairs whose lengths rule
-    it out aren't compared."""
+    """The pairs of lines whose edit similarity is ``least`` or more: words are
+    inserted, deleted or replaced, and counted against those of the longer line.
+    Only lines of a pair are shuffled with their texts."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
     known = stored(texts.join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
     both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
-    longer = F.greatest(F.length("x"), F.length("y"))
-    shorter = F.least(F.length("x"), F.length("y"))
-    distance = F.levenshtein("x", "y")
-    return both.where(shorter >= least * longer).where(distance <= (1 - least) * longer + 1e-9).select("a", "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = x.split(" "), y.split(" ")
+                keep.append(within(x, y, int((1 - least) * max(len(x), len(y)) + 1e-9)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return map_arrow(both.select("a", "b", "x", "y"), verify, "a bigint, b bigint")
 
 
 def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
