@@ -881,16 +881,18 @@ def validate_many(spark, d):
   WITH c AS (SELECT 'Customer#' || lpad(o_custkey::VARCHAR, 9, '0') AS id, count(*) AS n_rows
              FROM orders GROUP BY o_custkey),
   m AS (SELECT id, coalesce(nullif(min_rows_output, 0), floor(rows * 0.8))::BIGINT AS min_rows FROM ({ENTRIES}))
-  SELECT c.id, n_rows, min_rows, n_rows >= min_rows AS passed FROM c JOIN m ON m.id = c.id""")
+  SELECT coalesce(c.id, m.id) AS id, coalesce(n_rows, 0)::BIGINT AS n_rows, min_rows,
+    coalesce(n_rows, 0) >= coalesce(min_rows, 1) AS passed
+  FROM c FULL JOIN m ON m.id = c.id""")
 def validate_many_limits(spark, d):
-    """Each dataset against the minimum of its registry entry."""
+    """Each dataset against the minimum of its registry entry; ids without
+    rows and ids without an entry are reported too."""
     limit = qual.min_rows_column(F.col("rows"), F.col("min_rows_output")).alias("min_rows")
     limits = entries(spark, d).select("id", limit)
     name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     df = table(spark, d, "orders").select(name.alias("id"), "o_orderpriority")
     report = qual.quality_report(df, ["o_orderpriority"], F.col("min_rows"), by="id", limits=limits)
-    known = report.where("min_rows IS NOT NULL")
-    return known.select("id", "n_rows", "min_rows", "passed")
+    return report.select("id", "n_rows", "min_rows", "passed")
 
 
 # -- delivery --------------------------------------------------------------

@@ -81,9 +81,10 @@ def prompt_from_record(df: DataFrame, template: str, keys: list[str] = RECORD_KE
 
 
 def generation_udf(generator: Generator, batch_size: int, max_attempts: int, backoff: float):
-    """prompt → struct(raw, status, attempts). Calls ``generator`` with up to
+    """prompt → struct(raw, status, attempts, error). Calls ``generator`` with up to
     ``batch_size`` prompts; a batch that still fails after ``max_attempts`` calls
-    (waiting backoff, 2*backoff, ... between them) gives '' and 'failed'.
+    (waiting backoff, 2*backoff, ... between them) gives '' and 'failed', and the
+    last exception as its error.
 
     Nested, so that it reaches the executors by value together with ``generator``.
     """
@@ -96,28 +97,30 @@ def generation_udf(generator: Generator, batch_size: int, max_attempts: int, bac
             return reply.text or ""
         return str(reply)
 
-    def call(prompts: list) -> list[tuple[str, str, int]]:
+    def call(prompts: list) -> list[tuple]:
         import time
 
+        error = None
         for attempt in range(1, max_attempts + 1):
             try:
                 replies = [first_text(r) for r in generator(prompts)]
                 if len(replies) != len(prompts):
                     raise ValueError(f"{len(replies)} replies for {len(prompts)} prompts")
-                return [(r, "ok", attempt) for r in replies]
-            except Exception:
+                return [(r, "ok", attempt, None) for r in replies]
+            except Exception as e:
+                error = f"{type(e).__name__}: {e}"
                 if attempt < max_attempts:
                     time.sleep(backoff * 2 ** (attempt - 1))
-        return [("", "failed", max_attempts)] * len(prompts)
+        return [("", "failed", max_attempts, error)] * len(prompts)
 
-    @F.pandas_udf("raw string, status string, attempts int")
+    @F.pandas_udf("raw string, status string, attempts int, error string")
     def generate_batches(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for chunk in chunks:
             prompts = chunk.tolist()
             out = []
             for i in range(0, len(prompts), batch_size):
                 out.extend(call(prompts[i : i + batch_size]))
-            yield pd.DataFrame(out, columns=["raw", "status", "attempts"])
+            yield pd.DataFrame(out, columns=["raw", "status", "attempts", "error"])
 
     # Never evaluated twice or moved below a filter: each call may cost money.
     return generate_batches.asNondeterministic()
@@ -132,7 +135,7 @@ def generate(
     backoff: float = 1.0,
     output: str = "generation",
 ) -> DataFrame:
-    """Add struct(raw, status, attempts). Only the prompt goes to Python; the
+    """Add struct(raw, status, attempts, error). Only the prompt goes to Python; the
     other columns stay in the JVM. The number of partitions is the number of
     parallel callers. Write the result before using it in several actions."""
     udf = generation_udf(generator, batch_size, max_attempts, backoff)

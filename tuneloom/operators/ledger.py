@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.schema import BOOL, LONG, STRING, STRINGS, struct_of
+from ..functions.jsontext import json_valid
 from ..functions.text import join_or_default, quoted, truncate
 from ..sources.storage import delete, folder_bytes, matching_names, path_exists, promote
 
@@ -79,11 +80,13 @@ def ledger_read_json(spark: SparkSession, path: str, rename: dict[str, str] | No
     entries = text.select(
         F.from_json("value", "map<string,map<string,string>>").alias("entries"),
         (F.trim("value") != "").alias("filled"),
-        F.try_parse_json("value").isNull().alias("broken"),
+        (~F.coalesce(json_valid(F.col("value")), F.lit(False))).alias("broken"),
     )
     if not entries.where("filled and broken").isEmpty():
         log.warning("%s is malformed, starting with an empty ledger", path)
-    rows = entries.where("filled and not broken").select(F.explode("entries").alias("dataset_id", "fields"))
+    listed = entries.where("filled and not broken").select(F.posexplode(F.map_entries("entries")).alias("n", "e"))
+    # of an id that is written twice the last entry counts
+    rows = listed.groupBy(F.col("e.key").alias("dataset_id")).agg(F.max_by("e.value", "n").alias("fields"))
     source_of = {new: old for old, new in (rename or {}).items()}
     typed = []
     for f in LEDGER_SCHEMA.fields[1:]:

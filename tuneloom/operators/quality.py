@@ -187,15 +187,20 @@ def quality_report(
     json_columns: list[str] = JSON_COLUMNS,
     exact_json: bool = True,
     limits: DataFrame | None = None,
+    default_min: int = 1,
 ) -> DataFrame:
     """Report of one dataset, or one row per dataset id in column ``by``.
 
     ``min_rows`` may be a column of ``limits``, a frame with one row per id
-    that is joined to the (already aggregated) counts.
+    that is joined to the (already aggregated) counts. An id with a limit but
+    without rows has counts of 0; one without a limit needs ``default_min`` rows.
     """
     counts = quality_counts(df, required, output_type, by, json_columns, exact_json)
     if limits is not None:
-        counts = counts.join(limits, by, "left")
+        counted = [c for c in counts.columns if c != by]
+        counts = counts.join(limits, by, "full").fillna(0, subset=counted)
+        limit = min_rows if isinstance(min_rows, Column) else F.lit(min_rows)
+        min_rows = F.coalesce(limit.cast("long"), F.lit(default_min).cast("long"))
     columns = [c for c in df.columns if c != by]
     missing = [c for c in required if c not in df.columns]
     return report_from_counts(counts, missing, min_rows, json_column(columns, json_columns))

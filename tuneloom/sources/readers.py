@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import logging
 import os
+from functools import reduce
 from typing import Callable
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,6 +56,14 @@ def _extension(spark: SparkSession, path: str) -> str:
     return next((e for e in inside if e in FORMATS), ext)
 
 
+def _extensions_inside(spark: SparkSession, path: str) -> list[str]:
+    """The data file extensions (as they are written) in a folder."""
+    if "*" in path or not path_exists(spark, path):
+        return []
+    found = (os.path.splitext(n)[1] for n in children(spark, path))
+    return sorted({e for e in found if e.lower() in FORMATS})
+
+
 def _is_json_lines(spark: SparkSession, path: str) -> bool:
     """Whether the first filled line is a JSON document of its own and no array."""
     first = spark.read.text(path).where(F.trim("value") != "").head(1)
@@ -82,9 +92,18 @@ def read_file(
     CSV and TSV columns stay strings unless a schema is given or ``infer`` is
     set. Quoted line breaks are read with ``multiline``; turn it off for large
     files without them, since only then can Spark split a file. A '.json' file
-    may hold an array, one object or one object per line; broken JSON is an error.
+    may hold an array, one object or one object per line; broken JSON, and a CSV
+    row that is longer or shorter than the header, is an error. Files of several
+    formats in one folder are read each in its own way and put together by name.
     """
     first = path if isinstance(path, str) else path[0]
+    if isinstance(path, str) and fmt is None and os.path.splitext(path.rstrip("/").lower())[1] not in FORMATS:
+        inside = _extensions_inside(spark, path)
+        if len(inside) > 1:
+            parts = [
+                read_file(spark, f"{path.rstrip('/')}/*{ext}", schema, None, infer, multiline) for ext in inside
+            ]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     ext = _extension(spark, first)
     fmt = fmt or FORMATS.get(ext) or format_of(first)
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -93,7 +112,7 @@ def read_file(
     if fmt == "csv":
         sep = "\t" if ext == ".tsv" else ","
         return reader.csv(
-            path, header=True, sep=sep, quote='"', escape='"', multiLine=multiline, inferSchema=infer
+            path, header=True, sep=sep, quote='"', escape='"', multiLine=multiline, inferSchema=infer, mode="FAILFAST"
         )
     if fmt == "json":
         lines = ext == ".jsonl" or _is_json_lines(spark, first)
@@ -167,7 +186,8 @@ def read_head(
     """``rows`` rows of a file or folder of any size, without a look at all of
     it: the first file, then four times as many, until they hold enough. (A
     plain ``limit`` inside a plan starts a task for every partition.)"""
-    files = sorted(read_file(spark, path, schema, **options).inputFiles())
+    # names come URL-encoded, but are read as they are
+    files = sorted(map(unquote, read_file(spark, path, schema, **options).inputFiles()))
     taken = 1
     while True:
         first = read_file(spark, files[:taken] or path, schema, **options).limit(rows)
