@@ -595,7 +595,7 @@ def generate_batches(spark, d):
     """A6."""
     df = table(spark, d, "documents").select("doc_id", "text")
     made = gen.generate(df, F.col("text"), digest_generator())
-    return made.select("doc_id", "generation.*")
+    return made.select("doc_id", "generation.raw", "generation.status", "generation.attempts")
 
 
 @query("""
@@ -606,7 +606,7 @@ def generate_failures(spark, d):
     """Three attempts, then an empty reply that says so."""
     df = table(spark, d, "documents").select("doc_id", F.concat_ws(":", "lang", "source").alias("prompt"))
     made = gen.generate(df, F.col("prompt"), picky_generator(), batch_size=1, backoff=0.0)
-    return made.select("doc_id", "generation.*")
+    return made.select("doc_id", "generation.raw", "generation.status", "generation.attempts")
 
 
 @query("""
