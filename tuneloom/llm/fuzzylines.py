@@ -38,8 +38,11 @@ def _signed(value: int) -> int:
 
 
 def line_prints(lines: list[list[bytes]]) -> np.ndarray:
-    """64-bit SimHash of each line's words, in lower case with digits as 0, as
-    signed integers. A bit is set if it is in more than half of the words' hashes."""
+    """64-bit SimHash of each line's different words, in lower case with digits
+    as 0, as signed integers. A bit is set if it is in more than half of the
+    words' hashes. Repeats don't count: the frequent words of a language would
+    make all its long lines alike."""
+    lines = [list(set(line)) for line in lines]
     counts = np.fromiter(map(len, lines), np.int64, len(lines))
     words = [w for line in lines for w in line]
     known: dict[bytes, int] = {}
