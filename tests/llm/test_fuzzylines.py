@@ -104,7 +104,7 @@ def test_large_buckets_are_connected(spark, n):
     prints = list(prints)
     lines = [(i, prints[i % len(prints)]) for i in range(n)] + [(1000 + i, -1 - (1 << (i % 3))) for i in range(n)]
     df = spark.createDataFrame(lines, "line bigint, print bigint")
-    pairs = [tuple(r) for r in fuzzylines.candidates(df).collect()]
+    pairs = [tuple(r) for r in fuzzylines.candidates(fuzzylines.buckets(df)).collect()]
     known = dict(lines)
     assert all(((known[a] ^ known[b]) & (2**64 - 1)).bit_count() <= 3 and a < b for a, b in pairs)
     root = {i: i for i, _ in lines}
@@ -120,6 +120,44 @@ def test_large_buckets_are_connected(spark, n):
     assert len(pairs) <= 2 * n * 64
 
 
+def test_lines_without_a_near_pivot_are_linked(make):
+    """Lines of one fingerprint, linked in chains: most have no link to a pivot."""
+    rnd = random.Random(5)
+    rows = []
+    for chain in range(4):
+        words = [f"w{chr(97 + i)}" for i in range(10)]
+        rnd.shuffle(words)
+        for _ in range(30):
+            rows.append((len(rows), " ".join(words)))
+            i, j = rnd.sample(range(10), 2)
+            words[i], words[j] = words[j], words[i]
+    rnd.shuffle(rows)
+    got = fuzzylines.line_report(make(rows)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("cell", [3, 1000])
+def test_other_pairs_are_those_of_brute_force(spark, monkeypatch, cell):
+    monkeypatch.setattr(fuzzylines, "CELL", cell)
+    rnd = random.Random(cell)
+    lines = {i: sum(1 << b for b in rnd.sample(range(20), rnd.randrange(3))) for i in range(60)}
+    lines |= {100 + i: (1 << 40) | 1 << rnd.randrange(8) for i in range(20)}
+    roots = {i: i - i % 4 for i in range(0, 60, 3)} | {100 + i: 100 for i in range(20)}
+    members = fuzzylines.buckets(spark.createDataFrame(list(lines.items()), "line bigint, print bigint"))
+    got = fuzzylines.others(members, spark.createDataFrame(list(roots.items()), "node bigint, root bigint")).collect()
+    of_bucket = {}
+    for r in members.where("NOT pivot").collect():
+        of_bucket.setdefault(r.bucket, set()).add(r.line)
+    want = {
+        (a, b)
+        for found in of_bucket.values()
+        for a in found
+        for b in found
+        if a < b and (lines[a] ^ lines[b]).bit_count() <= 3 and roots.get(a, a) != roots.get(b, b)
+    }
+    assert len(got) == len(want) and set(map(tuple, got)) == want and want
+
+
 def test_edit_distance_is_that_of_the_whole_table():
     rnd = random.Random(2)
     for _ in range(1500):

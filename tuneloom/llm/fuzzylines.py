@@ -22,8 +22,10 @@ BITS = 3
 BLOCKS = 5
 #: Least edit similarity of linked lines: 1 - distance / length of the longer one, in words.
 SIMILARITY = 0.8
-#: Lines of a bucket with which all others are compared in the first round.
+#: Lines of a bucket with which all others are compared first.
 PIVOTS = 8
+#: Lines of a large bucket that one step compares with as many others.
+CELL = 1000
 
 EDGES = [round(64 * b / BLOCKS) for b in range(BLOCKS + 1)]
 #: For every choice of blocks that may agree, the mask of their bits.
@@ -120,47 +122,85 @@ def line_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_arrow(ended, read, "line bigint, words string")
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """a, b: pairs of different lines (columns line, print) that share a bucket
-    and differ in at most BITS bits.
-
-    A line is filed under the bits of every choice of BLOCKS - BITS blocks;
-    buckets with one line are left out. In a round each bucket's pivots, about
-    PIVOTS of its lines chosen by hash, meet all its lines; in a bucket of up to
-    twice as many all lines are pivots, so all pairs are looked at. Lines of larger
-    buckets that are near no pivot go to the next round with twice the pivots,
-    until none are left. So a bucket of n lines costs a multiple of n, not n * n,
-    and no line is left out of it.
-    """
+def buckets(lines: DataFrame) -> DataFrame:
+    """bucket, line, print, n, pivot: the lines (columns line, print) filed under
+    the bits of every choice of BLOCKS - BITS blocks, with the number of lines of
+    the bucket. Buckets with one line are left out. About PIVOTS lines of a
+    bucket, chosen by hash, are its pivots; in a bucket of fewer than twice as
+    many all lines are."""
     masks = F.array(*[F.lit(_signed(m)).cast("bigint") for m in MASKS])
     filed = lines.select("line", "print", F.posexplode(masks).alias("table", "mask"))
     # the table's number goes into the bits that the mask leaves empty
-    filed = filed.select(F.xxhash64("table", F.col("print").bitwiseAND(F.col("mask"))).alias("bucket"), "line")
+    filed = filed.select(F.xxhash64("table", F.col("print").bitwiseAND(F.col("mask"))).alias("bucket"), "line", "print")
     n = F.count("*").over(Window.partitionBy("bucket"))
-    full = filed.withColumn("n", n).where("n > 1").drop("n")
-    members = stored(full.join(lines, "line"), "members")
-    pivots, found = PIVOTS, None
-    while not members.isEmpty():
-        size = members.groupBy("bucket").agg(F.count("*").alias("n"))
-        sized = members.join(size, "bucket")
-        step = F.greatest(F.lit(1), F.floor(F.col("n") / pivots))
-        chosen = F.pmod(F.xxhash64("line", "bucket", F.lit(pivots)), step) == 0
-        ranked = stored(sized.withColumn("pivot", chosen).withColumn("all", step == 1).drop("n"), "ranked")
-        p = ranked.where("pivot").select(F.col("bucket").alias("of"), F.col("line").alias("a"), F.col("print").alias("p"))
-        near = F.bit_count(F.col("p").bitwiseXOR(F.col("print"))) <= BITS
-        once = (F.col("line") != F.col("a")) & (~F.col("pivot") | (F.col("line") > F.col("a")))
-        pairs = stored(
-            ranked.join(p, (F.col("bucket") == F.col("of")) & near & once).select("bucket", "a", F.col("line").alias("b")),
-            "pairs",
-        )
-        found = pairs.select("a", "b") if found is None else found.union(pairs.select("a", "b"))
-        met = pairs.select(F.col("bucket").alias("k"), F.col("b").alias("l")).distinct()
-        rest = ranked.where("NOT pivot AND NOT all").drop("pivot", "all")
-        members = stored(rest.join(met, (F.col("bucket") == F.col("k")) & (F.col("line") == F.col("l")), "left_anti"), "members")
-        pivots *= 2
-    if found is None:
-        return lines.sparkSession.createDataFrame([], "a bigint, b bigint")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / PIVOTS))
+    chosen = F.pmod(F.xxhash64("line", "bucket"), step) == 0
+    return stored(filed.withColumn("n", n).where("n > 1").withColumn("pivot", chosen), "members")
+
+
+def _pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(members: DataFrame) -> DataFrame:
+    """a, b: pairs of lines of a bucket that differ in at most BITS bits, one of
+    which is a pivot. A bucket of n lines costs a multiple of n, not n * n."""
+    p = members.where("pivot").select(F.col("bucket").alias("of"), F.col("line").alias("a"), F.col("print").alias("p"))
+    near = F.bit_count(F.col("p").bitwiseXOR(F.col("print"))) <= BITS
+    once = (F.col("line") != F.col("a")) & (~F.col("pivot") | (F.col("line") > F.col("a")))
+    both = members.join(p, (F.col("bucket") == F.col("of")) & near & once)
+    return _pairs(both.select("a", F.col("line").alias("b")))
+
+
+def others(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """a, b: the remaining pairs of lines of a bucket that differ in at most BITS
+    bits: those without a pivot. Left out are only pairs of one group already
+    (``roots``: node, root), since they can't connect anything; a bucket that is
+    all one group is not looked at.
+
+    A bucket of many lines is dealt out to cells, each of which compares about
+    CELL lines with as many others, so no task gets a whole one.
+    """
+    plain = members.where("NOT pivot").drop("pivot")
+    named = plain.join(roots, F.col("line") == F.col("node"), "left").select(
+        "bucket", "line", "print", "n", F.coalesce("root", "line").alias("root")
+    )
+    named = stored(named, "named")
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
+    open_ = named.join(mixed.select("bucket"), "bucket", "left_semi")
+    last = F.ceil(F.col("n") / CELL) - 1
+    dealt = open_.withColumn("last", last).withColumn("part", F.pmod(F.xxhash64("line"), F.col("last") + 1))
+    left = dealt.select(
+        "bucket", F.col("part").alias("i"), F.explode(F.sequence("part", "last")).alias("j"),
+        F.col("line").alias("a"), F.col("print").alias("p"), F.col("root").alias("of_a"),
+    )
+    right = dealt.select(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), "part")).alias("i"), F.col("part").alias("j"),
+        F.col("line").alias("b"), F.col("print").alias("q"), F.col("root").alias("of_b"),
+    )
+    near = F.bit_count(F.col("p").bitwiseXOR(F.col("q"))) <= BITS
+    met = left.join(right, ["bucket", "i", "j"]).where(
+        near & (F.col("of_a") != F.col("of_b")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+    )
+    return _pairs(met)
+
+
+def links(lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """node, root: the lines (line, print) that are linked to others, each with
+    the smallest line of its group; ``texts`` has their words (line, words).
+
+    Two lines are linked if they differ in at most BITS bits and are similar.
+    Lines are first compared with the pivots of their buckets; most groups are
+    whole after that. Then all other pairs are compared that two of the groups
+    found so far, or lines without one, might be connected by. So the groups are
+    those of all links, while pairs within a group are not made."""
+    members = buckets(lines)
+    near = stored(similar(stored(candidates(members), "candidates"), texts), "links")
+    roots = components(near)
+    more = stored(others(members, roots), "others")
+    if more.isEmpty():
+        return roots
+    return components(near.union(similar(more, texts)))
 
 
 def within(x: list, y: list, limit: int) -> bool:
@@ -209,8 +249,9 @@ def within(x: list, y: list, limit: int) -> bool:
 def similar(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The pairs of lines whose edit similarity is ``least`` or more: words are
     inserted, deleted or replaced, and counted against those of the longer line.
-    Only lines of a pair are shuffled with their texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+    Only lines of a pair keep their texts; the table of these lines is written
+    first, so that Spark knows its size and need not shuffle all texts if it is small."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
     known = stored(texts.join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
     both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
 
@@ -233,8 +274,7 @@ def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     found = stored(occurrences(docs, text, key).distinct(), "occurrences")
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
     lines = stored(found.groupBy("line", "print").agg(F.min(place).alias("first")), "lines")
-    links = similar(candidates(lines.select("line", "print")), line_texts(docs, text))
-    roots = components(links)
+    roots = links(lines.select("line", "print"), line_texts(docs, text))
     tied = roots.union(roots.select("root", "root").distinct()).toDF("line", "root")
     of_tied = lines.join(tied, "line")
     firsts = of_tied.groupBy("root").agg(F.min("first").alias("of_group"))
