@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tuneloom.llm import fuzzylines
@@ -158,6 +159,18 @@ def test_other_pairs_are_those_of_brute_force(spark, monkeypatch, cell):
     assert len(got) == len(want) and set(map(tuple, got)) == want and want
 
 
+def test_hash_filter_passes_what_it_was_made_of(spark):
+    rnd = random.Random(3)
+    n = fuzzylines.FILTER_BITS
+    hashes = [rnd.getrandbits(64) - (1 << 63) for _ in range(3000)] + [0, 1, -1, n, n - 1, n + 1, 32767, 32768, 32769, -n]
+    bits = fuzzylines.hash_filter(spark.createDataFrame([(h,) for h in hashes], "line bigint"))
+    assert fuzzylines._passes(bits, np.array(hashes)).all()
+    rest = np.array([rnd.getrandbits(64) - (1 << 63) for _ in range(3000)])
+    known = {h % n for h in hashes}
+    assert fuzzylines._passes(bits, rest).tolist() == [int(h) % n in known for h in rest]
+    assert not fuzzylines._passes(fuzzylines.hash_filter(spark.createDataFrame([], "line bigint")), rest).any()
+
+
 def test_edit_distance_is_that_of_the_whole_table():
     rnd = random.Random(2)
     for _ in range(1500):

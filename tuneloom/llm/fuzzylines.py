@@ -26,6 +26,10 @@ SIMILARITY = 0.8
 PIVOTS = 8
 #: Lines of a large bucket that one step compares with as many others.
 CELL = 1000
+#: Bits of the filter that keeps lines without a candidate out of the shuffle of texts.
+FILTER_BITS = 1 << 25
+#: Bits of one of Spark's bitmaps.
+PART_BITS = 1 << 15
 
 EDGES = [round(64 * b / BLOCKS) for b in range(BLOCKS + 1)]
 #: For every choice of blocks that may agree, the mask of their bits.
@@ -102,24 +106,49 @@ def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return map_arrow(rows, read, f"id {kind}, content binary, nth bigint, line bigint, print bigint")
 
 
-def line_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """line, words: the hash and the normalised text of every line."""
+def hash_filter(lines: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, set where a line (column line) has its hash modulo their
+    number. At most 4 MB reach the driver, however many lines there are."""
+    at = F.pmod("line", F.lit(FILTER_BITS))
+    parts = lines.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    )
+    out = np.zeros((FILTER_BITS // PART_BITS + 2, PART_BITS // 8), np.uint8)
+    for part, bits in parts.collect():
+        out[part] = np.frombuffer(bits, np.uint8)
+    # a part's number and a place in it follow from the hash as in Spark
+    return out.reshape(-1)
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    # part 0 has only bit 0; part k the bits from (k - 1) * PART_BITS + 1 to k * PART_BITS
+    at = hashes % FILTER_BITS
+    at = np.where(at > 0, at - 1 + PART_BITS, 0)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def line_texts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
+    """line, words: the hash and the normalised text of the lines of ``wanted``
+    (column line), once each. Tasks leave out most others by a filter of fixed
+    size before anything is shuffled; a join then leaves out the rest."""
     rows = docs.select(docs[text].alias("text"))
+    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            found = {}
-            for line in raw_text(piece.column("text"))[0].split(b"\n"):
-                words = line.split()
-                if words:
-                    found[line_hash(words)] = fold_line(words).decode("utf-8", "replace")
+            lines = [line.split() for line in raw_text(piece.column("text"))[0].split(b"\n")]
+            lines = [words for words in lines if words]
+            hashes = np.fromiter(map(line_hash, lines), np.int64, len(lines))
+            found = {int(hashes[i]): lines[i] for i in np.flatnonzero(_passes(bits.value, hashes))}
+            texts = [fold_line(words).decode("utf-8", "replace") for words in found.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["line", "words"]
+                [pa.array(list(found), pa.int64()), pa.array(texts, pa.string())], ["line", "words"]
             )
 
     # a row's last line and the next row's first one must not run together
     ended = rows.select(F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("text"))
-    return map_arrow(ended, read, "line bigint, words string")
+    texts = map_arrow(ended, read, "line bigint, words string")
+    return stored(texts.join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
 
 
 def buckets(lines: DataFrame) -> DataFrame:
@@ -185,9 +214,9 @@ def others(members: DataFrame, roots: DataFrame) -> DataFrame:
     return _pairs(met)
 
 
-def links(lines: DataFrame, texts: DataFrame) -> DataFrame:
-    """node, root: the lines (line, print) that are linked to others, each with
-    the smallest line of its group; ``texts`` has their words (line, words).
+def links(lines: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """node, root: the lines (line, print) of ``docs`` that are linked to others,
+    each with the smallest line of its group.
 
     Two lines are linked if they differ in at most BITS bits and are similar.
     Lines are first compared with the pivots of their buckets; most groups are
@@ -195,12 +224,12 @@ def links(lines: DataFrame, texts: DataFrame) -> DataFrame:
     found so far, or lines without one, might be connected by. So the groups are
     those of all links, while pairs within a group are not made."""
     members = buckets(lines)
-    near = stored(similar(stored(candidates(members), "candidates"), texts), "links")
+    near = stored(similar(stored(candidates(members), "candidates"), docs, text), "links")
     roots = components(near)
     more = stored(others(members, roots), "others")
     if more.isEmpty():
         return roots
-    return components(near.union(similar(more, texts)))
+    return components(near.union(similar(more, docs, text)))
 
 
 def within(x: list, y: list, limit: int) -> bool:
@@ -246,13 +275,12 @@ def within(x: list, y: list, limit: int) -> bool:
     return bool(row[m - n + limit] <= limit)
 
 
-def similar(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def similar(pairs: DataFrame, docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """The pairs of lines whose edit similarity is ``least`` or more: words are
     inserted, deleted or replaced, and counted against those of the longer line.
-    Only lines of a pair keep their texts; the table of these lines is written
-    first, so that Spark knows its size and need not shuffle all texts if it is small."""
+    Only lines of a pair are shuffled with their texts."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
-    known = stored(texts.join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
+    known = line_texts(docs, wanted, text)
     both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,18 +301,21 @@ def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     normalised lines are one. Rows with equal id and text are one document."""
     found = stored(occurrences(docs, text, key).distinct(), "occurrences")
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
-    lines = stored(found.groupBy("line", "print").agg(F.min(place).alias("first")), "lines")
-    roots = links(lines.select("line", "print"), line_texts(docs, text))
+    counted = found.groupBy("line", "print").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    lines = stored(counted, "lines")
+    roots = links(lines.select("line", "print"), docs, text)
     tied = roots.union(roots.select("root", "root").distinct()).toDF("line", "root")
     of_tied = lines.join(tied, "line")
     firsts = of_tied.groupBy("root").agg(F.min("first").alias("of_group"))
     of_tied = of_tied.join(firsts, "root").select("line", "of_group")
-    named = lines.join(of_tied, "line", "left").select(
-        F.col("line").alias("of"), F.coalesce("of_group", "first").alias("keeper")
-    )
+    # a line that occurs once and has no group stays. The table is written so that a
+    # frequent line's occurrences are one side of a plain join, which Spark can split
+    named = lines.join(of_tied, "line", "left").where("of_group IS NOT NULL OR n > 1")
+    named = stored(named.select(F.col("line").alias("of"), F.coalesce("of_group", "first").alias("keeper")), "keepers")
     mine = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
-    return found.join(named, F.col("line") == F.col("of")).select(
-        "id", "content", "nth", "line", mine.eqNullSafe(F.col("keeper")).alias("keeps")
+    keeps = F.col("of").isNull() | mine.eqNullSafe(F.col("keeper"))
+    return found.join(named, F.col("line") == F.col("of"), "left").select(
+        "id", "content", "nth", "line", keeps.alias("keeps")
     )
 
 
