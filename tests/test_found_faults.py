@@ -1,9 +1,18 @@
 """Inputs that were once read or judged wrongly."""
 
+import io
+import tarfile
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import tuneloom as tl
+from tuneloom.plans import recipes
+from tuneloom.sources import archives
+from tuneloom.streaming import arrivals
 
 
 def write(path, text):
@@ -53,3 +62,89 @@ def test_failed_generation_says_why(spark):
     df = spark.createDataFrame([("p",)], "p string")
     row = tl.generate(df, F.col("p"), broken, max_attempts=2, backoff=0).first().generation
     assert (row.status, row.error) == ("failed", "RuntimeError: no quota")
+
+
+AB = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+
+
+def unpacked(spark, folder, name, data):
+    folder.mkdir()
+    with tarfile.open(folder / "x.tgz", "w:gz") as tar:
+        info = tarfile.TarInfo(name)
+        info.size = len(data)
+        tar.addfile(info, io.BytesIO(data))
+    rows = archives.archive_records(archives.scan_archives(spark, str(folder)), AB)
+    return sorted((tuple(r) for r in rows.select("a", "b").collect()), key=str)
+
+
+def test_archive_members_of_all_kinds(spark, tmp_path):
+    pretty = b'{\n  "a": "1",\n  "b": "2"\n}\n'
+    assert unpacked(spark, tmp_path / "object", "x.json", pretty) == [("1", "2")]
+    assert unpacked(spark, tmp_path / "objects", "x.json", pretty * 3) == [("1", "2")] * 3
+    assert unpacked(spark, tmp_path / "empty", "x.json", b" [ ] ") == []
+    table = io.BytesIO()
+    pq.write_table(pa.table({"a": ["1", None], "b": [2, 3]}), table)
+    assert unpacked(spark, tmp_path / "parquet", "x.parquet", table.getvalue()) == [("1", "2"), (None, "3")]
+
+
+@pytest.mark.parametrize(
+    "name,text",
+    [
+        ("x.csv", "a,b\n1,2,3\n"), ("x.csv", "a,b\n1\n"), ("x.jsonl", '{"a": "1"}\n{broken\n'),
+        ("x.json", '[{"a": "1"}'), ("x.json", '[{"a": "1"} {"a": "2"}]'), ("x.json", '[{"a": "1"}] tail'), ("x.json", "[1]"),
+        ("x.json", '[{"a": "1"},]'),
+    ],
+)
+def test_broken_archive_members_are_errors(spark, tmp_path, name, text):
+    with pytest.raises(Exception):
+        unpacked(spark, tmp_path / "d", name, text.encode())
+
+
+@pytest.mark.parametrize("step", [1, 7, 1 << 16])
+def test_json_objects_in_any_pieces(step):
+    want = ['{"a": [1, "}]"]}', '{"b": {"c": "é, \\" ["}}', "{}"]
+    for text in ("[" + ", \n".join(want) + " ]\n", "\n".join(want), "".join(want), " \n" + want[0]):
+        got = list(archives.json_objects(io.StringIO(text), "x", step))
+        assert got == (want[:1] if text.startswith(" ") else want)
+
+
+def test_plain_file_where_an_archive_may_be(spark, tmp_path):
+    write(tmp_path / "x.tsv", "a\tb\n1\t2\n")
+    (tmp_path / "absent").mkdir()
+    write(tmp_path / "absent" / "old" / "load.py", "")
+    recipe = recipes.Recipe("r", "old", ["a", "b"], data_url=str(tmp_path / "x.tsv"))
+    assert [tuple(r) for r in recipes.open_source(spark, recipe, str(tmp_path / "absent")).collect()] == [("1", "2")]
+
+
+@pytest.mark.parametrize("place", ["one", "one/data", "one/sub", "one/sub/data"])
+def test_numbered_files_of_a_split(spark, tmp_path, place):
+    for n in range(2):
+        write(tmp_path / place / f"train-0000{n}-of-00002.csv", f"a,b\n{n},x\n")
+    write(tmp_path / place / "test-00000-of-00001.csv", "a,b\n9,x\n")
+    subset = "sub" if "sub" in place else None
+    got = tl.read_dataset(spark, str(tmp_path), "one", "train", subset)
+    assert sorted(r.a for r in got.collect()) == ["0", "1"]
+    assert tl.read_dataset(spark, str(tmp_path), "one", "train", subset, head=1).count() == 1
+
+
+def test_partitions_that_are_not_there(spark, tmp_path):
+    rows = [(1, "x", "train"), (2, "x", "test"), (3, "y", "train")]
+    df = spark.createDataFrame(rows, "id int, subset string, split string")
+    df.write.partitionBy("subset", "split").parquet(str(tmp_path / "one"))
+    assert [r.id for r in tl.read_dataset(spark, str(tmp_path), "one", "train", "y").collect()] == [3]
+    for split, subset, category in [("train", None, "subset"), ("train", "z", "subset"), ("test", "y", "split"), ("dev", "x", "split")]:
+        with pytest.raises(tl.DatasetReadError) as e:
+            tl.read_dataset(spark, str(tmp_path), "one", split, subset)
+        assert e.value.category == category
+
+
+def test_stream_batch_that_fails_is_not_delivered(spark, tmp_path):
+    spark.createDataFrame([("same", "same")] * 3, "a string, b string").write.parquet(str(tmp_path / "in"))
+    stream = arrivals.read_arrivals(spark, str(tmp_path / "in"), AB)
+    run = arrivals.deliver_arrivals(
+        stream, ["a", "b", "absent"], str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "ledger"), "s", "now"
+    )
+    run.awaitTermination(120)
+    entry = tl.ledger_read(spark, str(tmp_path / "ledger")).first()
+    assert (entry.validation_passed, entry.local_path) == (False, None)
+    assert not [p for p in (tmp_path / "out").glob("*") if not p.name.startswith(".")]

@@ -134,7 +134,7 @@ def open_source(
     spark: SparkSession, recipe: Recipe, root: str | None, schema: T.StructType | None = None
 ) -> DataFrame:
     """The named dataset; if it only has a loading script, its best raw data
-    file; without one, the archive the entry names."""
+    file; without one, the archives or plain files the entry names."""
 
     def named() -> DataFrame:
         return read_dataset(spark, root, recipe.repo, recipe.split, recipe.subset, schema=schema)
@@ -150,7 +150,10 @@ def open_source(
         columns = schema or T.StructType(
             [T.StructField(c, T.StringType()) for c in recipe.columns_keep]
         )
-        records = archive_records(scan_archives(spark, recipe.data_url), columns, recipe.data_url_file)
+        packed = scan_archives(spark, recipe.data_url)
+        if packed.select("path").isEmpty():
+            return read_file(spark, recipe.data_url, schema)
+        records = archive_records(packed, columns, recipe.data_url_file)
         return records.drop("archive", "member")
 
     sources: list[Callable[[], DataFrame]] = [named]

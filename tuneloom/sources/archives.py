@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from typing import Iterator
+import json
+import re
+from typing import Iterator, TextIO
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,49 @@ from .readers import FORMATS
 ROWS_PER_CHUNK = 2_000
 
 
+def json_objects(text: TextIO, name: str, step: int = 1 << 16) -> Iterator[str]:
+    """The objects of a JSON text, as they are written: the elements of an array,
+    or one object after the other. Only the object at hand is held; anything else
+    in the text is an error."""
+    decode, blank = json.JSONDecoder().raw_decode, re.compile(r"[\s]*")
+    buffer, at, array, after, first = "", 0, None, False, True
+    while True:
+        at = blank.match(buffer, at).end()
+        if at == len(buffer):
+            buffer, at = text.read(step), 0
+            if not buffer:
+                if array:
+                    raise ValueError(f"{name} ends within an array")
+                return
+            continue
+        if array is None:
+            array = buffer[at] == "["
+            at += array
+            continue
+        if array and buffer[at] == "]" and (first or after):
+            at += 1
+            if buffer[at:].strip() or any(part.strip() for part in iter(lambda: text.read(step), "")):
+                raise ValueError(f"{name} goes on after its array")
+            return
+        if after:
+            if buffer[at] != ",":
+                raise ValueError(f"{name} lacks a comma between elements")
+            at, after = at + 1, False
+            continue
+        try:
+            value, end = decode(buffer, at)
+        except json.JSONDecodeError as e:
+            more = text.read(max(step, len(buffer)))
+            if not more:
+                raise ValueError(f"{name} holds broken JSON: {e.msg}") from None
+            buffer, at = buffer[at:] + more, 0
+            continue
+        if not isinstance(value, dict):
+            raise ValueError(f"{name} holds a JSON value that is no object")
+        yield buffer[at:end]
+        at, after, first = end, array, False
+
+
 def scan_archives(spark: SparkSession, path: str) -> DataFrame:
     """path, content of the archives below a folder, one row each."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -23,8 +68,9 @@ def archive_records(
     archives: DataFrame, schema: T.StructType, member: str | None = None, spread: int | None = None
 ) -> DataFrame:
     """Rows of one member of each archive: the first whose name ends with
-    ``member``, else the first loadable one. CSV, TSV, JSON lines and arrays; an archive
-    without such a member is an error that lists its members.
+    ``member``, else the first loadable one. CSV, TSV, parquet, JSON lines, and JSON
+    arrays and objects. An archive without such a member is an error that lists its
+    members; so are broken JSON and a CSV row that is longer or shorter than the header.
 
     Adds ``archive`` and ``member`` to the columns of ``schema``. Archives are
     read in parallel and members row by row, so a task holds the packed bytes of
@@ -38,13 +84,13 @@ def archive_records(
     def unpack(batches: Iterator) -> Iterator:
         import csv
         import io
-        import itertools
         import json
         import os
         import sys
         import tarfile
 
         import pandas as pd
+        import pyarrow.parquet as pq
 
         def loadable(name):
             return os.path.splitext(name.lower())[1] in formats
@@ -57,32 +103,28 @@ def archive_records(
                     if info.isfile() and (
                         info.name.endswith(member) if member else loadable(info.name)
                     ):
-                        yield info.name, io.TextIOWrapper(
-                            tar.extractfile(info), encoding="utf-8-sig", newline=""
-                        )
+                        yield info.name, tar.extractfile(info)
                         return
             raise ValueError(f"no member to load in {archive}; it contains {names}")
 
-        def records(name, text):
+        def records(name, raw):
             ext = os.path.splitext(name.lower())[1]
+            if formats.get(ext) == "parquet":
+                for batch in pq.ParquetFile(raw).iter_batches(batch_size=chunk):
+                    for row in batch.to_pylist():
+                        yield json.dumps(row, ensure_ascii=False, default=str)
+                return
+            text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
             if formats.get(ext) == "csv":
                 csv.field_size_limit(sys.maxsize)
                 rows = csv.reader(text, delimiter="\t" if ext == ".tsv" else ",")
                 header = next(rows, [])
-                for row in rows:
-                    if row:
-                        yield json.dumps(
-                            {k: v for k, v in zip(header, row) if v != ""}, ensure_ascii=False
-                        )
+                for row in filter(None, rows):
+                    if len(row) != len(header):
+                        raise ValueError(f"{name}, line {rows.line_num}: {len(row)} values for {len(header)} columns")
+                    yield json.dumps({k: v for k, v in zip(header, row) if v != ""}, ensure_ascii=False)
             elif formats.get(ext) == "json":
-                first = next((line for line in text if line.strip()), "")
-                if ext == ".json" and first.lstrip().startswith("["):
-                    for item in json.loads(first + text.read()):
-                        yield json.dumps(item, ensure_ascii=False)
-                    return
-                for line in itertools.chain([first], text):
-                    if line.strip():
-                        yield line
+                yield from json_objects(text, name)
             else:
                 raise ValueError(f"Cannot load file type '{ext}' from {name}")
 
@@ -91,9 +133,9 @@ def archive_records(
 
         for batch in batches:
             for archive, content in zip(batch["path"], batch["content"]):
-                for name, text in pick(archive, content):
+                for name, raw in pick(archive, content):
                     rows = []
-                    for record in records(name, text):
+                    for record in records(name, raw):
                         rows.append(record)
                         if len(rows) == chunk:
                             yield frame(archive, name, rows)
@@ -108,7 +150,7 @@ def archive_records(
         raw = raw.repartition(spread)
     # CSV cells arrive as JSON strings, so read text first and cast afterwards.
     as_text = T.StructType([T.StructField(f.name, _text_type(f.dataType)) for f in schema])
-    parsed = raw.withColumn("row", F.from_json("record", as_text))
+    parsed = raw.withColumn("row", F.from_json("record", as_text, {"mode": "FAILFAST"}))
     return parsed.select(
         "archive",
         "member",

@@ -121,13 +121,18 @@ def read_file(
 
 
 def _resolve(spark: SparkSession, root: str, repo: str, split: str, subset: str | None) -> str:
-    """Where a split lives: <root>/<repo>[/<subset>]/<split>[.ext], or one file
+    """Where a split lives: <root>/<repo>[/<subset>][/data]/<split>[.ext], numbered
+    files <split>-00000-of-00001.ext there (as a glob pattern), or one file
     <root>/<repo>.ext that is the whole dataset."""
     base = f"{root.rstrip('/')}/{repo}"
     folder = f"{base}/{subset}" if subset else base
-    for name in (split, *(split + ext for ext in FORMATS)):
-        if path_exists(spark, f"{folder}/{name}"):
-            return f"{folder}/{name}"
+    for place in (folder, f"{folder}/data"):
+        for name in (split, *(split + ext for ext in FORMATS)):
+            if path_exists(spark, f"{place}/{name}"):
+                return f"{place}/{name}"
+        for ext in FORMATS:
+            if matching_names(spark, f"{place}/{split}-[0-9]*-of-[0-9]*{ext}"):
+                return f"{place}/{split}-[0-9]*-of-[0-9]*{ext}"
     if matching_names(spark, f"{folder}/*.py"):
         raise FileNotFoundError(f"{repo} has a loading script but no split '{split}'")
     if path_exists(spark, folder):
@@ -152,7 +157,8 @@ def read_dataset(
 ) -> DataFrame:
     """A named dataset. Without ``root`` the name is a catalog table. A table or
     folder with ``split`` (and ``subset``) partition columns is filtered on
-    them, so that Spark only lists and reads those partitions. ``head`` stops
+    them, so that Spark only lists and reads those partitions; a folder without the
+    one asked for, or with several subsets and none asked for, is an error. ``head`` stops
     after that many rows, without a sample."""
     try:
         if root is None or matching_names(spark, f"{root.rstrip('/')}/{repo}/{{split,subset}}=*"):
@@ -167,12 +173,32 @@ def read_dataset(
         raise DatasetReadError(repo, f"{repo} doesn't exist" if absent else e) from e
 
 
+def _check_partitions(spark: SparkSession, base: str, repo: str, split: str, subset: str | None) -> None:
+    """An error if partition folders hold neither the subset nor the split, or
+    several subsets and none is asked for. Only folder names are looked at."""
+    found = {}
+    for name in ("subset", "split"):
+        folders = matching_names(spark, f"{base}/{{{name}=*,*=*/{name}=*}}")
+        found[name] = {unquote(f.split("=", 1)[1]) for f in folders}
+    if subset is None and len(found["subset"]) > 1:
+        raise FileNotFoundError(f"subset of {repo} is not given; there are {sorted(found['subset'])}")
+    if subset and found["subset"] and subset not in found["subset"]:
+        raise FileNotFoundError(f"subset '{subset}' of {repo}")
+    if split and found["split"]:
+        within = matching_names(spark, f"{base}/subset={subset}/split=*") if subset else []
+        here = {unquote(f.split("=", 1)[1]) for f in within} or found["split"]
+        if split not in here:
+            raise FileNotFoundError(f"split '{split}' of {repo}")
+
+
 def _partitioned(spark, root, repo, split, subset, fmt, schema) -> DataFrame:
     if root is None:
         df = spark.table(repo)
     else:
+        base = f"{root.rstrip('/')}/{repo}"
+        _check_partitions(spark, base, repo, split, subset)
         reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.format(fmt or "parquet").load(f"{root.rstrip('/')}/{repo}")
+        df = reader.format(fmt or "parquet").load(base)
     wanted = {"split": split, "subset": subset}
     for name, value in wanted.items():
         if name in df.columns and value:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from ..operators import ledger as led
 from ..operators.deliver import write_checked
 from ..operators.generate import Generator, augment
 from ..operators.select import drop_blank_rows, keep_columns
+from ..sources.storage import delete, promote
 
 
 def read_arrivals(
@@ -61,9 +63,10 @@ def deliver_arrivals(
     generator: Generator | None = None,
     **options,
 ) -> StreamingQuery:
-    """Write each micro-batch to ``<out_dir>/batch=<n>``, check it on the way and
-    record it in the ledger as ``<dataset_id>/<n>``. ``kind`` and ``generator``
-    augment it first. A batch that runs twice after a failure
+    """Write each micro-batch to a staging folder, check it on the way, move it to
+    ``<out_dir>/batch=<n>`` if it passes and record it in the ledger as
+    ``<dataset_id>/<n>``; a batch that fails is recorded without a path and not
+    delivered. ``kind`` and ``generator`` augment it first. A batch that runs twice after a failure
     overwrites its own folder and ledger entry, so nothing is counted twice.
     ``trigger`` defaults to one run over what is there; pass
     {"processingTime": "1 minute"} to keep looking."""
@@ -71,7 +74,17 @@ def deliver_arrivals(
     def one_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         path = f"{out_dir}/batch={number}"
-        report = write_checked(augment(batch, kind, generator, **options), path, columns_keep, 0).first()
+        staged = f"{out_dir}/_staged-{uuid.uuid4().hex}"
+        try:
+            report = write_checked(augment(batch, kind, generator, **options), staged, columns_keep, 0).first()
+        except Exception:
+            delete(spark, staged)
+            raise
+        if report["passed"]:
+            promote(spark, staged, path)
+        else:
+            delete(spark, staged)
+            path = None
         at = processed_at(number) if callable(processed_at) else processed_at
         update = spark.createDataFrame(
             [(f"{dataset_id}/{number}", path, report["rows_out"], kind or "none", report["passed"], at)],
