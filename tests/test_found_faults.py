@@ -142,8 +142,9 @@ def test_stream_batch_that_fails_is_not_delivered(spark, tmp_path):
     spark.createDataFrame([("same", "same")] * 3, "a string, b string").write.parquet(str(tmp_path / "in"))
     stream = arrivals.read_arrivals(spark, str(tmp_path / "in"), AB)
     run = arrivals.deliver_arrivals(
-        stream, ["a", "b", "absent"], str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "ledger"), "s", "now"
-    )
+        stream, ["a", "b", "absent"], str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "ledger"), "s", "now",
+        deliver_failed=False,
+    )
     run.awaitTermination(120)
     entry = tl.ledger_read(spark, str(tmp_path / "ledger")).first()
     assert (entry.validation_passed, entry.local_path) == (False, None)

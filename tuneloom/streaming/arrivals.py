@@ -59,14 +59,15 @@ def deliver_arrivals(
     dataset_id: str,
     processed_at: str | Callable[[int], str],
     trigger: dict | None = None,
+    deliver_failed: bool = True,
     kind: str | None = None,
     generator: Generator | None = None,
     **options,
 ) -> StreamingQuery:
     """Write each micro-batch to a staging folder, check it on the way, move it to
-    ``<out_dir>/batch=<n>`` if it passes and record it in the ledger as
-    ``<dataset_id>/<n>``; a batch that fails is recorded without a path and not
-    delivered. ``kind`` and ``generator`` augment it first. A batch that runs twice after a failure
+    ``<out_dir>/batch=<n>`` and record it in the ledger as ``<dataset_id>/<n>``.
+    Without ``deliver_failed`` a batch that fails is recorded without a path and
+    not delivered. ``kind`` and ``generator`` augment it first. A batch that runs twice after a failure
     overwrites its own folder and ledger entry, so nothing is counted twice.
     ``trigger`` defaults to one run over what is there; pass
     {"processingTime": "1 minute"} to keep looking."""
@@ -80,7 +81,7 @@ def deliver_arrivals(
         except Exception:
             delete(spark, staged)
             raise
-        if report["passed"]:
+        if report["passed"] or deliver_failed:
             promote(spark, staged, path)
         else:
             delete(spark, staged)
