@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -60,6 +62,18 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return readers.read_dataset(spark, d, name)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, which all executors see;
+    only a local session may do without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        base = tempfile.mkdtemp(prefix="tuneloom-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/tuneloom/{uuid.uuid4().hex}/{name}"
+
+
 # -- inputs derived from the tables ----------------------------------------
 
 WS = f"[{PY_WHITESPACE_CLASS}]"
@@ -239,7 +253,7 @@ def source_scan(spark, d):
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def parquet_zstd(spark, d):
     """Zstd files read like any other."""
-    path = storage.scratch_path(spark, "zstd.parquet")
+    path = scratch_path(spark, "zstd.parquet")
     table(spark, d, "documents").write.option("compression", "zstd").parquet(path)
     return readers.read_file(spark, path)
 
@@ -247,7 +261,7 @@ def parquet_zstd(spark, d):
 @query("SELECT doc_id, text, lang, quality FROM (" + LABELLED + ")")
 def json_lines_scan(spark, d):
     """S3."""
-    path = storage.scratch_path(spark, "lines.jsonl")
+    path = scratch_path(spark, "lines.jsonl")
     labelled(spark, d).select("doc_id", "text", "lang", "quality").write.json(path)
     return readers.read_file(spark, path, "doc_id long, text string, lang string, quality int")
 
@@ -255,7 +269,7 @@ def json_lines_scan(spark, d):
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def csv_scan(spark, d):
     """Quoted line breaks, quotes and commas."""
-    path = storage.scratch_path(spark, "turns.csv")
+    path = scratch_path(spark, "turns.csv")
     _write_csv(table(spark, d, "conversations"), path, ",")
     return readers.read_file(spark, path, "conv_id long, turn long, role string, text string")
 
@@ -263,7 +277,7 @@ def csv_scan(spark, d):
 @query("SELECT page_id, url, html FROM pages")
 def tsv_scan(spark, d):
     """S5."""
-    path = storage.scratch_path(spark, "pages.tsv")
+    path = scratch_path(spark, "pages.tsv")
     _write_csv(table(spark, d, "pages"), path, "\t")
     return readers.read_file(spark, path, "page_id long, url string, html string")
 
@@ -275,6 +289,36 @@ def _write_csv(df, path, sep):
     )
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def mixed_folder_scan(spark, d):
+    """One folder with CSV, JSON lines and parquet files."""
+    path = scratch_path(spark, "mixed")
+    turns = table(spark, d, "conversations")
+    _write_csv(turns.where("role = 'user'"), path, ",")
+    turns.where("role = 'assistant'").write.mode("append").json(path)
+    turns.where("role NOT IN ('user', 'assistant')").write.mode("append").parquet(path)
+    return readers.read_file(spark, path, "conv_id long, turn long, role string, text string")
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def sharded_scan(spark, d):
+    """A split in numbered files under data/."""
+    base = scratch_path(spark, "root")
+    table(spark, d, "conversations").repartition(3).write.parquet(f"{base}/staged")
+    for n, part in enumerate(storage.matching_paths(spark, f"{base}/staged/*.parquet")):
+        storage.promote(spark, part, f"{base}/org/turns/data/train-{n:05d}-of-00003.parquet")
+    return readers.read_dataset(spark, base, "org/turns", "train")
+
+
+@query("SELECT conv_id, turn, text FROM conversations WHERE role = 'user'")
+def partitioned_scan(spark, d):
+    """A split in a partition folder of JSON lines."""
+    base = scratch_path(spark, "root")
+    turns = table(spark, d, "conversations").withColumnRenamed("role", "split")
+    turns.write.partitionBy("split").json(f"{base}/org/turns")
+    return readers.read_dataset(spark, base, "org/turns", "user").select("conv_id", "turn", "text")
+
+
 def _packed(df, columns):
     """The rows as .tgz archives, one per Arrow batch, each with a notes file
     and the rows in a CSV member."""
@@ -312,6 +356,41 @@ def archive_rows(spark, d):
     return archives.archive_records(packed, turns.schema, "part.trn.csv").drop("archive")
 
 
+def _packed_as(df, columns, kind):
+    """The rows as .tgz archives, one per Arrow batch, with a member of that kind."""
+
+    def pack(batches):
+        import io
+        import tarfile
+
+        for pdf in batches:
+            if kind == "parquet":
+                data = pdf.to_parquet(index=False)
+            else:
+                data = pdf.to_json(orient="records", lines=kind == "jsonl", force_ascii=False).encode()
+            blob, info = io.BytesIO(), tarfile.TarInfo(f"x/part.{kind}")
+            info.size = len(data)
+            with tarfile.open(fileobj=blob, mode="w:gz") as tar:
+                tar.addfile(info, io.BytesIO(data))
+            yield pd.DataFrame({"path": [f"{kind}.tgz"], "content": [blob.getvalue()]})
+
+    import pandas as pd
+
+    return df.select(columns).mapInPandas(pack, "path string, content binary")
+
+
+@query("""
+  SELECT conv_id, turn, role, text, 'x/part.' || kind AS member
+  FROM conversations, (VALUES ('json'), ('jsonl'), ('parquet')) AS k(kind)""")
+def archive_members(spark, d):
+    """JSON arrays, JSON lines and parquet out of .tgz archives."""
+    turns = table(spark, d, "conversations")
+    columns = ["conv_id", "turn", "role", "text"]
+    json, lines, parquet = (_packed_as(turns, columns, kind) for kind in ("json", "jsonl", "parquet"))
+    packed = json.union(lines).union(parquet)
+    return archives.archive_records(packed, turns.schema).drop("archive")
+
+
 @query("SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 100")
 def head_ordered(spark, d):
     """S10."""
@@ -609,6 +688,18 @@ def generate_failures(spark, d):
     return made.select("doc_id", "generation.raw", "generation.status", "generation.attempts")
 
 
+@query("""
+  SELECT doc_id, 'ok' AS status, CASE WHEN lang = 'de' THEN md5(lang || ':' || source)
+    ELSE upper(lang || ':' || source) END AS raw FROM documents""")
+def generate_resumed(spark, d):
+    """A second run asks only for what the first one did not get."""
+    df = table(spark, d, "documents").select("doc_id", F.concat_ws(":", "lang", "source").alias("prompt"))
+    store = scratch_path(spark, "replies")
+    gen.generate_resumed(df, F.col("prompt"), picky_generator(), store, batch_size=1, max_attempts=1)
+    made = gen.generate_resumed(df, F.col("prompt"), digest_generator(), store)
+    return made.select("doc_id", "generation.status", "generation.raw")
+
+
 @query("""
   SELECT CASE WHEN lang = 'de' THEN 'failed' ELSE 'ok' END AS status, count(*) AS n
   FROM documents GROUP BY 1""")
@@ -901,7 +992,7 @@ def validate_many_limits(spark, d):
 @query(f"SELECT * FROM ({PAIRS}) WHERE response IS NOT NULL")
 def deliver_rescan(spark, d):
     """What was delivered, read again."""
-    base = storage.scratch_path(spark, "base")
+    base = scratch_path(spark, "base")
     kept = sel.drop_blank_rows(pairs(spark, d))
     where = out.deliver(kept, base, "01-pairs", "pairs", NOW).head()["local_path"]
     return out.rescan(spark, where)
@@ -911,7 +1002,7 @@ def deliver_rescan(spark, d):
   SELECT 'docs' AS dataset_id, count(*) AS rows, '{NOW}' AS processed_at, true AS published FROM documents""")
 def delivery_result(spark, d):
     """K2, K3: rows counted while writing; a second copy."""
-    base = storage.scratch_path(spark, "base")
+    base = scratch_path(spark, "base")
     result = out.deliver(
         table(spark, d, "documents"), base, "docs", "docs", NOW, publish_to=f"{base}/second/docs"
     )
@@ -921,7 +1012,7 @@ def delivery_result(spark, d):
 @query("SELECT page_id, url, html FROM pages")
 def republish_rescan(spark, d):
     """K4: published again from the ledger entry."""
-    base = storage.scratch_path(spark, "base")
+    base = scratch_path(spark, "base")
     result = out.deliver(table(spark, d, "pages"), base, "pages", "pages", NOW)
     rec.republish(spark, result, "pages", f"{base}/again/pages")
     return out.rescan(spark, f"{base}/again/pages")
@@ -930,7 +1021,7 @@ def republish_rescan(spark, d):
 @query(sql_long(sql_counts("SELECT url, html FROM pages", ["url", "html"], ["url", "html"]), "1"))
 def revalidate_delivered(spark, d):
     """Deliver, read again, check."""
-    base = storage.scratch_path(spark, "base")
+    base = scratch_path(spark, "base")
     result = out.deliver(table(spark, d, "pages").select("url", "html"), base, "pages", "pages", NOW)
     return qual.report_long(rec.revalidate(spark, result, "pages"))
 
@@ -965,7 +1056,7 @@ def provenance(spark, d):
 @query(_FINISHED)
 def ledger_saved(spark, d):
     """K6: ledger written as JSON lines and read again."""
-    path = storage.scratch_path(spark, "ledger.jsonl")
+    path = scratch_path(spark, "ledger.jsonl")
     led.ledger_save(finished(spark, d), path)
     again = readers.read_file(spark, path, led.LEDGER_SCHEMA)
     return again.withColumn("known_issues_resolved", F.array_join("known_issues_resolved", ", "))
@@ -1037,19 +1128,35 @@ def updates(spark, d):
     )
 
 
-@query(f"""
+UPSERT = f"""
   WITH u AS (SELECT id AS dataset_id, CASE WHEN rows > 1000 THEN rows END AS rows_out,
                '{NOW}' AS processed_at, project AS owner, true AS seen
              FROM ({ENTRIES}) WHERE recipe_target = 'BUILDING')
   SELECT coalesce(u.dataset_id, l.dataset_id) AS dataset_id,
     (CASE WHEN u.seen THEN u.rows_out ELSE l.rows_out END)::BIGINT AS rows_out, l.validation_passed,
     CASE WHEN u.seen THEN u.processed_at ELSE l.processed_at END AS processed_at, l.local_path, u.owner
-  FROM ({LEDGER}) l FULL OUTER JOIN u ON u.dataset_id = l.dataset_id""")
+  FROM ({LEDGER}) l FULL OUTER JOIN u ON u.dataset_id = l.dataset_id"""
+
+
+@query(UPSERT)
 def ledger_upsert(spark, d):
     """L5."""
     return led.ledger_upsert(ledger(spark, d), updates(spark, d))
 
 
+@query(UPSERT)
+def ledger_changes(spark, d):
+    """The same through the stored ledger, to which two writers add."""
+    root = scratch_path(spark, "ledger")
+    before = led.ledger_read(spark, root)
+    led.ledger_write(ledger(spark, d), root)
+    assert before.isEmpty()  # the second writer knows nothing of the first
+    led.ledger_write(updates(spark, d), root)
+    led.ledger_compact(spark, root)
+    names = ["dataset_id", "rows_out", "validation_passed", "processed_at", "local_path", "owner"]
+    return led.ledger_read(spark, root).select(names)
+
+
 @query(f"""
   SELECT e.id, CASE WHEN l.validation_passed THEN 'complete' WHEN e.status = 'ready' THEN 'ready'
       ELSE 'pending' END AS status, e.project, e.recipe_target,
@@ -1197,7 +1304,7 @@ def recipe_structured_report(spark, d):
     recipe = rec.RECIPES["structured_output"]
     made = rec.recipe_frame(scenarios(spark, d), recipe, echo_record_generator(), ["o_orderkey"])
     report = out.write_checked(
-        made, storage.scratch_path(spark, "made.parquet"), recipe.columns_keep, recipe.min_rows,
+        made, scratch_path(spark, "made.parquet"), recipe.columns_keep, recipe.min_rows,
         recipe.output_type, recipe.json_columns,
     )
     return qual.report_long(report)
@@ -1261,7 +1368,7 @@ def registry_run(spark, d):
         }
         for i, t, c, n, m, a, r in _RUN
     ]
-    base = storage.scratch_path(spark, "run")
+    base = scratch_path(spark, "run")
     results = rec.run_registry(
         spark, registry.registry_frame(spark, entries_), f"{base}/ledger", d, f"{base}/out", NOW,
         all_datasets=True, keys=keys,
@@ -1278,7 +1385,7 @@ _ARRIVED = ", ".join(f"regexp_matches(text, '{p}') AS has_{k}" for k, p in PII_P
 @query(f"SELECT doc_id, text, {_ARRIVED} FROM documents")
 def stream_arrivals(spark, d):
     """ST2: files read as a stream, delivered per micro-batch."""
-    base = storage.scratch_path(spark, "stream")
+    base = scratch_path(spark, "stream")
     schema = table(spark, d, "documents").schema
     stream = arrivals.read_arrivals(spark, d, schema, pattern="documents.parquet")
     run = arrivals.deliver_arrivals(

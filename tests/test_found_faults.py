@@ -1,6 +1,8 @@
 """Inputs that were once read or judged wrongly."""
 
+import glob
 import io
+import json
 import tarfile
 
 import pyarrow as pa
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tuneloom as tl
+from tuneloom.operators import generate as gen
 from tuneloom.plans import recipes
 from tuneloom.sources import archives
 from tuneloom.streaming import arrivals
@@ -149,3 +152,106 @@ def test_stream_batch_that_fails_is_not_delivered(spark, tmp_path):
     entry = tl.ledger_read(spark, str(tmp_path / "ledger")).first()
     assert (entry.validation_passed, entry.local_path) == (False, None)
     assert not [p for p in (tmp_path / "out").glob("*") if not p.name.startswith(".")]
+
+
+def test_json_files_of_one_folder_each_in_its_own_way(spark, tmp_path):
+    write(tmp_path / "d" / "a.json", '{"a": "1"}\n{"a": "2"}\n')
+    write(tmp_path / "d" / "b.json", '[{"a": "3"}, {"a": "4"}]')
+    write(tmp_path / "d" / "c.json", '\n{\n"a": "5"}\n')
+    write(tmp_path / "d" / "d.json", '[{"a": "6"},\n{"a": "7", "b": "x"}]\n')
+    write(tmp_path / "d" / "e.json", "")
+    write(tmp_path / "d" / "f.json", json.dumps({"a": "é" * 100_000}))
+    got = sorted(r.a[:1] for r in tl.read_file(spark, str(tmp_path / "d")).collect())
+    assert got == ["1", "2", "3", "4", "5", "6", "7", "é"]
+    two = tl.read_file(spark, [str(tmp_path / "d" / n) for n in ("a.json", "b.json")])
+    assert two.count() == 4
+    write(tmp_path / "e" / "a.json", '{"a": "1"}\n{broken\n')
+    with pytest.raises(Exception):
+        tl.read_file(spark, str(tmp_path / "e")).collect()
+
+
+def test_head_reads_few_files_of_many(spark, tmp_path):
+    path = str(tmp_path / "many")
+    spark.range(60).repartition(12).write.parquet(path)
+    assert len(tl.read_head(spark, path, 3).inputFiles()) == 1
+    assert tl.read_head(spark, path, 60).count() == 60 and tl.read_head(spark, path, 99).count() == 60
+    assert tl.read_head(spark, one_file(path), 99).count() < 60
+
+
+def one_file(folder):
+    return glob.glob(f"{folder}/*.parquet")[0]
+
+
+@pytest.mark.parametrize("kind", ["json", "csv", "parquet"])
+def test_format_of_partitions(spark, tmp_path, kind):
+    df = spark.createDataFrame([("1", "x", "train"), ("2", "y", "test")], "a string, subset string, split string")
+    writer = df.write.partitionBy("subset", "split")
+    (writer.option("header", True) if kind == "csv" else writer).format(kind).save(str(tmp_path / "one"))
+    assert [r.a for r in tl.read_dataset(spark, str(tmp_path), "one", "test", "y").collect()] == ["2"]
+
+
+def test_prepare_reads_the_kept_columns_and_the_key(spark, tmp_path):
+    rows = [(i, f"q{i}", f"a{i}", "long") for i in range(30)]
+    spark.createDataFrame(rows, "id int, q string, a string, text string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for key, want in ((["id"], {"id", "q"}), (None, {"q"})):
+        for limit in (20_000, 0):
+            recipe = recipes.Recipe("r", "t", ["q"], rows=7)
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setitem(recipes.sample_exact.__globals__, "TOPN_MAX_ROWS", limit)
+                made = recipes.prepare(df, recipe, key)
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            read = plan.split("ReadSchema: struct<")[1].split(">")[0]
+            assert {f.split(":")[0] for f in read.split(",")} == want
+            assert made.columns == ["q"] and made.count() == 7
+
+
+def test_replies_are_asked_for_once(spark, tmp_path):
+    calls, store = str(tmp_path / "calls"), str(tmp_path / "store")
+
+    def model(mark, broken):
+        def reply(prompts):
+            with open(calls, "a") as f:
+                f.writelines(f"{p}\n" for p in prompts)
+            if any(p in broken for p in prompts):
+                raise RuntimeError("no")
+            return [mark + p for p in prompts]
+
+        return reply
+
+    def asked():
+        with open(calls) as f:
+            return sorted(f.read().split())
+
+    df = spark.createDataFrame([(i, p) for i, p in enumerate("aabcc")] + [(9, None)], "id int, p string")
+
+    def run(reply):
+        made = tl.generate_resumed(df, F.col("p"), reply, store, batch_size=1, max_attempts=1, backoff=0)
+        return {r.id: (r.generation.raw, r.generation.status) for r in made.collect()}
+
+    first = run(model("1", {"c"}))
+    assert first == {0: ("1a", "ok"), 1: ("1a", "ok"), 2: ("1b", "ok"), 3: ("", "failed"), 4: ("", "failed"), 9: ("1", "ok")}
+    assert asked() == ["a", "b", "c"]
+    second = run(model("2", set()))
+    assert second == {**first, 3: ("2c", "ok"), 4: ("2c", "ok")} and asked() == ["a", "b", "c", "c"]
+    assert run(model("3", set())) == second and asked() == ["a", "b", "c", "c"]
+
+
+def test_replies_of_a_run_that_dies_are_kept(spark, tmp_path):
+    store = str(tmp_path / "store")
+    df = spark.range(40).selectExpr("id", "string(id) AS p")
+
+    def dies(prompts):
+        import time
+
+        if "7" in prompts:
+            time.sleep(3)
+            raise SystemExit("gone")
+        return prompts
+
+    with pytest.raises(Exception):
+        tl.generate_resumed(df, F.col("p"), dies, store, batch_size=1, rows_per_task=1)
+    kept = gen.stored_replies(spark, store).count()
+    assert 0 < kept < 40
+    made = tl.generate_resumed(df, F.col("p"), lambda ps: ["x" for _ in ps], store)
+    assert made.where("generation.raw = 'x'").count() == 40 - kept

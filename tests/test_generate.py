@@ -50,7 +50,8 @@ def always(*texts):
 def run(spark, generator, n=1, **options):
     df = spark.range(0, n, 1, 1).select(F.concat(F.lit("p"), "id").alias("prompt"))
     made = gen.generate(df, F.col("prompt"), generator, backoff=0.0, **options).select("generation.*").collect()
-    return [tuple(r) for r in made]
+    assert all((r.error is None) == (r.status == "ok") for r in made)
+    return [(r.raw, r.status, r.attempts) for r in made]
 
 
 def test_reply_forms(spark):

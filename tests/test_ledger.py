@@ -83,20 +83,47 @@ def test_upsert_merges_fields(spark, ledger):
     assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, merged.collect()), key=str)
 
 
-def test_versions(spark, ledger, tmp_path):
+def test_changes(spark, ledger, tmp_path):
     root = str(tmp_path / "ledger")
     assert led.ledger_read(spark, root).isEmpty()
     led.ledger_write(ledger, root)
+    held = led.ledger_read(spark, root)
     update = spark.createDataFrame([("z", 1)], "dataset_id string, rows_out long")
     led.ledger_write(led.ledger_upsert(led.ledger_read(spark, root), update), root)
     assert ids(led.ledger_read(spark, root), "dataset_id") == ["a", "b", "d", "z"]
     for _ in range(15):
         led.ledger_write(led.ledger_read(spark, root), root)
-    assert len(list((tmp_path / "ledger").iterdir())) == led.KEEP_VERSIONS
+    assert ids(held, "dataset_id") == ["a", "b", "d"]  # nothing goes under a reader
     assert ids(led.ledger_read(spark, root), "dataset_id") == ["a", "b", "d", "z"]
     assert not [p for p in (tmp_path / "ledger").iterdir() if p.name.startswith("_staged")]
 
 
+def test_two_writers_lose_nothing(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    led.ledger_write(spark.createDataFrame([("a", 1, "x")], "dataset_id string, rows_in long, repo string"), root)
+    seen = [led.ledger_read(spark, root), led.ledger_read(spark, root)]
+    assert [f.count() for f in seen] == [1, 1]
+    led.ledger_write(spark.createDataFrame([("a", None)], "dataset_id string, repo string"), root)
+    led.ledger_write(spark.createDataFrame([("a", 5), ("b", 2)], "dataset_id string, rows_out int"), root)
+    want = {"a": (1, 5, None), "b": (None, 2, None)}
+    for _ in range(2):
+        now = led.ledger_read(spark, root)
+        assert now.columns == led.LEDGER_SCHEMA.names
+        assert {r.dataset_id: (r.rows_in, r.rows_out, r.repo) for r in now.collect()} == want
+        led.ledger_compact(spark, root, keep_seconds=0)
+    assert len(list((tmp_path / "ledger").iterdir())) == 1
+
+
+def test_changes_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(led, "COMPACT_AFTER", 3)
+    monkeypatch.setattr(led, "KEEP_SECONDS", 0)
+    root = str(tmp_path / "ledger")
+    for n in range(9):
+        led.ledger_write(spark.createDataFrame([(f"d{n % 2}", n)], "dataset_id string, rows_out long"), root)
+    assert {r.dataset_id: r.rows_out for r in led.ledger_read(spark, root).collect()} == {"d0": 8, "d1": 7}
+    assert any(p.name.endswith("-merged") for p in (tmp_path / "ledger").iterdir())
+
+
 def test_json_ledger(spark, tmp_path):
     path = tmp_path / "ledger.json"
     assert led.ledger_read_json(spark, str(path)).isEmpty()

@@ -9,10 +9,11 @@ from .operators.deliver import (
     write_checked,
     write_snappy,
 )
-from .operators.generate import augment, generate
+from .operators.generate import augment, generate, generate_resumed
 from .operators.ledger import (
     completed,
     failed,
+    ledger_compact,
     ledger_get,
     ledger_read,
     ledger_read_json,
@@ -41,6 +42,7 @@ from .plans.recipes import (
     RECIPES,
     Recipe,
     preview_dataset,
+    preview_shape,
     recipe_frame,
     republish,
     revalidate,

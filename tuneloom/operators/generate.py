@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from typing import Any, Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.jsontext import json_valid, parse_pair, row_json
 from ..functions.text import (
@@ -16,9 +18,12 @@ from ..functions.text import (
     strip_chars_right,
     text_of,
 )
+from ..sources.storage import delete, matching_paths
 
 BATCH_SIZE = 10
 MAX_ATTEMPTS = 3
+# Prompts of one task, where the number of tasks is ours to choose.
+ROWS_PER_TASK = 500
 
 INSTRUCTION_TEMPLATE = """Below is a reply. Write the instruction or question that a person
 might have sent to get it. Use one to three sentences and no names of people,
@@ -142,6 +147,66 @@ def generate(
     return df.withColumn(output, udf(prompt))
 
 
+REPLY = "struct<raw:string,status:string,attempts:int,error:string>"
+
+
+def stored_replies(spark: SparkSession, store: str) -> DataFrame:
+    """prompt_key, reply: of every prompt asked so far one reply, a good one if
+    there is any, else the last."""
+    schema = f"prompt_key string, reply {REPLY}, at bigint"
+    files = matching_paths(spark, f"{store.rstrip('/')}/replies-*/*.parquet")
+    if not files:
+        return spark.createDataFrame([], schema).drop("at")
+    better = F.struct(F.col("reply.status") == "ok", "at")
+    rows = spark.read.schema(schema).parquet(*files)
+    return rows.groupBy("prompt_key").agg(F.max_by("reply", better).alias("reply"))
+
+
+def generate_resumed(
+    df: DataFrame,
+    prompt: Column,
+    generator: Generator,
+    store: str,
+    batch_size: int = BATCH_SIZE,
+    max_attempts: int = MAX_ATTEMPTS,
+    backoff: float = 1.0,
+    output: str = "generation",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """As ``generate``, with replies kept in the folder ``store``: a prompt that has
+    a good reply there is not asked again, by this run or a later one. Calls are
+    made at once. Every finished task's replies are in the store even if the run
+    dies; prompts that failed are asked again next time.
+
+    Replies are filed by a hash of the prompt, so equal prompts share one, and a
+    changed template asks anew; keep a store per model. A null prompt counts as
+    empty.
+    """
+    spark, store = df.sparkSession, store.rstrip("/")
+    filled = F.coalesce(prompt, F.lit(""))
+    key = F.sha2(filled, 256)
+    known = stored_replies(spark, store).where("reply.status = 'ok'").select("prompt_key")
+    wanted = df.select(key.alias("prompt_key"), filled.alias("prompt")).dropDuplicates(["prompt_key"])
+    asked = f"{store}/_asked-{uuid.uuid4().hex}"
+    try:
+        wanted.join(known, "prompt_key", "left_anti").write.parquet(asked)
+        todo = spark.read.schema("prompt_key string, prompt string").parquet(asked)
+        n = todo.count()
+        if n:
+            dealt = todo.repartition(-(-n // rows_per_task))
+            made = generate(dealt, F.col("prompt"), generator, batch_size, max_attempts, backoff, "reply")
+            # version 2: a task's file is in place when the task ends, not when the job does
+            made.select("prompt_key", "reply", F.lit(time.time_ns()).cast("bigint").alias("at")).write.option(
+                "mapreduce.fileoutputcommitter.algorithm.version", "2"
+            ).parquet(f"{store}/replies-{uuid.uuid4().hex}")
+    finally:
+        delete(spark, asked)
+    replies = stored_replies(spark, store).select("prompt_key", F.col("reply").alias(output))
+    return df.withColumn("__prompt_key", key).join(
+        replies.withColumnRenamed("prompt_key", "__prompt_key"), "__prompt_key", "left"
+    ).drop("__prompt_key")
+
+
 def first_generation(replies: Column) -> Column:
     """First text of array<string>; null, empty and a null first text give ''."""
     return F.coalesce(F.try_element_at(replies, F.lit(1)), F.lit(""))
@@ -181,6 +246,9 @@ def _run(df: DataFrame, prompt: Column, names: list[str], generator: Generator,
     taken = [c for c in names if c in df.columns]
     if taken:  # before any prompt is sent
         raise ValueError(f"columns exist already: {taken}")
+    if options.get("store"):
+        return generate_resumed(df, prompt, generator, output="__generation", **options)
+    options.pop("store", None)
     return generate(df, prompt, generator, output="__generation", **options)
 
 

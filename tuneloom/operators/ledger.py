@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.schema import BOOL, LONG, STRING, STRINGS, struct_of
 from ..functions.jsontext import json_valid
 from ..functions.text import join_or_default, quoted, truncate
-from ..sources.storage import delete, folder_bytes, matching_names, path_exists, promote
+from ..sources.storage import delete, matching_paths, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -31,38 +32,89 @@ LEDGER_SCHEMA = struct_of(
     project=STRING,
     known_issues_resolved=STRINGS,
 )
-# A JSON ledger file is one document and is read in one piece.
-MAX_JSON_LEDGER_BYTES = 64 << 20
-# Versions kept for readers that still hold one.
-KEEP_VERSIONS = 10
+# Column of a stored change: field → when it was given, in nanoseconds.
+AT = "__at"
+# Change folders after which they are put together.
+COMPACT_AFTER = 64
+# Age at which folders that were put together go: no reader holds them longer.
+KEEP_SECONDS = 24 * 3600
 
 
 # -- storage ---------------------------------------------------------------
+# A ledger is a folder of changes. Every change is a folder of its own that no
+# other writer touches; of each field the value given last counts. So writers
+# need no lock and lose nothing, and a change that is read twice does no harm.
+
+
+def _changes(spark: SparkSession, root: str) -> list[str]:
+    """Files of finished changes: a change is one file, which appears whole."""
+    return matching_paths(spark, f"{root.rstrip('/')}/change-*/*.parquet")
+
+
+def _merged(spark: SparkSession, files: list[str]) -> DataFrame:
+    """One row per dataset: of each field the last value, and when it was given.
+    A null that was given is a value; a field that was not given has no time."""
+    rows = spark.read.option("mergeSchema", True).parquet(*files)
+    names = [c for c in rows.columns if c not in ("dataset_id", AT)]
+    when = {c: F.try_element_at(F.col(AT), F.lit(c)) for c in names}
+    times = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.max(when[c]) for c in names]))
+    return rows.groupBy("dataset_id").agg(
+        *[F.max_by(F.col(quoted(c)), when[c]).alias(c) for c in names],
+        F.map_filter(times, lambda _, at: at.isNotNull()).alias(AT),
+    )
 
 
 def ledger_read(spark: SparkSession, root: str) -> DataFrame:
-    """Latest version of the ledger; an empty frame when there is none."""
-    versions = matching_names(spark, f"{root}/version-*")
-    if not versions:
+    """The ledger as it is now; an empty frame when there is none."""
+    files = _changes(spark, root)
+    if not files:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.parquet(f"{root}/{max(versions)}")
-
-
-def ledger_write(ledger: DataFrame, root: str) -> str:
-    """Write a new version next to the old ones; readers see it once it is
-    whole. One writer at a time; old versions go after a while."""
-    spark = ledger.sparkSession
-    versions = matching_names(spark, f"{root}/version-*")
-    number = int(max(versions).split("-")[1]) + 1 if versions else 1
-    staged = f"{root}/_staged-{uuid.uuid4().hex}"
-    ledger.write.parquet(staged)
-    path = f"{root}/version-{number:010d}"
-    promote(spark, staged, path)
-    for old in sorted(versions)[: -KEEP_VERSIONS + 1]:
-        delete(spark, f"{root}/{old}")
+    merged = _merged(spark, files).drop(AT)
+    known = [
+        F.col(f.name) if f.name in merged.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in LEDGER_SCHEMA
+    ]
+    return merged.select(*known, *[quoted(c) for c in merged.columns if c not in LEDGER_SCHEMA.names])
+
+
+def _write_change(rows: DataFrame, root: str, mark: str = "") -> str:
+    path = f"{root.rstrip('/')}/change-{time.time_ns():020d}-{uuid.uuid4().hex}{mark}"
+    rows.coalesce(1).write.parquet(path)
+    return path
+
+
+def ledger_write(update: DataFrame, root: str) -> str:
+    """Record the fields of ``update``, one row per dataset; what it does not have
+    stays as it is (``ledger_upsert`` for frames). Any number of writers may do so
+    at a time, and only the update is written. Now and then changes are put
+    together; see ``ledger_compact``."""
+    spark = update.sparkSession
+    kinds = {f.name: f.dataType for f in LEDGER_SCHEMA}
+    names = [c for c in update.columns if c != "dataset_id"]
+    values = [F.col(quoted(c)).cast(kinds.get(c, update.schema[c].dataType)).alias(c) for c in names]
+    now = F.lit(time.time_ns()).cast("long")
+    times = F.map_from_arrays(F.array(*map(F.lit, names)), F.array_repeat(now, len(names)))
+    path = _write_change(update.select("dataset_id", *values, times.alias(AT)), root)
+    files = _changes(spark, root)
+    merged = [n for n, f in enumerate(files) if "-merged/" in f]
+    if len(files) - (merged[-1] + 1 if merged else 0) > COMPACT_AFTER:
+        ledger_compact(spark, root)
     return path
 
 
+def ledger_compact(spark: SparkSession, root: str, keep_seconds: float = KEEP_SECONDS) -> None:
+    """Write all changes as one, then delete those of them that are older than
+    ``keep_seconds``. A writer or another compaction at the same time does no harm."""
+    files = _changes(spark, root)
+    if not files:
+        return
+    _write_change(_merged(spark, files), root, "-merged")
+    limit = time.time_ns() - int(keep_seconds * 1e9)
+    for folder in {f.rsplit("/", 1)[0] for f in files}:
+        if int(folder.rsplit("/", 1)[1].split("-")[1]) < limit:
+            delete(spark, folder)
+
+
 def ledger_save(ledger: DataFrame, path: str) -> None:
     """One JSON object per line and dataset, nulls kept."""
     ledger.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
@@ -70,12 +122,11 @@ def ledger_save(ledger: DataFrame, path: str) -> None:
 
 def ledger_read_json(spark: SparkSession, path: str, rename: dict[str, str] | None = None) -> DataFrame:
     """A ledger kept as one JSON object, id → entry. A missing, empty or
-    malformed file gives an empty frame. Fields that are not part of the ledger
+    malformed file gives an empty frame. The file is one document and is read by
+    one task; a ledger that outgrows that is kept with ``ledger_write``. Fields that are not part of the ledger
     schema go to the map ``extra``; ``rename`` maps field names in the file."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    if folder_bytes(spark, path) > MAX_JSON_LEDGER_BYTES:
-        raise ValueError(f"{path} is too large for one JSON document; save it as JSON lines")
     text = spark.read.text(path, wholetext=True)
     entries = text.select(
         F.from_json("value", "map<string,map<string,string>>").alias("entries"),

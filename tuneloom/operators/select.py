@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import all_of, any_blank, is_string, quoted, text_of, truncate
@@ -10,7 +12,7 @@ _HASH = "__sample_hash"
 
 # Rows that may meet in the last task of a top-n before sample_exact switches
 # to cutting by hash value. They are held in memory, texts and all.
-TOPN_MAX_ROWS = 100_000
+TOPN_MAX_ROWS = 20_000
 # Distinct hashes that may be counted one by one.
 FINE_MAX_GROUPS = 1_000_000
 # Copies of one row written by one task.
@@ -90,10 +92,23 @@ def _scan_tasks(df: DataFrame) -> int | None:
     return sum(size // (128 << 20) + 1 for size in sizes)
 
 
-def _crossing(counts: DataFrame, name: str, rows: int):
-    """First value, in order, at which the running count reaches ``rows``. One
-    task adds up the counts: 4,096 of them, or at most FINE_MAX_GROUPS or so."""
-    before = Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+def _octave() -> Column:
+    """Groups of hash values that halve in size towards zero, each cut in 32: as
+    fine around the first few hashes of very many as around all hashes of few,
+    with a few hundred groups at most in a task."""
+    bits = F.conv(F.substring(_HASH, 1, 10), 16, 2)
+    return F.struct(F.length(bits), F.substring(bits, 1, 6))
+
+
+def _crossing(hashed: DataFrame, group: Column, rows: int):
+    """The group of hashes in which the running count reaches ``rows``: its count,
+    its least and largest hash and the rows below it; None if there are fewer rows.
+    Only counts are shuffled. One task adds them up: some thousands, or at most
+    FINE_MAX_GROUPS or so."""
+    counts = hashed.groupBy(group.alias("place")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(_HASH).alias("least"), F.max(_HASH).alias("most")
+    )
+    before = Window.orderBy("least").rowsBetween(Window.unboundedPreceding, -1)
     return (
         counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .where((F.col("below") < rows) & (F.col("below") + F.col("n") >= rows))
@@ -121,10 +136,10 @@ def _top(hashed: DataFrame, plain: DataFrame, rows: int, seed: int) -> DataFrame
 def _take_by_hash(hashed: DataFrame, rows: int, seed: int, keyed: bool, method: str) -> DataFrame:
     """The ``rows`` first rows in hash order, without the hash column.
 
-    Counts hashes by a growing prefix until the place of the cut is known. The
-    first count has 4,096 groups, so each scan task sends at most that many rows
-    however much it reads; the later ones only look inside the group that holds
-    the cut.
+    Counts hashes by ever finer groups until the place of the cut is known. The
+    first count mostly tells which hashes come into question, a few per cent more
+    than are wanted; later ones only look inside the group that holds the cut. A
+    group whose least and largest hash are equal is known to the last digit.
     """
     plain = hashed.drop(_HASH)
     if rows <= 0:
@@ -133,45 +148,60 @@ def _take_by_hash(hashed: DataFrame, rows: int, seed: int, keyed: bool, method:
     small = tasks is not None and rows * tasks <= TOPN_MAX_ROWS
     if method == "topn" or (method == "auto" and small):
         return _top(hashed, plain, rows, seed)
-    prefix, need, width = "", rows, 3
+    part, group, need = hashed, _octave(), rows
     while True:
-        start = F.substring(_HASH, 1, width)
-        part = hashed.where(F.col(_HASH).startswith(prefix)) if prefix else hashed
-        counts = part.groupBy(start.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
-        hit = _crossing(counts, "prefix", need)
+        hit = _crossing(part, group, need)
         if hit is None:
             return plain
-        prefix, need = hit["prefix"], need - hit["below"]
+        need -= hit["below"]
+        least, most = hit["least"], hit["most"]
         if method == "auto" and rows - need + hit["n"] <= TOPN_MAX_ROWS:
-            return _top(hashed.where(start <= prefix), plain, rows, seed)
-        if width == 32:
+            return _top(hashed.where(F.col(_HASH) <= most), plain, rows, seed)
+        if least == most:
             break
-        width = 32 if width == 8 or hit["n"] <= FINE_MAX_GROUPS else 8
+        part = hashed.where(F.col(_HASH).between(least, most))
+        same = len(os.path.commonprefix([least, most]))
+        fine = hit["n"] <= FINE_MAX_GROUPS
+        group = F.col(_HASH) if fine else F.substring(_HASH, 1, same + 3)
     if hit["n"] == need:  # all rows with the last hash belong to the sample
-        return hashed.where(F.col(_HASH) <= prefix).drop(_HASH)
-    at_cut = hashed.where(F.col(_HASH) == prefix).drop(_HASH)
+        return hashed.where(F.col(_HASH) <= most).drop(_HASH)
+    at_cut = hashed.where(F.col(_HASH) == most).drop(_HASH)
     if keyed:  # the key is not unique here: go on by whole row
         at_cut = at_cut.withColumn(_HASH, _row_hash(at_cut, seed))
         rest = _take_by_hash(at_cut, need, seed, False, method)
     else:  # equal hashes of whole rows are copies
         rest = _copies(at_cut.limit(1), need)
-    return hashed.where(F.col(_HASH) < prefix).drop(_HASH).unionByName(rest)
+    return hashed.where(F.col(_HASH) < most).drop(_HASH).unionByName(rest)
+
+
+def _hashed(
+    df: DataFrame, columns: list[str] | None, seed: int, key: list[str] | None
+) -> DataFrame:
+    """The kept columns and the sample hash; of the others only the key is read."""
+    kept = df if columns is None else keep_columns(df, columns)
+    hash_of = _sample_hash(df if key else kept, seed, key)
+    return df.select(*map(quoted, kept.columns), hash_of.alias(_HASH))
 
 
 def sample_exact(
-    df: DataFrame, rows: int, seed: int = 42, key: list[str] | None = None, method: str = "auto"
+    df: DataFrame,
+    rows: int,
+    seed: int = 42,
+    key: list[str] | None = None,
+    method: str = "auto",
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Exactly ``min(rows, count)`` rows, the same ones for the same seed however
-    the data are partitioned.
-
-    Rows are taken in the order of md5(seed, key), or of the whole row without a
-    key. ``topn`` keeps a heap per task and merges the heaps in one task; ``cut``
-    first finds the hash value that has exactly ``rows`` rows up to it (counts
-    only) and then filters by it, so no rows meet in one task. ``auto`` takes
-    ``topn`` where the merge stays small, after a filter by hash prefix if need be.
+    the data are partitioned; of ``columns`` only, if given.
+
+    Rows are taken in the order of md5(seed, key), or of the whole row (of the
+    columns taken) without a key. ``topn`` keeps a heap per task and merges the
+    heaps in one task; ``cut`` first finds the hash value that has exactly ``rows``
+    rows up to it (counts only) and then filters by it, so no rows meet in one
+    task. ``auto`` takes ``topn`` where the merge stays small, after a filter by
+    hash if need be. Both but ``topn`` count while the frame is built.
     """
-    hashed = df.withColumn(_HASH, _sample_hash(df, seed, key))
-    return _take_by_hash(hashed, rows, seed, bool(key), method)
+    return _take_by_hash(_hashed(df, columns, seed, key), rows, seed, bool(key), method)
 
 
 def select_rows(
@@ -184,8 +214,6 @@ def select_rows(
 ) -> DataFrame:
     """Whitelist, then blank-row removal, then an exact sample. Key columns may
     lie outside the whitelist."""
-    kept = keep_columns(df, columns_keep)
-    hash_of = _sample_hash(kept if not key else df, seed, key)
-    hashed = df.select(*map(quoted, kept.columns), hash_of.alias(_HASH))
-    valid = drop_blank_rows(hashed, kept.columns)
+    hashed = _hashed(df, columns_keep, seed, key)
+    valid = drop_blank_rows(hashed, keep_columns(df, columns_keep).columns)
     return _take_by_hash(valid, rows, seed, bool(key), method)

@@ -19,6 +19,7 @@ from ..operators.generate import (
     AUGMENTATIONS,
     BATCH_SIZE,
     RECORD_KEYS,
+    ROWS_PER_TASK,
     STATUS_COLUMNS,
     Generator,
     augment,
@@ -26,10 +27,10 @@ from ..operators.generate import (
 from ..operators.quality import JSON_COLUMNS, default_min_rows, quality_report
 from ..operators.select import (
     drop_blank_rows,
-    keep_columns,
     missing_columns,
     preview,
     sample_exact,
+    shape,
 )
 from ..sources.archives import archive_records, scan_archives
 from ..sources.listing import list_files, pick_files
@@ -69,6 +70,9 @@ class Recipe:
     recipe_target: str = ""
     project: str = ""
     status: str | None = "pending"
+    fmt: str | None = None
+    multiline: bool = True
+    spread: int | None = None
     known_issues: list[str] = field(default_factory=list)
     notes: str | None = None
 
@@ -137,14 +141,16 @@ def open_source(
     file; without one, the archives or plain files the entry names."""
 
     def named() -> DataFrame:
-        return read_dataset(spark, root, recipe.repo, recipe.split, recipe.subset, schema=schema)
+        return read_dataset(
+            spark, root, recipe.repo, recipe.split, recipe.subset, recipe.fmt, schema, multiline=recipe.multiline
+        )
 
     def raw_file() -> DataFrame:
         listing = list_files(spark, root, recipe.repo)
         best = pick_files(listing).where(F.col("path").isNotNull()).head(1)
         if not best:
             raise DatasetReadError(recipe.repo, "no loadable data files")
-        return read_file(spark, f"{root.rstrip('/')}/{recipe.repo}/{best[0].path}", schema)
+        return read_file(spark, f"{root.rstrip('/')}/{recipe.repo}/{best[0].path}", schema, multiline=recipe.multiline)
 
     def archive() -> DataFrame:
         columns = schema or T.StructType(
@@ -152,8 +158,8 @@ def open_source(
         )
         packed = scan_archives(spark, recipe.data_url)
         if packed.select("path").isEmpty():
-            return read_file(spark, recipe.data_url, schema)
-        records = archive_records(packed, columns, recipe.data_url_file)
+            return read_file(spark, recipe.data_url, schema, recipe.fmt, multiline=recipe.multiline)
+        records = archive_records(packed, columns, recipe.data_url_file, recipe.spread)
         return records.drop("archive", "member")
 
     sources: list[Callable[[], DataFrame]] = [named]
@@ -165,28 +171,32 @@ def open_source(
 
 
 def prepare(df: DataFrame, recipe: Recipe, key: list[str] | None = None) -> DataFrame:
-    """Sample, keep columns, drop blank rows, in this order: a source with many
-    blank rows is over-fetched on purpose. After the sample there are never more
+    """Sample the kept columns, then drop blank rows: a source with many
+    blank rows is over-fetched on purpose. Of the other columns only the key is read. After the sample there are never more
     than ``rows`` rows, so there is nothing left to sample a second time."""
     absent = missing_columns(df, recipe.columns_keep)
     if absent:
         log.warning("%s: columns not found, going on without: %s", recipe.id, absent)
-    fetched = sample_exact(df, recipe.rows, recipe.random_seed, key)
-    return drop_blank_rows(keep_columns(fetched, recipe.columns_keep))
+    return drop_blank_rows(
+        sample_exact(df, recipe.rows, recipe.random_seed, key, columns=recipe.columns_keep)
+    )
 
 
 def augment_parallel(
     df: DataFrame, recipe: Recipe, generator: Generator | None, parallelism: int | None, **options
 ) -> DataFrame:
-    """Augment with ``parallelism`` concurrent callers, by default as many as
-    there are cores and batches; a small sample sits in one partition, which
-    would make one caller."""
+    """Augment in ``parallelism`` partitions, by default as many as there are cores
+    and batches; a small sample sits in one partition, which would make one caller.
+    A partition has no more than ROWS_PER_TASK rows or so, since a lost task asks
+    again for all of its own."""
     if recipe.kind == "none":
         return df
-    batches = -(-recipe.rows // options.get("batch_size", BATCH_SIZE))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    callers = parallelism or max(1, min(cores, batches))
-    return augment(df.repartition(callers), recipe.kind, generator, **options)
+    if not options.get("store"):  # which deals prompts out itself
+        batches = -(-recipe.rows // options.get("batch_size", BATCH_SIZE))
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = max(1, min(cores, batches), -(-recipe.rows // ROWS_PER_TASK))
+        df = df.repartition(parallelism or parts)
+    return augment(df, recipe.kind, generator, **options)
 
 
 def recipe_frame(
@@ -197,7 +207,8 @@ def recipe_frame(
     parallelism: int | None = None,
     **options,
 ) -> DataFrame:
-    """The dataset a run would deliver, as one lazy frame."""
+    """The dataset a run would deliver, as one lazy frame; with the option ``store``
+    (see ``generate_resumed``) replies are asked for here and now."""
     return augment_parallel(prepare(df, recipe, key), recipe, generator, parallelism, **options)
 
 
@@ -304,7 +315,7 @@ def run_registry(
 
     ``generators`` maps an augmentation kind to its callable. Entries are
     configuration, a few values each; their data stay on the cluster. The
-    ledger is merged after each finished dataset.
+    ledger is told of each finished dataset at once.
     """
     targets = led.select_targets(registry, dataset_id, recipe_target, project, all_datasets, force)
     to_run = led.skip_completed(targets, led.ledger_read(spark, ledger_root), force)
@@ -341,8 +352,7 @@ def run_registry(
             results.append(result)
             if result["status"] == "success":
                 record = led.provenance(registry, _results_frame(spark, [result]))
-                merged = led.ledger_upsert(led.ledger_read(spark, ledger_root), record)
-                led.ledger_write(merged, ledger_root)
+                led.ledger_write(record, ledger_root)
                 if result["published_to"]:
                     out.publish_card(record, result["published_to"])
     results += [
@@ -366,6 +376,13 @@ def preview_dataset(
     return preview(ready, ready.columns)
 
 
+def preview_shape(
+    spark: SparkSession, recipe: Recipe, root: str | None, key: list[str] | None = None
+) -> DataFrame:
+    """How many rows and columns a run would augment."""
+    return shape(prepare(open_source(spark, recipe, root), recipe, key))
+
+
 def revalidate(
     spark: SparkSession, ledger: DataFrame, dataset_id: str, registry: DataFrame | None = None
 ) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import logging
 import os
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from typing import Callable
+from itertools import chain, islice
+from typing import Callable, Iterable
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.messages import ERROR_HINTS, LEGACY_SCRIPT_MESSAGES, category_of, mentions
-from .storage import children, matching_names, path_exists
+from .storage import children, data_files, matching_names, matching_paths, path_exists, start_of
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +30,8 @@ FORMATS = {
 }
 
 
+# What is read of a '.json' file to see how it is laid out.
+START_BYTES = 64 << 10
 # Spark's conditions for a table or path that is not there.
 NOT_FOUND = {"TABLE_OR_VIEW_NOT_FOUND", "PATH_NOT_FOUND"}
 
@@ -64,14 +68,15 @@ def _extensions_inside(spark: SparkSession, path: str) -> list[str]:
     return sorted({e for e in found if e.lower() in FORMATS})
 
 
-def _is_json_lines(spark: SparkSession, path: str) -> bool:
-    """Whether the first filled line is a JSON document of its own and no array."""
-    first = spark.read.text(path).where(F.trim("value") != "").head(1)
-    if not first:
-        return True
-    line = first[0].value.strip()
+def _is_json_lines(start: str) -> bool:
+    """Whether a '.json' file that begins like this holds a document per line. It
+    does not if its first line is only a part of a document, or an array alone."""
+    line, _, more = start.lstrip().partition("\n")
     if line.startswith("["):
-        return False
+        if not more.strip():
+            return False
+    elif not more:
+        return True
     try:
         json.loads(line)
     except ValueError:
@@ -79,6 +84,21 @@ def _is_json_lines(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _json_kinds(spark: SparkSession, path: str | list[str]) -> dict[bool, list[str]]:
+    """The '.json' files of a path by whether they hold a document per line. The
+    first START_BYTES of each file are looked at."""
+    if not isinstance(path, str):
+        files = [f for p in path for f in data_files(spark, p)]
+    else:
+        files = matching_paths(spark, path) if "*" in path else list(data_files(spark, path))
+    with ThreadPoolExecutor(16) as pool:
+        starts = pool.map(lambda f: _is_json_lines(start_of(spark, f, START_BYTES)), files)
+        kinds: dict[bool, list[str]] = {}
+        for file, lines in zip(files, starts):
+            kinds.setdefault(lines, []).append(file)
+    return kinds
+
+
 def read_file(
     spark: SparkSession,
     path: str | list[str],
@@ -92,7 +112,7 @@ def read_file(
     CSV and TSV columns stay strings unless a schema is given or ``infer`` is
     set. Quoted line breaks are read with ``multiline``; turn it off for large
     files without them, since only then can Spark split a file. A '.json' file
-    may hold an array, one object or one object per line; broken JSON, and a CSV
+    may hold an array, one object or one object per line, each file in its own way; broken JSON, and a CSV
     row that is longer or shorter than the header, is an error. Files of several
     formats in one folder are read each in its own way and put together by name.
     """
@@ -106,6 +126,10 @@ def read_file(
             return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     ext = _extension(spark, first)
     fmt = fmt or FORMATS.get(ext) or format_of(first)
+    return _load(spark, path, schema, fmt, ext, infer, multiline)
+
+
+def _load(spark, path, schema, fmt, ext, infer=False, multiline=True) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "parquet":
         return reader.parquet(*([path] if isinstance(path, str) else path))
@@ -115,8 +139,11 @@ def read_file(
             path, header=True, sep=sep, quote='"', escape='"', multiLine=multiline, inferSchema=infer, mode="FAILFAST"
         )
     if fmt == "json":
-        lines = ext == ".jsonl" or _is_json_lines(spark, first)
-        return reader.json(path, multiLine=not lines, mode="FAILFAST")
+        kinds = {True: []} if ext == ".jsonl" else _json_kinds(spark, path)
+        if len(kinds) < 2:  # also a path without files
+            return reader.json(path, multiLine=False in kinds, mode="FAILFAST")
+        parts = [reader.json(files, multiLine=not lines, mode="FAILFAST") for lines, files in kinds.items()]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     raise ValueError(f"Cannot load file type '{fmt}' from {path}")
 
 
@@ -154,20 +181,22 @@ def read_dataset(
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
     head: int | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """A named dataset. Without ``root`` the name is a catalog table. A table or
     folder with ``split`` (and ``subset``) partition columns is filtered on
-    them, so that Spark only lists and reads those partitions; a folder without the
+    them, so that Spark only lists and reads those partitions; their format is that
+    of the files in them unless ``fmt`` says so; a folder without the
     one asked for, or with several subsets and none asked for, is an error. ``head`` stops
     after that many rows, without a sample."""
     try:
         if root is None or matching_names(spark, f"{root.rstrip('/')}/{repo}/{{split,subset}}=*"):
-            df = _partitioned(spark, root, repo, split, subset, fmt, schema)
+            df = _partitioned(spark, root, repo, split, subset, fmt, schema, multiline)
             return df if head is None else df.limit(head)
         path = _resolve(spark, root, repo, split, subset)
         if head is not None:
-            return read_head(spark, path, head, schema, fmt=fmt)
-        return read_file(spark, path, schema, fmt)
+            return read_head(spark, path, head, schema, fmt=fmt, multiline=multiline)
+        return read_file(spark, path, schema, fmt, multiline=multiline)
     except (PySparkException, FileNotFoundError, ValueError) as e:
         absent = isinstance(e, PySparkException) and e.getCondition() in NOT_FOUND
         raise DatasetReadError(repo, f"{repo} doesn't exist" if absent else e) from e
@@ -191,14 +220,14 @@ def _check_partitions(spark: SparkSession, base: str, repo: str, split: str, sub
             raise FileNotFoundError(f"split '{split}' of {repo}")
 
 
-def _partitioned(spark, root, repo, split, subset, fmt, schema) -> DataFrame:
+def _partitioned(spark, root, repo, split, subset, fmt, schema, multiline) -> DataFrame:
     if root is None:
         df = spark.table(repo)
     else:
         base = f"{root.rstrip('/')}/{repo}"
         _check_partitions(spark, base, repo, split, subset)
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.format(fmt or "parquet").load(base)
+        ext = next((e for e in FORMATS if matching_names(spark, f"{base}/{{*=*,*=*/*=*}}/*{e}")), ".parquet")
+        df = _load(spark, base, schema, fmt or FORMATS[ext], ext, multiline=multiline)
     wanted = {"split": split, "subset": subset}
     for name, value in wanted.items():
         if name in df.columns and value:
@@ -212,14 +241,18 @@ def read_head(
     """``rows`` rows of a file or folder of any size, without a look at all of
     it: the first file, then four times as many, until they hold enough. (A
     plain ``limit`` inside a plan starts a task for every partition.)"""
-    # names come URL-encoded, but are read as they are
-    files = sorted(map(unquote, read_file(spark, path, schema, **options).inputFiles()))
-    taken = 1
+    if "*" in path or (options.get("fmt") is None and len(_extensions_inside(spark, path)) > 1):
+        found: Iterable[str] = sorted(map(unquote, read_file(spark, path, schema, **options).inputFiles()))
+    else:
+        found = data_files(spark, path)
+    found, files = iter(found), []
     while True:
-        first = read_file(spark, files[:taken] or path, schema, **options).limit(rows)
-        if taken >= len(files) or first.count() >= rows:
+        files += islice(found, max(1, 3 * len(files)))
+        after = next(found, None)
+        first = read_file(spark, files or path, schema, **options).limit(rows)
+        if after is None or first.count() >= rows:
             return first
-        taken *= 4
+        found = chain([after], found)
 
 
 def is_legacy_script(error: Exception) -> bool:

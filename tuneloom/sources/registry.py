@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.schema import INT, STRING, STRINGS, struct_of
+from ..functions.schema import BOOL, INT, STRING, STRINGS, struct_of
 
 REGISTRY_SCHEMA = struct_of(
     id=STRING,
@@ -26,6 +26,9 @@ REGISTRY_SCHEMA = struct_of(
     project=STRING,
     status=STRING,
     notes=STRING,
+    fmt=STRING,
+    multiline=BOOL,
+    spread=INT,
 )
 # Values of absent fields.
 DEFAULTS = {"split": "train", "rows": 2000, "random_seed": 42, "augmentation": "none"}

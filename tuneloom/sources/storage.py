@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import Iterator
 
@@ -36,6 +35,43 @@ def matching_names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in found or [])
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a glob pattern."""
+    found = _fs(spark, pattern).globStatus(_path(spark, pattern))
+    return sorted(status.getPath().toString() for status in found or [])
+
+
+def data_files(spark: SparkSession, path: str) -> Iterator[str]:
+    """Data files of a folder and the folders in it, or the file itself, one by
+    one, so that a caller may stop early. Names with _ or . in front are none."""
+    fs = _fs(spark, path)
+    status = fs.getFileStatus(_path(spark, path))
+    if status.isFile():
+        yield status.getPath().toString()
+        return
+    listing = fs.listStatusIterator(_path(spark, path))
+    while listing.hasNext():
+        inside = listing.next()
+        if inside.getPath().getName()[0] in "_.":
+            continue
+        if inside.isFile():
+            yield inside.getPath().toString()
+        else:
+            yield from data_files(spark, inside.getPath().toString())
+
+
+def start_of(spark: SparkSession, path: str, size: int) -> str:
+    """The first bytes of a file as text; a letter cut at the end is left out."""
+    fs = _fs(spark, path)
+    size = min(size, fs.getFileStatus(_path(spark, path)).getLen())
+    stream = fs.open(_path(spark, path))
+    try:
+        data = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size)
+    finally:
+        stream.close()
+    return bytes(data).decode("utf-8-sig", "ignore")
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
 
@@ -59,20 +95,3 @@ def promote(spark: SparkSession, staged: str, final: str) -> None:
         raise OSError(f"cannot move {staged} to {final}")
     if had_old:
         fs.delete(_path(spark, old), True)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A folder all executors see: spark.checkpoint.dir, or the context's
-    checkpoint folder. A local session without either gets a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tuneloom-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tuneloom/{uuid.uuid4().hex}/{name}"

@@ -92,8 +92,7 @@ def deliver_arrivals(
             "dataset_id string, local_path string, rows_out long, augmentation string,"
             " validation_passed boolean, processed_at string",
         )
-        merged = led.ledger_upsert(led.ledger_read(spark, ledger_root), update)
-        led.ledger_write(merged, ledger_root)
+        led.ledger_write(update, ledger_root)
 
     return (
         prepare_rows(stream, columns_keep)
