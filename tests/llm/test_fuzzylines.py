@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tuneloom.llm import fuzzylines
+from tuneloom.llm import fuzzylines, queries
 from tuneloom.llm.rules import fold_line, line_hash
 
 
@@ -182,3 +182,56 @@ def test_edit_distance_is_that_of_the_whole_table():
         want = distance(x, y)
         for limit in range(6):
             assert fuzzylines.within(x, y, limit) == (want <= limit), (x, y, limit, want)
+
+
+def letter_rows():
+    """Lines of the same words in another order: their letters agree, their words don't."""
+    rnd = random.Random(11)
+    rows = []
+    for k in range(12):
+        words = [f"{chr(97 + k)}prefixandstem{chr(97 + i)}" for i in range(rnd.choice([2, 4, 9]))]
+        for _ in range(4):
+            rows.append((len(rows), " ".join(words)))
+            rnd.shuffle(words)
+    return rows + [(len(rows), "one two"), (len(rows) + 1, "two one"), (None, None)]
+
+
+def test_lines_are_compared_by_letters(spark, tmp_path, make):
+    rows = letter_rows()
+    make(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {i: t for i, t in rows if t}
+    group = {i: i for i in texts}
+    for i in texts:
+        for j in texts:
+            if distance(texts[i], texts[j]) <= 0.2 * max(len(texts[i]), len(texts[j])) + 1e-9:
+                if fuzzylines.line_prints([texts[i].encode().split()]) == fuzzylines.line_prints([texts[j].encode().split()]):
+                    old, new = max(group[i], group[j]), min(group[i], group[j])
+                    group = {k: new if g == old else g for k, g in group.items()}
+    got = queries.op8_fuzzy_lines(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: int(t is not None and group[i] != i) for i, t in rows}
+    by_words = {r.id: r.n_removed for r in fuzzylines.line_report(make(rows)).collect()}
+    assert sum(by_words.values()) < sum(r.n_removed for r in got)
+
+
+def test_letter_typos_are_similar(spark, make):
+    lines = ["the quick brown fox jumps", "teh quick brwn fox jumps", "a slow red dog sleeps here"]
+    hashes = [line_hash(t.encode().split()) for t in lines]
+    pairs = spark.createDataFrame([(hashes[0], hashes[1]), (hashes[0], hashes[2])], "a bigint, b bigint")
+    docs = make(list(enumerate(lines)))
+    assert [tuple(r) for r in fuzzylines.similar(pairs, docs, unit="letters").collect()] == [(hashes[0], hashes[1])]
+    assert fuzzylines.similar(pairs, docs).count() == 0
+    with pytest.raises(ValueError):
+        fuzzylines.similar(pairs, docs, unit="bytes")
+
+
+def test_letter_distance_of_texts():
+    rnd = random.Random(4)
+    for _ in range(600):
+        x = "".join(rnd.choices("ab é", k=rnd.randrange(1, 90)))
+        y = list(x)
+        for _ in range(rnd.randrange(30)):
+            at = rnd.randrange(len(y) + 1)
+            y[at : at + rnd.randrange(2)] = rnd.choices("abc", k=rnd.randrange(3))
+        want = distance(x, y)
+        for limit in (want - 1, want, want + 1):
+            assert fuzzylines.within(x, "".join(y), limit) == (want <= limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from operator import ne
 from typing import Iterator
 
 import numpy as np
@@ -20,7 +21,8 @@ BITS = 3
 #: Blocks that a fingerprint is cut into. Two fingerprints that differ in up to
 #: BITS bits agree in at least BLOCKS - BITS of them.
 BLOCKS = 5
-#: Least edit similarity of linked lines: 1 - distance / length of the longer one, in words.
+#: Least edit similarity of linked lines: 1 - distance / length of the longer one, in words
+#: or in letters, as the caller says.
 SIMILARITY = 0.8
 #: Lines of a bucket with which all others are compared first.
 PIVOTS = 8
@@ -214,71 +216,79 @@ def others(members: DataFrame, roots: DataFrame) -> DataFrame:
     return _pairs(met)
 
 
-def links(lines: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+def links(lines: DataFrame, docs: DataFrame, text: str = "text", unit: str = "words") -> DataFrame:
     """node, root: the lines (line, print) of ``docs`` that are linked to others,
     each with the smallest line of its group.
 
-    Two lines are linked if they differ in at most BITS bits and are similar.
+    Two lines are linked if they differ in at most BITS bits and are similar
+    in words or letters (``unit``).
     Lines are first compared with the pivots of their buckets; most groups are
     whole after that. Then all other pairs are compared that two of the groups
     found so far, or lines without one, might be connected by. So the groups are
     those of all links, while pairs within a group are not made."""
     members = buckets(lines)
-    near = stored(similar(stored(candidates(members), "candidates"), docs, text), "links")
+    near = stored(similar(stored(candidates(members), "candidates"), docs, text, unit=unit), "links")
     roots = components(near)
     more = stored(others(members, roots), "others")
     if more.isEmpty():
         return roots
-    return components(near.union(similar(more, docs, text)))
+    return components(near.union(similar(more, docs, text, unit=unit)))
 
 
-def within(x: list, y: list, limit: int) -> bool:
-    """Whether so many insertions, deletions and replacements turn x into y.
+def within(x: str | list, y: str | list, limit: int) -> bool:
+    """Whether so many insertions, deletions and replacements turn x into y:
+    letters of texts, or members of lists.
 
     What both have in front and at the end is left out. If x and y are equally
     long and differ in few places that is enough; else the rows of the table of
-    distances are found one by one, in a band around its diagonal."""
+    distances are found one by one, each as two numbers with a bit per place
+    (up or down by one), and no more of them than the limit allows."""
     n, m = len(x), len(y)
     if abs(n - m) > limit:
         return False
-    code: dict = {}
-    a = np.array([code.setdefault(w, len(code)) for w in x], np.int64)
-    b = np.array([code.setdefault(w, len(code)) for w in y], np.int64)
-    k = min(n, m)
-    other = np.flatnonzero(a[:k] != b[:k])
-    front = int(other[0]) if len(other) else k
-    a, b = a[front:], b[front:]
-    k = min(len(a), len(b))
-    other = np.flatnonzero(a[::-1][:k] != b[::-1][:k])
-    back = int(other[0]) if len(other) else k
-    a, b = a[: len(a) - back], b[: len(b) - back]
-    n, m = len(a), len(b)
+    front, k = 0, min(n, m)
+    while front < k and x[front] == y[front]:
+        front += 1
+    back, k = 0, k - front
+    while back < k and x[n - 1 - back] == y[m - 1 - back]:
+        back += 1
+    x, y = x[front : n - back], y[front : m - back]
+    n, m = len(x), len(y)
     if min(n, m) == 0 or limit == 0:
         return max(n, m) <= limit
-    if n == m and int((a != b).sum()) <= limit:
+    if n == m and sum(map(ne, x, y)) <= limit:
         return True
-    # row[j] is the distance in row i and column i - limit + j; far is outside the table
-    far = n + m + 1
-    offsets = np.arange(-limit, limit + 1)
-    row = np.where((offsets >= 0) & (offsets <= m), offsets, far)
-    padded = np.concatenate([np.full(limit + 1, -1), b, np.full(2 * limit + 2, -1)])
-    for i in range(1, n + 1):
-        swap = row + (padded[i : i + 2 * limit + 1] != a[i - 1])
-        row = np.minimum(swap, np.append(row[1:], far) + 1)
-        if i <= limit:
-            row[: limit - i] = far
-            row[limit - i] = i
-        row = np.minimum.accumulate(row - offsets) + offsets
-        row[i + offsets > m] = far
-        if row.min() > limit:
+    places: dict = {}
+    for i, w in enumerate(x):
+        places[w] = places.get(w, 0) | 1 << i
+    last, whole = 1 << (n - 1), (1 << n) - 1
+    up, down, far = whole, 0, n
+    for j, w in enumerate(y, 1):
+        same = places.get(w, 0)
+        level = same | down
+        across = (((same & up) + up) ^ up) | same
+        more = down | (whole & ~(across | up))
+        less = up & across
+        if more & last:
+            far += 1
+        elif less & last:
+            far -= 1
+        if far - (m - j) > limit:
             return False
-    return bool(row[m - n + limit] <= limit)
-
-
-def similar(pairs: DataFrame, docs: DataFrame, text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """The pairs of lines whose edit similarity is ``least`` or more: words are
-    inserted, deleted or replaced, and counted against those of the longer line.
-    Only lines of a pair are shuffled with their texts."""
+        more = (more << 1 | 1) & whole
+        up = ((less << 1) & whole) | (whole & ~(level | more))
+        down = more & level
+    return far <= limit
+
+
+def similar(
+    pairs: DataFrame, docs: DataFrame, text: str = "text", least: float = SIMILARITY, unit: str = "words"
+) -> DataFrame:
+    """The pairs of lines whose edit similarity is ``least`` or more: words, or
+    letters, are inserted, deleted or replaced, and counted against those of the
+    longer line. Only lines of a pair are shuffled with their texts."""
+    if unit not in ("words", "letters"):
+        raise ValueError(f"unit must be words or letters, not {unit!r}")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
     known = line_texts(docs, wanted, text)
     both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
@@ -287,14 +297,15 @@ def similar(pairs: DataFrame, docs: DataFrame, text: str = "text", least: float
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = x.split(" "), y.split(" ")
+                if unit == "words":
+                    x, y = x.split(" "), y.split(" ")
                 keep.append(within(x, y, int((1 - least) * max(len(x), len(y)) + 1e-9)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(both.select("a", "b", "x", "y"), verify, "a bigint, b bigint")
 
 
-def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
     """id, content, nth, line, keeps of every line with a word; ``keeps`` is set
     for the one occurrence of its group that stays: the first by id (null last)
     and number. Groups are connected over links between similar lines; equal
@@ -303,7 +314,7 @@ def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
     counted = found.groupBy("line", "print").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     lines = stored(counted, "lines")
-    roots = links(lines.select("line", "print"), docs, text)
+    roots = links(lines.select("line", "print"), docs, text, unit)
     tied = roots.union(roots.select("root", "root").distinct()).toDF("line", "root")
     of_tied = lines.join(tied, "line")
     firsts = of_tied.groupBy("root").agg(F.min("first").alias("of_group"))
@@ -319,10 +330,10 @@ def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     )
 
 
-def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
     """id, n_lines, n_removed, removed (the numbers of the lines that go, from 0)
     of every row. Documents without lines have zeros."""
-    by_doc = _by_doc(line_groups(docs, text, key))
+    by_doc = _by_doc(line_groups(docs, text, key, unit))
     rows = docs.select(docs[key].alias("id"), content_key(docs[text]).alias("content"))
     same = rows["id"].eqNullSafe(by_doc["of_id"]) & (rows["content"] == by_doc["of_content"])
     return rows.join(by_doc, same, "left").select(
@@ -341,9 +352,9 @@ def _by_doc(groups: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
     """The documents without the lines that go; lines without a word stay."""
-    by_doc = _by_doc(line_groups(docs, text, key)).drop("n_lines")
+    by_doc = _by_doc(line_groups(docs, text, key, unit)).drop("n_lines")
     content, gone = free_name(docs, "content"), free_name(docs, "gone")
     named = docs.withColumn(content, content_key(docs[text]))
     by_doc = by_doc.withColumnRenamed("removed", gone)

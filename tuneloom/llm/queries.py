@@ -255,7 +255,7 @@ def op6_url_rules(spark, d):
 @query()
 def op8_fuzzy_lines(spark, d):
     """8: lines of each document that repeat another one, or nearly."""
-    report = fuzzylines.line_report(table(spark, d, "documents"))
+    report = fuzzylines.line_report(table(spark, d, "documents"), unit="letters")
     return report.select(
         F.col("id").alias("doc_id"), "n_lines", "n_removed", F.array_join("removed", ",").alias("removed")
     )
