@@ -106,3 +106,25 @@ def test_no_pages_no_rules(spark, pages):
     assert hosts.judge_pages(none, RULES).count() == 0
     rows = hosts.judge_pages(pages, []).collect()
     assert len(rows) == len(PAGES) and {(r.rule, r.verdict) for r in rows} == {(None, "allow")}
+
+
+def test_far_hosts_and_small_shares_have_their_ranks(spark):
+    """A chain of 45 hosts, a loop of two that settles slowly, and distrust that a
+    large number of other seeds and two wide fans make very small."""
+    chain = [(f"c{i}", f"c{i + 1}") for i in range(45)]
+    loop = [("c0", "x"), ("x", "y"), ("y", "x")]
+    fans = [(f"f{i}", "tiny") for i in range(100)] + [(f"g{i}", "f0") for i in range(100)]
+    seeds = {"c0": (1.0, 0.0), "tiny": (0.0, 1.0), "mass": (0.0, 1e9)}
+    edges = set(chain + loop + fans)
+    links = spark.createDataFrame(sorted(edges), "src string, dst string")
+    rows = [(h, *w) for h, w in seeds.items()]
+    frame = spark.createDataFrame(rows, "host string, trusted double, blocked double")
+    got = {r.host: (r.trust, r.distrust) for r in hosts.propagate(frame, links).collect()}
+    want = brute_ranks(seeds, edges, rounds=300)
+    assert set(got) == set(want)
+    assert got["c40"][0] > 0 and got["g7"][1] > 0
+    assert got["c40"][0] == pytest.approx(want["c40"][0], rel=1e-3)
+    assert got["g7"][1] == pytest.approx(want["g7"][1], rel=1e-3)
+    assert sum(abs(got[h][k] - want[h][k]) for h in want for k in (0, 1)) < 1e-5
+    with pytest.raises(RuntimeError):
+        hosts.propagate(frame, links, rounds=3)

@@ -8,13 +8,16 @@ from .tables import LOWER, stored
 
 #: Share of a host's trust that it hands on over its links.
 DAMPING = 0.85
-#: The propagation ends when this much of the mass moves, or after so many rounds.
+#: The propagation ends when less than this much of the mass moves. What moves
+#: shrinks by DAMPING a round, so about 90 are enough; more than ROUNDS are an error.
 TOLERANCE = 1e-6
-ROUNDS = 30
+ROUNDS = 120
 #: A host is blocked if more than this share of its trust and distrust is distrust.
 THRESHOLD = 0.75
-#: Digits to which ranks are rounded, so that the order of additions doesn't show.
+#: Significant digits to which ranks are rounded, so that the order of additions doesn't show.
 DIGITS = 12
+#: Ranks under this are not rounded, since a power of ten that scales them up may not exist.
+LEAST_ROUNDED = 1e-280
 
 _UPPER = "".join(map(chr, range(65, 91)))
 _HREF = r"""(?i)\shref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
@@ -76,6 +79,12 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return found.select("src", dst.alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").distinct()
 
 
+def _rounded(rank: Column) -> Column:
+    """To DIGITS digits from the first one that is not 0, however small it is."""
+    scale = F.pow(F.lit(10.0), F.lit(DIGITS - 1.0) - F.floor(F.log10(rank)))
+    return F.when(rank > LEAST_ROUNDED, F.rint(rank * scale) / scale).otherwise(rank)
+
+
 def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """host, trust, distrust: two personalised PageRanks. ``seeds`` has host,
     trusted and blocked (weights, 0 or more) for every host.
@@ -83,7 +92,8 @@ def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
     Trust starts at trusted hosts and follows the links; distrust starts at
     blocked hosts and goes against them, to those who link there. What a host
     without links would hand on returns to the seeds. Each sums up to 1, or is 0
-    where there are no seeds. A round is one join on the giving host and one sum
+    where there are no seeds. If ``rounds`` are not enough for TOLERANCE it is an
+    error. A round is one join on the giving host and one sum
     by the receiving host, aggregated before the shuffle, and is written to the
     shared folder; only the mass that moved comes to the driver.
     """
@@ -109,7 +119,7 @@ def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
     total = base.groupBy("kind").agg(F.sum("weight").alias("total"))
     givers = fan.select("kind", F.col("from").alias("host"), F.lit(True).alias("gives"))
     base = base.join(F.broadcast(total), "kind").join(givers, ["kind", "host"], "left")  # total: two rows
-    start = F.when(F.col("total") > 0, F.round(F.col("weight") / F.col("total"), DIGITS)).otherwise(F.lit(0.0))
+    start = F.when(F.col("total") > 0, _rounded(F.col("weight") / F.col("total"))).otherwise(F.lit(0.0))
     now = stored(base.select("kind", "host", start.alias("seed"), "gives", start.alias("rank")), "ranks")
     if ways.isEmpty():
         return _wide(now)
@@ -123,14 +133,14 @@ def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
         moved = now.join(got, (F.col("kind") == F.col("k")) & (F.col("host") == F.col("h")), "left")
         rank = (1 - DAMPING) * F.col("seed") + DAMPING * (F.coalesce("got", F.lit(0.0)) + back * F.col("seed"))
         new = stored(
-            moved.select("kind", "host", "seed", "gives", F.round(rank, DIGITS).alias("rank"), F.col("rank").alias("old")),
+            moved.select("kind", "host", "seed", "gives", _rounded(rank).alias("rank"), F.col("rank").alias("old")),
             "ranks",
         )
         change = new.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
         now = new.drop("old")
         if change < TOLERANCE:
-            break
-    return _wide(now)
+            return _wide(now)
+    raise RuntimeError(f"{change} of the mass still moves after {rounds} rounds, more than {TOLERANCE}")
 
 
 def _wide(ranks: DataFrame) -> DataFrame:
