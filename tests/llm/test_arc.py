@@ -116,3 +116,21 @@ def test_cut_or_changed_warc_is_an_error():
     [(fields, block)] = arc.warc_records(whole)
     with pytest.raises(ValueError):
         arc._read(fields, block, "X-Page-Id")
+
+
+def test_keys_of_64_bits(spark):
+    top = 2**63 - 1
+    rows = [(top, "u", "k" * 200), (top - 1, "u", "k" * 200), (-top - 1, "u", "m" * 200), (10**18, "u", "m" * 200), (-top, "u", "m" * 200)]
+    got = arc.converted(arc.to_archives(pages(spark, rows))).collect()
+    assert sorted(map(tuple, got), key=str) == [
+        *sorted(((k, 200, hashlib.sha256(h.encode()).hexdigest(), *way) for k, h, way in [
+            (top, "k" * 200, ("revisit", top - 1)), (top - 1, "k" * 200, ("response", None)),
+            (-top - 1, "m" * 200, ("response", None)), (10**18, "m" * 200, ("revisit", -top - 1)), (-top, "m" * 200, ("revisit", -top - 1)),
+        ]), key=str)
+    ]
+
+
+@pytest.mark.parametrize("named, key", [(b"9223372036854775807", 2**63 - 1), (b"9223372036854775808", None), (b"-9223372036854775808", -(2**63)), (b"-9223372036854775809", None)])
+def test_keys_beyond_64_bits_are_null(named, key):
+    [(fields, block)] = arc.arc_records(V1 + b"http://x 1.2.3.4 1997 text/html %d\n" % (len(named) + 33) + b"HTTP/1.0 200 OK\nX-Page-Id: " + named + b"\n\n<p>x\n")
+    assert arc._converted(fields, block, "X-Page-Id", True)["key"] == key

@@ -213,7 +213,9 @@ def _converted(fields: dict, block: bytes, key_header: str, blocks: bool) -> dic
     head, payload = split_http(block)
     digest = hashlib.sha256(payload).hexdigest()
     named = http_field(head, key_header)
-    key = int(named) if named and re.fullmatch(r"-?\d{1,18}", named) else None
+    key = int(named) if named and re.fullmatch(r"-?[0-9]{1,19}", named) else None
+    if key is not None and not -(1 << 63) <= key < 1 << 63:
+        key = None
     uri = None if fields["URL"] == "-" else fields["URL"]
     date = warc_date(fields["Archive-date"])
     row = {
