@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, rules, separators, tokens
+from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, rules, separators, spelling, tokens
 from .tables import stored
 
 QUERIES: dict = {}
@@ -46,6 +46,19 @@ def words(c: str) -> str:
     return f"regexp_extract_all(coalesce({c}, ''), {SPACED})"
 
 
+#: The table of crc32 with the reflected polynomial 0xEDB88320, as column tab.
+CRC_TABLE = """(SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab)"""
+
+
+def crc32(c: str) -> str:
+    """The unsigned crc32 of a text in UTF-8, next to CRC_TABLE."""
+    octets = f"""list_transform(range(octet_length(encode({c}))),
+      lambda i: ('0x' || substr(hex(encode({c})), (2 * i + 1)::INT, 2))::BIGINT)"""
+    step = "lambda a, b: xor(a >> 8, tab[((xor(a, b) & 255) + 1)::INT])"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), {step}), 4294967295)"
+
+
 # -- benchmark decontamination -------------------------------------------------
 
 ITEM_WORDS = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
@@ -275,3 +288,40 @@ def op10_archives(spark, d):
     """10: pages in legacy archives, converted, and read back."""
     archives = stored(arc.to_archives(table(spark, d, "pages")), "arc")
     return arc.converted(archives).withColumnRenamed("key", "page_id")
+
+
+# -- spelling variants --------------------------------------------------------------------------
+
+
+@query(f"""
+  WITH RECURSIVE t AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS key, run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all({lowered("coalesce(text, '')")}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+          FROM documents)
+    WHERE length(run) >= 6 GROUP BY ALL),
+  h AS (SELECT run, n, {crc32("concat(key, ':', run)")} AS h FROM t, {CRC_TABLE}),
+  w AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT)
+      ELSE run END AS word, n FROM h),
+  v AS (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+  e AS (
+    SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM v)),
+  p AS (
+    SELECT a.word, b.word AS near, b.n FROM e a JOIN e b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+      AND length(a.word) = length(b.word)
+    UNION SELECT e.word, v.word, v.n FROM e JOIN v ON e.less = v.word
+    UNION SELECT v.word, e.word, e.n FROM e JOIN v ON e.less = v.word),
+  b AS (SELECT word, count(*) AS n_near, max(n) AS best FROM p GROUP BY word),
+  f AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best >= 5 * v.n THEN best END AS form_n,
+      CASE WHEN best >= 5 * v.n THEN (SELECT min(near) FROM p WHERE p.word = v.word AND p.n = b.best) END AS form
+    FROM v LEFT JOIN b USING (word)),
+  r AS (
+    SELECT word, form, word AS root, form AS next FROM f
+    UNION ALL SELECT r.word, r.form, f.word, f.form FROM r JOIN f ON f.word = r.next)
+  SELECT f.word, n, n_near::BIGINT AS n_near, f.form, form_n, r.root
+  FROM f JOIN r ON r.word = f.word AND r.next IS NULL""")
+def op11_spelling(spark, d):
+    """11: words, the words one letter away, and the form each is a variant of."""
+    return spelling.variants(table(spark, d, "documents"))
