@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, rules, separators, spelling, tokens
+from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, rules, separators, spelling, tokens, topk
 from .tables import stored
 
 QUERIES: dict = {}
@@ -325,3 +325,19 @@ def op10_archives(spark, d):
 def op11_spelling(spark, d):
     """11: words, the words one letter away, and the form each is a variant of."""
     return spelling.variants(table(spark, d, "documents"))
+
+
+# -- nearest vectors ------------------------------------------------------------------------------
+
+
+@query("""
+  WITH x AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+  s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM x q JOIN x c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+  SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op12_nearest(spark, d):
+    """12: the five nearest vectors of every fiftieth vector."""
+    return topk.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
