@@ -1,0 +1,141 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tuneloom.llm import prefixes
+
+
+def brute(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            said = f"{len(role.encode())}:{role}{text}".encode()
+            own[conv].append((turn is not None, turn or 0, hashlib.md5(said).digest(), role, text))
+    own = {c: [t[3:] for t in sorted(turns)] for c, turns in own.items()}
+    members = defaultdict(list)
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        whole = own.get(c - c % 5, [])[:h] + own[c][h:]
+        for d in range(len(whole) + 1):
+            members[tuple(whole[:d])].append((c, d == len(whole)))
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, of in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += (len(of) - 1) * len(node[-1][1].encode()) if node else 0
+    out = []
+    for node, of in members.items():
+        ends = ",".join(str(c) for c, end in sorted(of) if end)
+        out.append((
+            min(of)[0], len(node), min(members[node[:-1]])[0] if node else None, len(of), children[node],
+            leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def found(df):
+    assert df.columns == COLUMNS
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture
+def turns(spark):
+    def of(rows):
+        df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+        # names that the operator uses itself
+        return df.selectExpr("*", "1 AS conv", "'x' AS node", "2 AS depth", "3 AS place", "4 AS n_convs", "5 AS said")
+
+    return of
+
+
+def some_turns(n=60, seed=1, longest=12):
+    rnd = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for t in range(rnd.randint(0, longest)):
+            rows.append((c, t, rnd.choice(["user", "assistant", None]), rnd.choice(["", "a", "é", None, "bb"][: 2 + t % 4])))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("shard_rows", [10, 100_000])
+def test_like_brute_force(turns, shard_rows):
+    rows = some_turns()
+    assert found(prefixes.trie(turns(rows), shard_rows=shard_rows)) == brute(rows)
+
+
+def test_nulls_ties_and_repeated_rows(turns):
+    rows = some_turns(20, 2)
+    rows += [(None, 1, "user", "left out"), (3, None, "user", "first"), (3, None, "user", "first too")]
+    rows += [(4, 1, "user", "tie"), (4, 1, "assistant", "tie"), *rows[:10], *rows[:10]]
+    assert found(prefixes.trie(turns(rows))) == brute(rows)
+
+
+def test_long_conversations_are_cut_into_parts(turns):
+    rows = some_turns(30, 3) + [(c, 100 + t, "user", "ab"[t % 2]) for c in (5, 6, 7, 40) for t in range(25)]
+    rows += [(c, 200 + t, "user", str(c)) for c in (5, 7) for t in range(3)]
+    for segment in (1, 4, 7):
+        assert found(prefixes.trie(turns(rows), shard_rows=9, segment=segment)) == brute(rows), segment
+
+
+def test_a_very_common_conversation(turns, monkeypatch):
+    rows = some_turns(20, 4) + [(c, t, "user", "the same") for c in range(5, 400, 5) for t in range(3)]
+    rows += [(10**18 + c * 5, 0, "user", "hello") for c in range(30)] + [(-7, 0, "user", "below zero")]
+    assert found(prefixes.trie(turns(rows))) == brute(rows)
+
+
+def test_conversations_of_no_turns_end_at_the_root(turns):
+    rows = [(c, 0, "user", "lost") for c in (1, 2, 3, 4)]  # their first turns would come from conversation 0
+    root = [r for r in found(prefixes.trie(turns(rows))) if r[1] == 0]
+    assert found(prefixes.trie(turns(rows))) == brute(rows) and root[0][3] == 4
+
+
+def test_empty_tables(turns):
+    assert found(prefixes.trie(turns([]))) == []
+    assert found(prefixes.trie(turns([(None, 0, "user", "a")]))) == []
+
+
+def test_digests_of_ends_in_small_pieces(spark):
+    import pyspark.sql.functions as F
+
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(b"a" * 16)).otherwise(F.unhex(F.md5(F.col("id").cast("string")))).alias("node"),
+        F.col("id").alias("conv"),
+        (F.col("id") % 7 != 0).cast("bigint").alias("ends"),
+    )
+    want = hashlib.sha256(",".join(str(i) for i in range(0, 3000, 3) if i % 7).encode()).hexdigest()
+    got = {bytes(r.node): r.ends_sha256 for r in prefixes.ends_digests(rows, chunk_bytes=50).collect()}
+    assert got[b"a" * 16] == want and len(got) == 1 + sum(1 for i in range(3000) if i % 3 and i % 7)
+    assert got[hashlib.md5(b"1").digest()] == hashlib.sha256(b"1").hexdigest()
+
+
+def test_node_table_is_minimal_and_perfect():
+    rnd = np.random.default_rng(1)
+    for n in (0, 1, 2, 1000, 30_000):
+        keys = np.unique(rnd.integers(0, 2**63, (n, 2), dtype=np.uint64), axis=0)
+        table = prefixes.NodeTable(keys)
+        slots = table.slots(keys)
+        assert sorted(slots.tolist()) == list(range(len(keys))) and (table.keys[slots] == keys).all()
+        others = rnd.integers(2**63, 2**64, (500, 2), dtype=np.uint64)
+        assert (table.slots(others) == -1).all()
+    with pytest.raises(ValueError, match="repeated"):
+        prefixes.NodeTable(np.ones((2, 2), np.uint64))
+
+
+def test_other_numbers_with_the_same_sum_are_told_apart():
+    keys = np.array([[1, 0], [0, 1], [2, 0], [0, 2]], np.uint64)
+    table = prefixes.NodeTable(keys)
+    assert sorted(table.slots(keys).tolist()) == [0, 1, 2, 3]
+    assert table.slots(np.array([[3, 0], [0, 0]], np.uint64)).tolist() == [-1, -1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, rules, separators, spelling, tokens, topk
+from . import arc, curriculum, decontaminate, fuzzylines, hosts, languages, neardup, prefixes, rules, separators, spelling, tokens, topk
 from .tables import stored
 
 QUERIES: dict = {}
@@ -341,3 +341,43 @@ def op11_spelling(spark, d):
 def op12_nearest(spark, d):
     """12: the five nearest vectors of every fiftieth vector."""
     return topk.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# -- prefixes of conversations ----------------------------------------------------------------------
+
+
+@query(f"""
+  WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+          md5(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))) AS p
+    FROM conversations WHERE conv_id IS NOT NULL),
+  c AS (
+    SELECT conv_id, {crc32("conv_id::VARCHAR")} % 9 AS h, conv_id - conv_id % 5 AS base
+    FROM (SELECT DISTINCT conv_id FROM t), {CRC_TABLE}),
+  r AS (
+    SELECT c.conv_id, p, role, text FROM c JOIN t ON t.conv_id = c.base AND p <= h
+    UNION ALL SELECT c.conv_id, p + 8, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+  s AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY p) AS said FROM r GROUP BY conv_id),
+  l AS (SELECT conv_id, coalesce(said, []) AS said, len(coalesce(said, [])) AS n FROM c LEFT JOIN s USING (conv_id)),
+  m AS (
+    SELECT conv_id, n, d, octet_length(encode(said[d].text)) AS bytes, md5(to_json(said[1:d])::VARCHAR) AS node,
+      CASE WHEN d > 0 THEN md5(to_json(said[1:d - 1])::VARCHAR) END AS parent
+    FROM (SELECT *, unnest(generate_series(0, n)) AS d FROM l)),
+  k AS (
+    SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+      (count(*) - 1) * coalesce(any_value(bytes), 0) AS saved,
+      sha256(coalesce(string_agg(CASE WHEN d = n THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM m GROUP BY node),
+  f AS (
+    SELECT k.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM k x WHERE x.parent = k.node) AS n_children
+    FROM k LEFT JOIN k p ON p.node = k.parent),
+  u AS (
+    SELECT m.node, sum((f.n_children = 0)::INT) AS n_leaves, sum(f.saved) AS saved_tokens
+    FROM f JOIN m ON m.conv_id = f.conv_id AND m.d <= f.depth GROUP BY m.node)
+  SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves,
+    saved_tokens::BIGINT AS saved_tokens, ends_sha256
+  FROM f JOIN u USING (node)""")
+def op13_prefix_trie(spark, d):
+    """13: the beginnings that rebuilt conversations share."""
+    return prefixes.trie(table(spark, d, "conversations"))
