@@ -188,7 +188,9 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
 
     full = words.where("word IS NOT NULL").select("word", "n")
     full = stored(full.withColumn("number", F.monotonically_increasing_id()), "vocabulary")
-    probe = map_arrow(full.select("word", "number"), edit, "key bigint, number bigint")
+    # dealt out evenly, for a small table of words makes a hundred times as many rows
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probe = map_arrow(full.select("word", "number").repartition(parts), edit, "key bigint, number bigint")
     table = map_arrow(full.select(F.col("word").alias("near"), "n"), reduce, "key bigint, near string, n bigint")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
