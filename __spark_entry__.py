@@ -291,12 +291,16 @@ def _write_csv(df, path, sep):
 
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def mixed_folder_scan(spark, d):
-    """One folder with CSV, JSON lines and parquet files."""
+    """A folder with CSV, JSON lines, TSV and parquet files, some of them in folders of their own."""
     path = scratch_path(spark, "mixed")
     turns = table(spark, d, "conversations")
-    _write_csv(turns.where("role = 'user'"), path, ",")
-    turns.where("role = 'assistant'").write.mode("append").json(path)
-    turns.where("role NOT IN ('user', 'assistant')").write.mode("append").parquet(path)
+    _write_csv(turns.where("role = 'user' AND turn < 4"), path, ",")
+    _write_csv(turns.where("role = 'user' AND turn >= 4"), f"{path}/later/tabs", "\t")
+    for tabs in storage.matching_paths(spark, f"{path}/later/tabs/*.csv"):
+        storage.promote(spark, tabs, tabs.replace(".csv", ".tsv"))
+    turns.where("role = 'assistant' AND turn < 4").write.mode("append").json(path)
+    turns.where("role = 'assistant' AND turn >= 4").write.mode("append").json(f"{path}/later")
+    turns.where("role NOT IN ('user', 'assistant') OR turn IS NULL OR role IS NULL").write.parquet(f"{path}/other/deep")
     return readers.read_file(spark, path, "conv_id long, turn long, role string, text string")
 
 

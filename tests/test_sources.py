@@ -102,13 +102,21 @@ def test_head_reads_few_files(spark, tmp_path):
 
 
 def test_catalog_table(spark):
-    spark.range(5).selectExpr("id", "'train' AS split").write.mode("overwrite").saveAsTable("five_rows")
+    """Partition columns choose rows; a data column that happens to be called split is one like any other."""
+    rows = spark.range(6).selectExpr("id", "if(id < 2, 'train', 'test') AS split", "'x' AS subset")
+    rows.write.mode("overwrite").saveAsTable("six_rows")
+    rows.write.mode("overwrite").partitionBy("split").saveAsTable("six_parted")
     try:
-        df = readers.read_dataset(spark, None, "five_rows")
-        assert df.columns == ["id"] and df.count() == 5
-        assert readers.read_dataset(spark, None, "five_rows", "test").count() == 0
+        df = readers.read_dataset(spark, None, "six_rows")
+        assert df.columns == ["id", "split", "subset"] and df.count() == 6
+        df = readers.read_dataset(spark, None, "six_parted", "test", "anything")
+        assert df.columns == ["id", "subset"] and df.count() == 4
+        with pytest.raises(readers.DatasetReadError, match="split 'dev'") as e:
+            readers.read_dataset(spark, None, "six_parted", "dev")
+        assert e.value.category == "split"
     finally:
-        spark.sql("DROP TABLE five_rows")
+        spark.sql("DROP TABLE six_rows")
+        spark.sql("DROP TABLE six_parted")
 
 
 def test_read_errors(spark, tmp_path):
@@ -215,6 +223,147 @@ def test_archive_types_and_missing_member(spark, tmp_path):
         archives.archive_records(scan, schema, "other.csv").collect()
 
 
+def write(folder, files):
+    for name, text in files.items():
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(text, newline="")
+    return str(folder)
+
+
+LINES, ARRAY = '{"a": 1}\n{"a": 2}\n', '[\n{"a": 3},\n{"a": 4}\n]\n'
+
+
+@pytest.mark.parametrize(
+    "files,want",
+    [
+        ({"a.json": LINES, "sub/b.json": LINES}, [1, 1, 2, 2]),
+        ({"a.json": LINES, "sub/b.json": LINES, "sub/c.json": ARRAY}, [1, 1, 2, 2, 3, 4]),
+        ({"sub/deep/c.json": ARRAY}, [3, 4]),
+        ({"a.jsonl": LINES, "x/y/b.JSONL": LINES, "x/README.md": "a"}, [1, 1, 2, 2]),
+        ({"a.csv": "a\n1\n", "sub/b.tsv": "a\n2\n"}, [1, 2]),
+        ({"a.csv": "a\n1\n", "sub/b.CSV": "a\n2\n", "notes.txt": "x,y\n"}, [1, 2]),
+        ({"x/a.csv": "a\n1\n", "b.tsv": "a\n2\n", "y/c.json": ARRAY, "y/d.jsonl": LINES}, [1, 1, 2, 2, 3, 4]),
+        ({"a.csv": "a\n1\n", "_temporary/b.csv": "a\n2\n", "sub/.hidden.csv": "a\n3\n"}, [1]),
+    ],
+)
+def test_nested_folders_give_the_rows_of_flat_ones(spark, tmp_path, files, want):
+    nested = write(tmp_path / "nested", files)
+    flat = write(tmp_path / "flat", {n.replace("/", "-") if n[0] != "_" else n: t for n, t in files.items()})
+    for folder in (nested, flat):
+        for schema in ("a int", None):
+            if folder == flat and any(".hidden" in n for n in files):
+                continue  # no longer hidden
+            found = sorted(int(r.a) for r in readers.read_file(spark, folder, schema).collect())
+            assert found == want, (folder, schema)
+
+
+def test_nested_parquet_and_partition_folders(spark, tmp_path):
+    for place in ("p.parquet", "p.parquet/sub", "p.parquet/sub/sub"):
+        spark.range(2).write.mode("append").parquet(str(tmp_path / place))
+    assert readers.read_file(spark, str(tmp_path / "p.parquet")).count() == 6
+    rows = spark.range(4).selectExpr("id", "id % 2 AS k")
+    for fmt in ("json", "parquet", "csv"):
+        rows.write.partitionBy("k").format(fmt).option("header", True).save(str(tmp_path / fmt))
+        df = readers.read_file(spark, str(tmp_path / fmt))
+        assert sorted((int(r.id), r.k) for r in df.collect()) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    write(tmp_path / "json", {"k=7/x.json": '[\n{"id": 9}\n]'})  # another layout in a partition
+    assert (9, 7) in {(r.id, r.k) for r in readers.read_file(spark, str(tmp_path / "json")).collect()}
+
+
+def test_lists_of_several_formats(spark, tmp_path):
+    base = write(tmp_path, {"a.csv": "a\n1\n", "b.json": ARRAY, "c/d.tsv": "a\n5\n"})
+    df = readers.read_file(spark, [f"{base}/a.csv", f"{base}/b.json", f"{base}/c"])
+    assert sorted(int(r.a) for r in df.collect()) == [1, 3, 4, 5]
+
+
+def test_layouts_are_looked_at_by_the_driver_where_tasks_cannot(spark, tmp_path, monkeypatch):
+    base = write(tmp_path, {"a.json": LINES, "b/c.json": ARRAY})
+    monkeypatch.setattr(readers, "reachable", lambda path: False)
+    assert sorted(r.a for r in readers.read_file(spark, base).collect()) == [1, 2, 3, 4]
+    monkeypatch.undo()
+    monkeypatch.setattr(readers, "start_of", None)  # and else not by the driver
+    assert sorted(r.a for r in readers.read_file(spark, base).collect()) == [1, 2, 3, 4]
+
+
+def test_heads_of_mixed_folders_and_patterns(spark, tmp_path):
+    base = write(tmp_path, {"a.csv": "a\n1\n", "n/b.json": ARRAY, "n/c.jsonl": LINES, "README.md": "x"})
+    for n in (1, 3, 5, 9):
+        for path in (base, f"{base}/*"):
+            rows = [int(r.a) for r in readers.read_head(spark, path, n, "a int").collect()]
+            assert len(rows) == min(n, 5) and set(rows) <= {1, 2, 3, 4}
+    many = [f"part/{i:02d}.csv" for i in range(20)]
+    base = write(tmp_path / "many", {name: "a\n1\n2\n" for name in many})
+    assert len(readers.read_head(spark, base, 2).inputFiles()) == 1
+    rows = spark.range(4).selectExpr("id", "id % 2 AS k")
+    rows.write.partitionBy("k").parquet(str(tmp_path / "k.parquet"))
+    assert sorted(map(tuple, readers.read_head(spark, str(tmp_path / "k.parquet"), 9).collect())) == sorted(
+        map(tuple, rows.collect())
+    )
+
+
+def test_archives_are_read_by_their_path(spark, tmp_path, monkeypatch):
+    """An archive that Spark would not hold whole is read all the same."""
+    n = 3000
+    text = "x,y,z\n" + "".join(f"{i},{i * 7919 % 1000003},é{i}\n" for i in range(n))
+    folder = tmp_path / "with space" / "deep"
+    folder.mkdir(parents=True)
+    pack(folder / "a.tgz", {"notes.txt": "n", "t.csv": text})
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        with pytest.raises(Exception, match="length|LENGTH"):
+            archives.archive_records(archives.scan_archives(spark, str(tmp_path)), TEXTS).count()
+        df = archives.read_archives(spark, str(tmp_path), TEXTS)
+        assert df.count() == n and df.select("z").distinct().count() == n
+        assert df.where("archive LIKE '%with space/deep/a.tgz'").count() == n
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    opened = archives.read_archives(spark, str(tmp_path), TEXTS, opener=lambda path: open(path.removeprefix("file:"), "rb"))
+    assert opened.count() == n
+    monkeypatch.setattr(archives, "reachable", lambda path: False)
+    assert archives.read_archives(spark, str(tmp_path), TEXTS).count() == n  # whole, by Spark
+
+
+def test_parquet_members_are_read_by_their_path(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS x", "uuid() AS y").coalesce(1).write.parquet(str(tmp_path / "p"))
+    part = next((tmp_path / "p").glob("*.parquet")).read_bytes()
+    with tarfile.open(tmp_path / "a.tgz", "w:gz") as tar:
+        for name, data in (("pad.bin", b"0" * 100_000), ("x/t.parquet", part)):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    schema = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.StringType())])
+    df = archives.read_archives(spark, str(tmp_path), schema)
+    want = spark.read.parquet(str(tmp_path / "p"))
+    assert df.select("x", "y").exceptAll(want).isEmpty() and df.count() == 5000
+
+
+def test_a_task_holds_a_buffer_of_an_archive(tmp_path):
+    """60 MB of random bytes pass by while far less is held."""
+    import os
+    import tracemalloc
+
+    from tuneloom.sources.streams import open_path
+
+    with tarfile.open(tmp_path / "a.tgz", "w:gz", compresslevel=1) as tar:
+        info = tarfile.TarInfo("big.bin")
+        info.size = 60 << 20
+        tar.addfile(info, io.BytesIO(os.urandom(60 << 20)))
+    tracemalloc.start()
+    with open_path(f"file:{tmp_path}/a.tgz") as packed, tarfile.open(fileobj=packed, mode="r:gz") as tar:
+        assert [info.name for info in tar] == ["big.bin"]
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+
+
+def test_stores_of_paths(tmp_path):
+    from tuneloom.sources import streams
+
+    (tmp_path / "a b").write_text("x")
+    for path in (f"{tmp_path}/a b", f"file:{tmp_path}/a b", f"file://{tmp_path}/a b"):
+        assert streams.reachable(path) and streams.open_path(path).read() == b"x"
+    assert not streams.reachable("nosuchstore://x/y")
+
+
 def test_storage(spark, tmp_path):
     final, staged = str(tmp_path / "x" / "final"), str(tmp_path / "staged")
     for n in (3, 4):

@@ -49,7 +49,7 @@ from .plans.recipes import (
     run_recipe,
     run_registry,
 )
-from .sources.archives import archive_records, scan_archives
+from .sources.archives import archive_records, read_archives, scan_archives
 from .sources.listing import list_files, pick_files
 from .sources.readers import DatasetReadError, read_dataset, read_file, read_first_available, read_head
 from .sources.registry import read_registry, registry_frame

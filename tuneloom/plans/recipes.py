@@ -32,7 +32,7 @@ from ..operators.select import (
     sample_exact,
     shape,
 )
-from ..sources.archives import archive_records, scan_archives
+from ..sources.archives import read_archives, scan_archives
 from ..sources.listing import list_files, pick_files
 from ..sources.readers import (
     DatasetReadError,
@@ -156,10 +156,9 @@ def open_source(
         columns = schema or T.StructType(
             [T.StructField(c, T.StringType()) for c in recipe.columns_keep]
         )
-        packed = scan_archives(spark, recipe.data_url)
-        if packed.select("path").isEmpty():
+        if scan_archives(spark, recipe.data_url, content=False).isEmpty():
             return read_file(spark, recipe.data_url, schema, recipe.fmt, multiline=recipe.multiline)
-        records = archive_records(packed, columns, recipe.data_url_file, recipe.spread)
+        records = read_archives(spark, recipe.data_url, columns, recipe.data_url_file, recipe.spread)
         return records.drop("archive", "member")
 
     sources: list[Callable[[], DataFrame]] = [named]

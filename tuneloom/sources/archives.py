@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import quoted
 from .readers import FORMATS
+from .streams import Opener, open_path, reachable
 
 ROWS_PER_CHUNK = 2_000
 
@@ -58,25 +59,51 @@ def json_objects(text: TextIO, name: str, step: int = 1 << 16) -> Iterator[str]:
         at, after, first = end, array, False
 
 
-def scan_archives(spark: SparkSession, path: str) -> DataFrame:
-    """path, content of the archives below a folder, one row each."""
+def scan_archives(spark: SparkSession, path: str, content: bool = True) -> DataFrame:
+    """path, content of the archives below a folder, one row each; without
+    ``content`` only their paths, and files are listed, not read. Spark holds a
+    content whole, so an archive over 2 GB is only read by its path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.where(F.col("path").rlike(r"(?i)\.(tgz|tar\.gz)$")).select("path", "content")
+    columns = ["path", "content"] if content else ["path"]
+    return files.where(F.col("path").rlike(r"(?i)\.(tgz|tar\.gz)$")).select(*columns)
+
+
+def read_archives(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    member: str | None = None,
+    spread: int | None = None,
+    opener: Opener | None = None,
+) -> DataFrame:
+    """Rows of the archives below a folder, of any size (see ``archive_records``).
+    Each is unpacked by one task while it is read, through ``opener`` or Arrow's
+    file systems; a task holds a buffer of the archive and a few thousand rows.
+    Where Arrow does not know the store and no ``opener`` is given, Spark
+    reads the archives whole, which limits them to 2 GB."""
+    by_path = opener is not None or reachable(path)
+    return archive_records(scan_archives(spark, path, not by_path), schema, member, spread, opener)
 
 
 def archive_records(
-    archives: DataFrame, schema: T.StructType, member: str | None = None, spread: int | None = None
+    archives: DataFrame,
+    schema: T.StructType,
+    member: str | None = None,
+    spread: int | None = None,
+    opener: Opener | None = None,
 ) -> DataFrame:
     """Rows of one member of each archive: the first whose name ends with
     ``member``, else the first loadable one. CSV, TSV, parquet, JSON lines, and JSON
     arrays and objects. An archive without such a member is an error that lists its
     members; so are broken JSON and a CSV row that is longer or shorter than the header.
 
-    Adds ``archive`` and ``member`` to the columns of ``schema``. Archives are
-    read in parallel and members row by row, so a task holds the packed bytes of
-    one archive and a few thousand rows. A packed archive cannot be split, so
-    when a few hold most of the rows, ``spread`` deals their rows out to that
-    many partitions before anything else is done with them.
+    Adds ``archive`` and ``member`` to the columns of ``schema``. Archives come
+    with their ``content`` or as paths alone, which ``opener`` (by default
+    ``open_path``) then opens. They are read in parallel and members row by row,
+    so a task holds a few thousand rows next to the content, if there is one. A
+    packed archive cannot be split, so when a few hold most of the rows,
+    ``spread`` deals their rows out to that many partitions before anything else
+    is done with them.
     """
     formats = dict(FORMATS)
     chunk = ROWS_PER_CHUNK
@@ -95,11 +122,13 @@ def archive_records(
         def loadable(name):
             return os.path.splitext(name.lower())[1] in formats
 
-        def pick(archive, content):
+        def pick(archive, packed):
             names = []
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
+            # not a stream ("r|gz"): parquet members are read from several places
+            with packed, tarfile.open(fileobj=packed, mode="r:gz") as tar:
                 for info in tar:
                     names.append(info.name)
+                    tar.members.clear()  # or all headers are kept
                     if info.isfile() and (
                         info.name.endswith(member) if member else loadable(info.name)
                     ):
@@ -132,8 +161,9 @@ def archive_records(
             return pd.DataFrame({"archive": archive, "member": name, "record": rows})
 
         for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
-                for name, raw in pick(archive, content):
+            for n, archive in enumerate(batch["path"]):
+                packed = io.BytesIO(batch["content"][n]) if "content" in batch else (opener or open_path)(archive)
+                for name, raw in pick(archive, packed):
                     rows = []
                     for record in records(name, raw):
                         rows.append(record)
@@ -143,7 +173,8 @@ def archive_records(
                     if rows:
                         yield frame(archive, name, rows)
 
-    raw = archives.select("path", "content").mapInPandas(
+    given = ["path", "content"] if "content" in archives.columns else ["path"]
+    raw = archives.select(*given).mapInPandas(
         unpack, "archive string, member string, record string"
     )
     if spread:

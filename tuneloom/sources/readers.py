@@ -8,15 +8,16 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import chain, islice
-from typing import Callable, Iterable
+from typing import Callable, Iterator
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..functions.messages import ERROR_HINTS, LEGACY_SCRIPT_MESSAGES, category_of, mentions
-from .storage import children, data_files, matching_names, matching_paths, path_exists, start_of
+from .storage import data_files, matching_names, matching_paths, partition_folders, path_exists, start_of
+from .streams import open_path, reachable
 
 log = logging.getLogger(__name__)
 
@@ -51,21 +52,27 @@ def format_of(path: str) -> str:
     return FORMATS[ext]
 
 
-def _extension(spark: SparkSession, path: str) -> str:
-    """Extension of a path, or of the first data file in a folder without one."""
-    ext = os.path.splitext(path.rstrip("/").lower())[1]
-    if ext in FORMATS:
-        return ext
-    inside = (os.path.splitext(n.lower())[1] for n in children(spark, path))
-    return next((e for e in inside if e in FORMATS), ext)
+def _extension(path: str) -> str:
+    return os.path.splitext(path.rstrip("/").lower())[1]
+
+
+def _listing(spark: SparkSession, path: str | list[str], only: str | None = None) -> DataFrame:
+    """path of every file below folders, at any depth; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (reader.option("pathGlobFilter", only) if only else reader).load(path).select("path")
 
 
-def _extensions_inside(spark: SparkSession, path: str) -> list[str]:
-    """The data file extensions (as they are written) in a folder."""
-    if "*" in path or not path_exists(spark, path):
-        return []
-    found = (os.path.splitext(n)[1] for n in children(spark, path))
-    return sorted({e for e in found if e.lower() in FORMATS})
+def _patterns_inside(spark: SparkSession, path: str) -> dict[str, str]:
+    """Of the data files below a folder: the extensions, each with a pattern for
+    the names that have it (in any spelling that occurs)."""
+    if "*" not in path and not path_exists(spark, path):
+        return {}
+    ext = F.regexp_extract("path", r"(\.[^./]*)$", 1).alias("ext")
+    found: dict[str, list[str]] = {}
+    for row in _listing(spark, path).select(ext).distinct().sort("ext").collect():
+        if row.ext.lower() in FORMATS:
+            found.setdefault(row.ext.lower(), []).append(row.ext)
+    return {ext: f"*{{{','.join(spelled)}}}" for ext, spelled in found.items()}
 
 
 def _is_json_lines(start: str) -> bool:
@@ -84,21 +91,39 @@ def _is_json_lines(start: str) -> bool:
     return True
 
 
-def _json_kinds(spark: SparkSession, path: str | list[str]) -> dict[bool, list[str]]:
+def _json_kinds(spark: SparkSession, path: str | list[str], only: str | None = None) -> dict[bool, list[str]]:
     """The '.json' files of a path by whether they hold a document per line. The
-    first START_BYTES of each file are looked at."""
-    if not isinstance(path, str):
-        files = [f for p in path for f in data_files(spark, p)]
-    else:
-        files = matching_paths(spark, path) if "*" in path else list(data_files(spark, path))
+    first START_BYTES of each file are looked at, by tasks; where Arrow does not
+    know the store, by the driver."""
+    files = _listing(spark, path, only)
+    size = START_BYTES
+    kinds: dict[bool, list[str]] = {}
+    if reachable(path if isinstance(path, str) else path[0]):
+
+        def look(batches):
+            import pandas as pd
+
+            for batch in batches:
+                lines = []
+                for file in batch["path"]:
+                    with open_path(file) as f:
+                        lines.append(_is_json_lines(f.read(size).decode("utf-8-sig", "ignore")))
+                yield pd.DataFrame({"path": batch["path"], "lines": lines})
+
+        for row in files.mapInPandas(look, "path string, lines boolean").sort("path").collect():
+            kinds.setdefault(row.lines, []).append(row.path)
+        return kinds
+    found = sorted(row.path for row in files.collect())
     with ThreadPoolExecutor(16) as pool:
-        starts = pool.map(lambda f: _is_json_lines(start_of(spark, f, START_BYTES)), files)
-        kinds: dict[bool, list[str]] = {}
-        for file, lines in zip(files, starts):
-            kinds.setdefault(lines, []).append(file)
+        for file, start in zip(found, pool.map(lambda f: start_of(spark, f, size), found)):
+            kinds.setdefault(_is_json_lines(start), []).append(file)
     return kinds
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_file(
     spark: SparkSession,
     path: str | list[str],
@@ -106,44 +131,68 @@ def read_file(
     fmt: str | None = None,
     infer: bool = False,
     multiline: bool = True,
+    base: str | None = None,
 ) -> DataFrame:
-    """Read a file, a folder or a list of files by their extension (or ``fmt``).
-
-    CSV and TSV columns stay strings unless a schema is given or ``infer`` is
-    set. Quoted line breaks are read with ``multiline``; turn it off for large
-    files without them, since only then can Spark split a file. A '.json' file
-    may hold an array, one object or one object per line, each file in its own way; broken JSON, and a CSV
-    row that is longer or shorter than the header, is an error. Files of several
-    formats in one folder are read each in its own way and put together by name.
+    """Read a file, a folder or a list of both by their extensions (or ``fmt``).
+
+    A folder is read with all folders in it. Those named key=value right below it
+    become columns; then deeper ones must be so named too. The data files of a
+    folder whose name has no extension are read each by its own and put
+    together by name, other files are passed over. CSV and TSV columns stay
+    strings unless a schema is given or ``infer`` is set. Quoted line breaks are
+    read with ``multiline``; turn it off for large files without them, since only
+    then can Spark split a file. A '.json' file may hold an array, one object or
+    one object per line, each file in its own way; broken JSON, and a CSV row
+    that is longer or shorter than the header, is an error. ``base`` is the
+    folder whose key=value folders listed files are in.
     """
-    first = path if isinstance(path, str) else path[0]
-    if isinstance(path, str) and fmt is None and os.path.splitext(path.rstrip("/").lower())[1] not in FORMATS:
-        inside = _extensions_inside(spark, path)
-        if len(inside) > 1:
-            parts = [
-                read_file(spark, f"{path.rstrip('/')}/*{ext}", schema, None, infer, multiline) for ext in inside
-            ]
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    ext = _extension(spark, first)
-    fmt = fmt or FORMATS.get(ext) or format_of(first)
-    return _load(spark, path, schema, fmt, ext, infer, multiline)
-
-
-def _load(spark, path, schema, fmt, ext, infer=False, multiline=True) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    options = (infer, multiline, base)
+    if not isinstance(path, str) and fmt is None:
+        by_ext: dict[str, list[str]] = {}
+        for one in path:
+            by_ext.setdefault(_extension(one), []).append(one)
+        parts = []
+        for ext, some in by_ext.items():
+            if ext in FORMATS:
+                parts.append(_load(spark, some, schema, FORMATS[ext], ext, *options))
+            else:
+                parts += [read_file(spark, one, schema, None, *options) for one in some]
+        return _together(parts)
+    ext = _extension(path if isinstance(path, str) else path[0])
+    if fmt is None and ext not in FORMATS:
+        inside = _patterns_inside(spark, path)
+        if not inside:
+            format_of(path)
+        return _together([_load(spark, path, schema, FORMATS[e], e, *options, only) for e, only in inside.items()])
+    return _load(spark, path, schema, fmt or FORMATS[ext], ext, *options)
+
+
+def _load(spark, path, schema, fmt, ext, infer=False, multiline=True, base=None, only=None) -> DataFrame:
+    paths = [path] if isinstance(path, str) else path
+    folders = [p for p in paths if not isinstance(path, list) or _extension(p) not in FORMATS]
+
+    def reader() -> DataFrameReader:
+        found = spark.read if schema is None else spark.read.schema(schema)
+        if base is not None:
+            return found.option("basePath", base)
+        if not any(partition_folders(spark, p) for p in folders):
+            found = found.option("recursiveFileLookup", "true")
+        return found.option("pathGlobFilter", only) if only else found
+
     if fmt == "parquet":
-        return reader.parquet(*([path] if isinstance(path, str) else path))
+        return reader().parquet(*paths)
     if fmt == "csv":
         sep = "\t" if ext == ".tsv" else ","
-        return reader.csv(
+        return reader().csv(
             path, header=True, sep=sep, quote='"', escape='"', multiLine=multiline, inferSchema=infer, mode="FAILFAST"
         )
     if fmt == "json":
-        kinds = {True: []} if ext == ".jsonl" else _json_kinds(spark, path)
+        kinds = {True: []} if ext == ".jsonl" else _json_kinds(spark, path, only)
         if len(kinds) < 2:  # also a path without files
-            return reader.json(path, multiLine=False in kinds, mode="FAILFAST")
-        parts = [reader.json(files, multiLine=not lines, mode="FAILFAST") for lines, files in kinds.items()]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            return reader().json(path, multiLine=False in kinds, mode="FAILFAST")
+        if base is None and isinstance(path, str) and partition_folders(spark, path):
+            base = path
+        return _together([reader().json(files, multiLine=not lines, mode="FAILFAST") for lines, files in kinds.items()])
     raise ValueError(f"Cannot load file type '{fmt}' from {path}")
 
 
@@ -221,18 +270,30 @@ def _check_partitions(spark: SparkSession, base: str, repo: str, split: str, sub
 
 
 def _partitioned(spark, root, repo, split, subset, fmt, schema, multiline) -> DataFrame:
+    wanted = {"split": split, "subset": subset}
     if root is None:
         df = spark.table(repo)
+        keys = {c.name for c in spark.catalog.listColumns(repo) if c.isPartition}
+        by = {name: value for name, value in wanted.items() if name in keys}
     else:
         base = f"{root.rstrip('/')}/{repo}"
         _check_partitions(spark, base, repo, split, subset)
         ext = next((e for e in FORMATS if matching_names(spark, f"{base}/{{*=*,*=*/*=*}}/*{e}")), ".parquet")
         df = _load(spark, base, schema, fmt or FORMATS[ext], ext, multiline=multiline)
-    wanted = {"split": split, "subset": subset}
-    for name, value in wanted.items():
-        if name in df.columns and value:
+        by = {name: value for name, value in wanted.items() if name in df.columns}
+    for name, value in by.items():
+        if value:
             df = df.where(F.col(name) == value)
-    return df.drop(*wanted)
+            if root is None and df.isEmpty():  # partitions only, at most one row is read
+                raise FileNotFoundError(f"{name} '{value}' of {repo}")
+    return df.drop(*by)
+
+
+def _files_in_order(spark: SparkSession, path: str, fmt: str | None) -> Iterator[str]:
+    """The data files of a path one by one, folders opened as they come."""
+    known = fmt is not None or _extension(path) in FORMATS
+    for place in matching_paths(spark, path) if "*" in path else [path]:
+        yield from (f for f in data_files(spark, place) if known or _extension(f) in FORMATS)
 
 
 def read_head(
@@ -240,16 +301,26 @@ def read_head(
 ) -> DataFrame:
     """``rows`` rows of a file or folder of any size, without a look at all of
     it: the first file, then four times as many, until they hold enough. (A
-    plain ``limit`` inside a plan starts a task for every partition.)"""
-    if "*" in path or (options.get("fmt") is None and len(_extensions_inside(spark, path)) > 1):
-        found: Iterable[str] = sorted(map(unquote, read_file(spark, path, schema, **options).inputFiles()))
+    plain ``limit`` inside a plan starts a task for every partition.) Without a
+    schema the columns are those of the files that are read."""
+    fmt = options.pop("fmt", None)
+    if fmt is None and _extension(path) in FORMATS:
+        # files in a folder with an extension are read by the folder's
+        fmt, sep = FORMATS[_extension(path)], _extension(path)
     else:
-        found = data_files(spark, path)
-    found, files = iter(found), []
+        sep = None
+    base = path if "*" not in path and partition_folders(spark, path) else None
+    found, files = _files_in_order(spark, path, fmt), []
     while True:
         files += islice(found, max(1, 3 * len(files)))
         after = next(found, None)
-        first = read_file(spark, files or path, schema, **options).limit(rows)
+        if not files:
+            return read_file(spark, path, schema, fmt, **options).limit(rows)
+        if sep is not None:
+            some = _load(spark, files, schema, fmt, sep, base=base, **options)
+        else:
+            some = read_file(spark, files, schema, fmt, base=base, **options)
+        first = some.limit(rows)
         if after is None or first.count() >= rows:
             return first
         found = chain([after], found)

@@ -60,6 +60,11 @@ def data_files(spark: SparkSession, path: str) -> Iterator[str]:
             yield from data_files(spark, inside.getPath().toString())
 
 
+def partition_folders(spark: SparkSession, path: str) -> bool:
+    """Whether a folder (or one that fits a pattern) has folders named key=value."""
+    return bool(matching_names(spark, f"{path.rstrip('/')}/*=*"))
+
+
 def start_of(spark: SparkSession, path: str, size: int) -> str:
     """The first bytes of a file as text; a letter cut at the end is left out."""
     fs = _fs(spark, path)
