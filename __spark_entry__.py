@@ -23,6 +23,7 @@ from tuneloom.operators import generate as gen  # noqa: E402
 from tuneloom.operators import ledger as led  # noqa: E402
 from tuneloom.operators import quality as qual  # noqa: E402
 from tuneloom.operators import select as sel  # noqa: E402
+from tuneloom.operators.contracts import contract_report, union_cells  # noqa: E402
 from tuneloom.plans import recipes as rec  # noqa: E402
 from tuneloom.sources import archives, listing, readers, registry, storage  # noqa: E402
 from tuneloom.streaming import arrivals  # noqa: E402
@@ -990,6 +991,52 @@ def validate_many_limits(spark, d):
     return report.select("id", "n_rows", "min_rows", "passed")
 
 
+_CONTRACTS = [
+    ("documents", ["text", "lang"], 50, "default", None),
+    ("events", ["output", "event_type", "no_such_column"], 1, "structured", ["reply", "output"]),
+    ("pairs", ["instruction"], 10**9, "default", None),
+    ("nations", ["n_name", "n_comment"], None, None, None),
+    ("absent", ["text"], 5, "default", None),
+]
+
+
+def _contract_sql(name: str, source: str, texts: list[str], bad_json: str = "0") -> str:
+    required = next(c[1] for c in _CONTRACTS if c[0] == name)
+    present = [c for c in required if c != "no_such_column"]
+    return f"SELECT '{name}' AS dataset_id, * FROM ({sql_counts(source, present, texts, bad_json)})"
+
+
+@query(f"""
+  WITH c AS (
+    {_contract_sql("documents", "SELECT text, lang, n_chars FROM documents", ["text", "lang"])}
+    UNION ALL {_contract_sql(
+        "events", f"SELECT p.output, e.event_type FROM ({_PROPS}) p JOIN events e USING (event_id)",
+        ["output", "event_type"], "(NOT json_valid(output))::INT")}
+    UNION ALL {_contract_sql(
+        "pairs", f"SELECT instruction, response FROM ({PAIRS})", ["instruction", "response"])}
+    UNION ALL {_contract_sql("nations", "SELECT n_name, n_comment FROM (SELECT n_name, n_name AS n_comment FROM nation)", ["n_name", "n_comment"])}
+    UNION ALL SELECT 'absent', 0, 0, 0, 0, 0, 0, 0),
+  m AS (SELECT *, CASE dataset_id WHEN 'documents' THEN 50 WHEN 'pairs' THEN 1000000000 WHEN 'absent' THEN 5 ELSE 1 END AS min_rows,
+    CASE dataset_id WHEN 'events' THEN '[''no_such_column'']' WHEN 'absent' THEN '[''text'']' ELSE '[]' END AS missing FROM c)
+  SELECT dataset_id, n_rows::BIGINT AS n_rows, n_empty, n_degenerate, n_ssn::BIGINT AS n_ssn, n_phone::BIGINT AS n_phone,
+    n_email::BIGINT AS n_email, n_bad_json, missing,
+    missing = '[]' AND n_empty = 0 AND n_rows >= min_rows AS passed FROM m""")
+def validate_contracts(spark, d):
+    """Tables of different columns, each against its own contract, in one job."""
+    events = props(spark, d).join(table(spark, d, "events").select("event_id", "event_type"), "event_id")
+    tables = {
+        "documents": table(spark, d, "documents").select("text", "lang", "n_chars"),
+        "events": events.select("output", "event_type"),
+        "pairs": pairs(spark, d).select("instruction", "response"),
+        "nations": table(spark, d, "nation").selectExpr("n_name", "n_name AS n_comment"),
+    }
+    kinds = "dataset_id string, required array<string>, min_rows long, output_type string, json_columns array<string>"
+    contracts = spark.createDataFrame(_CONTRACTS, kinds)
+    report = contract_report(union_cells(tables), contracts)
+    missing = F.concat(F.lit("["), F.array_join(F.transform("missing", lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", "), F.lit("]"))
+    return report.select("dataset_id", *qual.COUNTS, missing.alias("missing"), "passed")
+
+
 # -- delivery --------------------------------------------------------------
 
 

@@ -115,16 +115,22 @@ def quality_counts(
 
 
 def report_columns(
-    missing: list[str],
+    missing: list[str] | Column,
     min_rows: Column,
-    json_name: str | None = None,
+    json_name: str | Column | None = None,
     rows_in: Column | None = None,
 ) -> dict[str, Column]:
-    """Checks, verdict and messages from the counts."""
+    """Checks, verdict and messages from the counts. The missing columns and the
+    name of the JSON column are known beforehand or, where every row is a
+    dataset of its own, columns of the counts."""
+    if not isinstance(missing, Column):
+        missing = F.array(*map(F.lit, missing)).cast("array<string>")
+    if not isinstance(json_name, Column):
+        json_name = F.lit(str(json_name))
     n = {name: F.col(name) for name in COUNTS}
     pii_total = sum((n[c] for c in PII_COUNTS), F.lit(0))
     passed = {
-        "required_columns_present": F.lit(not missing),
+        "required_columns_present": F.size(missing) == 0,
         "no_fully_empty_rows": n["n_empty"] == 0,
         "no_degenerate_pairs": n["n_degenerate"] == 0,
         "min_row_count": n["n_rows"] >= min_rows,
@@ -143,9 +149,10 @@ def report_columns(
             ]
         )
     )
-    names = "[" + ", ".join(f"'{c}'" for c in missing) + "]"
+    quotes = F.transform(missing, lambda c: F.concat(F.lit("'"), c, F.lit("'")))
+    names = F.concat(F.lit("["), F.array_join(quotes, ", "), F.lit("]"))
     errors = [
-        message("required_columns_present", "Missing required columns: " + names),
+        message("required_columns_present", "Missing required columns: ", names),
         message("no_fully_empty_rows", n["n_empty"].cast("string"), " rows have no required value"),
         message(
             "min_row_count",
@@ -157,7 +164,7 @@ def report_columns(
         message("pii_scan", "Possible PII, review before publishing: {", F.array_join(found, ", "), "}"),
         message(
             "json_valid",
-            n["n_bad_json"].cast("string"), f" rows in '{json_name}' are not valid JSON",
+            n["n_bad_json"].cast("string"), " rows in '", F.coalesce(json_name, F.lit("None")), "' are not valid JSON",
         ),
     ]
     return {
