@@ -705,6 +705,36 @@ def generate_resumed(spark, d):
     return made.select("doc_id", "generation.status", "generation.raw")
 
 
+def failing_generator():
+    """Fails for prompts about two languages, in two ways."""
+
+    def reply(prompts):
+        for prompt in prompts:
+            if prompt.startswith("de:"):
+                raise RuntimeError("no German")
+            if prompt.startswith("fr:"):
+                raise ValueError("no French")
+        return prompts
+
+    return reply
+
+
+@query("""
+  SELECT reason, count(*) AS n FROM (
+    SELECT CASE lang WHEN 'de' THEN 'RuntimeError: no German' WHEN 'fr' THEN 'ValueError: no French' END AS reason FROM documents)
+  WHERE reason IS NOT NULL GROUP BY reason""")
+def failure_reasons(spark, d):
+    """Why how many rows of a run got no reply, counted while they are written."""
+    docs = table(spark, d, "documents")
+    df = docs.select("doc_id", F.concat(F.coalesce("lang", F.lit("")), F.lit(":"), F.coalesce("source", F.lit(""))).alias("response"))
+    recipe = _recipe("instruction_from_answer", rows=docs.count(), columns_keep=["response"])
+    result = rec.run_recipe(
+        df, recipe, scratch_path(spark, "out"), NOW, failing_generator(), ["doc_id"],
+        template="{response}", batch_size=1, max_attempts=1, backoff=0.0,
+    )
+    return spark.createDataFrame(result["failure_reasons"], "reason string, n long")
+
+
 @query("""
   SELECT CASE WHEN lang = 'de' THEN 'failed' ELSE 'ok' END AS status, count(*) AS n
   FROM documents GROUP BY 1""")
@@ -1203,9 +1233,10 @@ def ledger_changes(spark, d):
     led.ledger_write(ledger(spark, d), root)
     assert before.isEmpty()  # the second writer knows nothing of the first
     led.ledger_write(updates(spark, d), root)
-    led.ledger_compact(spark, root)
+    once = f"{root}-once"
+    led.ledger_write(led.ledger_read(spark, root), once)  # how a user puts updates together
     names = ["dataset_id", "rows_out", "validation_passed", "processed_at", "local_path", "owner"]
-    return led.ledger_read(spark, root).select(names)
+    return led.ledger_read(spark, once).select(names)
 
 
 @query(f"""
@@ -1446,6 +1477,32 @@ def stream_arrivals(spark, d):
     return out.rescan(spark, f"{base}/out").drop("batch")
 
 
+@query(f"""
+  WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE NOT coalesce({sql_strip("text")} = '', true)) AS good FROM documents)
+  SELECT 'docs' AS id, 'complete' AS status, good::VARCHAR AS rows_out, 'docs' AS batches_of, good AS rows_delivered, 0::BIGINT AS rows_apart FROM n
+  UNION ALL SELECT 'odd', 'pending', '—', 'odd', 0, good FROM n""")
+def stream_board(spark, d):
+    """ST2, L6: a stream in several batches, and one whose batches fail, on the board."""
+    base = scratch_path(spark, "streams")
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    docs.repartition(3).write.parquet(f"{base}/in")
+    for name, columns in (("docs", ["doc_id", "text"]), ("odd", ["doc_id", "text", "absent"])):
+        stream = arrivals.read_arrivals(spark, f"{base}/in", docs.schema, max_files=2)
+        for _ in range(2):  # the second run finds nothing new
+            arrivals.deliver_arrivals(
+                stream, columns, f"{base}/{name}", f"{base}/check-{name}", f"{base}/ledger", name, NOW
+            ).awaitTermination()
+    entries = spark.createDataFrame(
+        [("docs", "pending", "p", "t", None), ("odd", "pending", "p", "t", None)],
+        "id string, status string, project string, recipe_target string, known_issues array<string>",
+    )
+    board = led.status_board(entries, led.ledger_read(spark, f"{base}/ledger")).select("id", "status", "rows_out")
+    rows = out.rescan(spark, f"{base}/docs").select(F.lit("docs").alias("batches_of"), F.lit(1).alias("in"), F.lit(0).alias("apart"))
+    apart = out.rescan(spark, f"{base}/odd_quarantine").select(F.lit("odd"), F.lit(0), F.lit(1))
+    sums = rows.union(apart).groupBy("batches_of").agg(F.sum("in").alias("rows_delivered"), F.sum("apart").alias("rows_apart"))
+    return board.join(sums, board["id"] == sums["batches_of"])
+
+
 # -- training corpora --------------------------------------------------------
 # A subpackage of its own, which may be absent together with corpus_pipeline.py.
 

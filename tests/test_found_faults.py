@@ -145,13 +145,38 @@ def test_stream_batch_that_fails_is_not_delivered(spark, tmp_path):
     spark.createDataFrame([("same", "same")] * 3, "a string, b string").write.parquet(str(tmp_path / "in"))
     stream = arrivals.read_arrivals(spark, str(tmp_path / "in"), AB)
     run = arrivals.deliver_arrivals(
-        stream, ["a", "b", "absent"], str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "ledger"), "s", "now",
-        deliver_failed=False,
-    )
+        stream, ["a", "b", "absent"], str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "ledger"), "s", "now"
+    )
     run.awaitTermination(120)
     entry = tl.ledger_read(spark, str(tmp_path / "ledger")).first()
     assert (entry.validation_passed, entry.local_path) == (False, None)
     assert not [p for p in (tmp_path / "out").glob("*") if not p.name.startswith(".")]
+    apart = spark.read.parquet(str(tmp_path / "out_quarantine"))
+    assert apart.count() == 3 and "batch" in apart.columns
+    total = tl.roll_up(tl.ledger_read(spark, str(tmp_path / "ledger"))).first()
+    assert (total.dataset_id, total.rows_out, total.validation_passed) == ("s", 0, False)
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    """The checkpoint forgets that the batches ended, as after a crash before the commit."""
+    import shutil
+
+    spark.range(0, 40, 1, 4).selectExpr("concat('a', id) AS a", "'b' AS b").write.parquet(str(tmp_path / "in"))
+
+    def go():
+        stream = arrivals.read_arrivals(spark, str(tmp_path / "in"), AB, max_files=1)
+        arrivals.deliver_arrivals(
+            stream, ["a", "b"], str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "ledger"), "s", "now"
+        ).awaitTermination(120)
+        total = tl.roll_up(tl.ledger_read(spark, str(tmp_path / "ledger"))).first()
+        return total.dataset_id, total.rows_out, spark.read.parquet(str(tmp_path / "out")).select("a").distinct().count()
+
+    assert go() == ("s", 40, 40)
+    commits = tmp_path / "check" / "commits"
+    shutil.move(str(commits / "3"), str(tmp_path / "forgotten"))
+    if (commits / ".3.crc").exists():
+        shutil.move(str(commits / ".3.crc"), str(tmp_path / "forgotten.crc"))
+    assert go() == ("s", 40, 40)
 
 
 def test_json_files_of_one_folder_each_in_its_own_way(spark, tmp_path):

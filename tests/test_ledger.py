@@ -1,3 +1,4 @@
+import os
 import json
 
 import pytest
@@ -110,18 +111,43 @@ def test_two_writers_lose_nothing(spark, tmp_path):
         now = led.ledger_read(spark, root)
         assert now.columns == led.LEDGER_SCHEMA.names
         assert {r.dataset_id: (r.rows_in, r.rows_out, r.repo) for r in now.collect()} == want
-        led.ledger_compact(spark, root, keep_seconds=0)
-    assert len(list((tmp_path / "ledger").iterdir())) == 1
+        led.ledger_write(now, f"{root}-once")
+        root = f"{root}-once"  # put together by an ordinary rewrite
+    assert len(list((tmp_path / "ledger-once").iterdir())) == 1
 
 
-def test_changes_are_put_together(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(led, "COMPACT_AFTER", 3)
-    monkeypatch.setattr(led, "KEEP_SECONDS", 0)
+def test_updates_of_many_rows_and_unfinished_ones(spark, tmp_path):
     root = str(tmp_path / "ledger")
-    for n in range(9):
-        led.ledger_write(spark.createDataFrame([(f"d{n % 2}", n)], "dataset_id string, rows_out long"), root)
-    assert {r.dataset_id: r.rows_out for r in led.ledger_read(spark, root).collect()} == {"d0": 8, "d1": 7}
-    assert any(p.name.endswith("-merged") for p in (tmp_path / "ledger").iterdir())
+    for n in range(5):
+        rows = spark.range(0, 200, 1, 8).selectExpr("concat('d', id) AS dataset_id", f"id * {n} AS rows_out")
+        path = led.ledger_write(rows, root)
+    assert len(list((tmp_path / "ledger").glob("*/part-*"))) > 5 * 4  # by as many tasks as the update has
+    assert {r.dataset_id: r.rows_out for r in led.ledger_read(spark, root).collect()} == {f"d{i}": 4 * i for i in range(200)}
+    os.remove(f"{path}/_SUCCESS")  # a write that has not ended
+    assert {r.rows_out for r in led.ledger_read(spark, root).where("dataset_id = 'd7'").collect()} == {21}
+
+
+def test_batches_of_a_stream_add_up(spark):
+    rows = [
+        ("a/0", 0, "/x/a/batch=0", 5, True, "2024-01-01"), ("a/1", 1, "/x/a/batch=1", 7, True, "2024-01-03"),
+        ("b/0", 0, "/x/b/batch=0", 5, True, "2024-01-01"), ("b/12", 12, None, 9, False, "2024-01-02"),
+        ("c", None, "/x/c", 3, True, "2024-01-01"), ("c/0", 0, "/x/c/batch=0", 4, True, "2024-01-05"),
+        ("org/7", None, "/x/7", 1, True, None), ("d", None, None, None, None, None),
+    ]
+    kinds = "dataset_id string, batch long, local_path string, rows_out long, validation_passed boolean, processed_at string"
+    df = spark.createDataFrame(rows, kinds)
+    got = {r.dataset_id: (r.rows_out, r.validation_passed, r.processed_at) for r in led.roll_up(df).collect()}
+    assert got == {
+        "a": (12, True, "2024-01-03"), "b": (5, False, "2024-01-02"), "c": (7, True, "2024-01-05"),
+        "org/7": (1, True, None), "d": (None, False, None),
+    }
+    assert led.roll_up(df).where("dataset_id = 'a'").first().local_path == "/x/a"
+    assert led.roll_up(df.drop("batch")).count() == 8
+    names = ["a", "b", "c", "org/7", "d", "e"]
+    entries = spark.createDataFrame([(n, None, "p", "t", None) for n in names], "id string, status string, project string, recipe_target string, known_issues array<string>")
+    board = {r.id: (r.status, r.rows_out) for r in led.status_board(entries, df).collect()}
+    assert board["a"] == ("complete", "12") and board["b"] == ("pending", "—") and board["e"] == ("pending", "—")
+    assert {r.id for r in led.skip_completed(entries, df).collect()} == {"b", "org/7", "d", "e"}
 
 
 def test_json_ledger(spark, tmp_path):

@@ -128,6 +128,7 @@ def test_failed_batches_are_counted(spark, tmp_path):
     options = {"batch_size": 5, "backoff": 0.0, "parallelism": 2}
     result = rec.run_recipe(df, recipe, str(tmp_path), NOW, reply, ["id"], **options)
     assert result["status"] == "success" and result["rows_failed"] == 5
+    assert result["failure_reasons"] == [("RuntimeError: down", 5)]
     rows = out.rescan(spark, result["local_path"]).collect()
     assert rows[0].asDict().keys() == {"response", "instruction"} and sum(r.instruction == "" for r in rows) == 5
     strict = rec.replace(recipe, columns_keep=["response"], id="strict")
@@ -136,6 +137,30 @@ def test_failed_batches_are_counted(spark, tmp_path):
     assert delivered.where("generation_status = 'failed'").count() == 5
 
 
+def test_reasons_of_failures(spark, tmp_path):
+    def reply(prompts):
+        n = int(prompts[0].split("#")[1])
+        if n % 3 == 0:
+            raise ValueError("a very long story " * 100)
+        if n % 3 == 1:
+            raise KeyError(f"no {n % 2}")
+        return [None]
+
+    df = spark.range(60).selectExpr("id", "concat('A#', id, '#') AS response")
+    recipe = rec.replace(rec.RECIPES["instruction_from_answer"], columns_keep=["response"], rows=60)
+    result = rec.run_recipe(
+        df, recipe, str(tmp_path), NOW, reply, ["id"], batch_size=1, max_attempts=1, backoff=0.0, template="{response}"
+    )
+    why = dict(result["failure_reasons"])
+    assert result["rows_failed"] == 40 and sum(why.values()) == 40
+    assert {k[:20]: n for k, n in why.items()} == {"ValueError: a very l": 20, "KeyError: 'no 0'": 10, "KeyError: 'no 1'": 10}
+    assert max(map(len, why)) <= 300
+    none = rec.run_recipe(df, rec.replace(RECIPE, columns_keep=["response"], rows=60), str(tmp_path), NOW, key=["id"])
+    assert none["failure_reasons"] == []
+    frame = rec._results_frame(spark, [result, none])
+    assert frame.where("dataset_id = 'instruction-from-answer'").selectExpr("inline(failure_reasons)").count() == 3
+
+
 def test_unknown_augmentation_passes_through(spark, tmp_path):
     odd = rec.replace(RECIPE, augmentation="not_a_real_type")
     result = rec.run_recipe(pairs(spark), odd, str(tmp_path), NOW, key=["id"])
@@ -251,6 +276,7 @@ def test_stream_with_augmentation(spark, tmp_path):
     arrivals.deliver_arrivals(
         stream, ["response", "absent"], f"{base}/data", f"{base}/checkpoint", f"{base}/ledger", "x", NOW,
         kind="instruction_from_answer", generator=lambda prompts: ["Instruction: i"] * len(prompts),
+        deliver_failed=True,
     ).awaitTermination()
     rows = spark.read.parquet(f"{base}/data").collect()
     assert len(rows) == 30 and {r.instruction for r in rows} == {"i"}

@@ -1,5 +1,6 @@
 """Prepare text datasets for model fine-tuning with Spark."""
 
+from .operators.contracts import as_cells, contract_report, union_cells
 from .operators.deliver import (
     dataset_cards,
     deliver,
@@ -13,7 +14,6 @@ from .operators.generate import augment, generate, generate_resumed
 from .operators.ledger import (
     completed,
     failed,
-    ledger_compact,
     ledger_get,
     ledger_read,
     ledger_read_json,
@@ -21,6 +21,7 @@ from .operators.ledger import (
     ledger_upsert,
     ledger_write,
     provenance,
+    roll_up,
     run_tally,
     select_targets,
     skip_completed,

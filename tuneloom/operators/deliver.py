@@ -77,7 +77,7 @@ def write_checked(
 ) -> DataFrame:
     """Write ``df`` and return its quality report. Rows are computed and checked
     once, while they are written: no second scan, and no second call of a model.
-    ``metrics`` are further counts for the report; the columns in ``drop`` may be
+    ``metrics`` are further aggregates for the report; the columns in ``drop`` may be
     counted but are not written."""
     metrics = metrics or {}
     flags = row_flags(df, required, drop)
@@ -92,7 +92,8 @@ def write_checked(
     )
     rows.drop(*helpers, *drop).write.mode("overwrite").option("compression", "snappy").parquet(path)
     counted = seen.get
-    schema = struct_of(**{name: LONG for name in [*COUNTS, *metrics]})
+    kinds = df.agg(*[c.alias(name) for name, c in metrics.items()]).schema if metrics else []
+    schema = struct_of(**{name: LONG for name in COUNTS}, **{f.name: f.dataType for f in kinds})
     counts = df.sparkSession.createDataFrame([tuple(counted[c] for c in schema.names)], schema)
     missing = [c for c in required if c not in df.columns]
     return report_from_counts(counts, missing, min_rows, json_column(df.columns, json_columns))

@@ -62,7 +62,9 @@ RECORD_KEYS = [
 ]
 # Where an answer text is looked for, first hit wins.
 ANSWER_COLUMNS = ["response", "post"]
-STATUS_COLUMNS = ["generation_status", "generation_attempts"]
+STATUS_COLUMNS = ["generation_status", "generation_attempts", "generation_error"]
+# Letters of an error that tell one reason from another, and the reasons a sketch keeps.
+REASON_LETTERS, REASONS_TRACKED = 300, 1000
 INSTRUCTION_PREFIX = "Instruction:"
 FENCE_CHARS = "`json"
 
@@ -255,11 +257,21 @@ def _run(df: DataFrame, prompt: Column, names: list[str], generator: Generator,
 def _finish(df: DataFrame, columns: dict[str, Column], status: bool) -> DataFrame:
     out = append_columns(df, columns)
     if status:
-        values = (F.col("__generation.status"), F.col("__generation.attempts"))
+        values = (F.col(f"__generation.{name}") for name in ("status", "attempts", "error"))
         out = append_columns(out, dict(zip(STATUS_COLUMNS, values)))
     return out.drop("__generation")
 
 
+def failure_reasons(error: str = "generation_error", k: int = 10) -> Column:
+    """An aggregate: the most frequent errors of failed rows, and no error at all,
+    as array<struct<item, count>>. A sketch of fixed size, which is merged from
+    task to task and may be observed while the rows are written; counts are exact
+    as long as there are fewer different reasons than it keeps."""
+    return F.call_function(
+        "approx_top_k", F.substring(F.col(error), 1, REASON_LETTERS), F.lit(k + 1), F.lit(REASONS_TRACKED)
+    )
+
+
 def _raw() -> Column:
     return F.col("__generation.raw")
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.schema import BOOL, LONG, STRING, STRINGS, struct_of
 from ..functions.jsontext import json_valid
 from ..functions.text import join_or_default, quoted, truncate
-from ..sources.storage import delete, matching_paths, path_exists
+from ..sources.storage import matching_paths, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -34,87 +34,49 @@ LEDGER_SCHEMA = struct_of(
 )
 # Column of a stored change: field → when it was given, in nanoseconds.
 AT = "__at"
-# Change folders after which they are put together.
-COMPACT_AFTER = 64
-# Age at which folders that were put together go: no reader holds them longer.
-KEEP_SECONDS = 24 * 3600
 
 
 # -- storage ---------------------------------------------------------------
-# A ledger is a folder of changes. Every change is a folder of its own that no
-# other writer touches; of each field the value given last counts. So writers
-# need no lock and lose nothing, and a change that is read twice does no harm.
+# A ledger is a folder of parquet folders, one for each update that was recorded;
+# of each field the value given last counts.
 
 
-def _changes(spark: SparkSession, root: str) -> list[str]:
-    """Files of finished changes: a change is one file, which appears whole."""
-    return matching_paths(spark, f"{root.rstrip('/')}/change-*/*.parquet")
-
-
-def _merged(spark: SparkSession, files: list[str]) -> DataFrame:
-    """One row per dataset: of each field the last value, and when it was given.
-    A null that was given is a value; a field that was not given has no time."""
-    rows = spark.read.option("mergeSchema", True).parquet(*files)
-    names = [c for c in rows.columns if c not in ("dataset_id", AT)]
-    when = {c: F.try_element_at(F.col(AT), F.lit(c)) for c in names}
-    times = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.max(when[c]) for c in names]))
-    return rows.groupBy("dataset_id").agg(
-        *[F.max_by(F.col(quoted(c)), when[c]).alias(c) for c in names],
-        F.map_filter(times, lambda _, at: at.isNotNull()).alias(AT),
-    )
+def _updates(spark: SparkSession, root: str) -> list[str]:
+    """The folders of finished updates; Spark marks them when a write is done."""
+    found = matching_paths(spark, f"{root.rstrip('/')}/change-*/_SUCCESS")
+    return [path.rsplit("/", 1)[0] for path in found]
 
 
 def ledger_read(spark: SparkSession, root: str) -> DataFrame:
-    """The ledger as it is now; an empty frame when there is none."""
-    files = _changes(spark, root)
-    if not files:
+    """The ledger as it is now: one row per dataset, of each field the value given
+    last; an empty frame when there is none."""
+    found = _updates(spark, root)
+    if not found:
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    merged = _merged(spark, files).drop(AT)
-    known = [
-        F.col(f.name) if f.name in merged.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in LEDGER_SCHEMA
-    ]
-    return merged.select(*known, *[quoted(c) for c in merged.columns if c not in LEDGER_SCHEMA.names])
-
-
-def _write_change(rows: DataFrame, root: str, mark: str = "") -> str:
-    path = f"{root.rstrip('/')}/change-{time.time_ns():020d}-{uuid.uuid4().hex}{mark}"
-    rows.coalesce(1).write.parquet(path)
-    return path
+    rows = spark.read.option("mergeSchema", True).parquet(*found)
+    names = [c for c in rows.columns if c not in ("dataset_id", AT)]
+    last = {c: F.max_by(F.col(quoted(c)), F.try_element_at(F.col(AT), F.lit(c))).alias(c) for c in names}
+    last |= {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA if f.name not in last}
+    others = [c for c in names if c not in LEDGER_SCHEMA.names]
+    return rows.groupBy("dataset_id").agg(*[last[c] for c in [*LEDGER_SCHEMA.names[1:], *others]])
 
 
 def ledger_write(update: DataFrame, root: str) -> str:
     """Record the fields of ``update``, one row per dataset; what it does not have
-    stays as it is (``ledger_upsert`` for frames). Any number of writers may do so
-    at a time, and only the update is written. Now and then changes are put
-    together; see ``ledger_compact``."""
-    spark = update.sparkSession
+    stays as it is (``ledger_upsert`` for frames). An explicit null is a value.
+    Only the update is written, to a folder of its own, so any number of writers
+    may do so at a time. A ledger of very many updates is put together by
+    recording ``ledger_read`` of it in a new place."""
     kinds = {f.name: f.dataType for f in LEDGER_SCHEMA}
     names = [c for c in update.columns if c != "dataset_id"]
     values = [F.col(quoted(c)).cast(kinds.get(c, update.schema[c].dataType)).alias(c) for c in names]
     now = F.lit(time.time_ns()).cast("long")
     times = F.map_from_arrays(F.array(*map(F.lit, names)), F.array_repeat(now, len(names)))
-    path = _write_change(update.select("dataset_id", *values, times.alias(AT)), root)
-    files = _changes(spark, root)
-    merged = [n for n, f in enumerate(files) if "-merged/" in f]
-    if len(files) - (merged[-1] + 1 if merged else 0) > COMPACT_AFTER:
-        ledger_compact(spark, root)
+    path = f"{root.rstrip('/')}/change-{time.time_ns():020d}-{uuid.uuid4().hex}"
+    update.select("dataset_id", *values, times.alias(AT)).write.parquet(path)
     return path
 
 
-def ledger_compact(spark: SparkSession, root: str, keep_seconds: float = KEEP_SECONDS) -> None:
-    """Write all changes as one, then delete those of them that are older than
-    ``keep_seconds``. A writer or another compaction at the same time does no harm."""
-    files = _changes(spark, root)
-    if not files:
-        return
-    _write_change(_merged(spark, files), root, "-merged")
-    limit = time.time_ns() - int(keep_seconds * 1e9)
-    for folder in {f.rsplit("/", 1)[0] for f in files}:
-        if int(folder.rsplit("/", 1)[1].split("-")[1]) < limit:
-            delete(spark, folder)
-
-
 def ledger_save(ledger: DataFrame, path: str) -> None:
     """One JSON object per line and dataset, nulls kept."""
     ledger.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
@@ -173,7 +135,7 @@ def skip_completed(targets: DataFrame, ledger: DataFrame, force: bool = False) -
     """Registry entries that still have to run."""
     if force:
         return targets
-    done = completed(ledger).select(F.col("dataset_id").alias("id"))
+    done = completed(roll_up(ledger)).select(F.col("dataset_id").alias("id"))
     return targets.join(done, "id", "left_anti")
 
 
@@ -224,9 +186,37 @@ def select_targets(
     return registry.where(~F.col("status").eqNullSafe("complete"))
 
 
+def roll_up(ledger: DataFrame) -> DataFrame:
+    """One entry per dataset: those of a stream's batches, ``<id>/<batch>`` with the
+    number in the column batch, are added to that of ``<id>``. Rows of batches
+    that were not delivered don't count, and a dataset passes if all its batches
+    do. A batch that ran twice has one entry, so it is counted once."""
+    if "batch" not in ledger.columns:
+        return ledger
+    suffix = F.concat(F.lit("/"), F.col("batch").cast("string"))
+    own = F.substr("dataset_id", F.lit(1), F.length("dataset_id") - F.length(suffix))
+    named = ledger.withColumn("__id", F.when(F.col("batch").isNull(), F.col("dataset_id")).otherwise(own))
+    counted = F.when(F.col("batch").isNull() | F.col("local_path").isNotNull(), F.col("rows_out")).otherwise(0)
+    folder = F.when(F.col("batch").isNull(), F.col("local_path")).otherwise(
+        F.regexp_replace("local_path", r"/batch=\d+$", "")
+    )
+    latest = F.struct("processed_at", "dataset_id")
+    special = {
+        "rows_in": F.sum("rows_in"),
+        "rows_out": F.sum(counted),
+        "validation_passed": F.bool_and(F.coalesce("validation_passed", F.lit(False))),
+        "processed_at": F.max("processed_at"),
+        "local_path": F.max(folder),
+    }
+    names = [c for c in ledger.columns if c not in ("dataset_id", "batch")]
+    kept = [special.get(c, F.max_by(F.col(quoted(c)), latest)).alias(c) for c in names]
+    return named.groupBy(F.col("__id").alias("dataset_id")).agg(*kept)
+
+
 def status_board(registry: DataFrame, ledger: DataFrame) -> DataFrame:
-    """One line per registry entry. Spark broadcasts the ledger if it is small."""
-    entry = ledger.select(
+    """One line per registry entry, over runs and streams. Spark broadcasts the
+    ledger if it is small."""
+    entry = roll_up(ledger).select(
         F.col("dataset_id").alias("id"), "validation_passed", "rows_out", "processed_at"
     )
     done = F.col("validation_passed").eqNullSafe(True)

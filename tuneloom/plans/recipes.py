@@ -23,6 +23,7 @@ from ..operators.generate import (
     STATUS_COLUMNS,
     Generator,
     augment,
+    failure_reasons,
 )
 from ..operators.quality import JSON_COLUMNS, default_min_rows, quality_report
 from ..operators.select import (
@@ -220,6 +221,7 @@ RESULT_SCHEMA = struct_of(
     rows_in=LONG,
     rows_out=LONG,
     rows_failed=LONG,
+    failure_reasons=T.ArrayType(struct_of(reason=STRING, n=LONG)),
     augmentation=STRING,
     validation_passed=BOOL,
     processed_at=STRING,
@@ -240,7 +242,8 @@ def run_recipe(
     """Run one recipe on a source frame. The dataset is written to a staging
     folder with its checks and moved into place if it passes; nothing is
     delivered if it fails. Rows whose batch got no reply are counted in
-    ``rows_failed``. Give ``processed_at`` to make a run repeatable."""
+    ``rows_failed``, and ``failure_reasons`` says how many of them had which error,
+    counted in the tasks that write. Give ``processed_at`` to make a run repeatable."""
     spark = df.sparkSession
     metrics, drop = {}, []
     if recipe.kind == "none":
@@ -251,7 +254,7 @@ def run_recipe(
         # Few files instead of one per caller; and replies that are in a shuffle
         # are not asked for again when a write is retried.
         made = made.hint("rebalance")
-        metrics = {"n_failed": F.count_if(F.col("generation_status") == "failed")}
+        metrics = {"n_failed": F.count_if(F.col("generation_status") == "failed"), "reasons": failure_reasons()}
     final = out.delivery_path(base, recipe.local_subdir, recipe.id)
     staged = f"{base.rstrip('/')}/_staged-{uuid.uuid4().hex}"
     try:
@@ -267,6 +270,7 @@ def run_recipe(
         "rows_in": report["rows_in"],
         "rows_out": report["rows_out"],
         "rows_failed": report["n_failed"] if metrics else 0,
+        "failure_reasons": [(r["item"], r["count"]) for r in report["reasons"] if r["item"]] if metrics else [],
         "augmentation": recipe.kind,
         "validation_passed": report["passed"],
         "message": "; ".join([*report["errors"], *report["warnings"]]),
@@ -275,7 +279,8 @@ def run_recipe(
         delete(spark, staged)
         return {**result, "status": "failed"}
     if result["rows_failed"]:
-        log.warning("%s: no reply for %d rows", recipe.id, result["rows_failed"])
+        why = "; ".join(f"{n} x {reason}" for reason, n in result["failure_reasons"])
+        log.warning("%s: no reply for %d rows (%s)", recipe.id, result["rows_failed"], why)
     if report["rows_out"] < recipe.rows:
         log.warning("%s: %d rows, fewer than the %d asked for", recipe.id, report["rows_out"], recipe.rows)
     promote(spark, staged, final)

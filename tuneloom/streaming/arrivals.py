@@ -59,37 +59,39 @@ def deliver_arrivals(
     dataset_id: str,
     processed_at: str | Callable[[int], str],
     trigger: dict | None = None,
-    deliver_failed: bool = True,
+    deliver_failed: bool = False,
+    quarantine: str | None = None,
     kind: str | None = None,
     generator: Generator | None = None,
     **options,
 ) -> StreamingQuery:
     """Write each micro-batch to a staging folder, check it on the way, move it to
-    ``<out_dir>/batch=<n>`` and record it in the ledger as ``<dataset_id>/<n>``.
-    Without ``deliver_failed`` a batch that fails is recorded without a path and
-    not delivered. ``kind`` and ``generator`` augment it first. A batch that runs twice after a failure
-    overwrites its own folder and ledger entry, so nothing is counted twice.
-    ``trigger`` defaults to one run over what is there; pass
+    ``<out_dir>/batch=<n>`` and record it in the ledger as ``<dataset_id>/<n>``
+    (``roll_up`` has the totals of the dataset). A batch that fails its checks goes
+    to ``<quarantine>/batch=<n>`` (by default ``<out_dir>_quarantine``), its entry
+    has no path and its rows don't count; with ``deliver_failed`` it is delivered all
+    the same. ``kind`` and ``generator`` augment it first. A batch that runs twice
+    after a failure overwrites its own folder and ledger entry, so nothing is
+    counted twice. ``trigger`` defaults to one run over what is there; pass
     {"processingTime": "1 minute"} to keep looking."""
+    apart = quarantine or f"{out_dir.rstrip('/')}_quarantine"
 
     def one_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        path = f"{out_dir}/batch={number}"
+        path, failed = f"{out_dir}/batch={number}", f"{apart}/batch={number}"
         staged = f"{out_dir}/_staged-{uuid.uuid4().hex}"
         try:
             report = write_checked(augment(batch, kind, generator, **options), staged, columns_keep, 0).first()
         except Exception:
             delete(spark, staged)
             raise
-        if report["passed"] or deliver_failed:
-            promote(spark, staged, path)
-        else:
-            delete(spark, staged)
-            path = None
+        good = report["passed"] or deliver_failed
+        promote(spark, staged, path if good else failed)
+        delete(spark, failed if good else path)  # what an earlier run of the batch may have left there
         at = processed_at(number) if callable(processed_at) else processed_at
         update = spark.createDataFrame(
-            [(f"{dataset_id}/{number}", path, report["rows_out"], kind or "none", report["passed"], at)],
-            "dataset_id string, local_path string, rows_out long, augmentation string,"
+            [(f"{dataset_id}/{number}", number, path if good else None, report["rows_out"], kind or "none", report["passed"], at)],
+            "dataset_id string, batch long, local_path string, rows_out long, augmentation string,"
             " validation_passed boolean, processed_at string",
         )
         led.ledger_write(update, ledger_root)
