@@ -13,7 +13,7 @@ from tuneloom.llm.tables import raw_text
 TEXTS = [
     "Hello world, it's we'll they're I'm. A.b.c!? x;y:z", " leading  two   three \n\n new\tline \r\n end ", "", None,
     "été ñandú straße Öl  nbsp　ideographic  em a\u0085b", "汉字 漢字 テスト한국어 עברית عربي हिन्दी",
-    "<|endoftext|> is text <|endoftext|>", "a" * 3000, "1234 56.7 8,9 ½ ² x1 1x", "emoji 😀😃 👩‍👩‍👧 end", " ", "  ", "\n",
+    "<|endoftext|> is no text <|endoftext|>", "a. <|endoftext|>. b  <|endoftext|>  <|endoftext|><|endoftext|", " <|endoftext|> ", "a" * 3000, "1234 56.7 8,9 ½ ² x1 1x", "emoji 😀😃 👩‍👩‍👧 end", " ", "  ", "\n",
     "don't 'tis '' '' \"q\" (p) [b] {c} a.B.C ,,, ...word word...", "́ á é ẞ ǅ ʰ x​z", "tail ", " . ! , ;a ;",
 ]
 
@@ -23,13 +23,12 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(byte_bpe())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 def random_texts(n=300):
     rnd = random.Random(9)
-    alphabet = [" ", " ", " ", "\n", "\t", "a", "b", "Z", "é", "ß", "ı", "1", ".", ",", "!", "'", "s", "t", " ", "漢", "-", "😀", "ʰ"]
+    alphabet = [" ", " ", " ", "\n", "\t", "a", "b", "Z", "é", "ß", "ı", "1", ".", ",", "!", "'", "s", "t", " ", "漢", "-", "😀", "ʰ", "<|endoftext|>"]
     return ["".join(rnd.choices(alphabet, k=rnd.randrange(60))) for _ in range(n)]
 
 
@@ -41,6 +40,38 @@ def test_encoder_gives_the_ids_of_whole_texts(tokenizer):
         assert flat[b:e].tolist() == tokenizer(text), repr(text)
 
 
+def test_special_names_are_special_tokens(tokenizer):
+    assert 50256 in tokenizer("a <|endoftext|> b")
+    assert tokens.Encoder(byte_bpe()).encode(*raw_text(pa.array(["<|endoftext|>"])))[0].tolist() == [50256]
+
+
+def test_memory_of_cuttings_is_bounded(monkeypatch, tokenizer):
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 5000)
+    encoder = tokens.Encoder(byte_bpe())
+    for n in range(30):
+        texts = [f"{chr(97 + n % 26)}word{i} x{'漢' * 500}{n}" for i in range(20)]
+        flat, counts = encoder.encode(*raw_text(pa.array(texts)))
+        assert flat.tolist() == [i for t in texts for i in tokenizer(t)]
+        assert encoder.held < 5000 + 60 * 400 and max(map(len, encoder.known)) <= tokens.REMEMBERED_LETTERS
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+
+    for change in ("normalizer", "pre_tokenizer", "special"):
+        t = Tokenizer(models.BPE())
+        t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        if change == "normalizer":
+            t.normalizer = normalizers.Lowercase()
+        elif change == "pre_tokenizer":
+            t.pre_tokenizer = pre_tokenizers.Whitespace()
+        else:
+            t.add_special_tokens(["<a b>"])
+        t.save(str(tmp_path / "t.json"))
+        with pytest.raises(ValueError):
+            tokens.Encoder(str(tmp_path / "t.json"))
+
+
 @pytest.mark.parametrize("ids", [[], [0], [255, 256, 65535, 65536, 2**32 - 1, 3], list(range(0, 70000, 7)), [300] * 1025])
 def test_packed_ids(ids):
     packed = tokens.Packed(tokens.pack(np.array(ids, np.uint32)))
@@ -88,7 +119,8 @@ def test_counts_by_separators(make, tokenizer):
     rows = [(i, t) for i, t in enumerate(texts)] + [(5, TEXTS[0]), (None, "x y"), (7, None)]
     df = make(rows, extra=True).repartition(3)
     got = separators.token_counts(df, byte_bpe(), block_ids=100)
-    want = sorted(((i, len(tokenizer(t))) for i, t in rows), key=str)
+    plain = tokens.Encoder(byte_bpe(), names_as_text=True).tokenizer  # the separator must not be in a text
+    want = sorted(((i, len(plain.encode(t or "", add_special_tokens=False).ids)) for i, t in rows), key=str)
     assert sorted(map(tuple, got.collect()), key=str) == want
     assert separators.token_counts(make([]), byte_bpe()).count() == 0
 

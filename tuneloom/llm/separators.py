@@ -31,7 +31,7 @@ def write_flat(
     followed by the separator, cut into blocks (``path``/ids: file, block,
     payload), and beside them the keys in the order of the documents
     (``path``/keys: file, first, doc_ids). Blocks say nothing about documents.
-    Null text has no ids. A file is what one task read; nothing is shuffled."""
+    Null text has no ids; the name of a special token is ordinary text. A file is what one task read; nothing is shuffled."""
     rows = docs.select(docs[key].alias("id"), docs[text].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -39,7 +39,9 @@ def write_flat(
         file, block, done = TaskContext.get().partitionId(), 0, 0
         left = np.zeros(0, "<u2")
         for piece in pieces(batches, "text"):
-            flat, counts = encoder(tokenizer).encode(*raw_text(piece.column("text")))
+            flat, counts = encoder(tokenizer, names_as_text=True).encode(*raw_text(piece.column("text")))
+            if flat.max(initial=0) > 0xFFFF or (flat == separator).any():
+                raise ValueError("an id is the separator or takes more than two bytes")
             stream = np.concatenate([left, np.insert(flat, np.cumsum(counts), separator).astype("<u2")])
             keys = piece.column("id")
             yield _row("keys", file, done, None, keys, keys.type)

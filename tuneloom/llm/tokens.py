@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from functools import lru_cache
@@ -25,8 +26,11 @@ CHUNK = 8
 LEVELS = 4
 #: Continuation bits between two entries of a rank directory.
 RANK_BITS = 512
-#: Pieces of text whose ids a task remembers.
-REMEMBERED = 400_000
+#: Bytes that a task's memory of cuttings may take, about, and those that each
+#: takes besides its text and its ids. Longer cuttings than this are not remembered.
+REMEMBERED_BYTES = 192 << 20
+ENTRY_BYTES = 180
+REMEMBERED_LETTERS = 64
 # File magic and version.
 MAGIC = b"DACT"
 VERSION = 1
@@ -55,17 +59,29 @@ class Encoder:
     A text is cut where the tokenizer's own pre-tokenizer always cuts: before a
     single space between two characters that aren't white space, and between an
     ASCII letter and one of . , ; : ! ? after it. The ids of a text are those of
-    its cuttings, so each different cutting needs to be encoded only once. Names
-    of special tokens in a text are ordinary text.
+    its cuttings, so each different cutting needs to be encoded only once; the
+    short ones are remembered from batch to batch, up to a number of bytes. The
+    name of a special token in a text is that token, as the tokenizer has it, or
+    ordinary text with ``names_as_text``.
+    Only for tokenizers without a normalizer and with a byte-level pre-tokenizer;
+    others are an error.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, names_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = names_as_text
+        before = self.tokenizer.pre_tokenizer
+        if self.tokenizer.normalizer is not None or type(before).__name__ != "ByteLevel" or before.add_prefix_space:
+            raise ValueError(f"{path} is no byte-level tokenizer that takes texts as they are")
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        divided = re.compile("[^ ] [^ ]|[A-Za-z][.,;:!?]|^[^ ]*[A-Za-z]$")
+        if any(t.lstrip or t.rstrip or t.single_word or divided.search(t.content) for t in special):
+            raise ValueError(f"{path} has special tokens that a cut may divide")
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, data: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows, and how many each row has."""
@@ -90,40 +106,47 @@ class Encoder:
             pa.large_string(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
         )
         coded = cuttings.dictionary_encode()
-        ids, starts, counts = self._distinct(coded.dictionary.to_pylist())
-        code = np.asarray(coded.indices)
-        owner, nth = spread(counts[code])
-        flat = ids[starts[code][owner] + nth]
-        total = np.concatenate([[0], np.cumsum(counts[code])])
-        bounds = total[np.searchsorted(begin, at)]
-        return flat, np.diff(bounds)
-
-    def _distinct(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        known = self.known
-        if len(known) > REMEMBERED:
+        coded_ids = pa.array(self._distinct(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
+        total = np.frombuffer(coded_ids.buffers()[1], np.int64, len(begin) + 1) // 4
+        flat = np.frombuffer(coded_ids.buffers()[2], "<u4", int(total[-1]))
+        return flat, np.diff(total[np.searchsorted(begin, at)])
+
+    def _distinct(self, texts: list[str]) -> list[bytes]:
+        """The ids of different cuttings, four bytes each."""
+        known, model = self.known, self.tokenizer.model
+        if self.held > REMEMBERED_BYTES:
             known.clear()
+            self.held = 0
+        out = [known.get(t) for t in texts]
         mixed = []
-        for t in texts:
-            if t in known:
-                continue
-            if t.lstrip(" ").isalpha() and t.rfind(" ") <= 0 and max(t) < _LATIN_END:
+        for n in [n for n, ids in enumerate(out) if ids is None]:
+            t = texts[n]
+            word = t[1:] if t[0] == " " else t
+            if word.isalpha() and (t.isascii() or max(t) < _LATIN_END):
                 # one word is one piece, so the model may be asked without the rest
-                form = t.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
-                known[t] = array("I", [x.id for x in self.tokenizer.model.tokenize(form)]).tobytes()
+                form = t.replace(" ", _BYTE_CHARS[0x20])
+                if not t.isascii():
+                    form = t.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
+                out[n] = array("I", [x.id for x in model.tokenize(form)]).tobytes()
+                self._remember(t, out[n])
             else:
-                mixed.append(t)
+                mixed.append(n)
         for start in range(0, len(mixed), 4096):
             part = mixed[start : start + 4096]
-            for t, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[t] = array("I", e.ids).tobytes()
-        each = [known[t] for t in texts]
-        counts = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        return np.frombuffer(b"".join(each), "<u4"), np.cumsum(counts) - counts, counts
+            for n, e in zip(part, self.tokenizer.encode_batch_fast([texts[n] for n in part], add_special_tokens=False)):
+                out[n] = array("I", e.ids).tobytes()
+                self._remember(texts[n], out[n])
+        return out
+
+    def _remember(self, text: str, ids: bytes) -> None:
+        if len(text) <= REMEMBERED_LETTERS:
+            self.known[text] = ids
+            self.held += len(text) + len(ids) + ENTRY_BYTES
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, names_as_text: bool = False) -> Encoder:
+    return Encoder(path, names_as_text)
 
 
 def pack(ids: np.ndarray) -> bytes:
