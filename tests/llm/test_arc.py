@@ -134,3 +134,26 @@ def test_keys_of_64_bits(spark):
 def test_keys_beyond_64_bits_are_null(named, key):
     [(fields, block)] = arc.arc_records(V1 + b"http://x 1.2.3.4 1997 text/html %d\n" % (len(named) + 33) + b"HTTP/1.0 200 OK\nX-Page-Id: " + named + b"\n\n<p>x\n")
     assert arc._converted(fields, block, "X-Page-Id", True)["key"] == key
+
+
+def test_archives_of_gzip_members(spark, make):
+    import gzip
+
+    head = arc.arc_head(1, "x", "19970101000000")
+    blocks = [b"HTTP/1.0 200 OK\r\nX-Page-Id: %d\r\n\r\n%s" % (i, b"x" * (i * 7000)) for i in range(5)]
+    lines = [arc.arc_line(1, f"http://a/{i}", "19970101000000", "text/html", len(b), 0, "x") for i, b in enumerate(blocks)]
+    plain = head + b"".join(line + block + b"\n" for line, block in zip(lines, blocks))
+    members = gzip.compress(head) + b"".join(gzip.compress(line + block + b"\n") for line, block in zip(lines, blocks))
+    assert list(arc.arc_records(members)) == list(arc.arc_records(plain)) == list(arc.arc_records(gzip.compress(plain)))
+    assert [b for _, b in arc.arc_records(members)] == blocks
+    with pytest.raises(ValueError, match="cut off"):
+        list(arc.arc_records(members[:-3]))
+
+
+def test_archives_from_elsewhere():
+    block = b"HTTP/1.1 200 OK\r\nX-Page-Id: many\r\n\r\nbody"
+    record = arc.warc_record({"WARC-Type": "response", "WARC-Record-ID": "<urn:a>", "WARC-Payload-Digest": "sha1:ABC"}, block)
+    again = arc.warc_record({"WARC-Type": "revisit", "WARC-Record-ID": "<urn:b>"}, b"")
+    rows = [arc._read(f, b, "X-Page-Id") for f, b in arc.warc_records(record + again)]
+    assert [(r["key"], r["payload_bytes"], r["refers_id"]) for r in rows] == [(None, 4, None), (None, None, "")]
+    assert rows[0]["payload_digest"] == hashlib.sha256(b"body").hexdigest() and rows[1]["payload_digest"] is None

@@ -17,6 +17,8 @@ from .tables import map_arrow, pieces, stored
 
 #: Bytes of one archive, about; a record is not cut.
 ARCHIVE_BYTES = 8 << 20
+#: Packed bytes that are given to gzip at a time.
+STEP_BYTES = 16 << 10
 #: Payloads below this are never written as revisits.
 REVISIT_BYTES = 100
 GZIP_LEVEL = 4
@@ -49,13 +51,32 @@ def arc_head(version: int, name: str, date: str) -> bytes:
     return arc_line(version, f"filedesc://{name}", date, "text/plain", len(body), 0, name) + body + b"\n"
 
 
+def gzip_members(content: bytes) -> Iterator[bytes]:
+    """What the gzip members of a file hold, one by one. Packed bytes are given
+    out in small steps: what a member leaves over is copied, and must not be the
+    rest of the file."""
+    packed, at = memoryview(content), 0
+    while at < len(packed):
+        member, data = zlib.decompressobj(wbits=31), []
+        while not member.eof:
+            if at >= len(packed):
+                raise ValueError("the archive is cut off")
+            data.append(member.decompress(packed[at : at + STEP_BYTES]))
+            at = min(at + STEP_BYTES, len(packed))
+        at -= len(member.unused_data)
+        yield b"".join(data)
+
+
 def arc_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
-    """Header fields and block of each record after the version block.
+    """Header fields and block of each record after the version block, of a plain
+    archive or of one whose records are gzip members, as they mostly are kept.
 
     The version block says which fields a header line has. They are split off
     from the right, since old archives have URLs with spaces in them. A block is
     as long as declared; what is shorter, or has no line before it, is an error.
     """
+    if content[:2] == b"\x1f\x8b":
+        content = b"".join(gzip_members(content))
     names, at = None, 0
     while at < len(content):
         if content[at : at + 1] in b"\r\n":
@@ -125,12 +146,7 @@ def warc_record(fields: dict[str, str | None], block: bytes) -> bytes:
 
 def warc_records(content: bytes) -> Iterator[tuple[dict, bytes]]:
     """Header fields and block of each record of a gzipped archive."""
-    while content:
-        member = zlib.decompressobj(wbits=31)
-        data = member.decompress(content) + member.flush()
-        if not member.eof:
-            raise ValueError("the archive is cut off")
-        content = member.unused_data
+    for data in gzip_members(content):
         head, _, rest = data.partition(b"\r\n\r\n")
         lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
@@ -212,10 +228,7 @@ _SCHEMA = pa.schema([*_LIGHT, ("head", pa.binary()), ("payload", pa.binary())])
 def _converted(fields: dict, block: bytes, key_header: str, blocks: bool) -> dict:
     head, payload = split_http(block)
     digest = hashlib.sha256(payload).hexdigest()
-    named = http_field(head, key_header)
-    key = int(named) if named and re.fullmatch(r"-?[0-9]{1,19}", named) else None
-    if key is not None and not -(1 << 63) <= key < 1 << 63:
-        key = None
+    key = _number(http_field(head, key_header))
     uri = None if fields["URL"] == "-" else fields["URL"]
     date = warc_date(fields["Archive-date"])
     row = {
@@ -307,8 +320,10 @@ READ = "key bigint, record_id string, record_type string, payload_bytes bigint,
 
 
 def read_warc(archives: DataFrame, key_header: str = "X-Page-Id") -> DataFrame:
-    """READ for every record of WARC archives. A block or payload that doesn't
-    fit its digest is an error."""
+    """READ for every record of WARC archives. A payload that doesn't fit its
+    SHA-256 digest is an error. Records without such a digest get that of their
+    payload; revisits without one, or without a payload length, have null, as has
+    a record whose key is no number."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,21 +343,31 @@ _READ = pa.schema(
 
 def _read(fields: dict, block: bytes, key_header: str) -> dict:
     head, payload = split_http(block)
-    declared = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-    revisit = fields["WARC-Type"] == "revisit"
-    if not revisit and hashlib.sha256(payload).hexdigest() != declared:
-        raise ValueError(f"{fields['WARC-Record-ID']} doesn't fit its digest")
-    key = http_field(head, key_header)
+    kind, _, declared = fields.get("WARC-Payload-Digest", "").partition(":")
+    declared = declared if kind == "sha256" else None
+    revisit = fields.get("WARC-Type") == "revisit"
+    if not revisit:
+        digest = hashlib.sha256(payload).hexdigest()
+        if declared not in (None, digest):
+            raise ValueError(f"{fields['WARC-Record-ID']} doesn't fit its digest")
+        declared = digest
+    length = fields.get("WARC-Payload-Length")
     return {
-        "key": int(key) if key else None,
-        "record_id": fields["WARC-Record-ID"][1:-1],
-        "record_type": fields["WARC-Type"],
-        "payload_bytes": int(fields["WARC-Payload-Length"]) if revisit else len(payload),
+        "key": _number(http_field(head, key_header)),
+        "record_id": fields.get("WARC-Record-ID", "")[1:-1],
+        "record_type": fields.get("WARC-Type"),
+        "payload_bytes": (int(length) if length else None) if revisit else len(payload),
         "payload_digest": declared,
-        "refers_id": fields["WARC-Refers-To"][1:-1] if revisit else None,
+        "refers_id": fields.get("WARC-Refers-To", "")[1:-1] if revisit else None,
     }
 
 
+def _number(text: str | None) -> int | None:
+    """A number that a long holds, else null."""
+    number = int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
+
 def converted(archives: DataFrame, key_header: str = "X-Page-Id") -> DataFrame:
     """key, payload_bytes, payload_digest, record_type, refers_to (the key of
     the record that a revisit refers to), read back from WARC archives written
