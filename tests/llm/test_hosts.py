@@ -67,12 +67,16 @@ def pages(spark):
     return df.selectExpr("*", "'q' AS host", "'r' AS path", "1 AS key", "2 AS rule", "3 AS fit", "4 AS trust")
 
 
+def bare(host):
+    return re.sub(r":\d*$", "", re.sub(r"^[^@]*@", "", host))
+
+
 def edges_of_pages():
     found = set()
     for _, url, html in PAGES:
-        src = split(url)[0]
+        src = bare(split(url)[0])
         for to in re.findall(r"""href=["'](?:https?:)?//([^/?#"']+)""", html or ""):
-            dst = re.sub(r":\d*$", "", re.sub(r"^[^@]*@", "", to.lower()))
+            dst = bare(to.lower())
             if src and dst != src:
                 found.add((src, dst))
     return found
@@ -82,8 +86,8 @@ def test_pages_are_judged_like_brute_force(pages):
     seeds = {}
     for _, url, _ in PAGES:
         rule = brute_rule(*split(url))
-        a, b = seeds.get(split(url)[0], (0, 0))
-        seeds[split(url)[0]] = (a + (rule is not None and rule[2] == "allow"), b + (rule is not None and rule[2] == "block"))
+        a, b = seeds.get(bare(split(url)[0]), (0, 0))
+        seeds[bare(split(url)[0])] = (a + (rule is not None and rule[2] == "allow"), b + (rule is not None and rule[2] == "block"))
     ranks = brute_ranks(seeds, edges_of_pages())
     got = sorted((tuple(r) for r in hosts.judge_pages(pages, RULES).collect()), key=str)
     assert len(got) == len(PAGES)
@@ -91,7 +95,7 @@ def test_pages_are_judged_like_brute_force(pages):
     for key, url, _ in PAGES:
         host, path = split(url)
         rule = brute_rule(host, path)
-        trust, distrust = ranks[host]
+        trust, distrust = ranks[bare(host)]
         method = "block" if distrust > hosts.THRESHOLD * (trust + distrust) else "allow"
         want.append((key, host, path, rule and rule[1], rule[2] if rule else method, trust, distrust))
     for g, w in zip(got, sorted(want, key=str)):
@@ -101,6 +105,20 @@ def test_pages_are_judged_like_brute_force(pages):
     assert verdicts["helper.example.net"] == "block" and verdicts["friend.example.net"] == "allow"
 
 
+def test_ports_and_users_are_one_host(spark):
+    """Trust goes on from a host that is linked to without its port."""
+    rows = [
+        (1, "http://good.org/", '<a href="//a.net/">'), (2, "http://u@a.net:8080/x", '<a href="//b.net:99/">'),
+        (3, "http://b.net/", '<a href="//bad.example.com/de/1">'), (4, "http://bad.example.com/de/1", ""),
+        (5, "http://A.net/", ""), (6, "http://b.net:99/", ""),
+    ]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.key: r for r in hosts.judge_pages(df, RULES).collect()}
+    assert (got[2].trust, got[2].distrust) == (got[5].trust, got[5].distrust) and got[2].trust > 0
+    assert (got[3].trust, got[3].distrust) == (got[6].trust, got[6].distrust) and got[3].trust > 0
+    assert [got[k].host for k in (2, 5, 6)] == ["u@a.net:8080", "a.net", "b.net:99"]
+
+
 def test_no_pages_no_rules(spark, pages):
     none = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert hosts.judge_pages(none, RULES).count() == 0

@@ -69,14 +69,19 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
     )
 
 
+def bare(host: Column) -> Column:
+    """A host without user and port, under which it is known in the graph."""
+    return F.regexp_replace(F.regexp_replace(host, "^[^@]*@", ""), ":[0-9]*$", "")
+
+
 def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """src, dst: the different links from one host to another one in the pages."""
+    """src, dst: the different links from one host to another one in the pages,
+    both without user and port."""
     found = pages.select(
-        host_of(pages[url]).alias("src"),
+        bare(host_of(pages[url])).alias("src"),
         F.explode(F.array_distinct(F.regexp_extract_all(pages[html], F.lit(_HREF), 1))).alias("to"),
     )
-    dst = F.regexp_replace(F.regexp_replace(_lower(F.col("to")), "^[^@]*@", ""), ":[0-9]*$", "")
-    return found.select("src", dst.alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").distinct()
+    return found.select("src", bare(_lower(F.col("to"))).alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").distinct()
 
 
 def _rounded(rank: Column) -> Column:
@@ -161,23 +166,26 @@ def judge_pages(
     """key, host, path, rule, verdict, and the host's trust and distrust, of every row.
 
     Pages that a rule fits have its verdict and are the seeds: a host's weight is
-    its number of allowed, or blocked, pages. For the others their host decides:
+    its number of allowed, or blocked, pages. For the others their host (without
+    user and port, which are left in the output) decides:
     block if distrust is more than ``threshold`` of trust and distrust together,
     else allow, so hosts of which nothing is known are allowed. ``rules`` is a
     list of settings, not data. Null or broken URLs have an empty host, which
     neither links nor spreads anything; null html has no links."""
     rule = fitting_rule(F.col("host"), F.col("path"), rules)
     judged = pages.select(pages[key].alias("key"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"))
-    judged = judged.withColumn("fit", rule)
-    counted = judged.groupBy("host").agg(
+    judged = judged.withColumn("fit", rule).withColumn("node", bare(F.col("host")))
+    counted = judged.groupBy(F.col("node").alias("host")).agg(
         F.count(F.when(F.col("fit.verdict") == "allow", 1)).cast("double").alias("trusted"),
         F.count(F.when(F.col("fit.verdict") == "block", 1)).cast("double").alias("blocked"),
     )
-    ranks = propagate(counted, host_links(pages, url, html)).withColumnRenamed("host", "of")
+    # several steps start from the links, which are found by reading all html
+    links = stored(host_links(pages, url, html), "links")
+    ranks = propagate(counted, links).withColumnRenamed("host", "of")
     both = F.col("trust") + F.col("distrust")
     bad = (both > 0) & (F.col("distrust") > threshold * both)
     by_host = F.when(bad, F.lit("block")).otherwise(F.lit("allow"))
-    named = judged.join(ranks, F.col("host") == F.col("of"), "left")
+    named = judged.join(ranks, F.col("node") == F.col("of"), "left")
     return named.select(
         "key",
         "host",
