@@ -1,8 +1,10 @@
+import os
 import random
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tuneloom.llm import languages
@@ -93,3 +95,31 @@ def test_kmeans_centroids_have_length_one():
     centres = languages.spherical_kmeans(rows, 3)
     assert centres.shape == (3, 8) and np.allclose(np.linalg.norm(centres, axis=1), 1, atol=1e-5)
     assert languages.spherical_kmeans(rows[:2], 3).shape == (2, 8)
+
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_query_on_documents_that_were_held_out(spark):
+    """What the query says of whole documents: every row once, the fifth that is
+    held out by its definition, and nearly all languages there right."""
+    import zlib
+
+    from tuneloom.llm import queries
+
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.op5_language(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    known = {d.lang for d in docs.values() if d.lang is not None}
+    right = total = 0
+    for r in rows:
+        doc = docs[r.doc_id]
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1
+        assert r.lang_pred in known | {"und"}
+        if not any(c.isalpha() for c in doc.text or ""):
+            assert r.lang_pred == "und"
+        elif r.held_out and doc.lang is not None:
+            total += 1
+            right += r.lang_pred == doc.lang
+    assert total > 100 and right >= 0.97 * total, (right, total)
