@@ -30,13 +30,16 @@ def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in the order of the curriculum."""
+    """Documents as often as the mix takes them, range-sorted by the curriculum."""
     return curriculum.training_order(docs)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files; returns doc_id, start, n_tokens and ids_crc32 as read from them."""
-    read = tokens.read_tokens(tokens.token_files(docs, byte_bpe()))
+    """Token files in the order in which the stage before wrote its rows, the
+    curriculum's; returns doc_id, start, n_tokens and ids_crc32 as read from them.
+    Rows that don't come from files are in ascending order of doc_id."""
+    files = tokens.token_files(docs, byte_bpe(), order=tokens.written_order(docs))
+    read = tokens.read_tokens(files)
     return read.withColumnRenamed("id", "doc_id")
 
 

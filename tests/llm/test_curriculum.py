@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tuneloom.llm import curriculum
+from tuneloom.llm import curriculum, queries, tokens
 
 
 def brute_targets(sizes, weights, cap=3):
@@ -99,6 +99,56 @@ def test_training_order(make):
     assert curriculum.training_order(make([(1, None), (2, "")])).count() == 0
 
 
+def later_copies(rows):
+    """(due, id, text) of every copy of the mix, found one by one."""
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + n_words(text)
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    slope = {s: ((1.5, 0.5), (0.5, 1.5), (1.0, 1.0))[i % 3] for i, s in enumerate(order)}
+    out = []
+    for source, target in brute_targets(sizes, weight).items():
+        def name(r):
+            return hashlib.md5(f"{'' if r[0] is None else r[0]}/{hashlib.md5((r[1] or '').encode()).hexdigest()}".encode()).hexdigest()
+
+        mine, given = sorted((r for r in rows if r[2] == source), key=name), 0
+        while given < round(target):
+            for r in mine:
+                n = n_words(r[1])
+                if n and given < round(target):
+                    a, b = slope[source]
+                    share = min(given, target) / target * (a + b) / 2
+                    out.append((2 * share / (a + (a * a + 2 * (b - a) * share) ** 0.5), name(r), r[0], r[1]))
+                given += n
+    return sorted(out, key=lambda x: x[:2])
+
+
+def test_copies_are_range_sorted_by_their_positions(spark, make, tmp_path):
+    rows = rows_of()
+    docs = make(rows).repartition(6)
+    want = later_copies(rows)
+    got = curriculum.mix(docs).where("taken > 0").select("id", F.posexplode("positions").alias("n", "due")).collect()
+    assert sorted(r.due for r in got) == pytest.approx([w[0] for w in want])
+    assert max(r.n for r in got) == 2
+    for r in curriculum.mix(docs).collect():
+        assert r.position == (r.positions[0] if r.positions else None)
+        assert r.positions is None or r.positions == sorted(r.positions)
+    curriculum.training_order(docs).write.parquet(f"{tmp_path}/ordered")
+    back = spark.read.parquet(f"{tmp_path}/ordered")
+    back = back.orderBy(*tokens.written_order(back)).collect()
+    assert [(r.doc_id, r.text) for r in back] == [w[2:] for w in want]
+
+
+def test_query_is_range_sorted(spark, make, tmp_path):
+    make(rows_of()).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_curriculum(spark, str(tmp_path)).collect()
+    due = [r.due for r in got]
+    first = [d for d in due if d is not None]
+    assert first == sorted(first) and due[len(first) :] == [None] * (len(due) - len(first))
+    assert sorted(d for r in got for d in r[-3:] if d is not None) == pytest.approx([w[0] for w in later_copies(rows_of())])
+
+
 def test_place_is_the_same_everywhere(make):
     row = make([(7, "some text")]).select(curriculum.place(F.col("doc_id"), F.col("text"))).first()[0]
     inner = hashlib.md5(b"some text").hexdigest()

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tuneloom.llm import curriculum
@@ -81,3 +82,25 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_token_files_are_in_the_order_of_the_mix(spark, folder):
+    """Files hold the copies as the curriculum has them; another schedule, other files."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("text is not null").repartition(5)
+    orders = []
+    for slopes in (curriculum.SLOPES, ((0.1, 1.9), (1.9, 0.1), (1.0, 1.0))):
+        plan = curriculum.mix(docs, schedules=lambda s: curriculum.turns(s, slopes=slopes))
+        rows = plan.where("taken > 0").select("id", "place", F.explode("positions").alias("due")).collect()
+        want = [r.id for r in sorted(rows, key=lambda r: (r.due, r.place))]
+        mixed = curriculum.training_order(docs, schedules=lambda s: curriculum.turns(s, slopes=slopes))
+        got = corpus_pipeline.token_ids(spark, stored(mixed, "mixing"), folder).orderBy("start").collect()
+        assert [r.doc_id for r in got] == want
+        assert [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(len(got))]
+        orders.append(want)
+    assert sorted(orders[0], key=str) == sorted(orders[1], key=str) and orders[0] != orders[1]
+
+
+def test_token_ids_of_rows_that_no_file_holds(spark, folder):
+    docs = spark.createDataFrame([(5, "b c"), (None, "x"), (2, None)], "doc_id bigint, text string")
+    got = corpus_pipeline.token_ids(spark, docs, folder).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, 2, 5]

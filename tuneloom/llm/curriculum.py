@@ -7,7 +7,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .tables import free_name, stored
+from .tables import stored
 
 #: No source is repeated more often than this.
 CAP = 3
@@ -130,10 +130,12 @@ def mix(
     carry: bool = False,
 ) -> DataFrame:
     """One row per document: id, source, size (words), source_size, target (of
-    its source), taken (words the mix takes of it, repeats counted) and position
-    (time from 0 to 1 at which the first word of its first copy is due; null if
-    it gives none). The rows are not sorted by it; ``training_order`` does that. With
-    ``carry`` all columns of the documents come along, in the column ``doc``.
+    its source), taken (words the mix takes of it, repeats counted), positions (times
+    from 0 to 1 at which the first word of each of its copies is due, rising; null if
+    it gives none), position (the first of them), before (words of its source that
+    come earlier in a pass) and place. The rows are not sorted; ``training_order`` and
+    the query do that. With ``carry`` all columns of the documents come along, in the
+    column ``doc``.
 
     ``schedules`` gives source and knots for a frame of sources. A source's
     documents are in the order of ``place``. The mix takes the source over and
@@ -170,17 +172,24 @@ def mix(
     rest = words - F.col("passes") * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
     taken = F.col("passes") * F.col("size") + last
-    return placed.withColumn("taken", taken.cast("bigint")).select(
+    placed = placed.withColumn("taken", taken.cast("bigint"))
+    copies = F.ceil(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
+    due = F.transform(
+        F.sequence(F.lit(0), copies - 1),
+        lambda k: _due(F.least(F.col("before") + k * F.col("source_size"), F.col("target"))),
+    )
+    placed = placed.withColumn("positions", F.when(F.col("taken") > 0, due))
+    return placed.select(
         "id",
         "source",
         "size",
         "source_size",
         "target",
         "taken",
-        F.when(F.col("taken") > 0, _due(F.col("before"))).alias("position"),
+        "positions",
+        F.get("positions", F.lit(0)).alias("position"),
         "before",
-        "pieces",
-        "area",
+        "place",
         *(["doc"] if carry else []),
     )
 
@@ -194,13 +203,12 @@ def training_order(
     docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **options
 ) -> DataFrame:
     """The documents of the mix with all their columns, as often as they are
-    taken, sorted by the time at which they are due. A document of which the mix
-    takes only some words more comes whole once more."""
+    taken, range-sorted by the time at which they are due, those due at one time by
+    ``place``. A document of which the mix takes only some words more comes whole
+    once more. What is written of the frame as it is has this order from file to
+    file and within files (``tokens.written_order`` reads it back). Nulls, empty texts,
+    repeated rows and empty tables are as in ``mix``; a document without words is
+    never taken."""
     plan = mix(docs, text, key, source, carry=True, **options).where("taken > 0")
-    rounds = F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)
-    due = plan.withColumn("round", F.explode(rounds))
-    start = F.least(F.col("before") + F.col("round") * F.col("source_size"), F.col("target"))
-    timed = due.withColumn("due", _due(start))
-    when = free_name(docs, "due")
-    out = timed.select(F.col("due").alias(when), "doc.*")
-    return out.orderBy(when).drop(when)
+    copies = plan.select(F.explode("positions").alias("due"), "place", "doc")
+    return copies.orderBy("due", "place").select("doc.*")

@@ -105,6 +105,10 @@ def op1_decontaminate(spark, d):
 
 # -- mixing sources to target weights -------------------------------------------
 
+#: When the first, second and third copy of a document are due; there are no more.
+DUE = ("due", "due_2", "due_3")
+assert len(DUE) == curriculum.CAP
+
 
 @query(f"""
   WITH d AS (
@@ -136,15 +140,20 @@ def op1_decontaminate(spark, d):
     SELECT *, CASE WHEN source_size > 0 THEN floor(round(target) / source_size) ELSE 0 END::BIGINT AS passes FROM c),
   x AS (
     SELECT *, (passes * size + greatest(0, least(size, round(target)::BIGINT - passes * source_size - before)))::BIGINT AS taken,
-      before::DOUBLE / target * ((w0 + w1) / 2) AS q FROM k)
-  SELECT doc_id, size, source_size, target::DOUBLE AS target, taken,
-    CASE WHEN taken > 0 THEN 2.0::DOUBLE * q / (w0 + sqrt(greatest(w0 * w0 + 2.0::DOUBLE * (w1 - w0) * q, 0.0::DOUBLE))) END AS due
+      {", ".join(f"least((before + {k} * source_size)::DOUBLE, target) / target * ((w0 + w1) / 2) AS q{k}" for k in range(3))}
+    FROM k)
+  SELECT doc_id, size, source_size, target::DOUBLE AS target, taken, {", ".join(
+      f"""CASE WHEN taken > {k} * size
+        THEN 2.0::DOUBLE * q{k} / (w0 + sqrt(greatest(w0 * w0 + 2.0::DOUBLE * (w1 - w0) * q{k}, 0.0::DOUBLE))) END AS {name}"""
+      for k, name in enumerate(DUE))}
   FROM x""")
 def op2_curriculum(spark, d):
-    """2: words taken of each document, and when in the training they are due."""
-    return curriculum.mix(table(spark, d, "documents")).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.col("position").alias("due")
-    )
+    """2: words taken of each document and when in the training its copies are due;
+    rows range-sorted by the time of the first, those of which nothing is taken last."""
+    due = [F.get("positions", F.lit(k)).alias(name) for k, name in enumerate(DUE)]
+    mixed = curriculum.mix(table(spark, d, "documents"))
+    rows = mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", *due)
+    return rows.orderBy(F.col("due").asc_nulls_last(), "doc_id")
 
 
 # -- token ids --------------------------------------------------------------------

@@ -7,13 +7,14 @@ import re
 import zlib
 from array import array
 from functools import lru_cache
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .tables import map_arrow, pieces, raw_text, shared_path, spread
 
@@ -216,7 +217,7 @@ class Packed:
             live, places = live[goes_on], places[goes_on]
             if len(live) == 0:
                 break
-            places = np.array([int(ranks[p // RANK_BITS]) + _ones(bits, p) for p in places.tolist()], np.int64)
+            places = ranks[places // RANK_BITS].astype(np.int64) + _ones(bits, places)
         return ids.astype(np.uint32)
 
     def all(self) -> np.ndarray:
@@ -231,11 +232,14 @@ class Packed:
         return ids
 
 
-def _ones(bits: np.ndarray, place: int) -> int:
-    """Set bits from the last directory entry up to this place."""
-    block = bits[place // RANK_BITS * RANK_BITS // 8 : place // 8 + 1].copy()
-    block[-1] &= (1 << (place % 8)) - 1
-    return int(np.unpackbits(block).sum())
+def _ones(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Set bits from the last directory entry up to each place."""
+    step = np.arange(RANK_BITS // 8)
+    at = places % RANK_BITS
+    full, rest = (at >> 3)[:, None], ((1 << (at & 7)) - 1)[:, None]
+    wanted = np.where(step < full, 255, np.where(step == full, rest, 0)).astype(np.uint8)
+    found = ((places - at) >> 3)[:, None] + step
+    return np.bitwise_count(bits[np.minimum(found, len(bits) - 1)] & wanted).sum(axis=1, dtype=np.int64)
 
 
 SEGMENT = (
@@ -251,15 +255,25 @@ def write_tokens(
     key: str = "doc_id",
     end: int = END,
     segment_ids: int = SEGMENT_IDS,
+    order: Sequence[Column] = (),
 ) -> None:
-    """Encode the documents and write their ids in ascending order of the key.
+    """Encode the documents and write their ids in ascending order of the key, or of
+    the columns ``order``.
 
     The documents are range-partitioned and sorted by key (null first, rows with
-    equal keys by a hash of the text). Each partition becomes segments of about ``segment_ids``
+    equal keys by a hash of the text) or by ``order`` (ties likewise). Null text is
+    empty, a text of any length is one document, repeated rows are documents of their
+    own, and no documents give no segments. Each partition becomes segments of about ``segment_ids``
     ids, whole documents each, with the id ``end`` after each document: parquet
     rows with the packed ids, the keys and the sizes of their documents. A lost
     executor's partitions are encoded again and committed once."""
-    rows = docs.select(docs[key].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    by = [f"by{i}" for i in range(len(order))]
+    rows = docs.select(
+        docs[key].alias("id"),
+        F.coalesce(docs[text], F.lit("")).alias("text"),
+        *[c.alias(name) for c, name in zip(order, by)],
+    )
+    by = by or ["id"]
     kind = rows.schema["id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,8 +298,8 @@ def write_tokens(
         if names:
             yield _segment(part, segment, tokens, names, sizes, piece.column("id").type)
 
-    by_key = rows.repartitionByRange("id").sortWithinPartitions("id", F.md5("text"))
-    segments = map_arrow(by_key, encode, SEGMENT.format(id=kind))
+    sorted_ = rows.repartitionByRange(*by).sortWithinPartitions(*by, F.md5("text")).select("id", "text")
+    segments = map_arrow(sorted_, encode, SEGMENT.format(id=kind))
     segments.write.option("compression", "zstd").parquet(path)
 
 
@@ -397,6 +411,19 @@ def tokens_at(segments: DataFrame, places: DataFrame, place: str = "place") -> D
     return hits.join(found, ["part", "segment", "at"]).select("place", "token")
 
 
+def written_order(docs: DataFrame) -> list[Column]:
+    """Columns that sort the rows of a parquet folder as they were written: by the
+    number of the task that wrote the file, which follows the order of a range sort,
+    the file, and the row's place in it. Files of other names come first. None if the
+    frame was not read from files."""
+    try:
+        of_file = docs.metadataColumn("_metadata")
+    except AnalysisException:
+        return []
+    task = F.regexp_extract(of_file["file_name"], r"^part-(\d+)", 1).try_cast("bigint")
+    return [task, of_file["file_path"], of_file["row_index"]]
+
+
 def token_files(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The segments of the documents, written to the shared folder and read again."""
     path = shared_path(docs.sparkSession, "tokens")
