@@ -125,10 +125,11 @@ def links(prints: DataFrame) -> DataFrame:
     all linked to its smallest one; those of keys with over two are fetched by
     looking the key's own ball up in the table of fingerprints.
     """
-    # a count given by hand, since small rows that each make 65 must not be coalesced
+    # dealt out evenly, as many tasks as a shuffle has, since small rows that each make
+    # 65 must not be coalesced; by key Spark would drop this as what distinct() does anyway
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = prints.select("fingerprint").distinct().repartition(parts, "fingerprint")
-    filed = _ball(table, "fingerprint", "key").groupBy("key")
+    table = stored(prints.select("fingerprint").distinct(), "different")
+    filed = _ball(table.repartition(parts), "fingerprint", "key").groupBy("key")
     buckets = filed.agg(F.count("*").alias("n"), F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b"))
     shared = stored(buckets.where("n > 1"), "buckets")
     more = _ball(shared.where("n > 2").select("key", "a"), "key", "fingerprint").join(table, "fingerprint")
