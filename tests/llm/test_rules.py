@@ -36,7 +36,7 @@ def brute(rows):
         left = len(words)
         for line in lines:
             held = holders[host, norm(line)]
-            if len(held) > 10 and len(held) > 0.005 * len(texts[host]):
+            if len(held) > 10:
                 if min(held, key=lambda t: texts[host][t]) != text:
                     left -= len(WORD.findall(line))
         depleted = left < 10 and left < len(words) / 3
@@ -99,3 +99,18 @@ def test_copies_are_one_text(make):
     out = rules.verdicts(make(rows))
     assert out.where("kept").count() == 60
     assert out.agg(F.sum("n_words")).first()[0] == 60 * len(text.split())
+
+
+def test_limit_does_not_grow_with_a_hot_host(make):
+    """12 of 3000 texts of one host, 0.4 %, hold a line: all but the first lose it."""
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    rows = [(i, " ".join(f"own{word(i * 20 + k)}" for k in range(12)), "hot") for i in range(3000)]
+    note = "subscribe to our letter and never miss any of the news again"
+    rows[:12] = [(i, t + "\n" + note, h) for i, t, h in rows[:12]]
+    rows += [(4000 + i, f"{note}\nx{word(i)}", "hot") for i in range(2)] + [(5000, note + "\nq", "cold")]
+    df = make(rows).repartition(5)
+    got = {r.id: r.kept for r in rules.verdicts(df).collect()}
+    assert [i for i, kept in got.items() if not kept] in ([4000, 4001], [4001, 4000])
+    left = {r.doc_id: r.text for r in rules.apply_rules(df).collect()}
+    assert len(left) == 3001 and [i for i, t in left.items() if note in t and i < 5000] == [0]
+    assert left[5000] == note + "\nq"

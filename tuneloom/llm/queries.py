@@ -191,10 +191,7 @@ def op3_token_files(spark, d):
           FROM l WHERE len(lw) > 0 GROUP BY ALL)
     GROUP BY source, content, norm),
   o AS (SELECT source, norm, count(*) AS n_texts, arg_min(content, doc_id) AS keeper FROM f GROUP BY source, norm),
-  s AS (SELECT source, count(DISTINCT content) AS n_all FROM d GROUP BY source),
-  bad AS (
-    SELECT o.source, o.norm, o.keeper FROM o JOIN s ON s.source IS NOT DISTINCT FROM o.source
-    WHERE n_texts > {rules.LINE_TEXTS} AND n_texts > {rules.LINE_SHARE} * n_all),
+  bad AS (SELECT source, norm, keeper FROM o WHERE n_texts > {rules.LINE_TEXTS}),
   gone AS (
     SELECT f.source, f.content, sum(f.words) AS words, max(f.n) AS n
     FROM f JOIN bad ON bad.norm = f.norm AND bad.source IS NOT DISTINCT FROM f.source

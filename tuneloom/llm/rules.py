@@ -18,9 +18,8 @@ WINDOW = 5
 #: base_failed: fewer words, or a larger share of words in repeated windows, in percent.
 MIN_WORDS = 10
 MAX_REPEATED = 20
-#: A line goes if more different texts of its host hold it than both of these allow.
+#: A line goes if more different texts of its host hold it, however large the host.
 LINE_TEXTS = 10
-LINE_SHARE = 0.005
 #: A document is depleted if fewer words, and a smaller share of them, are left.
 LEFT_WORDS = 10
 LEFT_SHARE = 1 / 3
@@ -120,14 +119,14 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str
     return map_arrow(rows, of, schema)
 
 
-def frequent_lines(measured: DataFrame, texts: int = LINE_TEXTS, share: float = LINE_SHARE) -> DataFrame:
+def frequent_lines(measured: DataFrame, texts: int = LINE_TEXTS) -> DataFrame:
     """host, content, line, words, n_words: the lines to be removed, once for
     each different text of a host that loses them.
 
     Copies of a text count as one document, so a text is not boilerplate because
     it was copied. A line is over the limit if more than ``texts`` texts of its
-    host and more than the ``share`` of them hold it. The text with the smallest
-    id keeps the line, all others lose it.
+    host hold it: the limit does not grow with the host. The text with the smallest
+    id (null last) keeps the line, all others lose it. Null is a host like any other.
     """
     lines = measured.select("id", "host", "content", "n_words", F.explode("lines").alias("at"))
     held = lines.groupBy("host", "content", F.col("at.line").alias("line")).agg(
@@ -135,11 +134,7 @@ def frequent_lines(measured: DataFrame, texts: int = LINE_TEXTS, share: float =
     )
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "content"))
     spread_ = held.groupBy("host", "line").agg(F.count("*").alias("n"), first.alias("first"))
-    sizes = measured.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
-    over = spread_.where(F.col("n") > texts).join(
-        sizes.withColumnRenamed("host", "of_host"), F.col("host").eqNullSafe(F.col("of_host"))
-    )
-    over = over.where(F.col("n") > share * F.col("n_texts")).select(
+    over = spread_.where(F.col("n") > texts).select(
         F.col("host").alias("of_host"),
         F.col("line").alias("of_line"),
         F.col("first.content").alias("keeper"),
@@ -180,7 +175,9 @@ def verdicts(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str
 
 def apply_rules(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source") -> DataFrame:
     """The documents that are kept, without their host's frequent lines and with
-    all their columns; ``n_chars``, if there is such a column, follows the text."""
+    all their columns; ``n_chars``, if there is such a column, follows the text. Null
+    and empty texts fail the base rules; repeated rows stay or go together; a text of
+    any length is read whole; no documents give none."""
     measured = stored(measure(docs, text, key, host), "measures")
     lines = frequent_lines(measured).groupBy("host", "content").agg(F.collect_set("line").alias("gone"))
     judged = judge(measured).where("kept").select("host", "content").distinct()
