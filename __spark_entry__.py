@@ -1469,7 +1469,7 @@ def stream_arrivals(spark, d):
     """ST2: files read as a stream, delivered per micro-batch."""
     base = scratch_path(spark, "stream")
     schema = table(spark, d, "documents").schema
-    stream = arrivals.read_arrivals(spark, d, schema, pattern="documents.parquet")
+    stream = arrivals.read_arrivals(spark, f"{d}/documents.parquet", schema, nested=True)
     run = arrivals.deliver_arrivals(
         stream, ["doc_id", "text"], f"{base}/out", f"{base}/checkpoint", f"{base}/ledger", "docs", NOW
     )

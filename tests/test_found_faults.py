@@ -3,6 +3,7 @@
 import glob
 import io
 import json
+import shutil
 import tarfile
 
 import pyarrow as pa
@@ -157,6 +158,37 @@ def test_stream_batch_that_fails_is_not_delivered(spark, tmp_path):
     assert (total.dataset_id, total.rows_out, total.validation_passed) == ("s", 0, False)
 
 
+@pytest.mark.parametrize("layout", ["file", "folder", "nested"])
+def test_stream_of_a_table_in_one_file_or_in_folders(spark, tmp_path, layout):
+    import __spark_entry__ as entry
+
+    rows = spark.range(0, 30, 1, 3).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'s' AS source", "'en' AS lang")
+    at = tmp_path / "documents.parquet"
+    if layout == "file":
+        rows.coalesce(1).write.parquet(str(tmp_path / "written"))
+        shutil.copy(one_file(tmp_path / "written"), at)
+    else:
+        for part in range(3):
+            inside = at / f"{part}" if layout == "nested" else at
+            rows.where(f"doc_id % 3 = {part}").write.mode("append").parquet(str(inside))
+    got = entry.queries()["stream_arrivals"](spark, str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == list(range(30))
+
+
+def test_stream_of_a_file_with_pattern_letters_in_its_name(spark, tmp_path):
+    spark.createDataFrame([("a", "b")], AB).coalesce(1).write.parquet(str(tmp_path / "written"))
+    path = tmp_path / "in" / "x{1}[2].parquet"
+    path.parent.mkdir()
+    shutil.copy(one_file(tmp_path / "written"), path)
+    spark.createDataFrame([("c", "d")], AB).write.mode("append").parquet(str(tmp_path / "in"))
+    run = arrivals.deliver_arrivals(
+        arrivals.read_arrivals(spark, str(path), AB), ["a", "b"], str(tmp_path / "out"), str(tmp_path / "check"),
+        str(tmp_path / "ledger"), "s", "now",
+    )
+    run.awaitTermination(120)
+    assert [r.a for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a"]
+
+
 def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     """The checkpoint forgets that the batches ended, as after a crash before the commit."""
     import shutil

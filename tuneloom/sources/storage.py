@@ -20,6 +20,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _fs(spark, path).exists(_path(spark, path))
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, path) and _fs(spark, path).getFileStatus(_path(spark, path)).isFile()
+
+
 def children(spark: SparkSession, path: str) -> Iterator[str]:
     """Names directly below a folder, one by one, so that a caller may stop
     early in a folder of many files; none if it does not exist."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from typing import Callable
 
@@ -15,7 +16,7 @@ from ..operators import ledger as led
 from ..operators.deliver import write_checked
 from ..operators.generate import Generator, augment
 from ..operators.select import drop_blank_rows, keep_columns
-from ..sources.storage import delete, promote
+from ..sources.storage import delete, is_file, partition_folders, promote
 
 
 def read_arrivals(
@@ -25,10 +26,18 @@ def read_arrivals(
     fmt: str = "parquet",
     pattern: str | None = None,
     max_files: int | None = None,
+    nested: bool = False,
 ) -> DataFrame:
-    """Stream of the rows of files as they appear. Source files stay in place;
-    the checkpoint remembers which were read."""
+    """Stream of the rows of files as they appear in a folder, or of the one file
+    that ``folder`` is. Source files stay in place; the checkpoint remembers which
+    were read. With ``nested`` files of the folders in it count too, at any depth;
+    as with ``read_file`` only where none is named key=value at the start."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if is_file(spark, folder):
+        folder, name = folder.rstrip("/").rsplit("/", 1)
+        pattern = re.sub(r"([\\*?\[\]{}])", r"\\\1", name)
+    elif nested and not partition_folders(spark, folder):
+        reader = reader.option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
