@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from tuneloom.functions import jsontext, messages, text  # noqa: E402
 from tuneloom.functions.pii import PII_PATTERNS  # noqa: E402
-from tuneloom.functions.text import PY_WHITESPACE_CLASS  # noqa: E402
+from tuneloom.functions.text import PY_WHITESPACE_CLASS, is_string  # noqa: E402
 from tuneloom.operators import deliver as out  # noqa: E402
 from tuneloom.operators import generate as gen  # noqa: E402
 from tuneloom.operators import ledger as led  # noqa: E402
@@ -77,6 +77,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 # -- inputs derived from the tables ----------------------------------------
 
+#: Text that one file of a table written in several files holds, on the average.
+PART_BYTES = 64 << 20
+
+
+def write_parts(df: DataFrame, path: str, least: int = 3) -> int:
+    """The rows as parquet in ``least`` files, more if these would hold over
+    PART_BYTES of text each; returns how many. No task reads more than a file's rows."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if is_string(f.dataType)]
+    size = df.agg(F.sum(sum(texts, F.lit(0)).cast("long"))).first()[0] or 0
+    parts = max(least, -(-size // PART_BYTES))
+    df.repartition(parts).write.parquet(path)
+    return parts
+
+
 WS = f"[{PY_WHITESPACE_CLASS}]"
 
 
@@ -309,9 +323,9 @@ def mixed_folder_scan(spark, d):
 def sharded_scan(spark, d):
     """A split in numbered files under data/."""
     base = scratch_path(spark, "root")
-    table(spark, d, "conversations").repartition(3).write.parquet(f"{base}/staged")
+    parts = write_parts(table(spark, d, "conversations"), f"{base}/staged")
     for n, part in enumerate(storage.matching_paths(spark, f"{base}/staged/*.parquet")):
-        storage.promote(spark, part, f"{base}/org/turns/data/train-{n:05d}-of-00003.parquet")
+        storage.promote(spark, part, f"{base}/org/turns/data/train-{n:05d}-of-{parts:05d}.parquet")
     return readers.read_dataset(spark, base, "org/turns", "train")
 
 
@@ -1485,9 +1499,9 @@ def stream_board(spark, d):
     """ST2, L6: a stream in several batches, and one whose batches fail, on the board."""
     base = scratch_path(spark, "streams")
     docs = table(spark, d, "documents").select("doc_id", "text", "source")
-    docs.repartition(3).write.parquet(f"{base}/in")
+    files = write_parts(docs, f"{base}/in")
     for name, columns in (("docs", ["doc_id", "text"]), ("odd", ["doc_id", "text", "absent"])):
-        stream = arrivals.read_arrivals(spark, f"{base}/in", docs.schema, max_files=2)
+        stream = arrivals.read_arrivals(spark, f"{base}/in", docs.schema, max_files=files - files // 3)
         for _ in range(2):  # the second run finds nothing new
             arrivals.deliver_arrivals(
                 stream, columns, f"{base}/{name}", f"{base}/check-{name}", f"{base}/ledger", name, NOW

@@ -175,6 +175,26 @@ def test_stream_of_a_table_in_one_file_or_in_folders(spark, tmp_path, layout):
     assert sorted(r.doc_id for r in got.collect()) == list(range(30))
 
 
+@pytest.mark.parametrize("name", ["stream_board", "sharded_scan"])
+def test_files_of_a_table_grow_in_number_not_in_size(spark, monkeypatch, name):
+    import __spark_entry__ as entry
+    from oracle_compare import compare, connect
+
+    sf, written = "/root/testdata/sf0.001", []
+    if not glob.glob(f"{sf}/documents.parquet"):
+        pytest.skip("no test tables")
+    monkeypatch.setattr(entry, "PART_BYTES", 5_000)
+    write_parts = entry.write_parts
+    monkeypatch.setattr(entry, "write_parts", lambda df, path: written.append((df, path, write_parts(df, path))) or written[-1][2])
+    assert compare(spark, connect(sf), name, sf, entry.queries(), entry.oracle_sql()) is None
+    ((df, path, parts),) = written
+    size = df.selectExpr("sum(octet_length(text))").first()[0]
+    assert parts >= size / 5_000 > 3
+    if name == "stream_board":
+        sizes = spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.sum(F.octet_length("text")).alias("n"))
+        assert max(r.n for r in sizes.collect()) < size / 4
+
+
 def test_stream_of_a_file_with_pattern_letters_in_its_name(spark, tmp_path):
     spark.createDataFrame([("a", "b")], AB).coalesce(1).write.parquet(str(tmp_path / "written"))
     path = tmp_path / "in" / "x{1}[2].parquet"
