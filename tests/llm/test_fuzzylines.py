@@ -235,3 +235,47 @@ def test_letter_distance_of_texts():
         want = distance(x, y)
         for limit in (want - 1, want, want + 1):
             assert fuzzylines.within(x, "".join(y), limit) == (want <= limit)
+
+
+def test_a_line_with_several_fingerprints_is_one(make):
+    """The words' spelling counts in the fingerprint, so one normalised line may have two."""
+    first, second = "The the cat 12 34 sat", "the the cat 12 12 sat"
+    assert line_hash(first.encode().split()) == line_hash(second.encode().split())
+    assert (fuzzylines.line_prints([first.encode().split()]) != fuzzylines.line_prints([second.encode().split()])).all()
+    rows = [(1, f"{first}\n{second}"), (2, f"{first}\nother\n{second}"), (3, second)]
+    got = fuzzylines.line_report(make(rows)).collect()
+    assert sorted(map(tuple, got)) == [(1, 2, 1, [1]), (2, 3, 2, [0, 2]), (3, 1, 1, [0])]
+
+
+@pytest.mark.parametrize("small, size", [(4, 3), (4, 50), (256, 7)])
+def test_members_do_not_depend_on_batches(monkeypatch, small, size):
+    import pyarrow as pa
+
+    monkeypatch.setattr(fuzzylines, "SMALL", small)
+    rnd = random.Random(small * size)
+    rows = []
+    for bucket in range(40):
+        far = [rnd.getrandbits(63) for _ in range(rnd.choice([1, 2, 3, 4, 5, 11, 30]))]
+        rows += [(bucket, len(rows) + i, p ^ (1 << rnd.randrange(60) if rnd.random() < 0.5 else 0)) for i, p in enumerate(far)]
+        rows += [(bucket, len(rows), far[0])] * rnd.randrange(2)
+    columns = list(zip(*rows))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["bucket", "line", "print"])
+    batches = [batch.slice(at, size) for at in range(0, len(rows), size)]
+    got = [tuple(r.values()) for b in fuzzylines._members(iter(batches)) for r in b.to_pylist()]
+    want = []
+    for bucket, line, p in rows:
+        mine = [r for r in rows if r[0] == bucket]
+        if len(mine) > small:
+            want.append((bucket, line, p, None))
+        elif sum((p ^ r[2]).bit_count() <= 3 for r in mine) > 1:
+            want.append((bucket, line, p, len(mine)))
+    assert got == want and want
+
+
+def test_tasks_keep_only_lines_with_a_candidate(spark):
+    """Most buckets hold lines that share some blocks and nothing else."""
+    rnd = random.Random(9)
+    lines = [(i, (rnd.getrandbits(37) << 26 | 12345) - (1 << 62)) for i in range(200)]
+    lines += [(1000, lines[0][1] ^ 1 << 40)]
+    df = spark.createDataFrame(lines, "line bigint, print bigint")
+    assert {r.line for r in fuzzylines.buckets(df).collect()} == {0, 1000}

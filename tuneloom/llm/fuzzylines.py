@@ -8,13 +8,14 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from .components import components
-from .rules import fold_line, line_hash
-from .tables import content_key, free_name, map_arrow, pieces, raw_text, spread, stored
+from .rules import FOLD
+from .tables import content_key, free_name, map_arrow, pieces, raw_text, split_words, spread, stored
 
 #: Bits in which the fingerprints of two linked lines may differ.
 BITS = 3
@@ -28,6 +29,8 @@ SIMILARITY = 0.8
 PIVOTS = 8
 #: Lines of a large bucket that one step compares with as many others.
 CELL = 1000
+#: Lines of a bucket up to which a task compares all of them while it reads it.
+SMALL = 256
 #: Bits of the filter that keeps lines without a candidate out of the shuffle of texts.
 FILTER_BITS = 1 << 25
 #: Bits of one of Spark's bitmaps.
@@ -45,67 +48,99 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def line_prints(lines: list[list[bytes]]) -> np.ndarray:
-    """64-bit SimHash of each line's different words, in lower case with digits
-    as 0, as signed integers. A bit is set if it is in more than half of the
-    words' hashes. Repeats don't count: the frequent words of a language would
-    make all its long lines alike."""
-    lines = [list(set(line)) for line in lines]
-    counts = np.fromiter(map(len, lines), np.int64, len(lines))
-    words = [w for line in lines for w in line]
-    known: dict[bytes, int] = {}
-    for w in set(words):
-        known[w] = xxhash.xxh3_64_intdigest(fold_line([w]))
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    owner, place = spread(counts)
+def _hashes(data: bytes, at: np.ndarray) -> np.ndarray:
+    """64 signed bits of every text of ``data``, which begin at ``at``."""
+    ends = at.tolist()
+    each = (xxhash.xxh3_64_intdigest(data[b:e]) for b, e in zip(ends, ends[1:]))
+    return np.fromiter(each, np.uint64, len(ends) - 1).view(np.int64)
+
+
+def _word_prints(words: pa.Array, counts: np.ndarray) -> np.ndarray:
+    """SimHash of lines that have so many words each."""
+    prints = np.zeros(len(counts), np.uint64)
+    if len(words) == 0:
+        return prints.view(np.int64)
+    coded = words.dictionary_encode()
+    data, at = raw_text(coded.dictionary)
+    known = _hashes(data.translate(FOLD), at).view(np.uint64)
+    pairs = np.repeat(np.arange(len(counts)) << 32, counts) | coded.indices.to_numpy()
+    pairs.sort()
+    pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
+    hashes, counts = known[pairs & 0xFFFFFFFF], np.bincount(pairs >> 32, minlength=len(counts))
     blocks = -(-counts // 255)
     row, nth = spread(blocks)
     begin = (np.cumsum(counts) - counts)[row] + nth * 255
-    first = np.cumsum(blocks) - blocks
-    prints = np.zeros(len(lines), np.uint64)
-    if len(words):
-        for j in range(8):
-            sums = np.add.reduceat((hashes >> np.uint64(j)) & np.uint64(0x0101010101010101), begin)
-            ones = np.add.reduceat(sums.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
-            for byte in range(8):
-                prints |= (2 * ones[:, byte] > counts).astype(np.uint64) << np.uint64(8 * byte + j)
+    filled = blocks > 0
+    first = (np.cumsum(blocks) - blocks)[filled]
+    for j in range(8):
+        sums = np.add.reduceat((hashes >> np.uint64(j)) & np.uint64(0x0101010101010101), begin)
+        ones = np.add.reduceat(sums.view(np.uint8).reshape(-1, 8).astype(np.int64), first, axis=0)
+        for byte in range(8):
+            prints[filled] |= (2 * ones[:, byte] > counts[filled]).astype(np.uint64) << np.uint64(8 * byte + j)
     return prints.view(np.int64)
 
 
+def line_prints(lines: list[list[bytes]]) -> np.ndarray:
+    """64-bit SimHash of each line's different words, hashed in lower case with
+    digits as 0, as signed integers. A bit is set if it is in more than half of the
+    words' hashes. Repeats don't count: the frequent words of a language would
+    make all its long lines alike."""
+    words = [w for line in lines for w in line]
+    at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+    coded = pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(at), pa.py_buffer(b"".join(words))])
+    return _word_prints(coded, np.fromiter(map(len, lines), np.int64, len(lines)))
+
+
+def _lines(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Of every line with a word in the rows of a column: its row, its number
+    from 0; the words of all of them, and how many each line has."""
+    data, at = raw_text(column)
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    per_row = 1 + np.searchsorted(ends, at[1:]) - np.searchsorted(ends, at[:-1])
+    owner, nth = spread(per_row)
+    begin = np.sort(np.concatenate([at[:-1], ends + 1]))
+    words, counts = split_words(data, np.concatenate([begin, at[-1:]]))
+    filled = counts > 0
+    return owner[filled], nth[filled], words, counts[filled]
+
+
+def _joined(words: pa.Array, counts: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The normalised lines that words make up, one after the other, where they
+    begin (with the end at last), and their hashes."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int64())
+    lines = pc.binary_join(pa.LargeListArray.from_arrays(offsets, words), pa.scalar(" ", words.type))
+    data, at = raw_text(lines)
+    data = data.translate(FOLD)
+    return data, at, _hashes(data, at)
+
+
 def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """id, content, nth, line, print: every line with a word: its document, its
-    number from 0, a hash of its normalised text (A-Z lower-cased, digits as 0,
-    one space between words) and its SimHash. Null text has no lines."""
+    """id, content, n_lines, nth, line, print: every line with a word: its document
+    and how many such lines that has, its number from 0, a hash of its normalised text
+    (A-Z lower-cased, digits as 0, one space between words) and its SimHash. Null text
+    has no lines. Rows with equal id and text repeat each other's lines."""
     rows = docs.select(
         docs[key].alias("id"), content_key(docs[text]).alias("content"), docs[text].alias("text")
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            data, at = raw_text(piece.column("text"))
-            owner, nth, lines = [], [], []
-            ends = at.tolist()
-            for row, (b, e) in enumerate(zip(ends, ends[1:])):
-                for n, line in enumerate(data[b:e].split(b"\n")):
-                    words = line.split()
-                    if words:
-                        owner.append(row)
-                        nth.append(n)
-                        lines.append(words)
+            owner, nth, words, counts = _lines(piece.column("text"))
             take = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("id").take(take),
                     piece.column("content").take(take),
+                    pa.array(np.bincount(owner, minlength=piece.num_rows)[owner], pa.int64()),
                     pa.array(nth, pa.int64()),
-                    pa.array([line_hash(words) for words in lines], pa.int64()),
-                    pa.array(line_prints(lines)),
+                    pa.array(_joined(words, counts)[2]),
+                    pa.array(_word_prints(words, counts)),
                 ],
-                ["id", "content", "nth", "line", "print"],
+                ["id", "content", "n_lines", "nth", "line", "print"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_arrow(rows, read, f"id {kind}, content binary, nth bigint, line bigint, print bigint")
+    return map_arrow(rows, read, f"id {kind}, content binary, n_lines bigint, nth bigint, line bigint, print bigint")
 
 
 def hash_filter(lines: DataFrame) -> np.ndarray:
@@ -138,35 +173,88 @@ def line_texts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFr
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            lines = [line.split() for line in raw_text(piece.column("text"))[0].split(b"\n")]
-            lines = [words for words in lines if words]
-            hashes = np.fromiter(map(line_hash, lines), np.int64, len(lines))
-            found = {int(hashes[i]): lines[i] for i in np.flatnonzero(_passes(bits.value, hashes))}
-            texts = [fold_line(words).decode("utf-8", "replace") for words in found.values()]
+            _, _, words, counts = _lines(piece.column("text"))
+            data, at, hashes = _joined(words, counts)
+            found = {int(hashes[i]): data[at[i] : at[i + 1]] for i in np.flatnonzero(_passes(bits.value, hashes))}
+            texts = [line.decode("utf-8", "replace") for line in found.values()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.int64()), pa.array(texts, pa.string())], ["line", "words"]
             )
 
-    # a row's last line and the next row's first one must not run together
-    ended = rows.select(F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).alias("text"))
-    texts = map_arrow(ended, read, "line bigint, words string")
+    texts = map_arrow(rows, read, "line bigint, words string")
     return stored(texts.join(wanted, "line", "left_semi").dropDuplicates(["line"]), "texts")
 
 
+def _near(bucket: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of their buckets: how many rows the bucket of each has, and
+    whether the row differs from another one of it in at most BITS bits. In buckets of
+    over SMALL rows every row counts as one that does."""
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    sizes = np.diff(np.concatenate([start, [len(bucket)]]))
+    n = np.repeat(sizes, sizes)
+    near = n > SMALL
+    here = np.flatnonzero((n > 1) & ~near)
+    end = np.repeat(start + sizes, sizes)
+    for step in range(1, SMALL):
+        here = here[here + step < end[here]]
+        if len(here) == 0:
+            break
+        hit = here[np.bitwise_count((prints[here] ^ prints[here + step]).view(np.uint64)) <= BITS]
+        near[hit] = near[hit + step] = True
+    return n, near
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of their buckets, those of _near, with the size of the
+    bucket; null where it has over SMALL rows, which leave as they come."""
+    names = ["bucket", "line", "print"]
+    held, large = [np.empty(0, np.int64)] * 3, None
+
+    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
+        n, near = _near(rows[0], rows[2])
+        if large is not None:
+            more = rows[0] == large
+            n, near = np.where(more, SMALL + 1, n), near | more
+        sizes = pa.array(n[near], pa.int64(), mask=n[near] > SMALL)
+        return pa.RecordBatch.from_arrays([*(pa.array(r[near]) for r in rows), sizes], [*names, "n"])
+
+    for batch in batches:
+        rows = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, names)]
+        if len(rows[0]) == 0:
+            continue
+        # the last bucket waits for its other rows, unless it is known to be large
+        last = int(np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))[-1])
+        whole = len(rows[0]) if rows[0][-1] == large or len(rows[0]) - last > SMALL else last
+        if whole:
+            yield out([r[:whole] for r in rows])
+            if whole > last:
+                large = int(rows[0][-1])
+        held = [r[whole:] for r in rows]
+    if len(held[0]):
+        yield out(held)
+
+
 def buckets(lines: DataFrame) -> DataFrame:
     """bucket, line, print, n, pivot: the lines (columns line, print) filed under
     the bits of every choice of BLOCKS - BITS blocks, with the number of lines of
-    the bucket. Buckets with one line are left out. About PIVOTS lines of a
+    the bucket. Left out are buckets with one line and, in buckets of up to SMALL
+    lines, those without another one within BITS bits. About PIVOTS lines of a
     bucket, chosen by hash, are its pivots; in a bucket of fewer than twice as
-    many all lines are."""
+    many all lines are.
+
+    Tasks read whole buckets one after the other and hold one of up to SMALL lines
+    at a time; what is stored are lines with a candidate, and large buckets."""
     masks = F.array(*[F.lit(_signed(m)).cast("bigint") for m in MASKS])
-    filed = lines.select("line", "print", F.posexplode(masks).alias("table", "mask"))
-    # the table's number goes into the bits that the mask leaves empty
-    filed = filed.select(F.xxhash64("table", F.col("print").bitwiseAND(F.col("mask"))).alias("bucket"), "line", "print")
-    n = F.count("*").over(Window.partitionBy("bucket"))
+    filed = lines.select("line", "print", F.explode(F.sequence(F.lit(0), F.lit(len(MASKS) - 1))).alias("table"))
+    # only the table's number is shuffled with a line, its bucket follows from that
+    bucket = F.xxhash64("table", F.col("print").bitwiseAND(F.get(masks, F.col("table"))))
+    ordered = filed.repartition(bucket).select(bucket.alias("bucket"), "line", "print").sortWithinPartitions("bucket")
+    rows = stored(map_arrow(ordered, _members, "bucket bigint, line bigint, print bigint, n bigint"), "near")
+    counted = F.count("*").over(Window.partitionBy("bucket"))
+    large = rows.where("n IS NULL").withColumn("n", counted)
     step = F.greatest(F.lit(1), F.floor(F.col("n") / PIVOTS))
     chosen = F.pmod(F.xxhash64("line", "bucket"), step) == 0
-    return stored(filed.withColumn("n", n).where("n > 1").withColumn("pivot", chosen), "members")
+    return stored(rows.where("n IS NOT NULL").unionByName(large).withColumn("pivot", chosen), "members")
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:
@@ -235,6 +323,22 @@ def links(lines: DataFrame, docs: DataFrame, text: str = "text", unit: str = "wo
     return components(near.union(similar(more, docs, text, unit=unit)))
 
 
+def _alike(x: str | list, y: str | list, most: int, part) -> int:
+    """How many members x and y share from one end on, ``most`` at most; ``part``
+    gives those from the i-th to the j-th."""
+    low, step = 0, 16
+    while low < most and part(x, low, min(low + step, most)) == part(y, low, min(low + step, most)):
+        low, step = min(low + step, most), 2 * step
+    high = min(low + step, most)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if part(x, low, middle) == part(y, low, middle):
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def within(x: str | list, y: str | list, limit: int) -> bool:
     """Whether so many insertions, deletions and replacements turn x into y:
     letters of texts, or members of lists.
@@ -246,15 +350,12 @@ def within(x: str | list, y: str | list, limit: int) -> bool:
     n, m = len(x), len(y)
     if abs(n - m) > limit:
         return False
-    front, k = 0, min(n, m)
-    while front < k and x[front] == y[front]:
-        front += 1
-    back, k = 0, k - front
-    while back < k and x[n - 1 - back] == y[m - 1 - back]:
-        back += 1
+    front = _alike(x, y, min(n, m), lambda z, i, j: z[i:j])
+    k = min(n, m) - front
+    back = _alike(x, y, k, lambda z, i, j: z[len(z) - j : len(z) - i])
     x, y = x[front : n - back], y[front : m - back]
     n, m = len(x), len(y)
-    if min(n, m) == 0 or limit == 0:
+    if min(n, m) == 0 or limit == 0 or max(n, m) <= limit:
         return max(n, m) <= limit
     if n == m and sum(map(ne, x, y)) <= limit:
         return True
@@ -305,35 +406,42 @@ def similar(
     return map_arrow(both.select("a", "b", "x", "y"), verify, "a bigint, b bigint")
 
 
-def line_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
-    """id, content, nth, line, keeps of every line with a word; ``keeps`` is set
-    for the one occurrence of its group that stays: the first by id (null last)
-    and number. Groups are connected over links between similar lines; equal
+def removed_lines(found: DataFrame, docs: DataFrame, text: str = "text", unit: str = "words") -> DataFrame:
+    """id, content, nth: the lines of ``docs`` that go, of ``found``, their
+    ``occurrences``. Of every group one stays: the first by id (null last) and
+    number. Groups are connected over links between similar lines; equal
     normalised lines are one. Rows with equal id and text are one document."""
-    found = stored(occurrences(docs, text, key).distinct(), "occurrences")
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
-    counted = found.groupBy("line", "print").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    lines = stored(counted, "lines")
+    lines = stored(found.groupBy("line", "print").agg(F.count("*").alias("n")), "lines")
     roots = links(lines.select("line", "print"), docs, text, unit)
-    tied = roots.union(roots.select("root", "root").distinct()).toDF("line", "root")
-    of_tied = lines.join(tied, "line")
-    firsts = of_tied.groupBy("root").agg(F.min("first").alias("of_group"))
-    of_tied = of_tied.join(firsts, "root").select("line", "of_group")
-    # a line that occurs once and has no group stays. The table is written so that a
-    # frequent line's occurrences are one side of a plain join, which Spark can split
-    named = lines.join(of_tied, "line", "left").where("of_group IS NOT NULL OR n > 1")
-    named = stored(named.select(F.col("line").alias("of"), F.coalesce("of_group", "first").alias("keeper")), "keepers")
+    tied = stored(roots.union(roots.select("root", "root").distinct()).toDF("line", "root"), "tied")
+    # a line that occurs once and has no group stays. Words in capitals and not, or of other
+    # digits, are different ones, so a normalised line may have several fingerprints
+    twice = lines.groupBy("line").agg(F.sum("n").alias("n")).where("n > 1").join(tied, "line", "left_anti")
+    named = stored(twice.select("line", F.col("line").alias("root")).union(tied), "named")
+    bits = found.sparkSession.sparkContext.broadcast(hash_filter(named))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_passes(bits.value, batch.column("line").to_numpy())))
+
+    # most others are left out before anything is shuffled
+    places = found.select("id", "content", "nth", "line")
+    kind = places.schema["id"].dataType.simpleString()
+    sifted = map_arrow(places, sift, f"id {kind}, content binary, nth bigint, line bigint")
     mine = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
-    keeps = F.col("of").isNull() | mine.eqNullSafe(F.col("keeper"))
-    return found.join(named, F.col("line") == F.col("of"), "left").select(
-        "id", "content", "nth", "line", keeps.alias("keeps")
-    )
+    grouped = stored(sifted.join(named, "line").select("id", "content", "nth", "root"), "grouped")
+    # a large group's occurrences are one side of a plain join, which Spark can split
+    keepers = stored(grouped.groupBy("root").agg(F.min(mine).alias("keeper")), "keepers")
+    return grouped.join(keepers, "root").where(~mine.eqNullSafe(F.col("keeper"))).select("id", "content", "nth")
 
 
 def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
     """id, n_lines, n_removed, removed (the numbers of the lines that go, from 0)
     of every row. Documents without lines have zeros."""
-    by_doc = _by_doc(line_groups(docs, text, key, unit))
+    found = stored(occurrences(docs, text, key), "occurrences")
+    counted = found.groupBy("id", "content").agg(F.max("n_lines").alias("n_lines"))
+    gone = removed_lines(found, docs, text, unit).withColumn("n_lines", F.lit(None).cast("bigint"))
+    by_doc = _by_doc(gone.unionByName(counted.withColumn("nth", F.lit(None).cast("bigint"))))
     rows = docs.select(docs[key].alias("id"), content_key(docs[text]).alias("content"))
     same = rows["id"].eqNullSafe(by_doc["of_id"]) & (rows["content"] == by_doc["of_content"])
     return rows.join(by_doc, same, "left").select(
@@ -344,23 +452,24 @@ def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id", unit:
     )
 
 
-def _by_doc(groups: DataFrame) -> DataFrame:
-    # of one document: its own lines, no more
-    gone = F.sort_array(F.collect_list(F.when(~F.col("keeps"), F.col("nth"))))
-    return groups.groupBy(F.col("id").alias("of_id"), F.col("content").alias("of_content")).agg(
-        F.count("*").alias("n_lines"), gone.alias("removed")
+def _by_doc(gone: DataFrame) -> DataFrame:
+    # of one document: its own lines, no more; copies of a row name the same ones
+    return gone.groupBy(F.col("id").alias("of_id"), F.col("content").alias("of_content")).agg(
+        F.max("n_lines").alias("n_lines"), F.sort_array(F.collect_set("nth")).alias("removed")
     )
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
     """The documents without the lines that go; lines without a word stay."""
-    by_doc = _by_doc(line_groups(docs, text, key, unit)).drop("n_lines")
-    content, gone = free_name(docs, "content"), free_name(docs, "gone")
+    found = stored(occurrences(docs, text, key), "occurrences")
+    gone = removed_lines(found, docs, text, unit).withColumn("n_lines", F.lit(None).cast("bigint"))
+    by_doc = _by_doc(gone).drop("n_lines")
+    content, numbers = free_name(docs, "content"), free_name(docs, "numbers")
     named = docs.withColumn(content, content_key(docs[text]))
-    by_doc = by_doc.withColumnRenamed("removed", gone)
+    by_doc = by_doc.withColumnRenamed("removed", numbers)
     same = named[key].eqNullSafe(by_doc["of_id"]) & (named[content] == by_doc["of_content"])
     joined = named.join(by_doc, same, "left")
     split = F.split(F.col(text), "\n")
-    kept = F.filter(split, lambda line, n: ~F.array_contains(F.col(gone), n.cast("bigint")))
-    left = F.when(F.size(gone) > 0, F.array_join(kept, "\n")).otherwise(F.col(text))
+    kept = F.filter(split, lambda line, n: ~F.array_contains(F.col(numbers), n.cast("bigint")))
+    left = F.when(F.size(numbers) > 0, F.array_join(kept, "\n")).otherwise(F.col(text))
     return joined.withColumn(text, left).select(*docs.columns)
