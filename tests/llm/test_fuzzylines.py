@@ -279,3 +279,67 @@ def test_tasks_keep_only_lines_with_a_candidate(spark):
     lines += [(1000, lines[0][1] ^ 1 << 40)]
     df = spark.createDataFrame(lines, "line bigint, print bigint")
     assert {r.line for r in fuzzylines.buckets(df).collect()} == {0, 1000}
+
+
+def test_texts_are_looked_up_once(make, monkeypatch):
+    """Lines that meet no pivot are compared later, by the texts that are there already;
+    one bucket is of over SMALL lines."""
+    rnd = random.Random(7)
+    rows = []
+    for chain in range(3):
+        words = [f"w{chr(97 + i)}" for i in range(10)]
+        rnd.shuffle(words)
+        for _ in range(90):
+            rows.append((len(rows), " ".join(words)))
+            i, j = rnd.sample(range(10), 2)
+            words[i], words[j] = words[j], words[i]
+    seen, real = [], fuzzylines.line_texts
+    monkeypatch.setattr(fuzzylines, "line_texts", lambda *a, **b: seen.append(a) or real(*a, **b))
+    got = fuzzylines.line_report(make(rows)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+    assert len(seen) == 1
+
+
+def test_only_lines_in_wanted_places_are_split():
+    import pyarrow as pa
+
+    column = pa.array(["a b\n\nc d é\n", None, "", "a b\nx", "é\n \nlast one\n\n"])
+    owner, nth, places, words, counts = fuzzylines._lines(column)
+    assert list(zip(owner, nth, counts)) == [(0, 0, 2), (0, 2, 3), (3, 0, 2), (3, 1, 1), (4, 0, 1), (4, 2, 2)]
+    assert len(set(places.tolist())) == 6
+    ends = np.cumsum(counts)
+    for chosen in ([], [1], [0, 3], [2, 4, 5], range(6)):
+        bits = np.zeros((fuzzylines.FILTER_BITS // fuzzylines.PART_BITS + 2) * fuzzylines.PART_BITS // 8, np.uint8)
+        for p in places[list(chosen)]:
+            at = int(p) % fuzzylines.FILTER_BITS
+            at = at - 1 + fuzzylines.PART_BITS if at else 0
+            bits[at >> 3] |= 1 << (at & 7)
+        got = fuzzylines._lines(column, bits)
+        want = [w for i in chosen for w in words.to_pylist()[ends[i] - counts[i] : ends[i]]]
+        assert got[3].to_pylist() == want
+        assert [x.tolist() for x in (got[0], got[1], got[2], got[4])] == [x[list(chosen)].tolist() for x in (owner, nth, places, counts)]
+
+
+def test_texts_are_those_of_all_lines(spark, make):
+    rows = some_rows()
+    docs = make(rows)
+    found = fuzzylines.occurrences(docs).where("line IS NOT NULL")
+    lines = fuzzylines.stored(found.groupBy("line").agg({"place": "min"}).toDF("line", "place"), "lines")
+    wanted = lines.where("line % 3 = 0").select("line")
+    got = fuzzylines.line_texts(docs, wanted, lines=lines).collect()
+    assert sorted(got) == sorted(fuzzylines.line_texts(docs, wanted).collect()) and got
+
+
+def test_texts_that_differ_in_few_words():
+    """What is settled by words is what the letters say."""
+    rnd = random.Random(6)
+    for _ in range(300):
+        x = ["".join(rnd.choices("abé", k=rnd.randrange(1, 7))) for _ in range(rnd.randrange(1, 30))]
+        y = list(x)
+        for _ in range(rnd.randrange(5)):
+            at = rnd.randrange(len(y) + 1)
+            y[at : at + rnd.randrange(2)] = ["".join(rnd.choices("cdé", k=rnd.randrange(1, 9)))][: rnd.randrange(2)]
+        x, y = " ".join(x), " ".join(y)
+        want = distance(x, y)
+        for limit in (want - 1, want, want + 1, want + 9):
+            assert fuzzylines.within(x, y, limit) == (want <= limit)

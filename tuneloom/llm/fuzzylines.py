@@ -35,6 +35,8 @@ SMALL = 256
 FILTER_BITS = 1 << 25
 #: Bits of one of Spark's bitmaps.
 PART_BITS = 1 << 15
+#: Between the places of a text's lines; odd, so that they differ.
+PLACE_STEP = 0x1E3779B97F4A7C15
 
 EDGES = [round(64 * b / BLOCKS) for b in range(BLOCKS + 1)]
 #: For every choice of blocks that may agree, the mask of their bits.
@@ -55,14 +57,21 @@ def _hashes(data: bytes, at: np.ndarray) -> np.ndarray:
     return np.fromiter(each, np.uint64, len(ends) - 1).view(np.int64)
 
 
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """64 bits of every word in lower case with digits as 0. No word holds a line end."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words)
+    data, _ = raw_text(pc.binary_join(whole, pa.scalar("\n", words.type)))
+    each = map(xxhash.xxh3_64_intdigest, data.translate(FOLD).split(b"\n"))
+    return np.fromiter(each, np.uint64, len(words))
+
+
 def _word_prints(words: pa.Array, counts: np.ndarray) -> np.ndarray:
     """SimHash of lines that have so many words each."""
     prints = np.zeros(len(counts), np.uint64)
     if len(words) == 0:
         return prints.view(np.int64)
     coded = words.dictionary_encode()
-    data, at = raw_text(coded.dictionary)
-    known = _hashes(data.translate(FOLD), at).view(np.uint64)
+    known = _word_hashes(coded.dictionary)
     pairs = np.repeat(np.arange(len(counts)) << 32, counts) | coded.indices.to_numpy()
     pairs.sort()
     pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])]
@@ -91,17 +100,27 @@ def line_prints(lines: list[list[bytes]]) -> np.ndarray:
     return _word_prints(coded, np.fromiter(map(len, lines), np.int64, len(lines)))
 
 
-def _lines(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+def _lines(column: pa.Array, only: np.ndarray | None = None) -> tuple:
     """Of every line with a word in the rows of a column: its row, its number
-    from 0; the words of all of them, and how many each line has."""
+    from 0, its place; the words of all of them, and how many each line has. A place
+    is 64 bits that stand for the row's text and the line's number in it. ``only``:
+    a filter of places, lines of others are not split into words."""
     data, at = raw_text(column)
     ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
     per_row = 1 + np.searchsorted(ends, at[1:]) - np.searchsorted(ends, at[:-1])
     owner, nth = spread(per_row)
-    begin = np.sort(np.concatenate([at[:-1], ends + 1]))
-    words, counts = split_words(data, np.concatenate([begin, at[-1:]]))
+    places = _hashes(data, at)[owner] + nth * PLACE_STEP
+    begin = np.concatenate([np.sort(np.concatenate([at[:-1], ends + 1])), at[-1:]])
+    if only is not None:
+        wanted = _passes(only, places)
+        lines = pa.Array.from_buffers(
+            pa.large_string(), len(owner), [None, pa.py_buffer(begin), pa.py_buffer(data)]
+        )
+        data, begin = raw_text(lines.filter(pa.array(wanted)))
+        owner, nth, places = owner[wanted], nth[wanted], places[wanted]
+    words, counts = split_words(data, begin)
     filled = counts > 0
-    return owner[filled], nth[filled], words, counts[filled]
+    return owner[filled], nth[filled], places[filled], words, counts[filled]
 
 
 def _joined(words: pa.Array, counts: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -115,38 +134,46 @@ def _joined(words: pa.Array, counts: np.ndarray) -> tuple[bytes, np.ndarray, np.
 
 
 def occurrences(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """id, content, n_lines, nth, line, print: every line with a word: its document
-    and how many such lines that has, its number from 0, a hash of its normalised text
-    (A-Z lower-cased, digits as 0, one space between words) and its SimHash. Null text
-    has no lines. Rows with equal id and text repeat each other's lines."""
+    """id, content, n_lines, nth, place, line, print: every line with a word: its
+    document, its number from 0, both of them hashed, a hash of its normalised text (A-Z
+    lower-cased, digits as 0, one space between words) and its SimHash. Besides them one row for every row of ``docs``,
+    without a line, has how many such lines there are (n_lines, null in the others).
+    Null text has no lines. Rows with equal id and text repeat each other's lines."""
     rows = docs.select(
         docs[key].alias("id"), content_key(docs[text]).alias("content"), docs[text].alias("text")
     )
+    names = ["id", "content", "n_lines", "nth", "place", "line", "print"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            owner, nth, words, counts = _lines(piece.column("text"))
+            owner, nth, places, words, counts = _lines(piece.column("text"))
             take = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("id").take(take),
                     piece.column("content").take(take),
-                    pa.array(np.bincount(owner, minlength=piece.num_rows)[owner], pa.int64()),
+                    pa.nulls(len(owner), pa.int64()),
                     pa.array(nth, pa.int64()),
+                    pa.array(places),
                     pa.array(_joined(words, counts)[2]),
                     pa.array(_word_prints(words, counts)),
                 ],
-                ["id", "content", "n_lines", "nth", "line", "print"],
+                names,
             )
+            n_lines = pa.array(np.bincount(owner, minlength=piece.num_rows), pa.int64())
+            none = pa.nulls(piece.num_rows, pa.int64())
+            whole = [piece.column("id"), piece.column("content"), n_lines, none, none, none, none]
+            yield pa.RecordBatch.from_arrays(whole, names)
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_arrow(rows, read, f"id {kind}, content binary, n_lines bigint, nth bigint, line bigint, print bigint")
+    measures = ", ".join(f"{name} bigint" for name in names[2:])
+    return map_arrow(rows, read, f"id {kind}, content binary, {measures}")
 
 
-def hash_filter(lines: DataFrame) -> np.ndarray:
-    """FILTER_BITS bits, set where a line (column line) has its hash modulo their
+def hash_filter(lines: DataFrame, column: str = "line") -> np.ndarray:
+    """FILTER_BITS bits, set where a line (its hash in ``column``) has it modulo their
     number. At most 4 MB reach the driver, however many lines there are."""
-    at = F.pmod("line", F.lit(FILTER_BITS))
+    at = F.pmod(column, F.lit(FILTER_BITS))
     parts = lines.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
     )
@@ -164,16 +191,35 @@ def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def line_texts(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
+def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose line (column line) ``wanted`` has, and a few others, by a filter of
+    fixed size: what follows shuffles few of the rest."""
+    bits = rows.sparkSession.sparkContext.broadcast(hash_filter(wanted))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_passes(bits.value, batch.column("line").to_numpy())))
+
+    return map_arrow(rows, sift, rows.schema)
+
+
+def line_texts(docs: DataFrame, wanted: DataFrame, text: str = "text", lines: DataFrame | None = None) -> DataFrame:
     """line, words: the hash and the normalised text of the lines of ``wanted``
     (column line), once each. Tasks leave out most others by a filter of fixed
-    size before anything is shuffled; a join then leaves out the rest."""
+    size before anything is shuffled; a join then leaves out the rest.
+
+    ``lines`` (line, place) has a place in ``docs`` of every line. With it, only lines
+    in places of wanted ones are split into words and hashed."""
     rows = docs.select(docs[text].alias("text"))
-    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(wanted))
+    context = docs.sparkSession.sparkContext
+    bits, only = context.broadcast(hash_filter(wanted)), context.broadcast(None)
+    if lines is not None:
+        places = _sifted(lines.select("line", "place"), wanted).join(wanted, "line", "left_semi")
+        only = context.broadcast(hash_filter(places, "place"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            _, _, words, counts = _lines(piece.column("text"))
+            *_, words, counts = _lines(piece.column("text"), only.value)
             data, at, hashes = _joined(words, counts)
             found = {int(hashes[i]): data[at[i] : at[i + 1]] for i in np.flatnonzero(_passes(bits.value, hashes))}
             texts = [line.decode("utf-8", "replace") for line in found.values()]
@@ -305,7 +351,7 @@ def others(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def links(lines: DataFrame, docs: DataFrame, text: str = "text", unit: str = "words") -> DataFrame:
-    """node, root: the lines (line, print) of ``docs`` that are linked to others,
+    """node, root: the lines (line, print, place) of ``docs`` that are linked to others,
     each with the smallest line of its group.
 
     Two lines are linked if they differ in at most BITS bits and are similar
@@ -315,12 +361,16 @@ def links(lines: DataFrame, docs: DataFrame, text: str = "text", unit: str = "wo
     found so far, or lines without one, might be connected by. So the groups are
     those of all links, while pairs within a group are not made."""
     members = buckets(lines)
-    near = stored(similar(stored(candidates(members), "candidates"), docs, text, unit=unit), "links")
+    pairs = stored(candidates(members), "candidates")
+    # texts are looked up once, also of lines that meet no pivot and may be compared later
+    known = line_texts(docs, stored(members.select("line").distinct(), "wanted"), text, lines)
+    near = stored(compared(pairs, known, unit=unit), "links")
     roots = components(near)
     more = stored(others(members, roots), "others")
     if more.isEmpty():
         return roots
-    return components(near.union(similar(more, docs, text, unit=unit)))
+    found = stored(compared(more, known, unit=unit), "found")
+    return roots if found.isEmpty() else components(roots.toDF("a", "b").union(found))
 
 
 def _alike(x: str | list, y: str | list, most: int, part) -> int:
@@ -344,7 +394,8 @@ def within(x: str | list, y: str | list, limit: int) -> bool:
     letters of texts, or members of lists.
 
     What both have in front and at the end is left out. If x and y are equally
-    long and differ in few places that is enough; else the rows of the table of
+    long and differ in few places that is enough, or if texts differ in so few words
+    that their letters can't be more; else the rows of the table of
     distances are found one by one, each as two numbers with a bit per place
     (up or down by one), and no more of them than the limit allows."""
     n, m = len(x), len(y)
@@ -357,6 +408,11 @@ def within(x: str | list, y: str | list, limit: int) -> bool:
     n, m = len(x), len(y)
     if min(n, m) == 0 or limit == 0 or max(n, m) <= limit:
         return max(n, m) <= limit
+    if isinstance(x, str):
+        # a word that is inserted, deleted or replaced is as many letters and a space at most
+        a, b = x.split(" "), y.split(" ")
+        if within(a, b, limit // (1 + max(map(len, a + b)))):
+            return True
     if n == m and sum(map(ne, x, y)) <= limit:
         return True
     places: dict = {}
@@ -388,10 +444,14 @@ def similar(
     """The pairs of lines whose edit similarity is ``least`` or more: words, or
     letters, are inserted, deleted or replaced, and counted against those of the
     longer line. Only lines of a pair are shuffled with their texts."""
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
+    return compared(pairs, line_texts(docs, wanted, text), least, unit)
+
+
+def compared(pairs: DataFrame, known: DataFrame, least: float = SIMILARITY, unit: str = "words") -> DataFrame:
+    """The pairs of ``similar``, by the texts in ``known`` (line, words)."""
     if unit not in ("words", "letters"):
         raise ValueError(f"unit must be words or letters, not {unit!r}")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "wanted")
-    known = line_texts(docs, wanted, text)
     both = pairs.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,23 +471,17 @@ def removed_lines(found: DataFrame, docs: DataFrame, text: str = "text", unit: s
     ``occurrences``. Of every group one stays: the first by id (null last) and
     number. Groups are connected over links between similar lines; equal
     normalised lines are one. Rows with equal id and text are one document."""
-    lines = stored(found.groupBy("line", "print").agg(F.count("*").alias("n")), "lines")
-    roots = links(lines.select("line", "print"), docs, text, unit)
+    found = found.where("line IS NOT NULL")
+    counted = found.groupBy("line", "print").agg(F.count("*").alias("n"), F.min("place").alias("place"))
+    lines = stored(counted, "lines")
+    roots = links(lines.drop("n"), docs, text, unit)
     tied = stored(roots.union(roots.select("root", "root").distinct()).toDF("line", "root"), "tied")
     # a line that occurs once and has no group stays. Words in capitals and not, or of other
     # digits, are different ones, so a normalised line may have several fingerprints
     twice = lines.groupBy("line").agg(F.sum("n").alias("n")).where("n > 1").join(tied, "line", "left_anti")
     named = stored(twice.select("line", F.col("line").alias("root")).union(tied), "named")
-    bits = found.sparkSession.sparkContext.broadcast(hash_filter(named))
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_passes(bits.value, batch.column("line").to_numpy())))
-
     # most others are left out before anything is shuffled
-    places = found.select("id", "content", "nth", "line")
-    kind = places.schema["id"].dataType.simpleString()
-    sifted = map_arrow(places, sift, f"id {kind}, content binary, nth bigint, line bigint")
+    sifted = _sifted(found.select("id", "content", "nth", "line"), named)
     mine = F.struct(F.col("id").isNull().alias("unnamed"), "id", "nth", "content")
     grouped = stored(sifted.join(named, "line").select("id", "content", "nth", "root"), "grouped")
     # a large group's occurrences are one side of a plain join, which Spark can split
@@ -439,14 +493,12 @@ def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id", unit:
     """id, n_lines, n_removed, removed (the numbers of the lines that go, from 0)
     of every row. Documents without lines have zeros."""
     found = stored(occurrences(docs, text, key), "occurrences")
-    counted = found.groupBy("id", "content").agg(F.max("n_lines").alias("n_lines"))
-    gone = removed_lines(found, docs, text, unit).withColumn("n_lines", F.lit(None).cast("bigint"))
-    by_doc = _by_doc(gone.unionByName(counted.withColumn("nth", F.lit(None).cast("bigint"))))
-    rows = docs.select(docs[key].alias("id"), content_key(docs[text]).alias("content"))
+    by_doc = _by_doc(removed_lines(found, docs, text, unit))
+    rows = found.where("line IS NULL").select("id", "content", "n_lines")
     same = rows["id"].eqNullSafe(by_doc["of_id"]) & (rows["content"] == by_doc["of_content"])
     return rows.join(by_doc, same, "left").select(
         "id",
-        F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        "n_lines",
         F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<bigint>")).alias("removed"),
     )
@@ -455,15 +507,14 @@ def line_report(docs: DataFrame, text: str = "text", key: str = "doc_id", unit:
 def _by_doc(gone: DataFrame) -> DataFrame:
     # of one document: its own lines, no more; copies of a row name the same ones
     return gone.groupBy(F.col("id").alias("of_id"), F.col("content").alias("of_content")).agg(
-        F.max("n_lines").alias("n_lines"), F.sort_array(F.collect_set("nth")).alias("removed")
+        F.sort_array(F.collect_set("nth")).alias("removed")
     )
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", unit: str = "words") -> DataFrame:
     """The documents without the lines that go; lines without a word stay."""
     found = stored(occurrences(docs, text, key), "occurrences")
-    gone = removed_lines(found, docs, text, unit).withColumn("n_lines", F.lit(None).cast("bigint"))
-    by_doc = _by_doc(gone).drop("n_lines")
+    by_doc = _by_doc(removed_lines(found, docs, text, unit))
     content, numbers = free_name(docs, "content"), free_name(docs, "numbers")
     named = docs.withColumn(content, content_key(docs[text]))
     by_doc = by_doc.withColumnRenamed("removed", numbers)
