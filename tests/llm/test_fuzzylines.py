@@ -343,3 +343,58 @@ def test_texts_that_differ_in_few_words():
         want = distance(x, y)
         for limit in (want - 1, want, want + 1, want + 9):
             assert fuzzylines.within(x, y, limit) == (want <= limit)
+
+
+@pytest.mark.parametrize("group, step, size", [(1 << 19, 1 << 16, 100), (1 << 19, 5, 7), (12, 5, 7), (3, 1, 2)])
+def test_buckets_of_groups_are_those_of_all_tables(monkeypatch, group, step, size):
+    """Lines are brought together by one block; a group of over GROUP lines comes out as it is."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(fuzzylines, "GROUP", group)
+    monkeypatch.setattr(fuzzylines, "STEP", step)
+    rnd = random.Random(group + step)
+    prints = [rnd.getrandbits(64) for _ in range(8)]
+    prints = [p ^ sum(1 << b for b in rnd.sample(range(64), rnd.randrange(5))) for p in prints for _ in range(6)]
+    edges, rows = fuzzylines.EDGES, []
+    for line, p in enumerate(prints):
+        for b in range(fuzzylines.BITS + 1):
+            bits = p >> edges[b] & ((1 << edges[b + 1] - edges[b]) - 1)
+            rows.append((b << fuzzylines.WIDTH | bits, line, fuzzylines._signed(p)))
+    rows.sort()
+    columns = list(zip(*rows))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["part", "line", "print"])
+    got = [tuple(r.values()) for b in fuzzylines._grouped(batch.slice(i, size) for i in range(0, len(rows), size)) for r in b.to_pylist()]
+    raw = sorted(r[:3] for r in got if r[3] is None)
+    parts = {r[0] for r in raw}
+    assert raw == [r for r in rows if r[0] in parts]
+    sizes = {p: columns[0].count(p) for p in parts}
+    assert all(n > group for n in sizes.values()) and bool(parts) == (group < 12) or group == 12
+    want = []
+    for (first, _), mask in zip(fuzzylines.TABLES, fuzzylines.MASKS):
+        for line, p in enumerate(prints):
+            part = first << fuzzylines.WIDTH | p >> edges[first] & ((1 << edges[first + 1] - edges[first]) - 1)
+            mine = [q for q in prints if (p ^ q) & mask == 0]
+            if part not in parts and sum((p ^ q).bit_count() <= 3 for q in mine) > 1:
+                want.append((line, fuzzylines._signed(p), len(mine)))
+    assert sorted(r[1:] for r in got if r[3] is not None) == sorted(want) and want
+    of = {}
+    for bucket, line, p, n in got:
+        if n is not None:
+            of.setdefault(bucket, []).append(p)
+    assert all(any((p ^ q) & m == 0 for m in fuzzylines.MASKS) for found in of.values() for p in found for q in found)
+
+
+def test_groups_that_no_task_holds_have_the_same_buckets(spark):
+    rnd = random.Random(13)
+    near = [rnd.getrandbits(63) for _ in range(6)]
+    lines = [(i, near[i % 6] ^ (1 << rnd.randrange(60)) ^ (1 << rnd.randrange(60))) for i in range(90)]
+    df = spark.createDataFrame(lines, "line bigint, print bigint")
+    edges = fuzzylines.EDGES
+    parts = [
+        (b << fuzzylines.WIDTH | p >> edges[b] & ((1 << edges[b + 1] - edges[b]) - 1), i, p)
+        for i, p in lines
+        for b in range(fuzzylines.BITS + 1)
+    ]
+    other = fuzzylines._sorted_buckets(spark.createDataFrame(parts, "part bigint, line bigint, print bigint"))
+    got = sorted((r.line, r["print"], r.n) for r in fuzzylines.buckets(df).collect())
+    assert got == sorted((r.line, r["print"], r.n) for r in other.collect()) and got

@@ -31,6 +31,10 @@ PIVOTS = 8
 CELL = 1000
 #: Lines of a bucket up to which a task compares all of them while it reads it.
 SMALL = 256
+#: Lines that agree in a block, up to which a task holds all of them to make their buckets.
+GROUP = 1 << 19
+#: Lines that a task files under their buckets in one go.
+STEP = 1 << 16
 #: Bits of the filter that keeps lines without a candidate out of the shuffle of texts.
 FILTER_BITS = 1 << 25
 #: Bits of one of Spark's bitmaps.
@@ -39,11 +43,12 @@ PART_BITS = 1 << 15
 PLACE_STEP = 0x1E3779B97F4A7C15
 
 EDGES = [round(64 * b / BLOCKS) for b in range(BLOCKS + 1)]
-#: For every choice of blocks that may agree, the mask of their bits.
-MASKS = [
-    sum(((1 << EDGES[b + 1]) - (1 << EDGES[b])) for b in chosen)
-    for chosen in combinations(range(BLOCKS), BLOCKS - BITS)
-]
+#: Every choice of blocks that may agree, and the mask of its bits. Lines that agree in the
+#: first block of a choice are brought together once for all choices that begin with it.
+TABLES = list(combinations(range(BLOCKS), BLOCKS - BITS))
+MASKS = [sum(((1 << EDGES[b + 1]) - (1 << EDGES[b])) for b in chosen) for chosen in TABLES]
+#: Bits that the largest block has; a group's number is that of its block and the block's bits.
+WIDTH = max(b - a for a, b in zip(EDGES, EDGES[1:]))
 
 
 def _signed(value: int) -> int:
@@ -280,6 +285,61 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held)
 
 
+def _tables(part: np.ndarray, line: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """bucket, line, print, n: the rows of _near in all buckets of whole groups (sorted by
+    part), with the size of the bucket."""
+    ends = np.searchsorted(part, np.arange(BLOCKS + 1) << WIDTH)
+    for table, (mask, chosen) in enumerate(zip(MASKS, TABLES)):
+        mine = slice(ends[chosen[0]], ends[chosen[0] + 1])
+        key = prints[mine] & _signed(mask)
+        order = np.argsort(key)
+        if len(order) == 0:
+            continue
+        n, near = _near(key[order], prints[mine][order])
+        order = order[near]
+        # one number for a table and its bits
+        bucket = (key[order].view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15 * (table + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        bucket = (bucket ^ (bucket >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        columns = [bucket.view(np.int64), line[mine][order], prints[mine][order], n[near]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "line", "print", "n"])
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_tables of rows in the order of their groups (part, line, print). Groups of over GROUP
+    rows leave as they come, with their part in place of a bucket and null for its size."""
+    held, fresh, large = [[np.empty(0, np.int64)] * 3], 0, None
+
+    def cut(end: bool) -> Iterator[pa.RecordBatch]:
+        nonlocal held, large
+        rows = [np.concatenate(c) for c in zip(*held)]
+        part = rows[0]
+        if len(part) == 0:
+            return
+        past = 0 if large is None else int(np.searchsorted(part, large, "right"))
+        # the last group waits for its other rows
+        last = len(part) if end else max(past, int(np.searchsorted(part, part[-1])))
+        yield from _tables(*(r[past:last] for r in rows))
+        if len(part) - last > GROUP:
+            large = int(part[-1])
+            yield raw([r[last:] for r in rows])
+            last = len(part)
+        if past:
+            yield raw([r[:past] for r in rows])
+        held = [[r[last:] for r in rows]]
+
+    def raw(rows: list[np.ndarray]) -> pa.RecordBatch:
+        columns = [*(pa.array(r) for r in rows), pa.nulls(len(rows[0]), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "line", "print", "n"])
+
+    for batch in batches:
+        held.append([batch.column(c).to_numpy() for c in ("part", "line", "print")])
+        fresh += batch.num_rows
+        if fresh >= STEP:
+            yield from cut(False)
+            fresh = 0
+    yield from cut(True)
+
+
 def buckets(lines: DataFrame) -> DataFrame:
     """bucket, line, print, n, pivot: the lines (columns line, print) filed under
     the bits of every choice of BLOCKS - BITS blocks, with the number of lines of
@@ -288,19 +348,42 @@ def buckets(lines: DataFrame) -> DataFrame:
     bucket, chosen by hash, are its pivots; in a bucket of fewer than twice as
     many all lines are.
 
-    Tasks read whole buckets one after the other and hold one of up to SMALL lines
-    at a time; what is stored are lines with a candidate, and large buckets."""
+    A line is shuffled once for every block that a choice begins with. Tasks hold the
+    lines that agree in such a block, up to GROUP of them at a time, and make the buckets;
+    those of larger groups are sorted by Spark. What is stored are lines with a
+    candidate, and large buckets."""
+    firsts = sorted({chosen[0] for chosen in TABLES})
+    bits = [
+        F.shiftrightunsigned("print", EDGES[b]).bitwiseAND(F.lit((1 << EDGES[b + 1] - EDGES[b]) - 1).cast("bigint"))
+        for b in firsts
+    ]
+    parts = F.explode(F.array(*[x + F.lit(b << WIDTH).cast("bigint") for b, x in zip(firsts, bits)]))
+    filed = lines.select(parts.alias("part"), "line", "print").repartition("part").sortWithinPartitions("part")
+    rows = stored(map_arrow(filed, _grouped, "bucket bigint, line bigint, print bigint, n bigint"), "near")
+    step = F.greatest(F.lit(1), F.floor(F.col("n") / PIVOTS))
+    chosen = F.pmod(F.xxhash64("line", "bucket"), step) == 0
+    left = rows.where("n IS NULL").withColumnRenamed("bucket", "part")
+    found = rows.where("n IS NOT NULL")
+    if not left.isEmpty():
+        found = found.unionByName(_sorted_buckets(left))
+    return stored(found.withColumn("pivot", chosen), "members")
+
+
+def _sorted_buckets(rows: DataFrame) -> DataFrame:
+    """bucket, line, print, n of ``buckets`` for the lines (part, line, print) of groups that
+    no task holds: they are filed one by one, and Spark sorts them by their buckets."""
+    tables = F.array(*[
+        F.array(*[F.lit(t) for t, chosen in enumerate(TABLES) if chosen[0] == b]).cast("array<int>") for b in range(BLOCKS)
+    ])
     masks = F.array(*[F.lit(_signed(m)).cast("bigint") for m in MASKS])
-    filed = lines.select("line", "print", F.explode(F.sequence(F.lit(0), F.lit(len(MASKS) - 1))).alias("table"))
+    of_block = F.explode(F.get(tables, F.shiftright("part", WIDTH).cast("int")))
+    filed = rows.select("line", "print", of_block.alias("table"))
     # only the table's number is shuffled with a line, its bucket follows from that
     bucket = F.xxhash64("table", F.col("print").bitwiseAND(F.get(masks, F.col("table"))))
     ordered = filed.repartition(bucket).select(bucket.alias("bucket"), "line", "print").sortWithinPartitions("bucket")
-    rows = stored(map_arrow(ordered, _members, "bucket bigint, line bigint, print bigint, n bigint"), "near")
-    counted = F.count("*").over(Window.partitionBy("bucket"))
-    large = rows.where("n IS NULL").withColumn("n", counted)
-    step = F.greatest(F.lit(1), F.floor(F.col("n") / PIVOTS))
-    chosen = F.pmod(F.xxhash64("line", "bucket"), step) == 0
-    return stored(rows.where("n IS NOT NULL").unionByName(large).withColumn("pivot", chosen), "members")
+    found = stored(map_arrow(ordered, _members, "bucket bigint, line bigint, print bigint, n bigint"), "sorted")
+    large = found.where("n IS NULL").withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
+    return found.where("n IS NOT NULL").unionByName(large)
 
 
 def _pairs(pairs: DataFrame) -> DataFrame:
