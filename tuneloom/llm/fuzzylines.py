@@ -306,7 +306,8 @@ def _tables(part: np.ndarray, line: np.ndarray, prints: np.ndarray) -> Iterator[
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """_tables of rows in the order of their groups (part, line, print). Groups of over GROUP
-    rows leave as they come, with their part in place of a bucket and null for its size."""
+    rows leave as they come, with their part in place of a bucket and null for its size; one
+    that ends with the rows of the next STEP may still be held."""
     held, fresh, large = [[np.empty(0, np.int64)] * 3], 0, None
 
     def cut(end: bool) -> Iterator[pa.RecordBatch]:
